@@ -1,0 +1,177 @@
+"""Readers for the whitespace-separated evaluation formats (S2-S7, S11) and
+topic files (S1).
+
+Every reader is one `spark.read.text` over any number of files (a glob, a
+folder or a list), split with JVM string functions; no line passes through
+Python.  Field counts are checked by `malformed_lines` (S11).
+"""
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+_WS = r"\s+"
+
+
+def _fields(spark: SparkSession, paths) -> DataFrame:
+    """One row per non-blank line: the array of whitespace-separated fields,
+    the source file and the line's position inside that file."""
+    raw = spark.read.text(paths).select(
+        F.col("value"),
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_pos"),
+    )
+    return raw.select(
+        F.split(F.trim(F.col("value")), _WS).alias("f"),
+        F.trim(F.col("value")).alias("_line"),
+        "_file", "_block", "_pos",
+    )
+
+
+def _non_blank(df: DataFrame) -> DataFrame:
+    return df.where(F.col("_line") != "")
+
+
+def _to_int(c: Column) -> Column:
+    # atol semantics: leading integer part, 0 when unparsable
+    return F.coalesce(c.try_cast("double").cast("long"), F.lit(0)).cast("int")
+
+
+def _to_float(c: Column) -> Column:
+    return F.coalesce(c.try_cast("float"), F.lit(0.0).cast("float"))
+
+
+def malformed_lines(spark: SparkSession, paths, n_fields: int,
+                    allow_extra: bool = False, allow_blank: bool = True) -> DataFrame:
+    """Lines whose field count is wrong (file, line text, count)."""
+    df = _fields(spark, paths)
+    size = F.when(F.col("_line") == "", F.lit(0)).otherwise(F.size("f"))
+    bad = size < n_fields
+    if not allow_extra:
+        bad = bad | (size > n_fields)
+    if allow_blank:
+        bad = bad & (F.col("_line") != "")
+    return df.where(bad).select(F.col("_file").alias("file"),
+                                F.col("_line").alias("line"),
+                                size.alias("n_fields"))
+
+
+def _strict(spark, paths, n_fields, allow_extra, allow_blank, what):
+    bad = malformed_lines(spark, paths, n_fields, allow_extra, allow_blank)
+    first = bad.take(1)
+    if first:
+        r = first[0]
+        raise ValueError(f"malformed {what} line in {r['file']}: {r['line']!r} "
+                         f"({r['n_fields']} fields, expected {n_fields})")
+
+
+def read_run(spark: SparkSession, paths, run_id: str = "file",
+             strict: bool = False) -> DataFrame:
+    """runs(run_id, qid, docno, sim float) from `qid iter docno rank sim tag`.
+
+    Trailing extra fields are ignored and blank lines skipped.  The rank field
+    is ignored (rank is re-derived from sim).  ``run_id="file"`` takes the tag
+    of each file's last line as the run identifier, as the evaluator does;
+    ``run_id="line"`` keeps each line's own tag.
+    """
+    if strict:
+        _strict(spark, paths, 6, True, True, "results")
+    df = _non_blank(_fields(spark, paths)).where(F.size("f") >= 6)
+    rows = df.select(
+        F.col("f")[0].alias("qid"),
+        F.col("f")[2].alias("docno"),
+        _to_float(F.col("f")[4]).alias("sim"),
+        F.col("f")[5].alias("tag"),
+        "_file", "_block", "_pos",
+    )
+    if run_id == "line":
+        return rows.select(F.col("tag").alias("run_id"), "qid", "docno", "sim")
+    last_tag = rows.groupBy("_file").agg(
+        F.max_by("tag", F.struct("_block", "_pos")).alias("run_id"))
+    # one row per input file: a tiny side, broadcast by the planner
+    return rows.join(F.broadcast(last_tag), "_file").select(
+        "run_id", "qid", "docno", "sim")
+
+
+def read_qrels(spark: SparkSession, paths, strict: bool = True) -> DataFrame:
+    """S3: qrels(qid, docno, rel int) from `qid iter docno rel`."""
+    if strict:
+        _strict(spark, paths, 4, False, False, "qrels")
+    f = _non_blank(_fields(spark, paths)).where(F.size("f") >= 4)
+    return f.select(F.col("f")[0].alias("qid"), F.col("f")[2].alias("docno"),
+                    _to_int(F.col("f")[3]).alias("rel"))
+
+
+def read_qrels_jg(spark: SparkSession, paths, strict: bool = True) -> DataFrame:
+    """qrels_jg(qid, jg, docno, rel int) from `qid jg docno rel`."""
+    if strict:
+        _strict(spark, paths, 4, False, False, "qrels_jg")
+    f = _non_blank(_fields(spark, paths)).where(F.size("f") >= 4)
+    return f.select(F.col("f")[0].alias("qid"), F.col("f")[1].alias("jg"),
+                    F.col("f")[2].alias("docno"),
+                    _to_int(F.col("f")[3]).alias("rel"))
+
+
+def read_prefs(spark: SparkSession, paths, strict: bool = True) -> DataFrame:
+    """prefs(qid, jg, jsg, docno, rel_level float) from five fields."""
+    if strict:
+        _strict(spark, paths, 5, False, False, "prefs")
+    f = _non_blank(_fields(spark, paths)).where(F.size("f") >= 5)
+    return f.select(F.col("f")[0].alias("qid"), F.col("f")[1].alias("jg"),
+                    F.col("f")[2].alias("jsg"), F.col("f")[3].alias("docno"),
+                    _to_float(F.col("f")[4]).alias("rel_level"))
+
+
+def read_qrels_as_prefs(spark: SparkSession, paths, strict: bool = True) -> DataFrame:
+    """A qrels file read as prefs: jg = second field, jsg = "0"."""
+    if strict:
+        _strict(spark, paths, 4, False, False, "qrels_prefs")
+    f = _non_blank(_fields(spark, paths)).where(F.size("f") >= 4)
+    return qrels_to_prefs(f.select(
+        F.col("f")[0].alias("qid"), F.col("f")[1].alias("jg"),
+        F.col("f")[2].alias("docno"), _to_int(F.col("f")[3]).alias("rel")))
+
+
+def qrels_to_prefs(qrels_jg: DataFrame) -> DataFrame:
+    """Judgements (qid, jg, docno, rel) as preferences with a single jsg."""
+    return qrels_jg.select("qid", "jg", F.lit("0").alias("jsg"), "docno",
+                           F.col("rel").cast("float").alias("rel_level"))
+
+
+def read_zref(spark: SparkSession, paths, strict: bool = True) -> DataFrame:
+    """zref(qid, measure, mean double, stddev double)."""
+    if strict:
+        _strict(spark, paths, 4, False, False, "zscores")
+    f = _non_blank(_fields(spark, paths)).where(F.size("f") >= 4)
+    return f.select(F.col("f")[0].alias("qid"), F.col("f")[1].alias("measure"),
+                    F.col("f")[2].try_cast("double").alias("mean"),
+                    F.col("f")[3].try_cast("double").alias("stddev"))
+
+
+def read_topics(spark: SparkSession, paths) -> DataFrame:
+    """S1 + T1: topics(qid, title, description) from `<top>` blocks.
+
+    Number is the text between `<num>` and `<dom>` without `Number:`, trimmed,
+    with one leading zero dropped; title is the text between `<title>` and
+    `<desc>` with `Topic: ` removed; description is the text between `<desc>`
+    and `<smry>` (its `Description:` label is kept, see `query_text`).
+    """
+    blocks = spark.read.text(paths, lineSep="</top>")
+    return topic_fields(blocks.select(F.col("value").alias("block")))
+
+
+def topic_fields(blocks: DataFrame, col: str = "block") -> DataFrame:
+    b = F.col(col)
+
+    def between(a: str, z: str) -> Column:
+        return F.regexp_extract(b, f"(?s)<{a}>(.*?)<{z}>", 1)
+
+    num = F.trim(F.regexp_replace(between("num", "dom"), "Number:", ""))
+    qid = F.when(F.substring(num, 1, 1) == "0", F.expr("substring(_num, 2)")) \
+        .otherwise(num)
+    return (blocks.where(b.contains("<num>"))
+            .select(num.alias("_num"),
+                    F.regexp_replace(between("title", "desc"), "Topic: ", "").alias("title"),
+                    between("desc", "smry").alias("description"))
+            .select(qid.alias("qid"), "title", "description"))
