@@ -60,14 +60,20 @@ def topic_stats(qrels: DataFrame, level: int, keys=("qid",)) -> DataFrame:
 
 
 def judged_join(ranked: DataFrame, qrels: DataFrame, keys=("qid",),
-                broadcast_rows: int = 2_000_000) -> DataFrame:
-    """Left join of the ranked run with the judgements; adds `code`."""
+                small: bool = False) -> DataFrame:
+    """Left join of the ranked run with the judgements; adds `code`.
+    `small`: the judgements passed a size check and are broadcast."""
     q = qrels.select(*keys, "docno", F.col("rel").alias("_rel"))
-    q, _ = bounded_broadcast(q, broadcast_rows)
-    j = ranked.join(q, [*keys, "docno"], "left")
+    j = ranked.join(F.broadcast(q) if small else q, [*keys, "docno"], "left")
     return j.withColumn("code", relevance_code(F.col("_rel"))).drop("_rel")
 
 
+def judgements_are_small(qrels: DataFrame, cfg: EvalConfig) -> bool:
+    """Size check behind every broadcast of a judgement-derived table: the
+    judgements have at most `cfg.broadcast_rows` rows (counted with a limit)."""
+    return bounded_broadcast(qrels, cfg.broadcast_rows)[1]
+
+
 def duplicate_docs(df: DataFrame, keys) -> DataFrame:
     """(keys, docno) that occur more than once."""
     return df.groupBy(*keys, "docno").count().where(F.col("count") > 1)
@@ -75,7 +81,8 @@ def duplicate_docs(df: DataFrame, keys) -> DataFrame:
 
 def judged_rows(runs: DataFrame, qrels: DataFrame, cfg: EvalConfig,
                 stats: DataFrame | None = None, tie: str = "desc",
-                run_keys=RUN_KEYS, topic_keys=("qid",)) -> DataFrame:
+                run_keys=RUN_KEYS, topic_keys=("qid",),
+                small: bool | None = None) -> DataFrame:
     """The `judged` frame: one row per retrieved document of every evaluated
     (run, topic), with running counts.
 
@@ -90,12 +97,14 @@ def judged_rows(runs: DataFrame, qrels: DataFrame, cfg: EvalConfig,
         qrels = qrels.where(F.col("qid") == cfg.topic)
     if stats is None:
         stats = topic_stats(qrels, cfg.level, topic_keys)
-    stats_b, _ = bounded_broadcast(stats, cfg.broadcast_rows)
+    if small is None:   # one size check; everything derived from qrels is smaller
+        small = judgements_are_small(qrels, cfg)
+    stats_b = F.broadcast(stats) if small else stats
 
     ranked = rank_run(runs.select(*run_keys, "docno", F.col("sim").cast("float")),
                       tie=tie, max_docs=cfg.cut, keys=run_keys)
     ranked = ranked.withColumnRenamed("rank", "orig_rank")
-    j = judged_join(ranked, qrels, topic_keys, cfg.broadcast_rows)
+    j = judged_join(ranked, qrels, topic_keys, small)
     j = j.join(stats_b, list(topic_keys), "inner")
 
     code = F.col("code")

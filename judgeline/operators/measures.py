@@ -2,7 +2,9 @@
 
 Each measure contributes aggregate expressions (evaluated in ONE
 `groupBy(run, topic).agg(...)` over the judged frame) and finishing
-expressions over the aggregated row.  Only the requested measures enter the
+expressions over the aggregated row.  Expressions are Spark SQL text: a
+measure set of ~100 outputs is then a hundred `expr()` calls instead of tens
+of thousands of driver round trips to build Column trees.  Only the requested measures enter the
 plan, so Catalyst prunes everything else.  `register_measure` is the
 extension point (the evaluator's "add a measure" recipe, as Columns).
 
@@ -16,11 +18,8 @@ import re
 from dataclasses import dataclass, field
 from typing import Callable
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from ..config import INFAP_EPSILON, MIN_GEO_MEAN, RELVALUE_NONPOOL, RELVALUE_UNJUDGED
-from ..functions.columns import count_if, frac_cutoff, lit_d, log2, safe_div
+from ..functions.sqlexpr import cnt, dbl, div0, fcut, sum0
 
 # Fixed default parameters of the evaluator.
 CUTOFFS = [5, 10, 15, 20, 30, 100, 200, 500, 1000]
@@ -72,112 +71,107 @@ NICKNAMES = {
 
 @dataclass
 class Out:
-    """One output value of a measure."""
+    """One output value of a measure (SQL text over the aggregated row)."""
     name: str
-    expr: Column
+    expr: str
     kind: str
     order: tuple
 
 
 @dataclass
 class Ctx:
-    """Columns available to measure builders (judged-frame row level)."""
+    """Collects the aggregate expressions the selected measures need.
+    Row-level columns of the judged frame: keep, rel, nonrel, unj, nonpool,
+    rank, cr, cn, cu, code, R, Nn."""
     level: int
     num_docs: int
     gains: dict | None = None
-    aggs: dict = field(default_factory=dict)   # alias -> aggregate Column
+    aggs: dict = field(default_factory=dict)   # alias -> aggregate SQL
     needs_gain_align: bool = False
     needs_idcg_cut: set = field(default_factory=set)
 
-    def agg(self, alias: str, expr: Column) -> Column:
+    def agg(self, alias: str, expr: str) -> str:
         alias = re.sub(r"[^0-9A-Za-z_]", "_", alias)
         self.aggs.setdefault(alias, expr)
-        return F.col(alias)
-
+        return alias
 
 
+def _hits(ctx: Ctx, k) -> str:
+    return ctx.agg(f"_hits_{int(k)}", cnt(f"rel AND rank <= {int(k)}"))
 
-def _hits(ctx: Ctx, k) -> Column:
-    return ctx.agg(f"_hits_{k}", count_if(F.col("rel") & (F.col("rank") <= int(k))))
 
+def _num_ret(ctx) -> str:
+    return ctx.agg("_num_ret", cnt("keep"))
 
-def _num_ret(ctx):
-    return ctx.agg("_num_ret", count_if(F.col("keep")))
 
+def _num_rel_ret(ctx) -> str:
+    return ctx.agg("_num_rel_ret", cnt("rel"))
 
-def _num_rel_ret(ctx):
-    return ctx.agg("_num_rel_ret", count_if(F.col("rel")))
 
+def _ap_sum(ctx) -> str:
+    return ctx.agg("_ap_sum", sum0("rel", "cr / rank"))
 
-def _ap_sum(ctx):
-    return ctx.agg("_ap_sum", F.coalesce(F.sum(F.when(F.col("rel"), F.col("cr") / F.col("rank"))), lit_d(0)))
 
+def _bpref_sum(ctx) -> str:
+    term = f"CASE WHEN cn = 0 THEN 1D ELSE 1D - {div0('least(cn, R)', 'least(Nn, R)')} END"
+    return ctx.agg("_bpref_sum", sum0("rel", term))
 
-def _bpref_sum(ctx):
-    term = F.when(F.col("cn") == 0, lit_d(1)).otherwise(
-        lit_d(1) - safe_div(F.least(F.col("cn"), F.col("R")), F.least(F.col("Nn"), F.col("R"))))
-    return ctx.agg("_bpref_sum", F.coalesce(F.sum(F.when(F.col("rel"), term)), lit_d(0)))
 
+def _iprec(ctx, p) -> str:
+    k = fcut(p, "R")
+    best = ctx.agg(f"_iprec_{p!r}", f"max(CASE WHEN keep AND cr >= {k} THEN cr / rank END)")
+    return f"(CASE WHEN {k} > {_num_rel_ret(ctx)} THEN 0D ELSE coalesce({best}, 0D) END)"
 
-def _iprec(ctx, p) -> Column:
-    k = frac_cutoff(p, F.col("R"))
-    alias = f"_iprec_{p!r}"
-    best = ctx.agg(alias, F.max(F.when(F.col("keep") & (F.col("cr") >= k), F.col("cr") / F.col("rank"))))
-    return F.when(k > _num_rel_ret(ctx), lit_d(0)).otherwise(F.coalesce(best, lit_d(0)))
 
-
-def _prec_at(ctx, k: Column, alias: str) -> Column:
-    hits = ctx.agg(alias, count_if(F.col("rel") & (F.col("rank") <= k)))
-    return safe_div(hits, k)
+def _log(x: str) -> str:
+    return f"ln(greatest({x}, {dbl(MIN_GEO_MEAN)}))"
 
 
 # ---------------------------------------------------------------- builders
 def b_runid(ctx, params):
-    return [Out("runid", F.lit(None).cast("double"), "summary", ())]
+    return [Out("runid", "CAST(NULL AS DOUBLE)", "summary", ())]
 
 
 def b_num_q(ctx, params):
-    return [Out("num_q", F.lit(1.0), "summary", ())]
+    return [Out("num_q", "1D", "summary", ())]
 
 
 def b_num_ret(ctx, params):
-    return [Out("num_ret", _num_ret(ctx).cast("double"), "sum", ())]
+    return [Out("num_ret", f"CAST({_num_ret(ctx)} AS DOUBLE)", "sum", ())]
 
 
 def b_num_rel(ctx, params):
-    return [Out("num_rel", F.col("R").cast("double"), "sum", ())]
+    return [Out("num_rel", "CAST(R AS DOUBLE)", "sum", ())]
 
 
 def b_num_rel_ret(ctx, params):
-    return [Out("num_rel_ret", _num_rel_ret(ctx).cast("double"), "sum", ())]
+    return [Out("num_rel_ret", f"CAST({_num_rel_ret(ctx)} AS DOUBLE)", "sum", ())]
 
 
 def b_map(ctx, params):
-    return [Out("map", safe_div(_ap_sum(ctx), F.col("R")), "mean", ())]
+    return [Out("map", div0(_ap_sum(ctx), "R"), "mean", ())]
 
 
 def b_gm_map(ctx, params):
-    ap = safe_div(_ap_sum(ctx), F.col("R"))
-    return [Out("gm_map", F.log(F.greatest(ap, lit_d(MIN_GEO_MEAN))), "geo", ())]
+    return [Out("gm_map", _log(div0(_ap_sum(ctx), "R")), "geo", ())]
 
 
 def b_Rprec(ctx, params):
-    hits = ctx.agg("_rprec_hits", count_if(F.col("rel") & (F.col("rank") <= F.col("R"))))
-    return [Out("Rprec", safe_div(hits, F.col("R")), "mean", ())]
+    hits = ctx.agg("_rprec_hits", cnt("rel AND rank <= R"))
+    return [Out("Rprec", div0(hits, "R"), "mean", ())]
 
 
 def b_bpref(ctx, params):
-    return [Out("bpref", safe_div(_bpref_sum(ctx), F.col("R")), "mean", ())]
+    return [Out("bpref", div0(_bpref_sum(ctx), "R"), "mean", ())]
 
 
 def b_gm_bpref(ctx, params):
-    bp = safe_div(_bpref_sum(ctx), F.col("R"))
-    return [Out("gm_bpref", F.log(F.greatest(bp, lit_d(MIN_GEO_MEAN))), "geo", ())]
+    return [Out("gm_bpref", _log(div0(_bpref_sum(ctx), "R")), "geo", ())]
 
 
 def b_recip_rank(ctx, params):
-    first = ctx.agg("_first_rel", F.min(F.when(F.col("rel"), F.col("rank"))))
-    return [Out("recip_rank", F.coalesce(safe_div(lit_d(1), first), lit_d(0)), "mean", ())]
+    first = ctx.agg("_first_rel", "min(CASE WHEN rel THEN rank END)")
+    return [Out("recip_rank", div0("1D", first), "mean", ())]
 
 
 def b_iprec_at_recall(ctx, params):
@@ -188,34 +182,30 @@ def b_iprec_at_recall(ctx, params):
 
 def b_11pt_avg(ctx, params):
     ps = params or RECALL_POINTS
-    total = None
-    for p in ps:
-        v = _iprec(ctx, p)
-        total = v if total is None else total + v
-    return [Out("11pt_avg", total / lit_d(len(ps)), "mean", ())]
+    total = " + ".join(_iprec(ctx, p) for p in ps)
+    name = "11pt_avg" if not params else "11pt_avg_" + ",".join(_fmt(p) for p in ps)
+    return [Out(name, f"(({total}) / {dbl(len(ps))})", "mean", ())]
 
 
 def b_P(ctx, params):
     ks = params or CUTOFFS
-    return [Out(f"P_{k}", safe_div(_hits(ctx, k), lit_d(k)), "mean", (i,))
-            for i, k in enumerate(ks)]
+    return [Out(f"P_{k}", div0(_hits(ctx, k), dbl(k)), "mean", (i,)) for i, k in enumerate(ks)]
 
 
 def b_recall(ctx, params):
     ks = params or CUTOFFS
-    return [Out(f"recall_{k}", safe_div(_hits(ctx, k), F.col("R")), "mean", (i,))
-            for i, k in enumerate(ks)]
+    return [Out(f"recall_{k}", div0(_hits(ctx, k), "R"), "mean", (i,)) for i, k in enumerate(ks)]
 
 
 def b_relative_P(ctx, params):
     ks = params or CUTOFFS
-    return [Out(f"relative_P_{k}", safe_div(_hits(ctx, k), F.least(lit_d(k), F.col("R"))),
-                "mean", (i,)) for i, k in enumerate(ks)]
+    return [Out(f"relative_P_{k}", div0(_hits(ctx, k), f"least({dbl(k)}, R)"), "mean", (i,))
+            for i, k in enumerate(ks)]
 
 
 def b_success(ctx, params):
     ks = params or SUCCESS_CUTOFFS
-    return [Out(f"success_{k}", F.when(_hits(ctx, k) > 0, lit_d(1)).otherwise(lit_d(0)),
+    return [Out(f"success_{k}", f"(CASE WHEN {_hits(ctx, k)} > 0 THEN 1D ELSE 0D END)",
                 "mean", (i,)) for i, k in enumerate(ks)]
 
 
@@ -223,134 +213,126 @@ def b_map_cut(ctx, params):
     ks = params or CUTOFFS
     outs = []
     for i, k in enumerate(ks):
-        s = ctx.agg(f"_ap_cut_{k}", F.coalesce(
-            F.sum(F.when(F.col("rel") & (F.col("rank") <= int(k)), F.col("cr") / F.col("rank"))), lit_d(0)))
-        outs.append(Out(f"map_cut_{k}", safe_div(s, F.col("R")), "mean", (i,)))
+        s = ctx.agg(f"_ap_cut_{int(k)}", sum0(f"rel AND rank <= {int(k)}", "cr / rank"))
+        outs.append(Out(f"map_cut_{k}", div0(s, "R"), "mean", (i,)))
     return outs
 
 
 def b_Rprec_mult(ctx, params):
     ps = params or RPREC_MULTS
-    return [Out(f"Rprec_mult_{p:.2f}",
-                _prec_at(ctx, frac_cutoff(p, F.col("R")), f"_rpm_{p!r}"), "mean", (i,))
-            for i, p in enumerate(ps)]
+    outs = []
+    for i, p in enumerate(ps):
+        k = fcut(p, "R")
+        hits = ctx.agg(f"_rpm_{p!r}", cnt(f"rel AND rank <= {k}"))
+        outs.append(Out(f"Rprec_mult_{p:.2f}", div0(hits, k), "mean", (i,)))
+    return outs
 
 
 def b_infAP(ctx, params):
-    rb = F.col("cr") - 1
-    before = (rb + F.col("cn") + F.col("cu")).cast("double")
-    j = (F.col("rank") - 1).cast("double")
-    term = F.when(F.col("rank") == 1, lit_d(1)).otherwise(
-        lit_d(1) / F.col("rank") + (j / F.col("rank")) * safe_div(before, j)
-        * ((rb + lit_d(INFAP_EPSILON)) / (rb + F.col("cn") + lit_d(2 * INFAP_EPSILON))))
-    s = ctx.agg("_infap_sum", F.coalesce(F.sum(F.when(F.col("rel"), term)), lit_d(0)))
-    return [Out("infAP", safe_div(s, F.col("R")), "mean", ())]
+    eps = dbl(INFAP_EPSILON)
+    term = (f"CASE WHEN rank = 1 THEN 1D ELSE 1D / rank + ((rank - 1) / rank) * "
+            f"{div0('cr - 1 + cn + cu', 'rank - 1')} * "
+            f"((cr - 1 + {eps}) / (cr - 1 + cn + 2 * {eps})) END")
+    s = ctx.agg("_infap_sum", sum0("rel", term))
+    return [Out("infAP", div0(s, "R"), "mean", ())]
 
 
 def b_utility(ctx, params):
-    p = params or UTILITY_PARAMS
+    p = [float(x) for x in (params or UTILITY_PARAMS)]
     if len(p) != 4:
         raise ValueError("utility needs exactly 4 coefficients")
-    a = _num_rel_ret(ctx)
-    ret = _num_ret(ctx)
-    v = (lit_d(p[0]) * a + lit_d(p[1]) * (ret - a) + lit_d(p[2]) * (F.col("R") - a)
-         + lit_d(p[3]) * (F.lit(ctx.num_docs) + a - ret - F.col("R")))
+    a, ret = _num_rel_ret(ctx), _num_ret(ctx)
+    v = (f"({dbl(p[0])} * {a} + {dbl(p[1])} * ({ret} - {a}) + {dbl(p[2])} * (R - {a})"
+         f" + {dbl(p[3])} * ({int(ctx.num_docs)} + {a} - {ret} - R))")
     name = "utility" if params is None else "utility_" + ",".join(_fmt(x) for x in p)
-    return [Out(name, v.cast("double"), "mean", ())]
+    return [Out(name, v, "mean", ())]
 
 
 def b_binG(ctx, params):
-    s = ctx.agg("_bing_sum", F.coalesce(
-        F.sum(F.when(F.col("rel"), lit_d(1) / log2(F.col("rank") - F.col("cr") + 2))), lit_d(0)))
-    return [Out("binG", safe_div(s, F.col("R")), "mean", ())]
+    s = ctx.agg("_bing_sum", sum0("rel", "1D / log2(rank - cr + 2)"))
+    return [Out("binG", div0(s, "R"), "mean", ())]
 
 
 def b_set_P(ctx, params):
-    return [Out("set_P", safe_div(_num_rel_ret(ctx), _num_ret(ctx)), "mean", ())]
+    return [Out("set_P", div0(_num_rel_ret(ctx), _num_ret(ctx)), "mean", ())]
 
 
 def b_set_relative_P(ctx, params):
-    return [Out("set_relative_P",
-                safe_div(_num_rel_ret(ctx), F.least(_num_ret(ctx), F.col("R"))), "mean", ())]
+    return [Out("set_relative_P", div0(_num_rel_ret(ctx), f"least({_num_ret(ctx)}, R)"), "mean", ())]
 
 
 def b_set_recall(ctx, params):
-    return [Out("set_recall", safe_div(_num_rel_ret(ctx), F.col("R")), "mean", ())]
+    return [Out("set_recall", div0(_num_rel_ret(ctx), "R"), "mean", ())]
 
 
 def b_set_map(ctx, params):
-    a = _num_rel_ret(ctx).cast("double")
-    return [Out("set_map", safe_div(a * a, _num_ret(ctx) * F.col("R")), "mean", ())]
+    a = _num_rel_ret(ctx)
+    return [Out("set_map", div0(f"CAST({a} AS DOUBLE) * {a}", f"CAST({_num_ret(ctx)} AS DOUBLE) * R"),
+                "mean", ())]
 
 
 def b_set_F(ctx, params):
     x = float(params[0]) if params else SET_F_PARAM
     a = _num_rel_ret(ctx)
-    p = safe_div(a, _num_ret(ctx))
-    r = safe_div(a, F.col("R"))
-    v = F.when(a > 0, safe_div(lit_d(x + 1) * p * r, lit_d(x) * p + r)).otherwise(lit_d(0))
+    p, r = div0(a, _num_ret(ctx)), div0(a, "R")
+    v = f"(CASE WHEN {a} > 0 THEN {div0(f'{dbl(x + 1)} * {p} * {r}', f'{dbl(x)} * {p} + {r}')} ELSE 0D END)"
     name = "set_F" if not params else f"set_F_{_fmt(x)}"
     return [Out(name, v, "mean", ())]
 
 
 def b_num_nonrel_judged_ret(ctx, params):
-    nonpool = ctx.agg("_nonpool", count_if(F.col("nonpool")))
-    unj = ctx.agg("_unj", count_if(F.col("unj")))
-    v = _num_ret(ctx) - nonpool - unj - _num_rel_ret(ctx)
-    return [Out("num_nonrel_judged_ret", v.cast("double"), "sum", ())]
+    nonpool = ctx.agg("_nonpool", cnt("nonpool"))
+    unj = ctx.agg("_unj", cnt("unj"))
+    v = f"CAST({_num_ret(ctx)} - {nonpool} - {unj} - {_num_rel_ret(ctx)} AS DOUBLE)"
+    return [Out("num_nonrel_judged_ret", v, "sum", ())]
 
 
 def b_relstring(ctx, params):
     n = int(params[0]) if params else RELSTRING_LEN
-    ch = (F.when(F.col("code") > 9, F.lit(">"))
-          .when(F.col("code") >= 0, F.col("code").cast("string"))
-          .when(F.col("code") == RELVALUE_NONPOOL, F.lit("-"))
-          .when(F.col("code") == RELVALUE_UNJUDGED, F.lit("."))
-          .otherwise(F.lit("<")))
-    pairs = ctx.agg(f"_relstring_{n}", F.collect_list(
-        F.when(F.col("keep") & (F.col("rank") <= n), F.struct(F.col("rank").alias("r"), ch.alias("c")))))
-    text = F.array_join(F.transform(F.array_sort(pairs), lambda x: x["c"]), "")
+    ch = (f"CASE WHEN code > 9 THEN '>' WHEN code >= 0 THEN CAST(code AS STRING) "
+          f"WHEN code = {RELVALUE_NONPOOL} THEN '-' WHEN code = {RELVALUE_UNJUDGED} THEN '.' "
+          f"ELSE '<' END")
+    pairs = ctx.agg(f"_relstring_{n}",
+                    f"collect_list(CASE WHEN keep AND rank <= {n} THEN named_struct('r', rank, 'c', {ch}) END)")
+    text = f"array_join(transform(array_sort({pairs}), x -> x.c), '')"
     name = "relstring" if not params else f"relstring_{n}"
     return [Out(name, text, "topic", ())]
 
 
-# Gain measures: need the ideal ranking (see operators/ideal.py).
+# Gain measures: need the ideal ranking (see operators/ideal.py and the
+# aggregates added by plans/evaluate.py).
 def b_ndcg(ctx, params):
     ctx.needs_gain_align = True
     name = "ndcg" if not params else "ndcg_" + ",".join(f"{k}={_fmt(v)}" for k, v in params.items())
-    return [Out(name, safe_div(F.col("_dcg"), F.col("idcg")), "mean", ())]
+    return [Out(name, div0("_dcg", "idcg"), "mean", ())]
 
 
 def b_G(ctx, params):
     ctx.needs_gain_align = True
-    return [Out("G", safe_div(F.col("_g_sum"), F.col("ig_total")), "mean", ())]
+    return [Out("G", div0("_g_sum", "ig_total"), "mean", ())]
 
 
 def b_ndcg_rel(ctx, params):
     ctx.needs_gain_align = True
-    L = F.col("L")
-    total = F.col("_ndcg_rel_sum") + (L - F.col("_pos_ret")) * safe_div(F.col("_dcg"), F.col("idcg"))
-    v = F.when((L > 0) & (total > 0), total / L).otherwise(lit_d(0))
-    return [Out("ndcg_rel", v, "mean", ())]
+    total = f"(_ndcg_rel_sum + (L - _pos_ret) * {div0('_dcg', 'idcg')})"
+    return [Out("ndcg_rel", f"(CASE WHEN L > 0 AND {total} > 0 THEN {total} / L ELSE 0D END)",
+                "mean", ())]
 
 
 def b_Rndcg(ctx, params):
     ctx.needs_gain_align = True
-    num = F.col("_rndcg_sum") + F.col("_rndcg_tail_sum")
-    cnt = F.col("_rndcg_cnt") + F.col("_rndcg_tail_cnt")
-    v = F.when(F.col("R") == 0, lit_d(0)).otherwise(safe_div(num, cnt))
-    return [Out("Rndcg", v, "mean", ())]
+    v = div0("_rndcg_sum + _rndcg_tail_sum", "_rndcg_cnt + _rndcg_tail_cnt")
+    return [Out("Rndcg", f"(CASE WHEN R = 0 THEN 0D ELSE {v} END)", "mean", ())]
 
 
 def b_ndcg_cut(ctx, params):
     ks = params or CUTOFFS
     outs = []
     for i, k in enumerate(ks):
-        ctx.needs_idcg_cut.add(int(k))
-        dcg = ctx.agg(f"_dcg_cut_{k}", F.coalesce(F.sum(F.when(
-            F.col("keep") & (F.col("rank") <= int(k)) & (F.col("code") > 0), F.col("code") / log2(F.col("rank") + 1))), lit_d(0)))
-        outs.append(Out(f"ndcg_cut_{k}", safe_div(dcg, F.col(f"idcg_cut_{int(k)}")),
-                        "mean", (i,)))
+        k = int(k)
+        ctx.needs_idcg_cut.add(k)
+        dcg = ctx.agg(f"_dcg_cut_{k}", sum0(f"keep AND rank <= {k} AND code > 0", "code / log2(rank + 1)"))
+        outs.append(Out(f"ndcg_cut_{k}", div0(dcg, f"idcg_cut_{k}"), "mean", (i,)))
     return outs
 
 

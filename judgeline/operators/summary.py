@@ -20,10 +20,11 @@ def to_long(wide: DataFrame, keys: list[str], outs: list) -> DataFrame:
     """Wide per-topic columns -> (keys, measure, value, kind, ord).
 
     `outs` are (column alias, measure name, kind, order tuple)."""
-    items = [F.struct(F.lit(name).alias("measure"), F.col(alias).cast("double").alias("value"),
-                      F.lit(kind).alias("kind"), F.array(*[F.lit(int(x)) for x in order]).alias("ord"))
-             for alias, name, kind, order in outs]
-    return wide.select(*keys, F.inline(F.array(*items)))
+    items = ", ".join(
+        f"named_struct('measure', '{name}', 'value', CAST({alias} AS DOUBLE), "
+        f"'kind', '{kind}', 'ord', array({', '.join(str(int(x)) for x in order)}))"
+        for alias, name, kind, order in outs)
+    return wide.select(*keys, F.expr(f"inline(array({items}))"))
 
 
 def zscore(per_topic: DataFrame, zref: DataFrame, broadcast_rows: int = 2_000_000) -> DataFrame:

@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import EvalConfig
 from ..functions.columns import lit_d, log2, safe_div
+from ..functions.sqlexpr import cnt, sum0
 from ..operators import judged as J
 from ..operators import ideal as I
 from ..operators import measures as M
@@ -33,6 +35,12 @@ class Evaluation:
     num_q: DataFrame
     selected: list
     zscored: bool = False
+    cached: list | None = None
+
+    def release(self) -> None:
+        """Drop the persisted judgements and per-topic table."""
+        for df in self.cached or []:
+            df.unpersist()
 
     @property
     def per_topic(self) -> DataFrame:
@@ -46,7 +54,7 @@ class Evaluation:
         extra = []
         if "num_q" in names:
             nq = self.num_q.select("run_id", F.lit("num_q").alias("measure"),
-                                   F.col("n_orig").cast("double").alias("value"),
+                                   F.col("n").cast("double").alias("value"),
                                    F.lit("count").alias("kind"),
                                    F.array(F.lit(M.MEASURE_ORDER.index("num_q"))).alias("ord"))
             extra.append(nq)
@@ -71,13 +79,13 @@ def _gain_params(selected) -> dict | None:
     return found
 
 
-def _gain_columns(judged: DataFrame, ideal: DataFrame, cfg: EvalConfig,
+def _gain_columns(judged: DataFrame, ideal: DataFrame, small: bool,
                   gains: dict | None, run_keys, topic_keys, tie: str) -> DataFrame:
     """Attach the ideal row at each kept rank and the running gain sums."""
     idl = ideal.select(*[F.col(k).alias(f"_i_{k}") for k in topic_keys],
                        F.col("pos").alias("_pos"), "ig", "icum", "bnd",
                        "inv_after", "cnt_after")
-    idl, _ = bounded_broadcast(idl, cfg.broadcast_rows)
+    idl = F.broadcast(idl) if small else idl
     cond = [F.col(k) == F.col(f"_i_{k}") for k in topic_keys] + \
            [F.when(F.col("keep"), F.col("rank")) == F.col("_pos")]
     j = judged.join(idl, cond, "left").drop(*[f"_i_{k}" for k in topic_keys])
@@ -93,26 +101,20 @@ def _gain_columns(judged: DataFrame, ideal: DataFrame, cfg: EvalConfig,
 
 
 def _gain_aggs(ctx: M.Ctx) -> None:
-    g = F.col("g")
-    k = F.col("keep")
-    ctx.agg("_dcg", F.coalesce(F.sum("_d"), lit_d(0)))
-    ctx.agg("_g_sum", F.coalesce(F.sum(F.when(
-        k & (g != 0), g / log2(F.col("cost_cum") - F.col("got_cum") + 2))), lit_d(0)))
-    ctx.agg("_ndcg_rel_sum", F.coalesce(F.sum(F.when(
-        k & (g > 0) & F.col("icum").isNotNull(), F.col("dcg_cum") / F.col("icum"))),
-        lit_d(0)))
-    ctx.agg("_ndcg_rel_beyond", F.coalesce(F.sum(F.when(
-        k & (g > 0) & F.col("icum").isNull(), F.col("dcg_cum"))), lit_d(0)))
-    ctx.agg("_pos_ret", F.sum(F.when(k & (g > 0), 1).otherwise(0)))
-    ctx.agg("_rndcg_sum", F.coalesce(F.sum(F.when(
-        k & F.col("bnd"), F.col("dcg_cum") / F.col("icum"))), lit_d(0)))
-    ctx.agg("_rndcg_cnt", F.sum(F.when(k & F.col("bnd"), 1).otherwise(0)))
-    ctx.agg("_inv_after_last", F.max_by("inv_after", F.when(k, F.col("rank"))))
-    ctx.agg("_cnt_after_last", F.max_by("cnt_after", F.when(k, F.col("rank"))))
-
-
-def _gain_finish(agg: DataFrame, totals: DataFrame, cfg: EvalConfig, topic_keys) -> DataFrame:
-    t, _ = bounded_broadcast(totals, cfg.broadcast_rows)
+    ctx.agg("_dcg", "coalesce(sum(_d), 0D)")
+    ctx.agg("_g_sum", sum0("keep AND g <> 0", "g / log2(cost_cum - got_cum + 2)"))
+    ctx.agg("_ndcg_rel_sum", sum0("keep AND g > 0 AND icum IS NOT NULL", "dcg_cum / icum"))
+    ctx.agg("_ndcg_rel_beyond", sum0("keep AND g > 0 AND icum IS NULL", "dcg_cum"))
+    ctx.agg("_pos_ret", cnt("keep AND g > 0"))
+    ctx.agg("_rndcg_sum", sum0("keep AND bnd", "dcg_cum / icum"))
+    ctx.agg("_rndcg_cnt", cnt("keep AND bnd"))
+    ctx.agg("_inv_after_last", "max_by(inv_after, CASE WHEN keep THEN rank END)")
+    ctx.agg("_cnt_after_last", "max_by(cnt_after, CASE WHEN keep THEN rank END)")
+    ctx.agg("_num_ret_g", cnt("keep"))
+
+
+def _gain_finish(agg: DataFrame, totals: DataFrame, small: bool, topic_keys) -> DataFrame:
+    t = F.broadcast(totals) if small else totals
     a = agg.join(t, list(topic_keys), "left")
     a = a.fillna(0, subset=["L", "idcg", "ig_total", "inv_total", "cnt_total"])
     L, n = F.col("L"), F.col("_num_ret_g")
@@ -150,58 +152,59 @@ def evaluate(runs: DataFrame, qrels: DataFrame, measures="official",
 
     if cfg.topic is not None:
         qrels = qrels.where(F.col("qid") == cfg.topic)
+    # judgements feed several joins and aggregates: keep them once
+    qrels = qrels.persist(StorageLevel.MEMORY_AND_DISK)
+    small = J.judgements_are_small(qrels, cfg)
     stats = J.topic_stats(qrels, cfg.level, topic_keys)
     if judged is None:
         judged = J.judged_rows(runs, qrels, cfg, stats, run_keys=run_keys,
-                               topic_keys=topic_keys)
+                               topic_keys=topic_keys, small=small)
     if ctx.needs_gain_align:
         ideal = I.ideal_ranking(qrels, gains, topic_keys)
-        judged = _gain_columns(judged, ideal, cfg, gains, run_keys, topic_keys, "desc")
+        judged = _gain_columns(judged, ideal, small, gains, run_keys, topic_keys, "desc")
         _gain_aggs(ctx)
-        ctx.agg("_num_ret_g", F.sum(F.when(F.col("keep"), 1).otherwise(0)))
 
     group = run_keys + ["R", "Nn", "num_levels", "num_judged"]
-    aggs = [e.alias(a) for a, e in ctx.aggs.items()] or [F.count(F.lit(1)).alias("_n")]
+    aggs = [F.expr(e).alias(a) for a, e in ctx.aggs.items()] or [F.count(F.lit(1)).alias("_n")]
     agg = judged.groupBy(*group).agg(*aggs)
 
     if ctx.needs_gain_align:
-        agg = _gain_finish(agg, I.ideal_totals(ideal, topic_keys), cfg, topic_keys)
+        agg = _gain_finish(agg, I.ideal_totals(ideal, topic_keys), small, topic_keys)
     if ctx.needs_idcg_cut:
         cut = I.ideal_dcg_at(qrels, sorted(ctx.needs_idcg_cut), topic_keys)
-        cut, _ = bounded_broadcast(cut, cfg.broadcast_rows)
-        agg = agg.join(cut, topic_keys, "left").fillna(
+        agg = agg.join(F.broadcast(cut) if small else cut, topic_keys, "left").fillna(
             0.0, subset=[f"idcg_cut_{k}" for k in ctx.needs_idcg_cut])
 
     numeric = [o for o in outs if o.kind in ("sum", "mean", "geo")]
     strings = [o for o in outs if o.kind == "topic"]
     order = {o.name: (M.MEASURE_ORDER.index(_base(o.name, selected)),) + tuple(o.order)
              for o in outs}
-    wide = agg.select(*run_keys, *[o.expr.alias(f"_m{i}") for i, o in enumerate(numeric)],
-                      *[o.expr.alias(f"_s{i}") for i, o in enumerate(strings)])
+    # one row per evaluated (run, topic): small, reused by every output
+    wide = agg.select(*run_keys, *[F.expr(o.expr).alias(f"_m{i}") for i, o in enumerate(numeric)],
+                      *[F.expr(o.expr).alias(f"_s{i}") for i, o in enumerate(strings)]) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     per_topic = S.to_long(wide, run_keys,
                           [(f"_m{i}", o.name, o.kind, order[o.name]) for i, o in enumerate(numeric)])
     if zref is not None:
         per_topic = S.zscore(per_topic, zref, cfg.broadcast_rows)
     str_df = None
     if strings:
-        items = [F.struct(F.lit(o.name).alias("measure"), F.col(f"_s{i}").alias("text"),
-                          F.array(*[F.lit(x) for x in order[o.name]]).alias("ord"))
-                 for i, o in enumerate(strings)]
-        str_df = wide.select(*run_keys, F.inline(F.array(*items)))
-
-    topics_per_run = runs.select("run_id", "qid").distinct() \
-        .join(stats.select("qid").distinct(), "qid", "left_semi") \
+        items = ", ".join(
+            f"named_struct('measure', '{o.name}', 'text', _s{i}, 'ord', "
+            f"array({', '.join(str(x) for x in order[o.name])}))"
+            for i, o in enumerate(strings))
+        str_df = wide.select(*run_keys, F.expr(f"inline(array({items}))"))
+
+    # Topics with both a run and judgements = the aggregate's groups
+    topics_per_run = wide.select("run_id", "qid").distinct() \
         .groupBy("run_id").agg(F.count(F.lit(1)).alias("n_orig"))
-    if cfg.topic is not None:
-        topics_per_run = runs.where(F.col("qid") == cfg.topic).select("run_id", "qid").distinct() \
-            .join(stats.select("qid").distinct(), "qid", "left_semi") \
-            .groupBy("run_id").agg(F.count(F.lit(1)).alias("n_orig"))
     if cfg.complete:
-        n_judged = qrels.select("qid").distinct().count()
+        n_judged = stats.count()
         num_q = topics_per_run.withColumn("n", F.lit(n_judged).cast("long"))
     else:
         num_q = topics_per_run.withColumn("n", F.col("n_orig"))
-    return Evaluation(per_topic, str_df, num_q, selected, zscored=zref is not None)
+    return Evaluation(per_topic, str_df, num_q, selected, zscored=zref is not None,
+                      cached=[qrels, wide])
 
 
 def _base(name: str, selected) -> str:

@@ -32,6 +32,16 @@ def write_run(runs: DataFrame, path: str, score_col: str = "score",
     run_lines(runs, score_col, rank_col).write.mode(mode).partitionBy("run_id").text(path)
 
 
+def _num(value) -> "F.Column":
+    """C printf `%6.4f` (NaN prints as `nan`)."""
+    v = F.col(value) if isinstance(value, str) else value
+    return F.when(F.isnan(v), F.lit("   nan")).otherwise(F.format_string("%6.4f", v))
+
+
+def _line(z: str, measure, qid, text) -> "F.Column":
+    return F.format_string(z + "%-22s\t%s\t%s", measure, qid, text)
+
+
 def report_lines(ev, per_topic: bool = True, summary: bool = True) -> DataFrame:
     """Report lines `%-22s\\t%s\\t%6.4f` (counts as integers, `Z` prefix
     after z-scoring) with sort keys (run_id, sec, qid, ord)."""
@@ -39,39 +49,31 @@ def report_lines(ev, per_topic: bool = True, summary: bool = True) -> DataFrame:
     parts = []
     if per_topic:
         pt = ev.per_topic_all.where(F.col("kind") != "geo")
-        if ev.zscored:
-            fmt = F.format_string("Z%-22s\t%s\t%6.4f", "measure", "qid", "value")
-        else:
-            fmt = F.when(F.col("kind") == "sum",
-                         F.format_string("%-22s\t%s\t%d", "measure", "qid",
-                                         F.col("value").cast("long"))) \
-                .otherwise(F.format_string("%-22s\t%s\t%6.4f", "measure", "qid", "value"))
-        parts.append(pt.select("run_id", F.lit(0).alias("sec"), "qid", "ord", fmt.alias("line")))
+        text = _num("value") if ev.zscored else \
+            F.when(F.col("kind") == "sum", F.col("value").cast("long").cast("string")) \
+            .otherwise(_num("value"))
+        parts.append(pt.select("run_id", F.lit(0).alias("sec"), "qid", "ord",
+                               _line(z, F.col("measure"), F.col("qid"), text).alias("line")))
         if ev.strings is not None:
             parts.append(ev.strings.select(
                 "run_id", F.lit(0).alias("sec"), "qid", "ord",
-                F.format_string("%-22s\t%s\t'%s'", "measure", "qid", "text").alias("line")))
+                _line("", F.col("measure"), F.col("qid"),
+                      F.concat(F.lit("'"), F.col("text"), F.lit("'"))).alias("line")))
     if summary:
         s = ev.summary()
-        if ev.zscored:
-            fmt = F.format_string("Z%-22s\t%s\t%6.4f", "measure", F.lit("all"), "value")
-        else:
-            fmt = F.when(F.col("kind").isin("sum", "count"),
-                         F.format_string("%-22s\t%s\t%d", "measure", F.lit("all"),
-                                         F.col("value").cast("long"))) \
-                .otherwise(F.format_string("%-22s\t%s\t%6.4f", "measure", F.lit("all"), "value"))
+        text = _num("value") if ev.zscored else \
+            F.when(F.col("kind").isin("sum", "count"), F.col("value").cast("long").cast("string")) \
+            .otherwise(_num("value"))
         parts.append(s.select("run_id", F.lit(1).alias("sec"), F.lit("all").alias("qid"), "ord",
-                              fmt.alias("line")))
+                              _line(z, F.col("measure"), F.lit("all"), text).alias("line")))
         if any(n == "runid" for n, _ in ev.selected):
             parts.append(ev.num_q.select(
                 "run_id", F.lit(1).alias("sec"), F.lit("all").alias("qid"),
                 F.array(F.lit(-1)).alias("ord"),
-                F.format_string("%-22s\t%s\t%s", F.lit("runid"), F.lit("all"),
-                                F.col("run_id")).alias("line")))
+                _line("", F.lit("runid"), F.lit("all"), F.col("run_id")).alias("line")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    _ = z
     return out
 
 
