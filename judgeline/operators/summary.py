@@ -20,6 +20,11 @@ def to_long(wide: DataFrame, keys: list[str], outs: list) -> DataFrame:
     """Wide per-topic columns -> (keys, measure, value, kind, ord).
 
     `outs` are (column alias, measure name, kind, order tuple)."""
+    if not outs:
+        return wide.select(*keys, F.lit(None).cast("string").alias("measure"),
+                           F.lit(None).cast("double").alias("value"),
+                           F.lit(None).cast("string").alias("kind"),
+                           F.expr("CAST(array() AS ARRAY<INT>)").alias("ord")).where(F.lit(False))
     items = ", ".join(
         f"named_struct('measure', '{name}', 'value', CAST({alias} AS DOUBLE), "
         f"'kind', '{kind}', 'ord', array({', '.join(str(int(x)) for x in order)}))"
