@@ -368,7 +368,178 @@ def eval_oracles() -> dict[str, str]:
     }
 
 
+# ---------------------------------------------------------------- retrieval
+STOPS = ["a", "an", "and", "are", "as", "at", "be", "but", "by", "for", "if", "in",
+         "into", "is", "it", "no", "not", "of", "on", "or", "such", "that", "the",
+         "their", "then", "there", "these", "they", "this", "to", "was", "will", "with"]
+_STOPLIST = "[" + ", ".join(f"'{w}'" for w in STOPS) + "]"
+_TOK = r"regexp_extract_all(lower({x}), '[\p{{L}}\p{{N}}]+')"
+
+
+def _tok(x: str) -> str:
+    return f"list_filter({_TOK.format(x=x)}, lambda t: NOT list_contains({_STOPLIST}, t))"
+
+
+FIX_A = f"""
+docs AS (SELECT 'D' || lpad(CAST(doc_id AS VARCHAR), 8, '0') AS docno, text FROM documents),
+dt AS (SELECT docno, {_tok('text')} AS toks FROM docs),
+topics AS (SELECT CAST(item_id AS VARCHAR) AS qid,
+                  array_to_string({_TOK.format(x='text')}[1:4], ' ') AS title,
+                  text AS description FROM benchmark),
+qt0 AS (SELECT 'short' AS kind, qid, {_tok('title')} AS toks FROM topics
+        UNION ALL SELECT 'long' AS kind, qid, {_tok('description')} AS toks FROM topics),
+qt AS (SELECT kind, qid, term, count(*) AS qtf, min(p) AS first_pos
+       FROM (SELECT kind, qid, unnest(toks) AS term, unnest(range(len(toks))) AS p FROM qt0)
+       GROUP BY kind, qid, term),
+vocab AS (SELECT DISTINCT term FROM qt),
+occ AS (SELECT docno, len(toks) AS dl, unnest(toks) AS term FROM dt),
+post AS (SELECT docno, dl, term, count(*) AS tf FROM occ WHERE term IN (SELECT term FROM vocab)
+         GROUP BY docno, dl, term),
+cs AS (SELECT count(*) AS N, sum(len(toks)) AS T FROM dt),
+ts AS (SELECT term, count(*) AS df, sum(tf) AS ttf FROM post GROUP BY term),
+w AS (SELECT qt.kind, qt.qid, qt.term, qt.qtf, qt.first_pos,
+             coalesce(ts.df, 0) AS df, coalesce(ts.ttf, 0) AS ttf FROM qt LEFT JOIN ts ON qt.term = ts.term),
+j AS (SELECT w.*, post.docno, post.dl, post.tf, cs.N, cs.T, cs.T / cs.N AS avgdl
+      FROM post JOIN w ON post.term = w.term CROSS JOIN cs)
+"""
+
+_SUMMAND = {
+    "tfidf": "(CAST(tf AS DOUBLE) / dl) * log10(1 + CAST(N AS DOUBLE) / df)",
+    "bm25": ("qtf * ln(1 + (N - df + 0.5) / (df + 0.5)) * tf * 2.2 / "
+             "(tf + 1.2 * (0.25 + 0.75 * dl / avgdl))"),
+    "lm_dirichlet": ("qtf * greatest(0.0, ln(1 + tf / (2000.0 * ((ttf + 1.0) / (T + 1.0)))) "
+                     "+ ln(2000.0 / (dl + 2000.0)))"),
+    "lm_jm": "qtf * ln(1 + ((1 - 0.7) * tf / dl) / (0.7 * ((ttf + 1.0) / (T + 1.0))))",
+}
+
+
+def _model_select(model: str) -> str:
+    if model == "classic":
+        idf = "(1 + ln(CAST(N AS DOUBLE) / (df + 1)))"
+        return (f"SELECT s.kind, s.qid, s.docno, s.raw * s.matched / n.clauses / sqrt(n.ssq) AS score "
+                f"FROM (SELECT kind, qid, docno, sum(qtf * sqrt(tf) * {idf} * {idf} / sqrt(dl)) AS raw, "
+                f"sum(qtf) AS matched FROM j GROUP BY kind, qid, docno) s JOIN "
+                f"(SELECT kind, qid, sum(qtf) AS clauses, sum(qtf * {idf} * {idf}) AS ssq "
+                f" FROM w CROSS JOIN cs GROUP BY kind, qid) n ON s.kind = n.kind AND s.qid = n.qid")
+    return f"SELECT kind, qid, docno, sum({_SUMMAND[model]}) AS score FROM j GROUP BY kind, qid, docno"
+
+
+TAGS = {"tfidf": "DEFAULT", "classic": "Default", "bm25": "BM25",
+        "lm_dirichlet": "LMDirichlet", "lm_jm": "LMJelinekMercer"}
+
+
+def _runs_cte(models, k) -> str:
+    parts = [f"SELECT '{TAGS[m]}_' || upper(kind) AS run_id, qid, docno, score FROM ({_model_select(m)})"
+             for m in models]
+    allr = " UNION ALL ".join(parts)
+    return (f"allruns AS (SELECT run_id, qid, docno, score, row_number() OVER (PARTITION BY run_id, qid "
+            f"ORDER BY round(score, 6) DESC, docno) AS rank FROM ({allr})), "
+            f"topk AS (SELECT * FROM allruns WHERE rank <= {k})")
+
+
+FIX_A_QRELS = """
+aq AS (SELECT DISTINCT CAST(b.item_id AS VARCHAR) AS qid, d.docno, 1 AS rel
+       FROM benchmark b JOIN docs d ON contains(d.text, b.text))
+"""
+
+
+def retrieval_oracles() -> dict[str, str]:
+    A = _with(FIX_A)
+    models = ["tfidf", "classic", "bm25", "lm_dirichlet", "lm_jm"]
+    o = {
+        "T3_tokenize": A + "SELECT docno, array_to_string(toks, ' ') AS tokens, CAST(len(toks) AS BIGINT) AS dl FROM dt",
+        "T5_query_terms": A + "SELECT kind, qid, term, CAST(qtf AS BIGINT) AS qtf, CAST(first_pos AS BIGINT) AS first_pos FROM qt",
+        "T6_T10_collection_stats": A + "SELECT CAST(N AS BIGINT) AS num_docs, CAST(T AS BIGINT) AS total_tokens, "
+                                       "round(CAST(T AS DOUBLE) / N, 6) AS avgdl FROM cs",
+        "T7_doc_freq": A + "SELECT term, CAST(df AS BIGINT) AS df, CAST(ttf AS BIGINT) AS ttf FROM ts",
+        "T8_doc_length": A + "SELECT docno, CAST(len(toks) AS BIGINT) AS dl FROM dt",
+        "T9_postings": A + "SELECT docno, CAST(dl AS BIGINT) AS dl, term, CAST(tf AS BIGINT) AS tf FROM post",
+        "T16_top_k": _with(FIX_A, _runs_cte(["bm25"], 10)) +
+            "SELECT run_id, qid, docno, CAST(rank AS BIGINT) AS rank, round(score, 6) AS score FROM topk",
+        "T17_rank_zero_based": _with(FIX_A, _runs_cte(["classic"], 10)) +
+            "SELECT run_id, qid, docno, CAST(rank - 1 AS BIGINT) AS rank, round(score, 6) AS score FROM topk",
+        "T18_retrieve_grid": _with(FIX_A, _runs_cte(models, 20)) +
+            "SELECT run_id, qid, docno, CAST(rank AS BIGINT) AS rank, round(score, 6) AS score FROM topk",
+        "T19_explain_scores": _with(FIX_A) +
+            "SELECT qid, docno, term, round(c, 6) AS contribution, round(sum(c) OVER (PARTITION BY qid, docno "
+            "ORDER BY first_pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS running FROM "
+            f"(SELECT qid, docno, term, first_pos, {_SUMMAND['tfidf']} AS c FROM j WHERE kind = 'short')",
+        "FA_passage_qrels": _with(FIX_A, FIX_A_QRELS) + "SELECT qid, docno, rel FROM aq",
+    }
+    for m in models:
+        name = {"tfidf": "T11_score_tfidf", "classic": "T12_score_classic", "bm25": "T13_score_bm25",
+                "lm_dirichlet": "T14_score_lm_dirichlet", "lm_jm": "T15_score_lm_jm"}[m]
+        o[name] = A + f"SELECT kind, qid, docno, round(score, 6) AS score FROM ({_model_select(m)})"
+    # Retrieve top 100 -> evaluate -> pivot
+    runs_cte = _runs_cte(models, 100)
+    ev = f"""
+runs AS (SELECT run_id, qid, docno, CAST(round(score, 6) AS FLOAT) AS sim FROM topk),
+qrels AS (SELECT qid, docno, rel FROM aq)"""
+    items = m_items("num_ret") + m_items("num_rel_ret") + m_items("map") + \
+        [x for x in m_items("P") if x[0] == "P_10"] + m_items("recip_rank")
+    pt = "\nUNION ALL\n".join(
+        f"SELECT run_id, qid, '{n}' AS measure, CAST(({e}) AS DOUBLE) AS value FROM jr GROUP BY run_id, qid, R, Nn"
+        for n, e in items)
+    summ = (f"summ AS (SELECT run_id, measure, round(CASE WHEN measure IN ('num_ret', 'num_rel_ret') "
+            f"THEN sum(value) ELSE avg(value) END, 6) AS value FROM ({pt}) GROUP BY run_id, measure)")
+    runs_names = [f"{TAGS[m]}_{k}" for m in models for k in ("SHORT", "LONG")]
+    cols = ", ".join(f"max(CASE WHEN run_id = '{r}' THEN value END) AS \"{r}\"" for r in sorted(runs_names))
+    o["T21_compare_runs"] = (_with(FIX_A, FIX_A_QRELS, runs_cte, ev, judged_cte(), summ) +
+                             f"SELECT measure, {cols} FROM summ GROUP BY measure")
+    return o
+
+
+# ---------------------------------------------------------------- sources
+FIX_C = """
+qj AS (SELECT qid, l_returnflag AS jg, docno,
+              CAST(CASE WHEN q >= 60 THEN 2 WHEN q >= 25 THEN 1 WHEN q >= 8 THEN 0 ELSE -1 END AS INTEGER) AS rel
+       FROM (SELECT qid, l_returnflag, docno, sum(l_quantity) AS q FROM b
+             WHERE l_shipdate >= TIMESTAMP '1997-01-01' GROUP BY qid, l_returnflag, docno))
+"""
+FIX_D = """
+dm AS (SELECT qid, l_returnflag AS jg, l_partkey % 30 AS m, CAST(sum(l_quantity) AS INTEGER) % 4 AS lev
+       FROM b WHERE l_shipdate >= TIMESTAMP '1997-01-01' GROUP BY qid, l_returnflag, l_partkey % 30),
+prefs AS (SELECT qid, jg, '0' AS jsg, 'M' || lpad(CAST(m AS VARCHAR), 2, '0') AS docno, CAST(lev AS FLOAT) AS rel_level
+          FROM dm WHERE m % 3 IN (0, 1)
+          UNION ALL
+          SELECT qid, jg, '1' AS jsg, 'M' || lpad(CAST(m AS VARCHAR), 2, '0') AS docno, CAST(lev AS FLOAT) AS rel_level
+          FROM dm WHERE m % 3 IN (1, 2))
+"""
+
+
+def _report_sql() -> str:
+    items = m_items("num_ret") + m_items("num_rel_ret") + m_items("map") + m_items("P")
+    pt = "\nUNION ALL\n".join(
+        f"SELECT run_id, qid, '{n}' AS measure, CAST(({e}) AS DOUBLE) AS value FROM jr GROUP BY run_id, qid, R, Nn"
+        for n, e in items)
+    counts = "('num_ret', 'num_rel_ret')"
+    fmt = ("CASE WHEN measure IN {c} THEN printf('%-22s\t%s\t%d', measure, qid, CAST(value AS BIGINT)) "
+           "ELSE printf('%-22s\t%s\t%6.4f', measure, qid, value) END").format(c=counts)
+    return (_with(FIX_B, judged_cte(), f"pt AS ({pt})") +
+            f"SELECT run_id, {fmt} AS line FROM pt "
+            f"UNION ALL SELECT run_id, {fmt.replace('qid', chr(39) + 'all' + chr(39))} AS line FROM "
+            f"(SELECT run_id, measure, CASE WHEN measure IN {counts} THEN sum(value) ELSE avg(value) END AS value "
+            f" FROM pt GROUP BY run_id, measure) "
+            f"UNION ALL SELECT DISTINCT run_id, printf('%-22s\t%s\t%s', 'runid', 'all', run_id) FROM jr "
+            f"WHERE FALSE")
+
+
+def source_oracles() -> dict[str, str]:
+    return {
+        "S2_S9_run_roundtrip": _with(FIX_B) + "SELECT run_id, qid, docno, CAST(sim AS DOUBLE) AS sim FROM runs",
+        "S3_qrels_roundtrip": _with(FIX_B) + "SELECT qid, docno, rel FROM qrels",
+        "S4_S6_qrels_jg_roundtrip": _with(FIX_B, FIX_C) +
+            "SELECT qid, jg, docno, CAST(rel AS DOUBLE) AS v, 'qrels_jg' AS src FROM qj "
+            "UNION ALL SELECT qid, jg, docno, CAST(rel AS DOUBLE) AS v, 'prefs_jsg0' AS src FROM qj",
+        "S5_prefs_roundtrip": _with(FIX_B, FIX_D) +
+            "SELECT qid, jg, jsg, docno, CAST(rel_level AS DOUBLE) AS rel_level FROM prefs",
+        "S10_report": _report_sql(),
+    }
+
+
 def all_oracles() -> dict[str, str]:
     o = {}
     o.update(eval_oracles())
+    o.update(retrieval_oracles())
+    o.update(source_oracles())
     return o

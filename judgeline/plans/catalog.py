@@ -16,6 +16,13 @@ from ..operators import ideal as I
 from ..operators import judged as J
 from ..plans import fixtures as FX
 from ..plans.evaluate import evaluate
+from ..functions.text import tokenize
+from ..operators import scoring as SC
+from ..operators import termstats as TS
+from ..plans.retrieve import compare_runs, explain, query_table, retrieve, scored
+from ..session import ensure_checkpoint_dir
+from ..sources.sinks import report_lines, write_run
+from ..sources.trec_text import read_prefs, read_qrels, read_qrels_as_prefs, read_qrels_jg, read_run
 
 ROUND = 6
 
@@ -164,7 +171,170 @@ def eval_queries() -> dict:
     }
 
 
+# ------------------------------------------------------------ retrieval
+def _a(spark, sf):
+    return FX.fixture_a_docs(spark, sf), FX.fixture_a_topics(spark, sf)
+
+
+def q_tokenize(spark, sf):
+    docs, _ = _a(spark, sf)
+    t = tokenize(F.col("text"))
+    return docs.select("docno", F.array_join(t, " ").alias("tokens"), F.size(t).cast("long").alias("dl"))
+
+
+def q_query_terms(spark, sf):
+    _, topics = _a(spark, sf)
+    return query_table(topics).select("kind", "qid", "term", "qtf", F.col("first_pos").cast("long"))
+
+
+def q_collection_stats(spark, sf):
+    docs, _ = _a(spark, sf)
+    return TS.doc_lengths(docs).agg(F.count(F.lit(1)).alias("num_docs"),
+                                    F.sum("dl").cast("long").alias("total_tokens"),
+                                    F.round(F.avg("dl"), ROUND).alias("avgdl"))
+
+
+def q_postings(spark, sf):
+    docs, topics = _a(spark, sf)
+    vocab = query_table(topics).select("term")
+    return TS.postings(docs, vocab).select("docno", F.col("dl").cast("long"), "term", "tf")
+
+
+def q_doc_freq(spark, sf):
+    docs, topics = _a(spark, sf)
+    vocab = query_table(topics).select("term")
+    return TS.term_stats(TS.postings(docs, vocab)).select("term", "df", F.col("ttf").cast("long"))
+
+
+def q_doc_length(spark, sf):
+    docs, _ = _a(spark, sf)
+    return TS.doc_lengths(docs).select("docno", F.col("dl").cast("long"))
+
+
+def q_model(spark, sf, model):
+    docs, topics = _a(spark, sf)
+    s, *_ = scored(docs, topics, [model])
+    return s.select("kind", "qid", "docno", F.round(model, ROUND).alias("score"))
+
+
+def q_top_k(spark, sf, models=("bm25",), k=10, zero_based=False):
+    docs, topics = _a(spark, sf)
+    r = retrieve(docs, topics, list(models), k=k, round_digits=ROUND, zero_based=zero_based)
+    return r.select("run_id", "qid", "docno", F.col("rank").cast("long"), _r("score"))
+
+
+def q_explain(spark, sf):
+    docs, topics = _a(spark, sf)
+    e = explain(docs, topics, "short", "tfidf")
+    return e.select("qid", "docno", "term", _r("contribution"), _r("running"))
+
+
+def q_fixture_a_qrels(spark, sf):
+    return FX.fixture_a_qrels(spark, sf)
+
+
+def q_compare(spark, sf):
+    """Retrieve (all models, both kinds, top 100) -> evaluate against
+    passage-containment judgements -> one column per run."""
+    docs, topics = _a(spark, sf)
+    runs = retrieve(docs, topics, k=100, round_digits=ROUND) \
+        .select("run_id", "qid", "docno", F.round("score", ROUND).cast("float").alias("sim"))
+    qrels = FX.fixture_a_qrels(spark, sf)
+    ev = evaluate(runs, qrels, ["num_ret", "num_rel_ret", "map", "P", "recip_rank"])
+    s = ev.summary_values().withColumn("value", F.round("value", ROUND))
+    return compare_runs(s, ["num_ret", "num_rel_ret", "map", "P_10", "recip_rank"])
+
+
+def retrieval_queries() -> dict:
+    return {
+        "T3_tokenize": q_tokenize,
+        "T5_query_terms": q_query_terms,
+        "T6_T10_collection_stats": q_collection_stats,
+        "T7_doc_freq": q_doc_freq,
+        "T8_doc_length": q_doc_length,
+        "T9_postings": q_postings,
+        "T11_score_tfidf": partial(q_model, model="tfidf"),
+        "T12_score_classic": partial(q_model, model="classic"),
+        "T13_score_bm25": partial(q_model, model="bm25"),
+        "T14_score_lm_dirichlet": partial(q_model, model="lm_dirichlet"),
+        "T15_score_lm_jm": partial(q_model, model="lm_jm"),
+        "T16_top_k": q_top_k,
+        "T17_rank_zero_based": partial(q_top_k, models=("classic",), zero_based=True),
+        "T18_retrieve_grid": partial(q_top_k, models=tuple(SC.MODELS), k=20),
+        "T19_explain_scores": q_explain,
+        "T21_compare_runs": q_compare,
+        "FA_passage_qrels": q_fixture_a_qrels,
+    }
+
+
+# ------------------------------------------------------------ sources / sinks
+def _scratch(spark, name):
+    import uuid
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/io-{name}-{uuid.uuid4().hex}"
+
+
+def q_run_roundtrip(spark, sf):
+    """S9 -> S2: fixture-B runs written as run files, read back."""
+    runs, _ = _b(spark, sf)
+    path = _scratch(spark, "runs")
+    ranked = J.rank_run(runs)
+    write_run(ranked.withColumnRenamed("sim", "score"), path)
+    return read_run(spark, path).select("run_id", "qid", "docno", F.col("sim").cast("double"))
+
+
+def _write_lines(df, cols, path):
+    df.select(F.concat_ws(" ", *[F.col(c).cast("string") for c in cols]).alias("value")) \
+        .write.mode("overwrite").text(path)
+
+
+def q_qrels_roundtrip(spark, sf):
+    """S3: qrels lines `qid 0 docno rel`, read back."""
+    _, qrels = _b(spark, sf)
+    path = _scratch(spark, "qrels")
+    _write_lines(qrels.withColumn("it", F.lit("0")), ["qid", "it", "docno", "rel"], path)
+    return read_qrels(spark, path)
+
+
+def q_qrels_jg_roundtrip(spark, sf):
+    """Fixture-C lines `qid jg docno rel`, read as qrels_jg and as prefs."""
+    qj = FX.fixture_c_qrels_jg(spark, sf)
+    path = _scratch(spark, "qrels_jg")
+    _write_lines(qj, ["qid", "jg", "docno", "rel"], path)
+    a = read_qrels_jg(spark, path).select("qid", "jg", "docno", F.col("rel").cast("double").alias("v"),
+                                          F.lit("qrels_jg").alias("src"))
+    b = read_qrels_as_prefs(spark, path).select("qid", "jg", "docno", F.col("rel_level").cast("double").alias("v"),
+                                                F.concat(F.lit("prefs_jsg"), "jsg").alias("src"))
+    return a.unionByName(b)
+
+
+def q_prefs_roundtrip(spark, sf):
+    """Fixture-D preference lines, read back."""
+    p = FX.fixture_d_prefs(spark, sf)
+    path = _scratch(spark, "prefs")
+    _write_lines(p, ["qid", "jg", "jsg", "docno", "rel_level"], path)
+    return read_prefs(spark, path).select("qid", "jg", "jsg", "docno", F.col("rel_level").cast("double"))
+
+
+def q_report(spark, sf):
+    """Report lines of the official measures (per topic and summary)."""
+    runs, qrels = _b(spark, sf)
+    ev = evaluate(runs, qrels, ["num_ret", "num_rel_ret", "map", "P"])
+    return report_lines(ev).select("run_id", "line")
+
+
+def source_queries() -> dict:
+    return {
+        "S2_S9_run_roundtrip": q_run_roundtrip,
+        "S3_qrels_roundtrip": q_qrels_roundtrip,
+        "S4_S6_qrels_jg_roundtrip": q_qrels_jg_roundtrip,
+        "S5_prefs_roundtrip": q_prefs_roundtrip,
+        "S10_report": q_report,
+    }
+
+
 def all_queries() -> dict:
     q = {}
     q.update(eval_queries())
+    q.update(retrieval_queries())
+    q.update(source_queries())
     return q

@@ -113,3 +113,37 @@ def fixture_a_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.select(F.col("item_id").cast("string").alias("qid"),
                     F.array_join(F.slice(toks, 1, 4), " ").alias("title"),
                     F.col("text").alias("description"))
+
+
+def fixture_a_qrels(spark: SparkSession, sf_dir: str, shingle: int = 4) -> DataFrame:
+    """qrels(qid, docno, rel=1): documents containing a whole benchmark passage.
+
+    Candidates come from an equi-join on an interior token shingle of the
+    passage (no document x passage product); containment is then verified on
+    the raw text."""
+    from ..functions.text import raw_tokens
+
+    docs = fixture_a_docs(spark, sf_dir)
+    b = table(spark, sf_dir, "benchmark").select(
+        F.col("item_id").cast("string").alias("qid"), F.col("text").alias("passage"))
+    bt = b.withColumn("toks", raw_tokens(F.col("passage")))
+    # interior shingle: skip the first and last token, which may be glued to
+    # neighbouring text in the document
+    n = F.size("toks")
+    start = F.when(n >= shingle + 2, F.lit(2)).otherwise(F.lit(1))
+    length = F.least(F.lit(shingle), n)
+    key = F.array_join(F.slice("toks", start, length), " ")
+    keys = bt.select("qid", "passage", key.alias("k"), length.alias("ln"))
+    dt = docs.select("docno", raw_tokens(F.col("text")).alias("toks"))
+    # shingle lengths in use: `shingle`, shorter only for very short passages
+    lens = sorted(r["ln"] for r in keys.select("ln").distinct().collect())
+    cand = None
+    for ln in lens:
+        sh = dt.select("docno", F.explode(F.array_distinct(F.transform(
+            F.sequence(F.lit(1), F.greatest(F.size("toks") - ln + 1, F.lit(1))),
+            lambda i: F.array_join(F.slice("toks", i, ln), " ")))).alias("k"))
+        c = sh.join(keys.where(F.col("ln") == ln), "k").select("qid", "docno", "passage")
+        cand = c if cand is None else cand.unionByName(c)
+    cand = cand.distinct().join(docs, "docno")
+    hit = cand.where(F.instr(F.col("text"), F.col("passage")) > 0)
+    return hit.select("qid", "docno", F.lit(1).alias("rel"))
