@@ -537,9 +537,243 @@ def source_oracles() -> dict[str, str]:
     }
 
 
+
+
+
+# ---------------------------------------------------------------- groups
+def judged_jg_cte(level=1) -> str:
+    return f"""
+gst AS (SELECT qid, jg, sum(CASE WHEN rel >= {level} THEN 1 ELSE 0 END) AS R,
+               sum(CASE WHEN rel >= 0 AND rel < {level} THEN 1 ELSE 0 END) AS Nn FROM qj GROUP BY qid, jg),
+grk AS (SELECT r.run_id, r.qid, g.jg, r.docno, r.sim,
+               row_number() OVER (PARTITION BY r.run_id, r.qid, g.jg ORDER BY r.sim DESC, r.docno DESC) AS orig_rank
+        FROM runs r JOIN (SELECT DISTINCT qid, jg FROM qj) g ON r.qid = g.qid),
+gj AS (SELECT grk.run_id, grk.qid, grk.jg, grk.docno, grk.orig_rank,
+              CASE WHEN q.rel IS NULL THEN -1 WHEN q.rel < 0 THEN -2 ELSE q.rel END AS code
+       FROM grk LEFT JOIN qj q ON grk.qid = q.qid AND grk.jg = q.jg AND grk.docno = q.docno),
+gjr AS (SELECT gj.*, gst.R, gst.Nn, row_number() OVER w AS rank,
+               sum(CASE WHEN code >= {level} THEN 1 ELSE 0 END) OVER w AS cr
+        FROM gj JOIN gst ON gj.qid = gst.qid AND gj.jg = gst.jg
+        WINDOW w AS (PARTITION BY gj.run_id, gj.qid, gj.jg ORDER BY gj.orig_rank
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+"""
+
+
+def _jg_measure(base: str, jgname: str) -> str:
+    items = m_items(base)
+    sels = []
+    for n, e in items:
+        out = jgname + n[len(base):]
+        sels.append(f"SELECT run_id, qid, '{out}' AS measure, round(avg(v), 6) AS value FROM "
+                    f"(SELECT run_id, qid, jg, CAST(({e}) AS DOUBLE) AS v FROM gjr GROUP BY run_id, qid, jg, R, Nn) "
+                    f"GROUP BY run_id, qid")
+    return _with(FIX_B, FIX_C, judged_jg_cte()) + "\nUNION ALL\n".join(sels)
+
+
+# ---------------------------------------------------------------- preferences
+def prefs_ctes(single: bool = False) -> str:
+    flt = "WHERE jsg = '0'" if single else ""
+    return f"""
+pf AS (SELECT * FROM prefs {flt}),
+druns AS (SELECT 'sumqty' AS run_id, qid, 'M' || lpad(CAST(l_partkey % 30 AS VARCHAR), 2, '0') AS docno,
+                 CAST(sum(l_quantity) AS FLOAT) AS sim
+          FROM b WHERE l_shipdate < TIMESTAMP '1997-01-01' GROUP BY qid, l_partkey % 30),
+shape AS (SELECT qid, jg, count(DISTINCT jsg) AS n_jsg FROM pf GROUP BY qid, jg),
+direct AS (SELECT DISTINCT a.qid, a.jg, a.docno AS hi, b.docno AS lo FROM pf a JOIN pf b
+           ON a.qid = b.qid AND a.jg = b.jg AND a.jsg = b.jsg AND a.rel_level > b.rel_level),
+closed(qid, jg, hi, lo) AS (SELECT qid, jg, hi, lo FROM direct
+                            UNION SELECT c.qid, c.jg, c.hi, d.lo FROM closed c JOIN direct d
+                            ON c.qid = d.qid AND c.jg = d.jg AND c.lo = d.hi),
+pairs AS (SELECT d.qid, d.jg, d.hi, d.lo, FALSE AS multi FROM direct d JOIN shape s
+          ON d.qid = s.qid AND d.jg = s.jg WHERE s.n_jsg = 1
+          UNION ALL
+          SELECT c.qid, c.jg, c.hi, c.lo, TRUE AS multi FROM closed c JOIN shape s
+          ON c.qid = s.qid AND c.jg = s.jg WHERE s.n_jsg > 1),
+prk AS (SELECT run_id, qid, docno, row_number() OVER (PARTITION BY run_id, qid ORDER BY sim DESC, docno ASC) AS rank
+        FROM druns),
+jd AS (SELECT DISTINCT qid, docno FROM pf),
+tp AS (SELECT DISTINCT run_id, qid FROM prk WHERE qid IN (SELECT qid FROM jd)),
+pos AS (SELECT g.run_id, g.qid, g.docno,
+               row_number() OVER (PARTITION BY g.run_id, g.qid ORDER BY r.rank ASC NULLS LAST, g.docno) - 1 AS pos,
+               r.rank IS NOT NULL AS ret,
+               count(r.rank) OVER (PARTITION BY g.run_id, g.qid) AS njr,
+               count(*) OVER (PARTITION BY g.run_id, g.qid) AS nj
+        FROM (SELECT tp.run_id, jd.qid, jd.docno FROM tp JOIN jd ON tp.qid = jd.qid) g
+        LEFT JOIN prk r ON g.run_id = r.run_id AND g.qid = r.qid AND g.docno = r.docno),
+pp AS (SELECT pr.qid, pr.jg, pr.hi, pr.lo, pr.multi, a.run_id, a.pos AS ph, b.pos AS pl, a.njr
+       FROM pairs pr JOIN pos a ON pr.qid = a.qid AND pr.hi = a.docno
+       JOIN pos b ON a.run_id = b.run_id AND pr.qid = b.qid AND pr.lo = b.docno),
+ppa AS (SELECT *, CASE WHEN ph < pl THEN (CASE WHEN pl < njr THEN 'ful_ret' WHEN ph < njr THEN 'ful_imp' ELSE 'none' END)
+                       ELSE (CASE WHEN ph < njr THEN 'nf_ret' WHEN pl < njr THEN 'nf_imp' ELSE 'none' END) END AS area
+        FROM pp),
+lvp AS (SELECT lv.qid, lv.jg, lv.docno, lv.lvl, s.n_jsg, pos.run_id, pos.pos, pos.ret, pos.njr,
+               (s.n_jsg > 1 AND lv.lvl = 0) OR (s.n_jsg = 1 AND lv.lvl <= 0) AS is_non
+        FROM (SELECT qid, jg, docno, max(rel_level) AS lvl FROM pf GROUP BY qid, jg, docno) lv
+        JOIN shape s ON lv.qid = s.qid AND lv.jg = s.jg
+        JOIN pos ON lv.qid = pos.qid AND lv.docno = pos.docno),
+dc AS (SELECT run_id, qid, jg, max(n_jsg) AS n_jsg,
+              sum(CASE WHEN lvl > 0 THEN 1 ELSE 0 END) AS rel,
+              sum(CASE WHEN lvl > 0 AND ret THEN 1 ELSE 0 END) AS rel_ret,
+              sum(CASE WHEN is_non THEN 1 ELSE 0 END) AS nonrel,
+              sum(CASE WHEN is_non AND ret THEN 1 ELSE 0 END) AS nonrel_ret
+       FROM lvp GROUP BY run_id, qid, jg),
+ac AS (SELECT run_id, qid, jg,
+              sum(CASE WHEN area = 'ful_ret' THEN 1 ELSE 0 END) AS ful_ret,
+              sum(CASE WHEN area IN ('ful_ret', 'nf_ret') THEN 1 ELSE 0 END) AS poss_ret,
+              sum(CASE WHEN area = 'ful_imp' THEN 1 ELSE 0 END) AS ful_imp,
+              sum(CASE WHEN area IN ('ful_imp', 'nf_imp') THEN 1 ELSE 0 END) AS poss_imp,
+              sum(CASE WHEN area = 'none' THEN 1 ELSE 0 END) AS notoccur
+       FROM ppa GROUP BY run_id, qid, jg),
+cnt AS (SELECT dc.*, coalesce(ac.ful_ret, 0) AS ful_ret, coalesce(ac.poss_ret, 0) AS poss_ret,
+               coalesce(ac.ful_imp, 0) AS ful_imp, coalesce(ac.poss_imp, 0) AS poss_imp,
+               coalesce(ac.notoccur, 0) AS notoccur
+        FROM dc LEFT JOIN ac ON dc.run_id = ac.run_id AND dc.qid = ac.qid AND dc.jg = ac.jg),
+kd AS (SELECT lvp.*, c.rel, c.rel_ret,
+              CASE WHEN is_non THEN row_number() OVER (PARTITION BY lvp.run_id, lvp.qid, lvp.jg, is_non ORDER BY pos) END AS non_idx
+       FROM lvp JOIN cnt c ON lvp.run_id = c.run_id AND lvp.qid = c.qid AND lvp.jg = c.jg),
+kd2 AS (SELECT *, NOT is_non OR non_idx <= rel AS keep_all,
+               NOT is_non OR (CASE WHEN n_jsg > 1 THEN non_idx <= rel ELSE non_idx <= rel_ret END) AS keep_ret
+        FROM kd),
+multi_rc AS (SELECT p.run_id, p.qid, p.jg,
+                    sum(CASE WHEN h.keep_all AND l.keep_all AND p.area IN ('ful_ret', 'ful_imp') THEN 1 ELSE 0 END) AS rn_ful,
+                    sum(CASE WHEN h.keep_all AND l.keep_all THEN 1 ELSE 0 END) AS rn_poss,
+                    sum(CASE WHEN h.keep_ret AND l.keep_ret AND p.ph < p.njr AND p.pl < p.njr AND p.area = 'ful_ret' THEN 1 ELSE 0 END) AS rr_ful,
+                    sum(CASE WHEN h.keep_ret AND l.keep_ret AND p.ph < p.njr AND p.pl < p.njr THEN 1 ELSE 0 END) AS rr_poss
+             FROM ppa p JOIN kd2 h ON p.run_id = h.run_id AND p.qid = h.qid AND p.jg = h.jg AND p.hi = h.docno
+             JOIN kd2 l ON p.run_id = l.run_id AND p.qid = l.qid AND p.jg = l.jg AND p.lo = l.docno
+             WHERE p.multi GROUP BY p.run_id, p.qid, p.jg),
+srr AS (SELECT p.run_id, p.qid, p.jg,
+               sum(CASE WHEN p.ph < p.pl AND p.ph < p.njr THEN 1 ELSE 0 END) AS a_ful, count(*) AS a_poss,
+               sum(CASE WHEN p.ph < p.njr AND p.pl < p.njr AND p.ph < p.pl THEN 1 ELSE 0 END) AS ar_ful,
+               sum(CASE WHEN p.ph < p.njr AND p.pl < p.njr THEN 1 ELSE 0 END) AS ar_poss
+        FROM pp p JOIN kd2 l ON p.run_id = l.run_id AND p.qid = l.qid AND p.jg = l.jg AND p.lo = l.docno
+        WHERE NOT p.multi AND l.lvl > 0 GROUP BY p.run_id, p.qid, p.jg),
+svn AS (SELECT d1.run_id, d1.qid, d1.jg,
+               sum(CASE WHEN d2.is_non AND d2.keep_all AND d1.ret AND d1.pos < d2.pos THEN 1 ELSE 0 END) AS b_ful,
+               sum(CASE WHEN d2.is_non AND d2.keep_all THEN 1 ELSE 0 END) AS b_poss,
+               sum(CASE WHEN d2.is_non AND d2.keep_ret AND d2.ret AND d1.ret AND d1.pos < d2.pos THEN 1 ELSE 0 END) AS br_ful,
+               sum(CASE WHEN d2.is_non AND d2.keep_ret AND d2.ret AND d1.ret THEN 1 ELSE 0 END) AS br_poss
+        FROM kd2 d1 JOIN kd2 d2 ON d1.run_id = d2.run_id AND d1.qid = d2.qid AND d1.jg = d2.jg
+        WHERE d1.n_jsg = 1 GROUP BY d1.run_id, d1.qid, d1.jg),
+single_rc AS (SELECT v.run_id, v.qid, v.jg, coalesce(r.a_ful, 0) + v.b_ful AS rn_ful,
+                     coalesce(r.a_poss, 0) + v.b_poss AS rn_poss,
+                     coalesce(r.ar_ful, 0) + v.br_ful AS rr_ful, coalesce(r.ar_poss, 0) + v.br_poss AS rr_poss
+              FROM svn v LEFT JOIN srr r ON v.run_id = r.run_id AND v.qid = r.qid AND v.jg = r.jg),
+rc AS (SELECT * FROM multi_rc UNION ALL SELECT * FROM single_rc),
+cj AS (SELECT c.*, coalesce(rc.rn_ful, 0) AS rn_ful0, coalesce(rc.rn_poss, 0) AS rn_poss0,
+              coalesce(rc.rr_ful, 0) AS rr_ful0, coalesce(rc.rr_poss, 0) AS rr_poss0
+       FROM cnt c LEFT JOIN rc ON c.run_id = rc.run_id AND c.qid = rc.qid AND c.jg = rc.jg),
+cj2 AS (SELECT *,
+          CASE WHEN rel >= nonrel THEN ful_ret + ful_imp + rel_ret * (rel - nonrel) ELSE rn_ful0 END AS rnf,
+          CASE WHEN rel >= nonrel THEN poss_ret + poss_imp + notoccur + rel * (rel - nonrel) ELSE rn_poss0 END AS rnp,
+          CASE WHEN rel_ret >= nonrel_ret THEN ful_ret + rel_ret * (rel_ret - nonrel_ret) ELSE rr_ful0 END AS rrf,
+          CASE WHEN rel_ret >= nonrel_ret THEN poss_ret + rel * (rel_ret - nonrel_ret) ELSE rr_poss0 END AS rrp
+        FROM cj),
+topic AS (SELECT run_id, qid, count(*) AS num_jgs,
+                 sum(ful_ret) AS s_ful_ret, sum(ful_imp) AS s_ful_imp, sum(poss_ret) AS s_poss_ret,
+                 sum(poss_imp) AS s_poss_imp, sum(notoccur) AS s_notoccur,
+                 sum(CASE WHEN poss_ret + poss_imp + notoccur > 0 THEN (ful_ret + ful_imp) / (poss_ret + poss_imp + notoccur) ELSE 0 END) AS aj,
+                 sum(CASE WHEN poss_ret > 0 THEN ful_ret / poss_ret ELSE 0 END) AS aj_ret,
+                 sum(CASE WHEN poss_ret + poss_imp > 0 THEN (ful_ret + ful_imp) / (poss_ret + poss_imp) ELSE 0 END) AS aj_imp,
+                 max(CASE WHEN rnp = 0 THEN 1 ELSE 0 END) AS rn_nan,
+                 sum(CASE WHEN rnp <> 0 THEN rnf / rnp ELSE 0 END) AS rn,
+                 max(CASE WHEN rrp = 0 THEN 1 ELSE 0 END) AS rr_nan,
+                 sum(CASE WHEN rrp <> 0 THEN rrf / rrp ELSE 0 END) AS rr
+          FROM cj2 GROUP BY run_id, qid),
+pc AS (SELECT run_id, qid, least(ph, pl) AS pu, greatest(ph, pl) AS pd, njr,
+              sum(CASE WHEN ph < pl THEN 1 ELSE 0 END) AS c_up, sum(CASE WHEN ph > pl THEN 1 ELSE 0 END) AS c_down
+       FROM pp GROUP BY run_id, qid, least(ph, pl), greatest(ph, pl), njr),
+pscore AS (SELECT run_id, qid,
+                  sum(CASE WHEN pd < njr THEN CAST(c_up AS DOUBLE) / (c_up + c_down) ELSE 0 END) AS s_rr,
+                  sum(CASE WHEN pd < njr THEN 1 ELSE 0 END) AS n_rr,
+                  sum(CASE WHEN pu < njr AND pd >= njr THEN CAST(c_up AS DOUBLE) / (c_up + c_down) ELSE 0 END) AS s_ri,
+                  sum(CASE WHEN pu < njr AND pd >= njr THEN 1 ELSE 0 END) AS n_ri,
+                  sum(CASE WHEN pu >= njr THEN 1 ELSE 0 END) AS n_uu
+           FROM pc GROUP BY run_id, qid),
+tv AS (SELECT t.*, coalesce(p.s_rr, 0) AS s_rr, coalesce(p.n_rr, 0) AS n_rr, coalesce(p.s_ri, 0) AS s_ri,
+              coalesce(p.n_ri, 0) AS n_ri, coalesce(p.n_uu, 0) AS n_uu
+       FROM topic t LEFT JOIN pscore p ON t.run_id = p.run_id AND t.qid = p.qid)
+"""
+
+
+def _pref_exprs() -> dict[str, str]:
+    ful = "(s_ful_ret + s_ful_imp)"
+    poss = "(s_poss_ret + s_poss_imp + s_notoccur)"
+
+    def avgjg(s, nan=None):
+        cond = f"{s} > 0" + (f" AND {nan} = 0" if nan else "")
+        return f"CASE WHEN {cond} THEN {s} / num_jgs ELSE 0.0 END"
+    return {
+        "prefs_num_prefs_poss": f"CAST({poss} AS DOUBLE)",
+        "prefs_num_prefs_ful": f"CAST({ful} AS DOUBLE)",
+        "prefs_num_prefs_ful_ret": "CAST(s_ful_ret AS DOUBLE)",
+        "prefs_simp": _div(ful, poss),
+        "prefs_pair": _div("s_rr + s_ri", "n_rr + n_ri + n_uu"),
+        "prefs_avgjg": avgjg("aj"),
+        "prefs_avgjg_Rnonrel": avgjg("rn", "rn_nan"),
+        "prefs_simp_ret": _div("s_ful_ret", "s_poss_ret"),
+        "prefs_pair_ret": _div("s_rr", "n_rr"),
+        "prefs_avgjg_ret": avgjg("aj_ret"),
+        "prefs_avgjg_Rnonrel_ret": avgjg("rr", "rr_nan"),
+        "prefs_simp_imp": _div(ful, "s_poss_ret + s_poss_imp"),
+        "prefs_pair_imp": _div("s_rr + s_ri", "n_rr + n_ri"),
+        "prefs_avgjg_imp": avgjg("aj_imp"),
+    }
+
+
+PREF_ORDER = ["prefs_num_prefs_poss", "prefs_num_prefs_ful", "prefs_num_prefs_ful_ret",
+              "prefs_simp", "prefs_pair", "prefs_avgjg", "prefs_avgjg_Rnonrel",
+              "prefs_simp_ret", "prefs_pair_ret", "prefs_avgjg_ret", "prefs_avgjg_Rnonrel_ret",
+              "prefs_simp_imp", "prefs_pair_imp", "prefs_avgjg_imp"]
+
+
+def _prefs_with(single=False) -> str:
+    return "WITH RECURSIVE " + ",".join(c.strip() for c in (FIX_B, FIX_D, prefs_ctes(single))) + "\n"
+
+
+def prefs_measure_sql(names, single=False) -> str:
+    ex = _pref_exprs()
+    sels = [f"SELECT run_id, qid, '{n}' AS measure, round(CAST(({ex[n]}) AS DOUBLE), 6) AS value FROM tv"
+            for n in names]
+    return _prefs_with(single) + "\nUNION ALL\n".join(sels)
+
+
+def group_pref_oracles() -> dict[str, str]:
+    W = _prefs_with()
+    return {
+        "J7_judged_join_jg": _with(FIX_B, FIX_C, judged_jg_cte()) +
+            "SELECT run_id, qid, jg, docno, CAST(code AS BIGINT) AS code, CAST(rank AS BIGINT) AS rank FROM gjr",
+        "G1_map_avgjg": _jg_measure("map", "map_avgjg"),
+        "G2_P_avgjg": _jg_measure("P", "P_avgjg"),
+        "G3_Rprec_mult_avgjg": _jg_measure("Rprec_mult", "Rprec_mult_avgjg"),
+        "P1_direct_pairs": W + "SELECT qid, jg, hi, lo FROM direct",
+        "P2_closure": W + "SELECT qid, jg, hi, lo FROM pairs",
+        "P3_inconsistencies": W +
+            "SELECT qid, jg, docno, 'levels_in_subgroup' AS kind FROM pf GROUP BY qid, jg, jsg, docno "
+            "HAVING count(DISTINCT rel_level) > 1 UNION ALL "
+            "SELECT qid, jg, docno, 'zero_and_nonzero' AS kind FROM pf GROUP BY qid, jg, docno "
+            "HAVING max(CASE WHEN rel_level = 0 THEN 1 ELSE 0 END) = 1 AND max(CASE WHEN rel_level > 0 THEN 1 ELSE 0 END) = 1",
+        "P4_judged_positions": W + "SELECT run_id, qid, docno, CAST(pos AS BIGINT) AS pos, "
+                                   "CAST(njr AS BIGINT) AS njr, CAST(nj AS BIGINT) AS nj FROM pos",
+        "P5_P6_jg_counts": W + "SELECT run_id, qid, jg, " + ", ".join(
+            f"CAST({c} AS BIGINT) AS {c}" for c in ("ful_ret", "poss_ret", "ful_imp", "poss_imp", "notoccur",
+                                                     "rel", "rel_ret", "nonrel", "nonrel_ret")) + " FROM cnt",
+        "P7_pair_counts": W + "SELECT run_id, qid, CAST(pu AS BIGINT) AS pu, CAST(pd AS BIGINT) AS pd, "
+                              "CAST(c_up AS BIGINT) AS c_up, CAST(c_down AS BIGINT) AS c_down FROM pc",
+        "P8_P11_P15_P19_simple": prefs_measure_sql(["prefs_num_prefs_poss", "prefs_num_prefs_ful",
+                                                    "prefs_num_prefs_ful_ret", "prefs_simp",
+                                                    "prefs_simp_ret", "prefs_simp_imp"]),
+        "P12_P16_P20_pair": prefs_measure_sql(["prefs_pair", "prefs_pair_ret", "prefs_pair_imp"]),
+        "P13_P17_P21_avgjg": prefs_measure_sql(["prefs_avgjg", "prefs_avgjg_ret", "prefs_avgjg_imp"]),
+        "P14_P18_Rnonrel": prefs_measure_sql(["prefs_avgjg_Rnonrel", "prefs_avgjg_Rnonrel_ret"]),
+        "P_single_subgroup_all": prefs_measure_sql(PREF_ORDER, single=True),
+    }
+
+
 def all_oracles() -> dict[str, str]:
     o = {}
     o.update(eval_oracles())
     o.update(retrieval_oracles())
     o.update(source_oracles())
+    o.update(group_pref_oracles())
     return o

@@ -16,6 +16,9 @@ from ..operators import ideal as I
 from ..operators import judged as J
 from ..plans import fixtures as FX
 from ..plans.evaluate import evaluate
+from ..operators import groups as G
+from ..operators import prefs as P
+from ..operators.groups import evaluate_jg
 from ..functions.text import tokenize
 from ..operators import scoring as SC
 from ..operators import termstats as TS
@@ -332,8 +335,106 @@ def source_queries() -> dict:
     }
 
 
+# ------------------------------------------------------------ groups / prefs
+def q_jg(spark, sf, measures):
+    runs, _ = _b(spark, sf)
+    ev = evaluate_jg(runs, FX.fixture_c_qrels_jg(spark, sf), measures)
+    return ev.per_topic.select("run_id", "qid", "measure", _r("value"))
+
+
+def q_judged_jg(spark, sf):
+    runs, _ = _b(spark, sf)
+    qj = FX.fixture_c_qrels_jg(spark, sf)
+    rj = G.runs_per_group(runs, qj, EvalConfig())
+    j = J.judged_rows(rj, qj, EvalConfig(), run_keys=["run_id", "qid", "jg"], topic_keys=["qid", "jg"])
+    return j.select("run_id", "qid", "jg", "docno", F.col("code").cast("long"), "rank")
+
+
+def _d_inputs(spark, sf, single=False):
+    prefs = FX.fixture_d_prefs(spark, sf)
+    if single:
+        prefs = prefs.where(F.col("jsg") == "0")
+    return FX.fixture_d_runs(spark, sf), prefs
+
+
+def q_direct_pairs(spark, sf):
+    _, prefs = _d_inputs(spark, sf)
+    return P.direct_pairs(prefs)
+
+
+def q_closure(spark, sf):
+    _, prefs = _d_inputs(spark, sf)
+    return P.preference_pairs(prefs).select("qid", "jg", "hi", "lo")
+
+
+def q_inconsistent(spark, sf):
+    _, prefs = _d_inputs(spark, sf)
+    return P.inconsistencies(prefs)
+
+
+def q_positions(spark, sf):
+    runs, prefs = _d_inputs(spark, sf)
+    return P.judged_positions(runs, prefs, EvalConfig()).select(
+        "run_id", "qid", "docno", F.col("pos").cast("long"), "njr", "nj")
+
+
+def _pp(spark, sf, single=False):
+    runs, prefs = _d_inputs(spark, sf, single)
+    shape = P.group_shape(prefs)
+    pos = P.judged_positions(runs, prefs, EvalConfig())
+    pp = P.pair_positions(P.preference_pairs(prefs, shape), pos)
+    return prefs, shape, pos, pp
+
+
+def q_jg_counts(spark, sf):
+    prefs, shape, pos, pp = _pp(spark, sf)
+    c = P.jg_counts(pp, P.doc_levels(prefs, shape), pos)
+    return c.select("run_id", "qid", "jg", *[F.col(x).cast("long") for x in (
+        "ful_ret", "poss_ret", "ful_imp", "poss_imp", "notoccur", "rel", "rel_ret", "nonrel", "nonrel_ret")])
+
+
+def q_pair_counts(spark, sf):
+    _, _, _, pp = _pp(spark, sf)
+    return P.pair_counts(pp).select("run_id", "qid", F.col("pu").cast("long"), F.col("pd").cast("long"),
+                                    F.col("c_up").cast("long"), F.col("c_down").cast("long"))
+
+
+def q_prefs(spark, sf, names, single=False):
+    runs, prefs = _d_inputs(spark, sf, single)
+    ev = P.evaluate_prefs(runs, prefs, names)
+    return ev.per_topic.select("run_id", "qid", "measure", _r("value"))
+
+
+PREF_SIMPLE = ["prefs_num_prefs_poss", "prefs_num_prefs_ful", "prefs_num_prefs_ful_ret",
+               "prefs_simp", "prefs_simp_ret", "prefs_simp_imp"]
+PREF_PAIR = ["prefs_pair", "prefs_pair_ret", "prefs_pair_imp"]
+PREF_AVGJG = ["prefs_avgjg", "prefs_avgjg_ret", "prefs_avgjg_imp"]
+PREF_RNONREL = ["prefs_avgjg_Rnonrel", "prefs_avgjg_Rnonrel_ret"]
+
+
+def group_pref_queries() -> dict:
+    return {
+        "J7_judged_join_jg": q_judged_jg,
+        "G1_map_avgjg": partial(q_jg, measures=["map_avgjg"]),
+        "G2_P_avgjg": partial(q_jg, measures=["P_avgjg"]),
+        "G3_Rprec_mult_avgjg": partial(q_jg, measures=["Rprec_mult_avgjg"]),
+        "P1_direct_pairs": q_direct_pairs,
+        "P2_closure": q_closure,
+        "P3_inconsistencies": q_inconsistent,
+        "P4_judged_positions": q_positions,
+        "P5_P6_jg_counts": q_jg_counts,
+        "P7_pair_counts": q_pair_counts,
+        "P8_P11_P15_P19_simple": partial(q_prefs, names=PREF_SIMPLE),
+        "P12_P16_P20_pair": partial(q_prefs, names=PREF_PAIR),
+        "P13_P17_P21_avgjg": partial(q_prefs, names=PREF_AVGJG),
+        "P14_P18_Rnonrel": partial(q_prefs, names=PREF_RNONREL),
+        "P_single_subgroup_all": partial(q_prefs, names="all_prefs", single=True),
+    }
+
+
 def all_queries() -> dict:
     q = {}
+    q.update(group_pref_queries())
     q.update(eval_queries())
     q.update(retrieval_queries())
     q.update(source_queries())
