@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -57,14 +58,24 @@ def postings(docs: DataFrame, vocab: DataFrame | None = None, stop_words=STOP_WO
 
 
 def index_for(docs: DataFrame, vocab: DataFrame, stop_words=STOP_WORDS,
-              broadcast_rows: int = 5_000_000):
-    """Pruned postings (checkpointed) plus the collection statistics observed
-    while building them: one pass over the document text."""
+              broadcast_rows: int = 5_000_000, checkpoint: bool = False):
+    """Pruned postings (persisted, or checkpointed to the shared folder when
+    `checkpoint`) plus the collection statistics observed while building
+    them: one pass over the document text."""
     obs = Observation("collection")
     post = postings(docs, vocab, stop_words, broadcast_rows, obs)
-    post = cut_lineage(post)
-    m = obs.get
-    return post, CollectionStats(int(m["n"]), int(m["tokens"]))
+    if checkpoint:
+        post = cut_lineage(post)
+    else:
+        post = post.persist(StorageLevel.MEMORY_AND_DISK)
+        post.count()
+    try:
+        m = obs.get
+        return post, CollectionStats(int(m["n"]), int(m["tokens"]))
+    except Exception:  # noqa: BLE001 - scan pruned away (no query term occurs)
+        r = doc_lengths(docs, stop_words).agg(F.count(F.lit(1)).alias("n"),
+                                              F.coalesce(F.sum("dl"), F.lit(0)).alias("t")).first()
+        return post, CollectionStats(int(r["n"]), int(r["t"]))
 
 
 def term_stats(post: DataFrame) -> DataFrame:

@@ -40,13 +40,13 @@ def fixture_b_runs(spark: SparkSession, sf_dir: str, two_runs: bool = True) -> D
     """runs(run_id, qid, docno, sim): earlier purchases per (nation-priority, part)."""
     g = _before(_base(spark, sf_dir)).groupBy("qid", "docno", "l_partkey").agg(
         F.sum("l_quantity").alias("q"))
-    r1 = g.select(F.lit("sumqty").alias("run_id"), "qid", "docno",
-                  F.col("q").cast("float").alias("sim"))
     if not two_runs:
-        return r1
-    r2 = g.select(F.lit("hash97").alias("run_id"), "qid", "docno",
-                  F.pmod(F.col("l_partkey") * 31, F.lit(97)).cast("float").alias("sim"))
-    return r1.unionByName(r2)
+        return g.select(F.lit("sumqty").alias("run_id"), "qid", "docno",
+                        F.col("q").cast("float").alias("sim"))
+    # both runs from one aggregate: one scan of the base tables
+    two = F.expr("stack(2, 'sumqty', CAST(q AS FLOAT), "
+                 "'hash97', CAST(pmod(l_partkey * 31, 97) AS FLOAT)) AS (run_id, sim)")
+    return g.select("qid", "docno", two).select("run_id", "qid", "docno", "sim")
 
 
 def _rel_of(q):

@@ -52,9 +52,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss); never a local checkpoint."""
+    """Reliable checkpoint into the shared checkpoint folder (survives executor
+    loss); never a local checkpoint.  The input is persisted while the
+    checkpoint is written so it is computed once, not twice."""
+    from pyspark import StorageLevel
+
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int):

@@ -13,6 +13,12 @@ from pyspark.sql import functions as F
 _WS = r"\s+"
 
 
+def jtrim(c: Column) -> Column:
+    """Trim every control/space character (<= U+0020) at both ends, like
+    Java's String.trim (Spark's trim removes spaces only)."""
+    return F.regexp_replace(c, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+
+
 def _fields(spark: SparkSession, paths) -> DataFrame:
     """One row per non-blank line: the array of whitespace-separated fields,
     the source file and the line's position inside that file."""
@@ -23,8 +29,8 @@ def _fields(spark: SparkSession, paths) -> DataFrame:
         F.monotonically_increasing_id().alias("_pos"),
     )
     return raw.select(
-        F.split(F.trim(F.col("value")), _WS).alias("f"),
-        F.trim(F.col("value")).alias("_line"),
+        F.split(jtrim(F.col("value")), _WS).alias("f"),
+        jtrim(F.col("value")).alias("_line"),
         "_file", "_block", "_pos",
     )
 
@@ -167,9 +173,9 @@ def topic_fields(blocks: DataFrame, col: str = "block") -> DataFrame:
     def between(a: str, z: str) -> Column:
         return F.regexp_extract(b, f"(?s)<{a}>(.*?)<{z}>", 1)
 
-    num = F.trim(F.regexp_replace(between("num", "dom"), "Number:", ""))
-    qid = F.when(F.substring(num, 1, 1) == "0", F.expr("substring(_num, 2)")) \
-        .otherwise(num)
+    num = jtrim(F.regexp_replace(between("num", "dom"), "Number:", ""))
+    n = F.col("_num")
+    qid = F.when(F.substring(n, 1, 1) == "0", F.expr("substring(_num, 2)")).otherwise(n)
     return (blocks.where(b.contains("<num>"))
             .select(num.alias("_num"),
                     F.regexp_replace(between("title", "desc"), "Topic: ", "").alias("title"),
