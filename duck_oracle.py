@@ -758,6 +758,9 @@ def group_pref_oracles() -> dict[str, str]:
         "P5_P6_jg_counts": W + "SELECT run_id, qid, jg, " + ", ".join(
             f"CAST({c} AS BIGINT) AS {c}" for c in ("ful_ret", "poss_ret", "ful_imp", "poss_imp", "notoccur",
                                                      "rel", "rel_ret", "nonrel", "nonrel_ret")) + " FROM cnt",
+        "P6_single_subgroup_counts": _prefs_with(True) + "SELECT run_id, qid, jg, " + ", ".join(
+            f"CAST({c} AS BIGINT) AS {c}" for c in ("ful_ret", "poss_ret", "ful_imp", "poss_imp", "notoccur",
+                                                     "rel", "rel_ret", "nonrel", "nonrel_ret")) + " FROM cnt",
         "P7_pair_counts": W + "SELECT run_id, qid, CAST(pu AS BIGINT) AS pu, CAST(pd AS BIGINT) AS pd, "
                               "CAST(c_up AS BIGINT) AS c_up, CAST(c_down AS BIGINT) AS c_down FROM pc",
         "P8_P11_P15_P19_simple": prefs_measure_sql(["prefs_num_prefs_poss", "prefs_num_prefs_ful",

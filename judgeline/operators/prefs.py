@@ -171,9 +171,92 @@ def jg_counts(pp: DataFrame, levels: DataFrame, pos: DataFrame) -> DataFrame:
     return out
 
 
+# ------------------------------------------------------------------ P6 linear
+def single_group_docs(levels: DataFrame, pos: DataFrame) -> DataFrame:
+    """Documents of single-subgroup groups with their position per run."""
+    return (levels.where("n_jsg = 1")
+            .join(pos.select("run_id", "qid", "docno", "pos", "ret", "njr"), ["qid", "docno"]))
+
+
+def single_group_counts(docs: DataFrame) -> DataFrame:
+    """P6 for single-subgroup groups without emitting document pairs.
+
+    Every document is preferred to every document of a lower level, so the
+    implied / neither counts are products of per-level counts, and the
+    fulfilled-retrieved count is, for each retrieved document, the number of
+    retrieved documents of a higher level placed before it: a running count
+    per (group, level threshold) over positions.  Rows: documents x levels.
+    Also returns the relevant-only parts the Rnonrel recounts need."""
+    keys = ["run_id", "qid", "jg"]
+    lc = docs.groupBy(*keys, "lvl").agg(
+        F.sum(F.when(F.col("ret"), 1).otherwise(0)).alias("nr"),
+        F.sum(F.when(F.col("ret"), 0).otherwise(1)).alias("nu"))
+    hw = Window.partitionBy(*keys).orderBy(F.col("lvl").desc()) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    lc = lc.withColumn("hr", F.coalesce(F.sum("nr").over(hw), F.lit(0))) \
+           .withColumn("hu", F.coalesce(F.sum("nu").over(hw), F.lit(0)))
+    relv = F.col("lvl") > 0
+    prod = lc.groupBy(*keys).agg(
+        F.sum(F.col("nu") * F.col("hr")).alias("ful_imp"),
+        F.sum(F.col("nr") * F.col("hu")).alias("nf_imp"),
+        F.sum(F.col("nu") * F.col("hu")).alias("notoccur"),
+        F.sum(F.col("nr") * F.col("hr")).alias("poss_ret"),
+        F.sum(F.when(relv, (F.col("nr") + F.col("nu")) * (F.col("hr") + F.col("hu"))).otherwise(0)).alias("a_poss"),
+        F.sum(F.when(relv, F.col("nr") * F.col("hr")).otherwise(0)).alias("ar_poss"),
+        F.sum(F.when(relv, F.col("nu") * F.col("hr")).otherwise(0)).alias("a_imp"))
+    # fulfilled among retrieved: thresholds = levels of retrieved documents
+    ret = docs.where("ret").select(*keys, "docno", "lvl", "pos")
+    thr = ret.select(*keys, F.col("lvl").alias("t")).distinct()
+    x = ret.join(thr, keys)
+    tw = Window.partitionBy(*keys, "t").orderBy("pos") \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    x = x.withColumn("above", F.sum(F.when(F.col("lvl") > F.col("t"), 1).otherwise(0)).over(tw))
+    fr = x.where(F.col("lvl") == F.col("t")).groupBy(*keys).agg(
+        F.sum("above").alias("ful_ret"),
+        F.sum(F.when(F.col("t") > 0, F.col("above")).otherwise(0)).alias("ful_ret_rel"))
+    out = prod.join(fr, keys, "left").fillna(0, subset=["ful_ret", "ful_ret_rel"])
+    return out.select(*keys, "ful_ret", "poss_ret", "ful_imp",
+                      (F.col("ful_imp") + F.col("nf_imp")).alias("poss_imp"), "notoccur",
+                      "a_poss", "ar_poss", "a_imp", "ful_ret_rel")
+
+
+def doc_class_counts(levels: DataFrame, pos: DataFrame) -> DataFrame:
+    """rel, rel_ret, nonrel, nonrel_ret per (run_id, qid, jg)."""
+    lv = levels.join(pos.select("run_id", "qid", "docno", "ret"), ["qid", "docno"])
+    rel = F.col("lvl") > 0
+    nonrel = F.when(F.col("n_jsg") > 1, F.col("lvl") == 0).otherwise(F.col("lvl") <= 0)
+    return lv.groupBy("run_id", "qid", "jg").agg(
+        F.sum(F.when(rel, 1).otherwise(0)).alias("rel"),
+        F.sum(F.when(rel & F.col("ret"), 1).otherwise(0)).alias("rel_ret"),
+        F.sum(F.when(nonrel, 1).otherwise(0)).alias("nonrel"),
+        F.sum(F.when(nonrel & F.col("ret"), 1).otherwise(0)).alias("nonrel_ret"))
+
+
+PAIR_COUNTS = ["ful_ret", "poss_ret", "ful_imp", "poss_imp", "notoccur"]
+
+
+def all_group_counts(levels: DataFrame, pos: DataFrame, pp_multi: DataFrame | None):
+    """P6 for every group: linear counts for single-subgroup groups, pair
+    areas for multi-subgroup groups.  Returns (counts, single_parts)."""
+    d = doc_class_counts(levels, pos)
+    sc = single_group_counts(single_group_docs(levels, pos))
+    parts = [sc.select("run_id", "qid", "jg", *PAIR_COUNTS)]
+    if pp_multi is not None:
+        area = _area(F.col("ph"), F.col("pl"), F.col("njr"))
+        parts.append(pp_multi.withColumn("area", area).groupBy("run_id", "qid", "jg").agg(
+            F.sum(F.when(F.col("area") == "ful_ret", 1).otherwise(0)).alias("ful_ret"),
+            F.sum(F.when(F.col("area").isin("ful_ret", "nf_ret"), 1).otherwise(0)).alias("poss_ret"),
+            F.sum(F.when(F.col("area") == "ful_imp", 1).otherwise(0)).alias("ful_imp"),
+            F.sum(F.when(F.col("area").isin("ful_imp", "nf_imp"), 1).otherwise(0)).alias("poss_imp"),
+            F.sum(F.when(F.col("area") == "none", 1).otherwise(0)).alias("notoccur")))
+    c = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    counts = d.join(c, ["run_id", "qid", "jg"], "left").fillna(0, subset=PAIR_COUNTS)
+    return counts, sc
+
+
 # ------------------------------------------------------------------ P14/P18
-def rnonrel_counts(pp: DataFrame, levels: DataFrame, pos: DataFrame,
-                   counts: DataFrame) -> DataFrame:
+def rnonrel_counts(pp_multi: DataFrame | None, levels: DataFrame, pos: DataFrame,
+                   counts: DataFrame, single_parts: DataFrame) -> DataFrame:
     """Recounts for groups with fewer relevant than nonrelevant documents,
     keeping only the first R nonrelevant documents (by position).
 
@@ -192,14 +275,17 @@ def rnonrel_counts(pp: DataFrame, levels: DataFrame, pos: DataFrame,
     keep_ret = ~F.col("is_non") | F.when(F.col("n_jsg") > 1, F.col("non_idx") <= F.col("rel")) \
         .otherwise(F.col("non_idx") <= F.col("rel_ret"))
     lv = lv.withColumn("keep_all", keep_all).withColumn("keep_ret", keep_ret)
-    lv.persist(StorageLevel.MEMORY_AND_DISK)
 
     # --- multi-subgroup groups: the pair relation restricted to kept docs
     kh = lv.select("run_id", "qid", "jg", F.col("docno").alias("hi"),
                    F.col("keep_all").alias("kh_all"), F.col("keep_ret").alias("kh_ret"))
     kl = lv.select("run_id", "qid", "jg", F.col("docno").alias("lo"),
                    F.col("keep_all").alias("kl_all"), F.col("keep_ret").alias("kl_ret"))
-    m = pp.where("multi").join(kh, ["run_id", "qid", "jg", "hi"]).join(kl, ["run_id", "qid", "jg", "lo"])
+    if pp_multi is None:
+        pp_multi = lv.sparkSession.createDataFrame(
+            [], "qid string, jg string, hi string, lo string, multi boolean, run_id string, "
+                "ph int, njr long, nj long, pl int")
+    m = pp_multi.join(kh, ["run_id", "qid", "jg", "hi"]).join(kl, ["run_id", "qid", "jg", "lo"])
     area = _area(F.col("ph"), F.col("pl"), F.col("njr"))
     m = m.withColumn("area", area)
     both_ret = (F.col("ph") < F.col("njr")) & (F.col("pl") < F.col("njr"))
@@ -212,17 +298,14 @@ def rnonrel_counts(pp: DataFrame, levels: DataFrame, pos: DataFrame,
         F.sum(F.when(kr, 1).otherwise(0)).alias("rr_poss"))
 
     # --- single-subgroup groups: relevant x relevant pairs of different
-    # levels, plus every document against each kept nonrelevant document
-    # (the document itself included), as the evaluator counts them.
+    # levels (from the linear counts), plus every document against each kept
+    # nonrelevant document (the document itself included), as the evaluator
+    # counts them.
     s = lv.where("n_jsg = 1")
-    rr_pairs = (pp.where("NOT multi").join(levels.select("qid", "jg", F.col("docno").alias("lo"),
-                                                            F.col("lvl").alias("llo")), ["qid", "jg", "lo"])
-                .where(F.col("llo") > 0))
-    rel_rel = rr_pairs.groupBy("run_id", "qid", "jg").agg(
-        F.sum(F.when((F.col("ph") < F.col("pl")) & (F.col("ph") < F.col("njr")), 1).otherwise(0)).alias("a_ful"),
-        F.count(F.lit(1)).alias("a_poss"),
-        F.sum(F.when(both_ret & (F.col("ph") < F.col("pl")), 1).otherwise(0)).alias("ar_ful"),
-        F.sum(F.when(both_ret, 1).otherwise(0)).alias("ar_poss"))
+    rel_rel = single_parts.select(
+        "run_id", "qid", "jg",
+        (F.col("ful_ret_rel") + F.col("a_imp")).alias("a_ful"), "a_poss",
+        F.col("ful_ret_rel").alias("ar_ful"), "ar_poss")
     # every doc d1 against kept nonrel docs d2: fulfilled when pos1 < pos2
     # (and d1 retrieved for the all-documents variant); counted with a
     # running count of kept nonrelevant docs after each position.
@@ -346,17 +429,49 @@ def evaluate_prefs(runs: DataFrame, prefs: DataFrame, measures="all_prefs",
     prefs = prefs.select("qid", "jg", "jsg", "docno", F.col("rel_level").cast("float")) \
         .persist(StorageLevel.MEMORY_AND_DISK)
     shape = group_shape(prefs)
-    small = bounded_broadcast(prefs, cfg.broadcast_rows)[1]
-    if small:
+    if bounded_broadcast(prefs, cfg.broadcast_rows)[1]:
         shape = F.broadcast(shape)
-    pairs = preference_pairs(prefs, shape)
     pos = judged_positions(runs, prefs, cfg).persist(StorageLevel.MEMORY_AND_DISK)
-    pp = pair_positions(pairs, pos).persist(StorageLevel.MEMORY_AND_DISK)
     levels = doc_levels(prefs, shape)
-    counts = jg_counts(pp, levels, pos).persist(StorageLevel.MEMORY_AND_DISK)
-    rn = rnonrel_counts(pp, levels, pos, counts)
-    ps = pair_scores(pair_counts(pp))
+    cached = [prefs, pos]
+
+    # pairs only where the relation itself is needed: transitive closure of
+    # groups with several subgroups ...
+    multi_groups = shape.where("n_jsg > 1").select("qid", "jg")
+    closed = None
+    pp_multi = None
+    if multi_groups.limit(1).collect():
+        closed = closure(direct_pairs(prefs.join(multi_groups, ["qid", "jg"], "left_semi")))
+        cyc = closed.where(F.col("hi") == F.col("lo")).limit(1).collect()
+        if cyc:
+            raise ValueError(f"preference cycle in topic {cyc[0]['qid']} group {cyc[0]['jg']}")
+        pp_multi = pair_positions(closed.withColumn("multi", F.lit(True)), pos) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        cached.append(pp_multi)
+    counts, single_parts = all_group_counts(levels, pos, pp_multi)
+    counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
+    cached.append(counts)
+    rn = rnonrel_counts(pp_multi, levels, pos, counts, single_parts)
+
+    # ... and per-pair group counts (prefs_pair*) for topics judged by several
+    # groups; with one group a pair's ratio is 1 or 0, so the sums are counts.
+    per_topic_groups = shape.groupBy("qid").agg(F.count(F.lit(1)).alias("n_groups"))
+    one = counts.join(per_topic_groups.where("n_groups = 1"), "qid", "left_semi").select(
+        "run_id", "qid", F.col("ful_ret").cast("double").alias("s_rr"), F.col("poss_ret").alias("n_rr"),
+        F.col("ful_imp").cast("double").alias("s_ri"), F.col("poss_imp").alias("n_ri"),
+        F.col("notoccur").alias("n_uu"))
+    ps = one
+    if any(n.startswith("prefs_pair") for n in names):
+        many = per_topic_groups.where("n_groups > 1").select("qid")
+        if many.limit(1).collect():
+            sp = prefs.join(many, "qid", "left_semi").join(
+                shape.where("n_jsg = 1").select("qid", "jg"), ["qid", "jg"], "left_semi")
+            mp = direct_pairs(sp)
+            if closed is not None:
+                mp = mp.unionByName(closed.join(many, "qid", "left_semi"))
+            ps = ps.unionByName(pair_scores(pair_counts(pair_positions(mp, pos))))
     wide = topic_values(counts, rn, ps).persist(StorageLevel.MEMORY_AND_DISK)
+    cached.append(wide)
     outs = [(n, n, "sum" if n in COUNT_MEASURES else "mean", (M.MEASURE_ORDER.index(n),))
             for n in names]
     per_topic = to_long(wide, ["run_id", "qid"], outs)
@@ -366,4 +481,4 @@ def evaluate_prefs(runs: DataFrame, prefs: DataFrame, measures="all_prefs",
         num_q = topics_per_run.withColumn("n", F.lit(n).cast("long"))
     else:
         num_q = topics_per_run.withColumn("n", F.col("n_orig"))
-    return Evaluation(per_topic, None, num_q, selected, cached=[prefs, pos, pp, counts, wide])
+    return Evaluation(per_topic, None, num_q, selected, cached=cached)

@@ -386,9 +386,15 @@ def _pp(spark, sf, single=False):
     return prefs, shape, pos, pp
 
 
-def q_jg_counts(spark, sf):
-    prefs, shape, pos, pp = _pp(spark, sf)
-    c = P.jg_counts(pp, P.doc_levels(prefs, shape), pos)
+def q_jg_counts(spark, sf, single=False):
+    runs, prefs = _d_inputs(spark, sf, single)
+    shape = P.group_shape(prefs)
+    pos = P.judged_positions(runs, prefs, EvalConfig())
+    pp_multi = None
+    if not single:
+        closed = P.closure(P.direct_pairs(prefs.join(shape.where("n_jsg > 1"), ["qid", "jg"], "left_semi")))
+        pp_multi = P.pair_positions(closed.withColumn("multi", F.lit(True)), pos)
+    c, _ = P.all_group_counts(P.doc_levels(prefs, shape), pos, pp_multi)
     return c.select("run_id", "qid", "jg", *[F.col(x).cast("long") for x in (
         "ful_ret", "poss_ret", "ful_imp", "poss_imp", "notoccur", "rel", "rel_ret", "nonrel", "nonrel_ret")])
 
@@ -423,6 +429,7 @@ def group_pref_queries() -> dict:
         "P3_inconsistencies": q_inconsistent,
         "P4_judged_positions": q_positions,
         "P5_P6_jg_counts": q_jg_counts,
+        "P6_single_subgroup_counts": partial(q_jg_counts, single=True),
         "P7_pair_counts": q_pair_counts,
         "P8_P11_P15_P19_simple": partial(q_prefs, names=PREF_SIMPLE),
         "P12_P16_P20_pair": partial(q_prefs, names=PREF_PAIR),
