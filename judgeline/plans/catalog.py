@@ -25,7 +25,7 @@ from ..operators import termstats as TS
 from ..plans.retrieve import compare_runs, explain, query_table, retrieve, scored
 from ..session import ensure_checkpoint_dir
 from ..sources.sinks import report_lines, write_run
-from ..sources.trec_text import read_prefs, read_qrels, read_qrels_as_prefs, read_qrels_jg, read_run
+from ..sources.text_formats import read_prefs, read_qrels, read_qrels_as_prefs, read_qrels_jg, read_run
 
 ROUND = 6
 

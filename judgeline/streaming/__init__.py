@@ -1,0 +1,6 @@
+"""Streaming.
+
+The reference reads whole files before any work starts and has no streaming,
+watermark or stateful semantics, so this package intentionally holds no
+operator (see README, "Deviations and items not built").
+"""

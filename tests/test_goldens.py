@@ -7,7 +7,7 @@ from judgeline.config import EvalConfig
 from judgeline.operators.groups import evaluate_jg
 from judgeline.operators.prefs import evaluate_prefs
 from judgeline.plans.evaluate import evaluate
-from judgeline.sources import trec_text as T
+from judgeline.sources import text_formats as T
 
 
 @pytest.fixture(scope="module")
