@@ -323,6 +323,9 @@ def eval_oracles() -> dict[str, str]:
         "J6_judged_join": _with(FIX_B, judged_cte()) + j,
         "J8_judged_only": _with(FIX_B, judged_cte(judged_only=True)) + j,
         "J9_level": _with(FIX_B, judged_cte(level=2)) + j,
+        "J15_running_counts_prefix_scan": _with(FIX_B, judged_cte()) + j,
+        "J15_measures_prefix_scan": measure_sql(["map", "bpref", "infAP", "P"]),
+        "J15_ndcg_rel_prefix_scan": gain_sql("ndcg_rel"),
         "J10_topic_stats": _with(FIX_B) +
             "SELECT qid, CAST(sum(CASE WHEN rel >= 1 THEN 1 ELSE 0 END) AS BIGINT) AS R, "
             "CAST(sum(CASE WHEN rel = 0 THEN 1 ELSE 0 END) AS BIGINT) AS Nn, "

@@ -21,6 +21,9 @@ class EvalConfig:
     num_docs: int = 0              # -N: collection size (utility only)
     topic: str | None = None       # -D style single-topic filter
     broadcast_rows: int = 2_000_000  # size bound for broadcasting judgement tables
+    skew_safe: bool | None = None  # running counts by distributed prefix scan;
+    #                                None: only when a (run, topic) exceeds skew_rows
+    skew_rows: int = 2_000_000
 
     @property
     def cut(self) -> int | None:

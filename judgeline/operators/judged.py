@@ -101,15 +101,20 @@ def judged_rows(runs: DataFrame, qrels: DataFrame, cfg: EvalConfig,
         small = judgements_are_small(qrels, cfg)
     stats_b = F.broadcast(stats) if small else stats
 
-    ranked = rank_run(runs.select(*run_keys, "docno", F.col("sim").cast("float")),
-                      tie=tie, max_docs=cfg.cut, keys=run_keys)
-    ranked = ranked.withColumnRenamed("rank", "orig_rank")
+    base = runs.select(*run_keys, "docno", F.col("sim").cast("float"))
+    if use_prefix_scan(runs, cfg, run_keys):
+        ranked = base.withColumn("orig_rank", F.lit(None).cast("int"))
+    else:
+        ranked = rank_run(base, tie=tie, max_docs=cfg.cut, keys=run_keys)
+        ranked = ranked.withColumnRenamed("rank", "orig_rank")
     j = judged_join(ranked, qrels, topic_keys, small)
     j = j.join(stats_b, list(topic_keys), "inner")
 
     code = F.col("code")
     keep = (code >= 0) if cfg.judged_only else F.lit(True)
     lvl = cfg.level
+    if use_prefix_scan(runs, cfg, run_keys):
+        return _judged_rows_scan(j.drop("orig_rank"), cfg, keep, tie, run_keys)
     # same partitioning and ordering as the ranking window: no new exchange,
     # and the sort survives the broadcast joins
     w = run_window(tie, run_keys).rowsBetween(Window.unboundedPreceding,
@@ -128,6 +133,41 @@ def judged_rows(runs: DataFrame, qrels: DataFrame, cfg: EvalConfig,
     )
 
 
+def use_prefix_scan(runs: DataFrame, cfg: EvalConfig, run_keys) -> bool:
+    """Skew check: largest (run, topic) ranking above cfg.skew_rows switches
+    the running counts from per-group windows to the prefix scan."""
+    if cfg.skew_safe is not None:
+        return bool(cfg.skew_safe)
+    cache = getattr(runs, "_judgeline_skew", None)
+    if cache is None:
+        biggest = runs.groupBy(*run_keys).count().agg(F.max("count")).first()[0] or 0
+        cache = biggest > cfg.skew_rows
+        runs._judgeline_skew = cache
+    return cache
+
+
+def _judged_rows_scan(j: DataFrame, cfg: EvalConfig, keep, tie: str, run_keys) -> DataFrame:
+    """judged_rows via the distributed prefix scan (hot groups split)."""
+    from .prefix import prefix_sums
+
+    code = F.col("code")
+    lvl = cfg.level
+    j = (j.withColumn("keep", keep)
+         .withColumn("rel", F.col("keep") & (code >= lvl))
+         .withColumn("nonrel", F.col("keep") & (code >= 0) & (code < lvl))
+         .withColumn("unj", F.col("keep") & (code == RELVALUE_UNJUDGED))
+         .withColumn("nonpool", F.col("keep") & (code == RELVALUE_NONPOOL))
+         .withColumn("_one", F.lit(1))
+         .withColumn("_k", flag(F.col("keep"))).withColumn("_r", flag(F.col("rel")))
+         .withColumn("_n", flag(F.col("nonrel"))).withColumn("_u", flag(F.col("unj"))))
+    out = prefix_sums(j, list(run_keys), rank_order(tie),
+                      {"orig_rank": "_one", "rank": "_k", "cr": "_r", "cn": "_n", "cu": "_u"},
+                      broadcast_rows=cfg.broadcast_rows)
+    if cfg.cut is not None:
+        out = out.where(F.col("orig_rank") <= cfg.cut)
+    return out.drop("_one", "_k", "_r", "_n", "_u")
+
+
 def evaluated_topics(runs: DataFrame, stats: DataFrame, cfg: EvalConfig,
                      run_keys=RUN_KEYS, topic_keys=("qid",)) -> DataFrame:
     """(run keys) of every topic with both a run and judgements."""

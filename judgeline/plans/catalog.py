@@ -45,9 +45,9 @@ def q_rank_run(spark, sf, max_docs=None):
         "run_id", "qid", "docno", F.col("rank").cast("long"))
 
 
-def q_judged_join(spark, sf, level=1, judged_only=False, max_docs=None):
+def q_judged_join(spark, sf, level=1, judged_only=False, max_docs=None, skew_safe=None):
     runs, qrels = _b(spark, sf)
-    cfg = EvalConfig(level=level, judged_only=judged_only, max_docs=max_docs)
+    cfg = EvalConfig(level=level, judged_only=judged_only, max_docs=max_docs, skew_safe=skew_safe)
     j = J.judged_rows(runs, qrels, cfg)
     return j.where("keep").select("run_id", "qid", "docno", F.col("code").cast("long"),
                                   "rank", "cr", "cn", "cu")
@@ -135,6 +135,9 @@ def eval_queries() -> dict:
         "J6_judged_join": q_judged_join,
         "J8_judged_only": partial(q_judged_join, judged_only=True),
         "J9_level": partial(q_judged_join, level=2),
+        "J15_running_counts_prefix_scan": partial(q_judged_join, skew_safe=True),
+        "J15_measures_prefix_scan": _m(["map", "bpref", "infAP", "P"], skew_safe=True),
+        "J15_ndcg_rel_prefix_scan": _m(["ndcg_rel"], skew_safe=True),
         "J10_topic_stats": q_topic_stats,
         "J12_topic_match": q_topic_match,
         "J16_ideal_ranking": q_ideal_ranking,

@@ -80,7 +80,8 @@ def _gain_params(selected) -> dict | None:
 
 
 def _gain_columns(judged: DataFrame, ideal: DataFrame, small: bool,
-                  gains: dict | None, run_keys, topic_keys, tie: str) -> DataFrame:
+                  gains: dict | None, run_keys, topic_keys, tie: str,
+                  scan: bool = False) -> DataFrame:
     """Attach the ideal row at each kept rank and the running gain sums."""
     idl = ideal.select(*[F.col(k).alias(f"_i_{k}") for k in topic_keys],
                        F.col("pos").alias("_pos"), "ig", "icum", "bnd",
@@ -94,6 +95,11 @@ def _gain_columns(judged: DataFrame, ideal: DataFrame, small: bool,
     d = F.when(g != 0, g / log2(F.col("rank") + 1)).otherwise(lit_d(0))
     cost = F.when(F.col("keep"), F.greatest(F.coalesce(F.col("ig"), lit_d(0)), lit_d(1))) \
         .otherwise(lit_d(0))
+    if scan:
+        from ..operators.prefix import prefix_sums
+        j = j.withColumn("g", g).withColumn("_d", d).withColumn("_c", cost)
+        return prefix_sums(j, list(run_keys), J.rank_order(tie),
+                           {"dcg_cum": "_d", "got_cum": "g", "cost_cum": "_c"}).drop("_c")
     return (j.withColumn("g", g).withColumn("_d", d)
             .withColumn("dcg_cum", F.sum(F.col("_d")).over(w))
             .withColumn("got_cum", F.sum(F.col("g")).over(w))
@@ -161,7 +167,8 @@ def evaluate(runs: DataFrame, qrels: DataFrame, measures="official",
                                topic_keys=topic_keys, small=small)
     if ctx.needs_gain_align:
         ideal = I.ideal_ranking(qrels, gains, topic_keys)
-        judged = _gain_columns(judged, ideal, small, gains, run_keys, topic_keys, "desc")
+        judged = _gain_columns(judged, ideal, small, gains, run_keys, topic_keys, "desc",
+                               scan=J.use_prefix_scan(runs, cfg, run_keys))
         _gain_aggs(ctx)
 
     group = run_keys + ["R", "Nn", "num_levels", "num_judged"]
