@@ -67,7 +67,8 @@ def direct_pairs(prefs: DataFrame) -> DataFrame:
 
 def closure(pairs: DataFrame, max_rounds: int = MAX_CLOSURE_ROUNDS) -> DataFrame:
     """Transitive closure by path doubling (pairs joined with themselves
-    until the count stops growing); lineage cut every round."""
+    until the count stops growing); every round is a reliable checkpoint, so
+    lineage never grows and an executor loss replays at most one round."""
     cur = cut_lineage(pairs.distinct())
     n = cur.count()
     for _ in range(max_rounds):
@@ -432,8 +433,8 @@ def evaluate_prefs(runs: DataFrame, prefs: DataFrame, measures="all_prefs",
     if bounded_broadcast(prefs, cfg.broadcast_rows)[1]:
         shape = F.broadcast(shape)
     pos = judged_positions(runs, prefs, cfg).persist(StorageLevel.MEMORY_AND_DISK)
-    levels = doc_levels(prefs, shape)
-    cached = [prefs, pos]
+    levels = doc_levels(prefs, shape).persist(StorageLevel.MEMORY_AND_DISK)
+    cached = [prefs, pos, levels]
 
     # pairs only where the relation itself is needed: transitive closure of
     # groups with several subgroups ...

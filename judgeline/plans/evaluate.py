@@ -158,8 +158,14 @@ def evaluate(runs: DataFrame, qrels: DataFrame, measures="official",
 
     if cfg.topic is not None:
         qrels = qrels.where(F.col("qid") == cfg.topic)
-    # judgements feed several joins and aggregates: keep them once
+        runs = runs.where(F.col("qid") == cfg.topic)
+    # judgements feed several joins and aggregates, and the runs feed the
+    # skew check and the ranking: keep each once
     qrels = qrels.persist(StorageLevel.MEMORY_AND_DISK)
+    persisted = [qrels]
+    if judged is None and cfg.skew_safe is None:
+        runs = runs.persist(StorageLevel.MEMORY_AND_DISK)
+        persisted.append(runs)
     small = J.judgements_are_small(qrels, cfg)
     stats = J.topic_stats(qrels, cfg.level, topic_keys)
     if judged is None:
@@ -211,7 +217,7 @@ def evaluate(runs: DataFrame, qrels: DataFrame, measures="official",
     else:
         num_q = topics_per_run.withColumn("n", F.col("n_orig"))
     return Evaluation(per_topic, str_df, num_q, selected, zscored=zref is not None,
-                      cached=[qrels, wide])
+                      cached=persisted + [wide])
 
 
 def _base(name: str, selected) -> str:
