@@ -23,14 +23,17 @@ def gain_of(code: Column, gains: dict | None) -> Column:
     return expr
 
 
-def ideal_ranking(qrels: DataFrame, gains: dict | None, keys=("qid",)) -> DataFrame:
+def ideal_ranking(qrels: DataFrame, gains: dict | None, keys=("qid",),
+                  scan: bool = False) -> DataFrame:
     """Judged documents with positive gain, by gain descending.
 
     Columns: keys, pos (1-based), ig (gain at pos), icum (ideal DCG to pos),
     bnd (a change of ideal gain follows pos), inv_after / cnt_after (sum of
-    1/icum and count over boundary positions after pos), ig_after_cost.
+    1/icum and count over boundary positions after pos).
     """
     g = gain_of(F.col("rel"), gains)
+    if scan:
+        return _ideal_ranking_scan(qrels, g, list(keys))
     pos_w = Window.partitionBy(*keys).orderBy(F.col("ig").desc(), F.col("docno"))
     run_w = pos_w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ideal = (qrels.where(F.col("rel") >= 0)
@@ -52,6 +55,41 @@ def ideal_ranking(qrels: DataFrame, gains: dict | None, keys=("qid",)) -> DataFr
     )
 
 
+def _ideal_ranking_scan(qrels: DataFrame, g, keys: list[str]) -> DataFrame:
+    """ideal_ranking for topics too large for one task: positions, ideal DCG
+    and boundary suffix sums by distributed prefix scans (see prefix.py); a
+    boundary is the last position of each gain value."""
+    from .prefix import prefix_sums
+
+    order = [F.col("ig").desc(), F.col("docno").asc()]
+    base = (qrels.where(F.col("rel") >= 0).select(*keys, "docno", g.alias("ig"))
+            .where(F.col("ig") > 0).withColumn("_one", F.lit(1)))
+    p = prefix_sums(base, keys, order, {"pos": "_one"})
+    p = p.withColumn("_disc", F.col("ig") / log2(F.col("pos") + 1))
+    p = prefix_sums(p, keys, order, {"icum": "_disc"})
+    last = p.groupBy(*keys, "ig").agg(F.max("pos").alias("_last"))
+    p = p.join(last, keys + ["ig"]).withColumn("bnd", F.col("pos") == F.col("_last"))
+    p = (p.withColumn("_inv", F.when(F.col("bnd"), 1.0 / F.col("icum")).otherwise(0.0))
+         .withColumn("_b", F.when(F.col("bnd"), 1).otherwise(0)))
+    p = prefix_sums(p, keys, order, {"inv_le": "_inv", "cnt_le": "_b"})
+    tot = p.groupBy(*keys).agg(F.sum("_inv").alias("_inv_tot"), F.sum("_b").alias("_b_tot"))
+    p = p.join(tot, keys)
+    return p.select(*keys, F.col("pos").cast("int").alias("pos"), "ig", "icum", "bnd",
+                    (F.col("_inv_tot") - F.col("inv_le")).alias("inv_after"),
+                    (F.col("_b_tot") - F.col("cnt_le")).alias("cnt_after"))
+
+
+def largest_topic_exceeds(qrels: DataFrame, keys, threshold: int) -> bool:
+    """Skew check on the judgements: any topic with more than `threshold`
+    judged documents (cached on the frame)."""
+    cache = getattr(qrels, "_judgeline_big_topic", None)
+    if cache is None:
+        biggest = qrels.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        cache = biggest > threshold
+        qrels._judgeline_big_topic = cache
+    return cache
+
+
 def ideal_totals(ideal: DataFrame, keys=("qid",)) -> DataFrame:
     """Per topic: L (positions with positive gain), IDCG over all of them, the
     total ideal gain, and the boundary sums over every position."""
@@ -64,13 +102,17 @@ def ideal_totals(ideal: DataFrame, keys=("qid",)) -> DataFrame:
     )
 
 
-def ideal_dcg_at(qrels: DataFrame, cutoffs, keys=("qid",)) -> DataFrame:
+def ideal_dcg_at(qrels: DataFrame, cutoffs, keys=("qid",), scan: bool = False) -> DataFrame:
     """Ideal DCG at each cutoff with gain = level (levels >= 1), for ndcg_cut.
     Columns: keys, idcg_cut_<k>."""
-    w = Window.partitionBy(*keys).orderBy(F.col("rel").desc(), F.col("docno"))
-    ranked = (qrels.where(F.col("rel") >= 1)
-              .select(*keys, "docno", "rel")
-              .withColumn("pos", F.row_number().over(w)))
+    judged = qrels.where(F.col("rel") >= 1).select(*keys, "docno", "rel")
+    if scan:
+        from .prefix import prefix_sums
+        ranked = prefix_sums(judged.withColumn("_one", F.lit(1)), list(keys),
+                             [F.col("rel").desc(), F.col("docno").asc()], {"pos": "_one"})
+    else:
+        w = Window.partitionBy(*keys).orderBy(F.col("rel").desc(), F.col("docno"))
+        ranked = judged.withColumn("pos", F.row_number().over(w))
     disc = F.col("rel").cast("double") / log2(F.col("pos") + 1)
     return ranked.groupBy(*keys).agg(*[
         F.sum(F.when(F.col("pos") <= int(k), disc).otherwise(0.0)).alias(f"idcg_cut_{k}")

@@ -168,11 +168,15 @@ def evaluate(runs: DataFrame, qrels: DataFrame, measures="official",
         persisted.append(runs)
     small = J.judgements_are_small(qrels, cfg)
     stats = J.topic_stats(qrels, cfg.level, topic_keys)
+    big_topics = False
+    if ctx.needs_gain_align or ctx.needs_idcg_cut:
+        big_topics = bool(cfg.skew_safe) if cfg.skew_safe is not None else \
+            I.largest_topic_exceeds(qrels, topic_keys, cfg.skew_rows)
     if judged is None:
         judged = J.judged_rows(runs, qrels, cfg, stats, run_keys=run_keys,
                                topic_keys=topic_keys, small=small)
     if ctx.needs_gain_align:
-        ideal = I.ideal_ranking(qrels, gains, topic_keys)
+        ideal = I.ideal_ranking(qrels, gains, topic_keys, scan=big_topics)
         judged = _gain_columns(judged, ideal, small, gains, run_keys, topic_keys, "desc",
                                scan=J.use_prefix_scan(runs, cfg, run_keys))
         _gain_aggs(ctx)
@@ -184,7 +188,7 @@ def evaluate(runs: DataFrame, qrels: DataFrame, measures="official",
     if ctx.needs_gain_align:
         agg = _gain_finish(agg, I.ideal_totals(ideal, topic_keys), small, topic_keys)
     if ctx.needs_idcg_cut:
-        cut = I.ideal_dcg_at(qrels, sorted(ctx.needs_idcg_cut), topic_keys)
+        cut = I.ideal_dcg_at(qrels, sorted(ctx.needs_idcg_cut), topic_keys, scan=big_topics)
         agg = agg.join(F.broadcast(cut) if small else cut, topic_keys, "left").fillna(
             0.0, subset=[f"idcg_cut_{k}" for k in ctx.needs_idcg_cut])
 
