@@ -47,8 +47,15 @@ class Evaluation:
         """(run_id, qid, measure, value) as printed per topic."""
         return S.per_topic_visible(self.per_topic_all).select("run_id", "qid", "measure", "value")
 
+    def require_overlap(self) -> None:
+        """Fail when no topic has both results and judgements."""
+        if self.num_q.isEmpty():
+            raise ValueError("no queries with both results and relevance information")
+
     def summary(self) -> DataFrame:
-        """(run_id, measure, value) averaged over topics, with num_q."""
+        """(run_id, measure, value) averaged over topics, with num_q.
+        Raises when no topic has both results and judgements (S12)."""
+        self.require_overlap()
         s = S.summarize(self.per_topic_all, self.num_q)
         names = [n for n, _ in self.selected]
         extra = []
