@@ -773,6 +773,7 @@ def group_pref_oracles() -> dict[str, str]:
         "P13_P17_P21_avgjg": prefs_measure_sql(["prefs_avgjg", "prefs_avgjg_ret", "prefs_avgjg_imp"]),
         "P14_P18_Rnonrel": prefs_measure_sql(["prefs_avgjg_Rnonrel", "prefs_avgjg_Rnonrel_ret"]),
         "P_single_subgroup_all": prefs_measure_sql(PREF_ORDER, single=True),
+        "P_single_subgroup_prefix_scan": prefs_measure_sql(PREF_ORDER, single=True),
     }
 
 

@@ -102,13 +102,20 @@ def preference_pairs(prefs: DataFrame, shape: DataFrame | None = None) -> DataFr
 
 
 # ------------------------------------------------------------------ P4
-def judged_positions(runs: DataFrame, prefs: DataFrame, cfg: EvalConfig) -> DataFrame:
+def judged_positions(runs: DataFrame, prefs: DataFrame, cfg: EvalConfig,
+                     scan: bool = False) -> DataFrame:
     """(run_id, qid, docno, pos, ret, njr, nj) for every judged document of
-    every evaluated (run, topic)."""
-    w = Window.partitionBy("run_id", "qid").orderBy(
-        F.col("sim").cast("float").desc(), F.col("docno").asc())
-    ranked = runs.select("run_id", "qid", "docno", F.col("sim").cast("float")) \
-        .withColumn("rank", F.row_number().over(w))
+    every evaluated (run, topic).  `scan`: positions by distributed prefix
+    scans instead of per-topic windows (oversized topics)."""
+    order = [F.col("sim").cast("float").desc(), F.col("docno").asc()]
+    base = runs.select("run_id", "qid", "docno", F.col("sim").cast("float"))
+    if scan:
+        from .prefix import prefix_sums
+        ranked = prefix_sums(base.withColumn("_one", F.lit(1)), ["run_id", "qid"], order,
+                             {"rank": "_one"}).drop("_one")
+    else:
+        w = Window.partitionBy("run_id", "qid").orderBy(*order)
+        ranked = base.withColumn("rank", F.row_number().over(w))
     if cfg.cut is not None:
         ranked = ranked.where(F.col("rank") <= cfg.cut)
     docs = prefs.select("qid", "docno").distinct()
@@ -117,6 +124,15 @@ def judged_positions(runs: DataFrame, prefs: DataFrame, cfg: EvalConfig) -> Data
     grid = topics.join(docs, "qid")
     j = grid.join(ranked.select("run_id", "qid", "docno", "rank"),
                   ["run_id", "qid", "docno"], "left")
+    if scan:
+        from .prefix import prefix_sums
+        tot = j.groupBy("run_id", "qid").agg(F.count("rank").alias("njr"),
+                                             F.count(F.lit(1)).alias("nj"))
+        p = prefix_sums(j.withColumn("_one", F.lit(1)), ["run_id", "qid"],
+                        [F.col("rank").asc_nulls_last(), F.col("docno").asc()], {"_p": "_one"})
+        return p.join(tot, ["run_id", "qid"]).select(
+            "run_id", "qid", "docno", (F.col("_p") - 1).cast("int").alias("pos"),
+            F.col("rank").isNotNull().alias("ret"), "njr", "nj")
     pw = Window.partitionBy("run_id", "qid").orderBy(
         F.col("rank").asc_nulls_last(), F.col("docno"))
     tw = Window.partitionBy("run_id", "qid")
@@ -179,7 +195,7 @@ def single_group_docs(levels: DataFrame, pos: DataFrame) -> DataFrame:
             .join(pos.select("run_id", "qid", "docno", "pos", "ret", "njr"), ["qid", "docno"]))
 
 
-def single_group_counts(docs: DataFrame) -> DataFrame:
+def single_group_counts(docs: DataFrame, scan: bool = False) -> DataFrame:
     """P6 for single-subgroup groups without emitting document pairs.
 
     Every document is preferred to every document of a lower level, so the
@@ -209,9 +225,15 @@ def single_group_counts(docs: DataFrame) -> DataFrame:
     ret = docs.where("ret").select(*keys, "docno", "lvl", "pos")
     thr = ret.select(*keys, F.col("lvl").alias("t")).distinct()
     x = ret.join(thr, keys)
-    tw = Window.partitionBy(*keys, "t").orderBy("pos") \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    x = x.withColumn("above", F.sum(F.when(F.col("lvl") > F.col("t"), 1).otherwise(0)).over(tw))
+    marker = F.when(F.col("lvl") > F.col("t"), 1).otherwise(0)
+    if scan:
+        from .prefix import prefix_sums
+        x = prefix_sums(x.withColumn("_m", marker), keys + ["t"], [F.col("pos").asc()],
+                        {"above": "_m"})
+    else:
+        tw = Window.partitionBy(*keys, "t").orderBy("pos") \
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        x = x.withColumn("above", F.sum(marker).over(tw))
     fr = x.where(F.col("lvl") == F.col("t")).groupBy(*keys).agg(
         F.sum("above").alias("ful_ret"),
         F.sum(F.when(F.col("t") > 0, F.col("above")).otherwise(0)).alias("ful_ret_rel"))
@@ -236,11 +258,12 @@ def doc_class_counts(levels: DataFrame, pos: DataFrame) -> DataFrame:
 PAIR_COUNTS = ["ful_ret", "poss_ret", "ful_imp", "poss_imp", "notoccur"]
 
 
-def all_group_counts(levels: DataFrame, pos: DataFrame, pp_multi: DataFrame | None):
+def all_group_counts(levels: DataFrame, pos: DataFrame, pp_multi: DataFrame | None,
+                     scan: bool = False):
     """P6 for every group: linear counts for single-subgroup groups, pair
     areas for multi-subgroup groups.  Returns (counts, single_parts)."""
     d = doc_class_counts(levels, pos)
-    sc = single_group_counts(single_group_docs(levels, pos))
+    sc = single_group_counts(single_group_docs(levels, pos), scan)
     parts = [sc.select("run_id", "qid", "jg", *PAIR_COUNTS)]
     if pp_multi is not None:
         area = _area(F.col("ph"), F.col("pl"), F.col("njr"))
@@ -257,7 +280,7 @@ def all_group_counts(levels: DataFrame, pos: DataFrame, pp_multi: DataFrame | No
 
 # ------------------------------------------------------------------ P14/P18
 def rnonrel_counts(pp_multi: DataFrame | None, levels: DataFrame, pos: DataFrame,
-                   counts: DataFrame, single_parts: DataFrame) -> DataFrame:
+                   counts: DataFrame, single_parts: DataFrame, scan: bool = False) -> DataFrame:
     """Recounts for groups with fewer relevant than nonrelevant documents,
     keeping only the first R nonrelevant documents (by position).
 
@@ -267,9 +290,15 @@ def rnonrel_counts(pp_multi: DataFrame | None, levels: DataFrame, pos: DataFrame
     lv = lv.join(counts.select("run_id", "qid", "jg", "rel", "rel_ret", "nonrel", "nonrel_ret"),
                  ["run_id", "qid", "jg"])
     is_non = F.when(F.col("n_jsg") > 1, F.col("lvl") == 0).otherwise(F.col("lvl") <= 0)
-    nw = Window.partitionBy("run_id", "qid", "jg", is_non).orderBy("pos")
-    lv = lv.withColumn("is_non", is_non).withColumn(
-        "non_idx", F.when(F.col("is_non"), F.row_number().over(nw)))
+    lv = lv.withColumn("is_non", is_non)
+    if scan:
+        from .prefix import prefix_sums
+        lv = prefix_sums(lv.withColumn("_one", F.lit(1)), ["run_id", "qid", "jg", "is_non"],
+                         [F.col("pos").asc()], {"_ni": "_one"})
+        lv = lv.withColumn("non_idx", F.when(F.col("is_non"), F.col("_ni"))).drop("_one", "_ni")
+    else:
+        nw = Window.partitionBy("run_id", "qid", "jg", "is_non").orderBy("pos")
+        lv = lv.withColumn("non_idx", F.when(F.col("is_non"), F.row_number().over(nw)))
     # kept nonrelevant documents: the first R (all docs) / first R (retrieved
     # variant; multi-subgroup groups use total R, single-subgroup R_ret)
     keep_all = ~F.col("is_non") | (F.col("non_idx") <= F.col("rel"))
@@ -312,14 +341,26 @@ def rnonrel_counts(pp_multi: DataFrame | None, levels: DataFrame, pos: DataFrame
     # running count of kept nonrelevant docs after each position.
     kn_all = F.col("is_non") & F.col("keep_all")
     kn_ret = F.col("is_non") & F.col("keep_ret") & F.col("ret")
-    gw = Window.partitionBy("run_id", "qid", "jg")
-    after = gw.orderBy(F.col("pos").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    s2 = s.select(
-        "run_id", "qid", "jg", "pos", "ret",
-        F.coalesce(F.sum(F.when(kn_all, 1).otherwise(0)).over(after), F.lit(0)).alias("kall_after"),
-        F.coalesce(F.sum(F.when(kn_ret, 1).otherwise(0)).over(after), F.lit(0)).alias("kret_after"),
-        F.sum(F.when(kn_all, 1).otherwise(0)).over(gw).alias("kall_tot"),
-        F.sum(F.when(kn_ret, 1).otherwise(0)).over(gw).alias("kret_tot"))
+    gk = ["run_id", "qid", "jg"]
+    if scan:
+        from .prefix import prefix_sums
+        fl = s.select(*gk, "pos", "ret", F.when(kn_all, 1).otherwise(0).alias("_ka"),
+                      F.when(kn_ret, 1).otherwise(0).alias("_kr"))
+        tot = fl.groupBy(*gk).agg(F.sum("_ka").alias("kall_tot"), F.sum("_kr").alias("kret_tot"))
+        fl = prefix_sums(fl, gk, [F.col("pos").asc()], {"_ka_le": "_ka", "_kr_le": "_kr"})
+        s2 = fl.join(tot, gk).select(
+            *gk, "pos", "ret",
+            (F.col("kall_tot") - F.col("_ka_le")).alias("kall_after"),
+            (F.col("kret_tot") - F.col("_kr_le")).alias("kret_after"), "kall_tot", "kret_tot")
+    else:
+        gw = Window.partitionBy(*gk)
+        after = gw.orderBy(F.col("pos").desc()).rowsBetween(Window.unboundedPreceding, -1)
+        s2 = s.select(
+            *gk, "pos", "ret",
+            F.coalesce(F.sum(F.when(kn_all, 1).otherwise(0)).over(after), F.lit(0)).alias("kall_after"),
+            F.coalesce(F.sum(F.when(kn_ret, 1).otherwise(0)).over(after), F.lit(0)).alias("kret_after"),
+            F.sum(F.when(kn_all, 1).otherwise(0)).over(gw).alias("kall_tot"),
+            F.sum(F.when(kn_ret, 1).otherwise(0)).over(gw).alias("kret_tot"))
     vs_non = s2.groupBy("run_id", "qid", "jg").agg(
         F.sum(F.when(F.col("ret"), F.col("kall_after")).otherwise(0)).alias("b_ful"),
         F.sum("kall_tot").alias("b_poss"),
@@ -432,7 +473,14 @@ def evaluate_prefs(runs: DataFrame, prefs: DataFrame, measures="all_prefs",
     shape = group_shape(prefs)
     if bounded_broadcast(prefs, cfg.broadcast_rows)[1]:
         shape = F.broadcast(shape)
-    pos = judged_positions(runs, prefs, cfg).persist(StorageLevel.MEMORY_AND_DISK)
+    if cfg.skew_safe is not None:
+        scan = bool(cfg.skew_safe)
+    else:
+        from .ideal import largest_topic_exceeds
+        from .judged import use_prefix_scan
+        scan = use_prefix_scan(runs, cfg, ["run_id", "qid"]) or largest_topic_exceeds(
+            prefs.select("qid", "docno").distinct(), ["qid"], cfg.skew_rows)
+    pos = judged_positions(runs, prefs, cfg, scan).persist(StorageLevel.MEMORY_AND_DISK)
     levels = doc_levels(prefs, shape).persist(StorageLevel.MEMORY_AND_DISK)
     cached = [prefs, pos, levels]
 
@@ -449,10 +497,10 @@ def evaluate_prefs(runs: DataFrame, prefs: DataFrame, measures="all_prefs",
         pp_multi = pair_positions(closed.withColumn("multi", F.lit(True)), pos) \
             .persist(StorageLevel.MEMORY_AND_DISK)
         cached.append(pp_multi)
-    counts, single_parts = all_group_counts(levels, pos, pp_multi)
+    counts, single_parts = all_group_counts(levels, pos, pp_multi, scan)
     counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
     cached.append(counts)
-    rn = rnonrel_counts(pp_multi, levels, pos, counts, single_parts)
+    rn = rnonrel_counts(pp_multi, levels, pos, counts, single_parts, scan)
 
     # ... and per-pair group counts (prefs_pair*) for topics judged by several
     # groups; with one group a pair's ratio is 1 or 0, so the sums are counts.

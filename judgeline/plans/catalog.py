@@ -408,9 +408,9 @@ def q_pair_counts(spark, sf):
                                     F.col("c_up").cast("long"), F.col("c_down").cast("long"))
 
 
-def q_prefs(spark, sf, names, single=False):
+def q_prefs(spark, sf, names, single=False, skew_safe=None):
     runs, prefs = _d_inputs(spark, sf, single)
-    ev = P.evaluate_prefs(runs, prefs, names)
+    ev = P.evaluate_prefs(runs, prefs, names, EvalConfig(skew_safe=skew_safe))
     return ev.per_topic.select("run_id", "qid", "measure", _r("value"))
 
 
@@ -439,6 +439,7 @@ def group_pref_queries() -> dict:
         "P13_P17_P21_avgjg": partial(q_prefs, names=PREF_AVGJG),
         "P14_P18_Rnonrel": partial(q_prefs, names=PREF_RNONREL),
         "P_single_subgroup_all": partial(q_prefs, names="all_prefs", single=True),
+        "P_single_subgroup_prefix_scan": partial(q_prefs, names="all_prefs", single=True, skew_safe=True),
     }
 
 

@@ -75,3 +75,14 @@ def test_prefix_scan_equals_windows(b):
         assert a.keys() == c.keys()
         for k in a:
             assert c[k] == pytest.approx(a[k], abs=1e-12)
+
+
+def test_prefs_prefix_scan_equals_windows(spark):
+    from judgeline.operators.prefs import evaluate_prefs
+    runs, prefs = FX.fixture_d_runs(spark, SF), FX.fixture_d_prefs(spark, SF)
+    for p in (prefs, prefs.where("jsg = '0'")):
+        a = _pt(evaluate_prefs(runs, p, "all_prefs", EvalConfig(skew_safe=False)))
+        c = _pt(evaluate_prefs(runs, p, "all_prefs", EvalConfig(skew_safe=True)))
+        assert a.keys() == c.keys()
+        for k in a:
+            assert c[k] == pytest.approx(a[k], abs=1e-12)
