@@ -476,13 +476,14 @@ def evaluate_prefs(runs: DataFrame, prefs: DataFrame, measures="all_prefs",
     if cfg.skew_safe is not None:
         scan = bool(cfg.skew_safe)
     else:
+        runs = runs.persist(StorageLevel.MEMORY_AND_DISK)   # shared by the check
         from .ideal import largest_topic_exceeds
         from .judged import use_prefix_scan
         scan = use_prefix_scan(runs, cfg, ["run_id", "qid"]) or largest_topic_exceeds(
             prefs.select("qid", "docno").distinct(), ["qid"], cfg.skew_rows)
     pos = judged_positions(runs, prefs, cfg, scan).persist(StorageLevel.MEMORY_AND_DISK)
     levels = doc_levels(prefs, shape).persist(StorageLevel.MEMORY_AND_DISK)
-    cached = [prefs, pos, levels]
+    cached = [prefs, pos, levels] + ([runs] if cfg.skew_safe is None else [])
 
     # pairs only where the relation itself is needed: transitive closure of
     # groups with several subgroups ...
