@@ -26,19 +26,7 @@ def flag(cond: Column) -> Column:
     return F.when(cond, F.lit(1)).otherwise(F.lit(0)).cast("long")
 
 
-def count_if(cond: Column) -> Column:
-    return F.sum(flag(cond))
-
-
-def frac_cutoff(p: float, r: Column) -> Column:
-    """(long)(p * R + 0.9) in double arithmetic; values are non-negative."""
-    return F.floor(lit_d(p) * r.cast("double") + lit_d(0.9)).cast("long")
 
 
 def log2(c: Column) -> Column:
     return F.log2(c.cast("double"))
-
-
-def fmt_float_param(p: float) -> str:
-    """Name suffix of a fractional parameter: 0.1 -> '0.10'."""
-    return f"{p:.2f}"

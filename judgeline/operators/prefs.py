@@ -5,14 +5,19 @@ Data flow (all DataFrame joins / windows / aggregates, keyed by run and topic):
 * P4 `judged_positions`: every judged document of a topic gets a position:
   retrieved ones 0..NJR-1 in rank order (score desc, docno asc, after -M),
   the rest NJR.. in docno order.
-* P1/P2 `preference_pairs`: the preference relation per (qid, jg) as rows
-  (hi, lo).  Within a judgement subgroup a higher level is preferred; groups
-  with several subgroups are closed transitively by a join loop whose
-  lineage is cut with reliable checkpoints.
-* P5/P6 `jg_counts`: each pair's area (fulfilled / not, retrieved / implied /
-  neither) from the two positions, summed per (run, qid, jg).
+* P1/P2 `direct_pairs` / `closure`: the preference relation of groups with
+  several subgroups as rows (hi, lo), closed transitively by a join loop
+  whose lineage is cut with reliable checkpoints.
+* P5/P6 `all_group_counts`: fulfilled / possible counts per (run, qid, jg)
+  in the areas retrieved / implied / neither.  Single-subgroup groups are
+  counted linearly (per-level products plus running counts per level
+  threshold, no document pairs); multi-subgroup groups classify each pair of
+  their closed relation by the two positions.
 * P7 `pair_counts`: per unordered document pair, the number of groups
-  preferring each side.
+  preferring each side (only for topics judged by several groups; with one
+  group the pair ratios follow from the P6 counts).
+* Every per-topic window has a distributed prefix-scan variant (`scan`) used
+  when a topic or run is too large for one task.
 * P8-P21: arithmetic over those counts, then per topic.
 """
 from __future__ import annotations
@@ -165,29 +170,6 @@ def doc_levels(prefs: DataFrame, shape: DataFrame) -> DataFrame:
             .join(shape, ["qid", "jg"]))
 
 
-def jg_counts(pp: DataFrame, levels: DataFrame, pos: DataFrame) -> DataFrame:
-    """P6 per (run_id, qid, jg): ful_ret, poss_ret, ful_imp, poss_imp,
-    notoccur, rel, rel_ret, nonrel, nonrel_ret."""
-    area = _area(F.col("ph"), F.col("pl"), F.col("njr"))
-    c = pp.withColumn("area", area).groupBy("run_id", "qid", "jg").agg(
-        F.sum(F.when(F.col("area") == "ful_ret", 1).otherwise(0)).alias("ful_ret"),
-        F.sum(F.when(F.col("area").isin("ful_ret", "nf_ret"), 1).otherwise(0)).alias("poss_ret"),
-        F.sum(F.when(F.col("area") == "ful_imp", 1).otherwise(0)).alias("ful_imp"),
-        F.sum(F.when(F.col("area").isin("ful_imp", "nf_imp"), 1).otherwise(0)).alias("poss_imp"),
-        F.sum(F.when(F.col("area") == "none", 1).otherwise(0)).alias("notoccur"))
-    lv = levels.join(pos.select("run_id", "qid", "docno", "ret"), ["qid", "docno"])
-    rel = F.col("lvl") > 0
-    nonrel = F.when(F.col("n_jsg") > 1, F.col("lvl") == 0).otherwise(F.col("lvl") <= 0)
-    d = lv.groupBy("run_id", "qid", "jg").agg(
-        F.sum(F.when(rel, 1).otherwise(0)).alias("rel"),
-        F.sum(F.when(rel & F.col("ret"), 1).otherwise(0)).alias("rel_ret"),
-        F.sum(F.when(nonrel, 1).otherwise(0)).alias("nonrel"),
-        F.sum(F.when(nonrel & F.col("ret"), 1).otherwise(0)).alias("nonrel_ret"))
-    out = d.join(c, ["run_id", "qid", "jg"], "left").fillna(
-        0, subset=["ful_ret", "poss_ret", "ful_imp", "poss_imp", "notoccur"])
-    return out
-
-
 # ------------------------------------------------------------------ P6 linear
 def single_group_docs(levels: DataFrame, pos: DataFrame) -> DataFrame:
     """Documents of single-subgroup groups with their position per run."""

@@ -24,7 +24,6 @@ TOP_K = 1000
 # run tags written by the reference programs
 RUN_TAGS = {"tfidf": "DEFAULT", "classic": "Default", "bm25": "BM25",
             "lm_dirichlet": "LMDirichlet", "lm_jm": "LMJelinekMercer"}
-KIND_TAGS = {"short": "SHORT", "long": "LONG"}
 MODELS = list(RUN_TAGS)
 
 
