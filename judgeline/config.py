@@ -24,6 +24,8 @@ class EvalConfig:
     skew_safe: bool | None = None  # running counts by distributed prefix scan;
     #                                None: only when a (run, topic) exceeds skew_rows
     skew_rows: int = 2_000_000
+    strict: bool = False           # raise on duplicate documents (J4/J5) and
+    #                                inconsistent preferences (P3), as the evaluator does
 
     @property
     def cut(self) -> int | None:

@@ -68,6 +68,16 @@ def judged_join(ranked: DataFrame, qrels: DataFrame, keys=("qid",),
     return j.withColumn("code", relevance_code(F.col("_rel"))).drop("_rel")
 
 
+def raise_on_duplicates(runs: DataFrame, qrels: DataFrame, run_keys, topic_keys) -> None:
+    """J4/J5 as errors: a document twice in one ranking or in one topic's
+    judgements (one grouped count each, first offender reported)."""
+    for what, df, keys in (("results", runs, run_keys), ("judgements", qrels, topic_keys)):
+        bad = duplicate_docs(df, list(keys)).limit(1).collect()
+        if bad:
+            r = bad[0].asDict()
+            raise ValueError(f"duplicate document in {what}: {r}")
+
+
 def judgements_are_small(qrels: DataFrame, cfg: EvalConfig) -> bool:
     """Size check behind every broadcast of a judgement-derived table: the
     judgements have at most `cfg.broadcast_rows` rows (counted with a limit)."""

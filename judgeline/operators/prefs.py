@@ -452,6 +452,10 @@ def evaluate_prefs(runs: DataFrame, prefs: DataFrame, measures="all_prefs",
         prefs = prefs.where(F.col("qid") == cfg.topic)
     prefs = prefs.select("qid", "jg", "jsg", "docno", F.col("rel_level").cast("float")) \
         .persist(StorageLevel.MEMORY_AND_DISK)
+    if cfg.strict:
+        bad = inconsistencies(prefs).limit(1).collect()
+        if bad:
+            raise ValueError(f"inconsistent preferences: {bad[0].asDict()}")
     shape = group_shape(prefs)
     if bounded_broadcast(prefs, cfg.broadcast_rows)[1]:
         shape = F.broadcast(shape)

@@ -170,6 +170,8 @@ def evaluate(runs: DataFrame, qrels: DataFrame, measures="official",
     # skew check and the ranking: keep each once
     qrels = qrels.persist(StorageLevel.MEMORY_AND_DISK)
     persisted = [qrels]
+    if cfg.strict:
+        J.raise_on_duplicates(runs, qrels, list(run_keys), list(topic_keys))
     if judged is None and cfg.skew_safe is None:
         runs = runs.persist(StorageLevel.MEMORY_AND_DISK)
         persisted.append(runs)

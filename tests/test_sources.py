@@ -38,3 +38,15 @@ def test_no_overlap_fails(spark, tmp_path):
     qrels = T.read_qrels(spark, _write(tmp_path / "q.txt", "2 0 d1 1\n"))
     with pytest.raises(ValueError):
         evaluate(runs, qrels, "official").summary().collect()
+
+
+def test_strict_mode_rejects_duplicates_and_inconsistent_prefs(spark, tmp_path):
+    from judgeline.config import EvalConfig
+    from judgeline.operators.prefs import evaluate_prefs
+    runs = T.read_run(spark, _write(tmp_path / "r.txt", "1 Q0 d1 1 1.0 r\n1 Q0 d1 2 0.5 r\n"))
+    qrels = T.read_qrels(spark, _write(tmp_path / "q.txt", "1 0 d1 1\n"))
+    with pytest.raises(ValueError, match="duplicate"):
+        evaluate(runs, qrels, "official", EvalConfig(strict=True))
+    prefs = T.read_prefs(spark, _write(tmp_path / "p.txt", "1 a s d1 1\n1 a s d1 2\n1 a s d2 0\n"))
+    with pytest.raises(ValueError, match="inconsistent"):
+        evaluate_prefs(runs, prefs, "all_prefs", EvalConfig(strict=True))
