@@ -148,6 +148,10 @@ def use_prefix_scan(runs: DataFrame, cfg: EvalConfig, run_keys) -> bool:
     the running counts from per-group windows to the prefix scan."""
     if cfg.skew_safe is not None:
         return bool(cfg.skew_safe)
+    if cfg.cut is not None and cfg.cut <= cfg.skew_rows:
+        # the -M cut is planned as a partial + final WindowGroupLimit: the
+        # windows of a (run, topic) then see at most `cut` rows
+        return False
     cache = getattr(runs, "_judgeline_skew", None)
     if cache is None:
         biggest = runs.groupBy(*run_keys).count().agg(F.max("count")).first()[0] or 0
