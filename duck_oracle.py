@@ -537,6 +537,13 @@ def source_oracles() -> dict[str, str]:
         "S5_prefs_roundtrip": _with(FIX_B, FIX_D) +
             "SELECT qid, jg, jsg, docno, CAST(rel_level AS DOUBLE) AS rel_level FROM prefs",
         "S10_report": _report_sql(),
+        "S1_T1_T2_topics_roundtrip": _with(FIX_A) +
+            "SELECT CASE WHEN left(qid, 1) = '0' THEN substr(qid, 2) ELSE qid END AS qid, "
+            "' ' || title || chr(10) || chr(10) AS title, "
+            "' Description:' || chr(10) || description || chr(10) || chr(10) AS description, "
+            f"array_to_string({_tok('title')}, ' ') AS short_terms, "
+            f"array_to_string({_tok(chr(39) + ' Description:' + chr(39) + ' || chr(10) || description')}, ' ') AS long_terms "
+            "FROM topics",
     }
 
 

@@ -19,13 +19,14 @@ from ..plans.evaluate import evaluate
 from ..operators import groups as G
 from ..operators import prefs as P
 from ..operators.groups import evaluate_jg
-from ..functions.text import tokenize
+from ..functions.text import query_text, tokenize
 from ..operators import scoring as SC
 from ..operators import termstats as TS
 from ..plans.retrieve import compare_runs, explain, query_table, retrieve, scored
 from ..session import ensure_checkpoint_dir
 from ..sources.sinks import report_lines, write_run
-from ..sources.text_formats import read_prefs, read_qrels, read_qrels_as_prefs, read_qrels_jg, read_run
+from ..sources.text_formats import (read_prefs, read_qrels, read_qrels_as_prefs, read_qrels_jg,
+                                    read_run, read_topics)
 
 ROUND = 6
 
@@ -321,6 +322,22 @@ def q_prefs_roundtrip(spark, sf):
     return read_prefs(spark, path).select("qid", "jg", "jsg", "docno", F.col("rel_level").cast("double"))
 
 
+def q_topics_roundtrip(spark, sf):
+    """Fixture-A topics written as `<top>` blocks, parsed back
+    (number: `Number:` removed, trimmed, one leading zero dropped; title with
+    `Topic: ` removed; description keeps its `Description:` label)."""
+    _, topics = _a(spark, sf)
+    path = _scratch(spark, "topics")
+    block = F.concat(F.lit("<top>\n<num> Number: "), F.col("qid"), F.lit(" \n<dom> Domain: test\n"),
+                     F.lit("<title> Topic: "), F.col("title"), F.lit("\n\n<desc> Description:\n"),
+                     F.col("description"), F.lit("\n\n<smry> Summary:\n</top>"))
+    topics.select(block.alias("value")).write.mode("overwrite").text(path)
+    return read_topics(spark, path).select(
+        "qid", "title", "description",
+        F.array_join(tokenize(query_text("short")), " ").alias("short_terms"),
+        F.array_join(tokenize(query_text("long")), " ").alias("long_terms"))
+
+
 def q_report(spark, sf):
     """Report lines of the official measures (per topic and summary)."""
     runs, qrels = _b(spark, sf)
@@ -335,6 +352,7 @@ def source_queries() -> dict:
         "S4_S6_qrels_jg_roundtrip": q_qrels_jg_roundtrip,
         "S5_prefs_roundtrip": q_prefs_roundtrip,
         "S10_report": q_report,
+        "S1_T1_T2_topics_roundtrip": q_topics_roundtrip,
     }
 
 
