@@ -527,6 +527,17 @@ def _report_sql() -> str:
             f"WHERE FALSE")
 
 
+def _zref_sql() -> str:
+    items = m_items("num_ret") + m_items("num_rel_ret") + m_items("map")
+    pt = "\nUNION ALL\n".join(
+        f"SELECT run_id, qid, '{n}' AS measure, CAST(({e}) AS DOUBLE) AS value FROM jr GROUP BY run_id, qid, R, Nn"
+        for n, e in items)
+    return (_with(FIX_B, judged_cte(), f"pt AS ({pt})") +
+            "SELECT qid, measure, round(avg(value), 6) AS mean, "
+            "round(CASE WHEN measure = 'num_rel' THEN 0.0 ELSE stddev_pop(value) END, 6) AS stddev "
+            "FROM pt WHERE NOT ends_with(qid, '-5') GROUP BY qid, measure")
+
+
 def source_oracles() -> dict[str, str]:
     return {
         "S2_S9_run_roundtrip": _with(FIX_B) + "SELECT run_id, qid, docno, CAST(sim AS DOUBLE) AS sim FROM runs",
@@ -537,6 +548,7 @@ def source_oracles() -> dict[str, str]:
         "S5_prefs_roundtrip": _with(FIX_B, FIX_D) +
             "SELECT qid, jg, jsg, docno, CAST(rel_level AS DOUBLE) AS rel_level FROM prefs",
         "S10_report": _report_sql(),
+        "S7_zref_roundtrip": _zref_sql(),
         "S1_T1_T2_topics_roundtrip": _with(FIX_A) +
             "SELECT CASE WHEN left(qid, 1) = '0' THEN substr(qid, 2) ELSE qid END AS qid, "
             "' ' || title || chr(10) || chr(10) AS title, "

@@ -26,7 +26,7 @@ from ..plans.retrieve import compare_runs, explain, query_table, retrieve, score
 from ..session import ensure_checkpoint_dir
 from ..sources.sinks import report_lines, write_run
 from ..sources.text_formats import (read_prefs, read_qrels, read_qrels_as_prefs, read_qrels_jg,
-                                    read_run, read_topics)
+                                    read_run, read_topics, read_zref)
 
 ROUND = 6
 
@@ -338,6 +338,16 @@ def q_topics_roundtrip(spark, sf):
         F.array_join(tokenize(query_text("long")), " ").alias("long_terms"))
 
 
+def q_zref_roundtrip(spark, sf):
+    """Fixture-E z-score reference lines `qid measure mean stddev`, read back."""
+    runs, qrels = _b(spark, sf)
+    base = evaluate(runs, qrels, ["num_ret", "num_rel_ret", "map"]).per_topic
+    z = FX.fixture_e_zref(base)
+    path = _scratch(spark, "zref")
+    _write_lines(z, ["qid", "measure", "mean", "stddev"], path)
+    return read_zref(spark, path).select("qid", "measure", _r("mean"), _r("stddev"))
+
+
 def q_report(spark, sf):
     """Report lines of the official measures (per topic and summary)."""
     runs, qrels = _b(spark, sf)
@@ -353,6 +363,7 @@ def source_queries() -> dict:
         "S5_prefs_roundtrip": q_prefs_roundtrip,
         "S10_report": q_report,
         "S1_T1_T2_topics_roundtrip": q_topics_roundtrip,
+        "S7_zref_roundtrip": q_zref_roundtrip,
     }
 
 
