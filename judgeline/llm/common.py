@@ -1,6 +1,7 @@
 """Helpers that several operators of this subpackage share."""
 from __future__ import annotations
 
+import json
 import sys
 
 from pyspark import cloudpickle
@@ -50,6 +51,11 @@ def crc_mod(column: Column, n: int) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit(""))) % F.lit(n)
 
 
+def constant(value, schema: str) -> Column:
+    """A Python value of any size and nesting as one constant of the plan."""
+    return F.from_json(F.lit(json.dumps({"v": value})), f"v {schema}")["v"]
+
+
 def broadcast_if_small(df: DataFrame, limit_mb: float = 32) -> DataFrame:
     """Hint a broadcast only when the measured bytes of ``df`` stay under the
     limit; beyond it the planner's shuffle join is used.  ``df`` should be

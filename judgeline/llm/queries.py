@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from judgeline.llm import mixing, sharding
+from judgeline.llm import license_scan, mixing, quality_rules, sharding, url_filter
 from judgeline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,14 +16,30 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_words(table(spark, sf_dir, "documents"))
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), url_filter.fixed_rules(spark),
+                                 url_filter.fixed_unwanted(spark))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents")).drop("failed_rules")
+
+
 def op7_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents")).drop("matches")
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_mix_sources": op1_mix_sources,
+        "op3_url_filter": op3_url_filter,
+        "op6_quality_rules": op6_quality_rules,
         "op7_jump_shards": op7_jump_shards,
+        "op8_license_scan": op8_license_scan,
     }
 
 
@@ -66,5 +82,29 @@ FROM e
 """
 
 
+OP3_SQL = """
+WITH r AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+h AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(regexp_replace(rest, '^[^/?#]*', ''), '^[^?#]*') AS path
+  FROM r),
+rules(rh, rp, v) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+  ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+best AS (
+  SELECT host, path, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(v, length(rh || rp)) AS v
+  FROM (SELECT DISTINCT host, path FROM h) u
+  JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
+  GROUP BY host, path)
+SELECT h.page_id, h.host, h.path, best.rule,
+       coalesce(best.v, CASE WHEN regexp_matches(h.host,
+         '(^|[.])(spam-farm|cheap-pills|casino-win|free-bets|adult-x|ads-track)[.]example[.](com|net|org)$')
+         THEN 'block' ELSE 'allow' END) AS verdict
+FROM h LEFT JOIN best ON h.host = best.host AND h.path = best.path
+"""
+
+
 def all_oracles() -> dict[str, str]:
-    return {"op1_mix_sources": OP1_SQL}
+    return {"op1_mix_sources": OP1_SQL, "op3_url_filter": OP3_SQL}
