@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from judgeline.llm import license_scan, mixing, quality_rules, sharding, url_filter
+from judgeline.llm import language_id, license_scan, mixing, quality_rules, sharding, url_filter
 from judgeline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,11 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents")).drop("matches")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.train(docs))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_mix_sources": op1_mix_sources,
@@ -40,6 +45,7 @@ def all_queries() -> dict[str, Query]:
         "op6_quality_rules": op6_quality_rules,
         "op7_jump_shards": op7_jump_shards,
         "op8_license_scan": op8_license_scan,
+        "op10_language_id": op10_language_id,
     }
 
 
