@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from judgeline.llm import language_id, license_scan, mixing, quality_rules, sharding, url_filter
+from judgeline.llm import (
+    embedding_dedup, language_id, license_scan, mixing, quality_rules, sharding, url_filter)
 from judgeline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +22,10 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  url_filter.fixed_unwanted(spark))
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).drop("failed_rules")
 
@@ -42,6 +47,7 @@ def all_queries() -> dict[str, Query]:
     return {
         "op1_mix_sources": op1_mix_sources,
         "op3_url_filter": op3_url_filter,
+        "op5_embedding_dedup": op5_embedding_dedup,
         "op6_quality_rules": op6_quality_rules,
         "op7_jump_shards": op7_jump_shards,
         "op8_license_scan": op8_license_scan,
