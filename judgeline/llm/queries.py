@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from judgeline.llm import (
-    embedding_dedup, language_id, license_scan, mixing, quality_rules, sharding, url_filter)
+    embedding_dedup, language_id, license_scan, minhash_dedup, mixing, quality_rules, sharding, url_filter)
 from judgeline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_words(table(spark, sf_dir, "documents"))
 
 
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), url_filter.fixed_rules(spark),
                                  url_filter.fixed_unwanted(spark))
@@ -46,6 +50,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     return {
         "op1_mix_sources": op1_mix_sources,
+        "op2_minhash_dedup": op2_minhash_dedup,
         "op3_url_filter": op3_url_filter,
         "op5_embedding_dedup": op5_embedding_dedup,
         "op6_quality_rules": op6_quality_rules,
