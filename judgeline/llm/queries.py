@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from judgeline.llm import (
-    embedding_dedup, language_id, license_scan, minhash_dedup, mixing, quality_rules, sharding, url_filter)
+    embedding_dedup, language_id, license_scan, minhash_dedup, mixing, quality_rules,
+    sentencepiece_codec, sharding, url_filter)
 from judgeline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +43,10 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents")).drop("matches")
 
 
+def op9_sentencepiece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language_id.predict(docs, language_id.train(docs))
@@ -56,6 +61,7 @@ def all_queries() -> dict[str, Query]:
         "op6_quality_rules": op6_quality_rules,
         "op7_jump_shards": op7_jump_shards,
         "op8_license_scan": op8_license_scan,
+        "op9_sentencepiece_dropout": op9_sentencepiece_dropout,
         "op10_language_id": op10_language_id,
     }
 
