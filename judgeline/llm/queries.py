@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from judgeline.llm import (
-    embedding_dedup, language_id, license_scan, minhash_dedup, mixing, quality_rules,
-    sentencepiece_codec, sharding, url_filter)
+    embedding_dedup, language_id, license_scan, lm_scoring, minhash_dedup, mixing,
+    quality_rules, sentencepiece_codec, sharding, url_filter)
 from judgeline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,10 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  url_filter.fixed_unwanted(spark))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -57,6 +61,7 @@ def all_queries() -> dict[str, Query]:
         "op1_mix_sources": op1_mix_sources,
         "op2_minhash_dedup": op2_minhash_dedup,
         "op3_url_filter": op3_url_filter,
+        "op4_lm_scoring": op4_lm_scoring,
         "op5_embedding_dedup": op5_embedding_dedup,
         "op6_quality_rules": op6_quality_rules,
         "op7_jump_shards": op7_jump_shards,
