@@ -38,7 +38,8 @@ ship(__name__)
 
 PER_LANGUAGE = 400        # documents of a language that the classifier is fitted on
 LANDMARKS = 48            # of these, the first so many span the features
-MAX_SAMPLE = 20_000       # blocks in all, however many languages there are
+ALL_LANDMARKS = 384       # of all languages together
+MAX_SAMPLE = 4_000        # blocks in all, however many languages there are
 BLOCK = 4096              # characters of a block
 RIDGE = 1e-3
 FOLDS, HELD_OUT = 3, 1
@@ -98,28 +99,35 @@ class Model:
 
 
 def fit(sample: list[tuple[str, np.ndarray]], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
-    """Nystroem features on the first blocks of each language, then ridge regression."""
+    """Nystroem features on the first blocks of each language, then ridge regression.
+
+    Presence is held as bits for the landmarks alone, so that the driver's memory
+    is bounded by their number and the slots."""
     languages = sorted({lang for lang, _ in sample})
-    wide = np.zeros((len(sample), sum(SLOTS)), np.float32)
-    for i, (_, present) in enumerate(sample):
-        wide[i, present] = 1 / np.sqrt(len(present))
+    each = max(1, min(landmarks, ALL_LANDMARKS // len(languages)))
     taken, marks = dict.fromkeys(languages, 0), []
     for i, (lang, _) in enumerate(sample):
-        if taken[lang] < landmarks:
+        if taken[lang] < each:
             taken[lang] += 1
             marks.append(i)
-    spanned = wide[marks]
-    values, vectors = np.linalg.eigh((spanned @ spanned.T).astype(float))
+    bits = np.zeros((sum(SLOTS), len(marks)), bool)
+    for j, i in enumerate(marks):
+        bits[sample[i][1], j] = True
+    own = np.sqrt([len(present) for _, present in sample])
+    kernel = np.array([np.count_nonzero(bits[present], axis=0) for _, present in sample], float)
+    kernel /= own[:, None] * own[marks]
+    values, vectors = np.linalg.eigh(kernel[marks])
     good = values > 1e-6 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])           # K(L, L) ** -1/2
-    features = (wide @ spanned.T).astype(float) @ root
-    features = np.concatenate((features, np.ones((len(sample), 1))), axis=1)
+    features = np.concatenate((kernel @ root, np.ones((len(sample), 1))), axis=1)
     target = np.array([[float(lang == other) for other in languages] for lang, _ in sample])
     weight = target @ (1 / (len(languages) * target.sum(0)))   # languages weigh the same
     penalty = np.diag([ridge] * (features.shape[1] - 1) + [0.0])
     found = np.linalg.solve((features.T * weight) @ features + penalty, (features.T * weight) @ target)
-    folded = spanned.T.astype(float) @ (root @ found[:-1])
-    return Model(languages, folded.astype(np.float32), found[-1])
+    by_mark = (root @ found[:-1]) / own[marks][:, None]
+    folded = np.concatenate([part.astype(np.float32) @ by_mark.astype(np.float32)
+                             for part in np.array_split(bits, 64)])
+    return Model(languages, folded, found[-1])
 
 
 def _sample(docs: DataFrame, per_language: int) -> list[tuple[str, np.ndarray]]:
