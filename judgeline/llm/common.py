@@ -3,13 +3,14 @@ from __future__ import annotations
 
 import json
 import sys
+import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from judgeline.session import cut_lineage
+from judgeline.session import cut_lineage, ensure_checkpoint_dir
 
 #: A word: a longest run of characters that are no ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -56,6 +57,14 @@ def constant(value, schema: str) -> Column:
     return F.from_json(F.lit(json.dumps({"v": value})), f"v {schema}")["v"]
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the shared checkpoint folder."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/judgeline-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def broadcast_if_small(df: DataFrame, limit_mb: float = 32) -> DataFrame:
     """Hint a broadcast only when the measured bytes of ``df`` stay under the
     limit; beyond it the planner's shuffle join is used.  ``df`` should be

@@ -27,15 +27,13 @@ gives an empty result.  Columns other than doc_id and text are not read.
 from __future__ import annotations
 
 import math
-import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from judgeline.llm.common import WORD, broadcast_if_small, crc_mod, lower_ascii, ship
-from judgeline.session import ensure_checkpoint_dir
+from judgeline.llm.common import WORD, broadcast_if_small, crc_mod, lower_ascii, ship, written
 
 ship(__name__)
 
@@ -253,14 +251,6 @@ def _some(batch: pa.RecordBatch, size: int = BATCH):
             at, total = i + 1, 0
 
 
-def _written(df: DataFrame) -> DataFrame:
-    """``df`` as a Parquet table in the shared checkpoint folder."""
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/judgeline-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def learn(texts: DataFrame) -> Model:
     """The model of all texts (column text)."""
     def run(batches):
@@ -278,7 +268,7 @@ def learn(texts: DataFrame) -> Model:
                     names=["kind", "key", "value"])
 
     parts = texts.select("text").mapInArrow(run, "kind int, key long, value double")
-    gathered = _written(parts.groupBy("kind", "key").agg(F.sum("value").alias("value")))
+    gathered = written(parts.groupBy("kind", "key").agg(F.sum("value").alias("value")))
     # the number of corrections is fixed by the gates, inputs and steps
     size = _GATES * _INPUTS * (_INPUTS + 1) + 256 * _STEPS * 2
     sums = np.zeros(size)
@@ -334,7 +324,7 @@ def base_scores(rows: DataFrame) -> DataFrame:
     words = F.concat(F.regexp_extract_all(lower_ascii(F.coalesce("text", F.lit(""))), F.lit(WORD), F.lit(0)),
                      F.array(F.lit("")))               # the empty word is the end
     tokens = rows.select("key", "train", F.explode(words).alias("w"))
-    counts = _written(tokens.groupBy("w").agg(
+    counts = written(tokens.groupBy("w").agg(
         F.sum(F.col("train").cast("long")).alias("c"), F.count("*").alias("n")))
     s = counts.agg(F.sum("c").alias("c"), F.sum("n").alias("n"), F.sum((F.col("c") > 0).cast("long")).alias("v")).first()
     train, every, distinct = s["c"] or 0, s["n"] or 0, s["v"] or 0

@@ -229,3 +229,21 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
     return joined.select("doc_id", "n_shingles", component.alias("component_id"),
                          component.eqNullSafe(F.col("doc_id")).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs``, with all their columns, of one document of each group:
+    the one with the smallest doc_id.  Of rows that share a doc_id one stays, the
+    first by text; rows without doc_id or words stay."""
+    found = cut_lineage(near_duplicates(docs, words, percent).select("doc_id", "kept"))
+    copies = found.where("not kept").select(F.col("doc_id").alias("jl_id")).distinct()
+    kept = docs.join(broadcast_if_small(cut_lineage(copies)), docs["doc_id"] == F.col("jl_id"), "left_anti")
+    again = cut_lineage(found.where("kept and doc_id is not null").groupBy("doc_id").count()
+                        .where("count > 1").select(F.col("doc_id").alias("jl_id")))
+    if again.isEmpty():
+        return kept
+    again = broadcast_if_small(again)
+    place = F.row_number().over(Window.partitionBy(docs["doc_id"]).orderBy(docs["text"]))
+    first = kept.join(again, docs["doc_id"] == F.col("jl_id"), "left_semi").withColumn("jl_place", place)
+    return kept.join(again, docs["doc_id"] == F.col("jl_id"), "left_anti").union(
+        first.where("jl_place = 1").drop("jl_place"))

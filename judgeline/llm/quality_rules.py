@@ -58,14 +58,10 @@ _REPEATED = """if(size(array_distinct(g)) = size(g), 0, transform(
                      cast(array() as array<int>)))))))[0])"""
 
 
-def judge(docs: DataFrame, rules=RULES, keep: tuple[str, ...] = ("doc_id",),
-          min_words: int = MIN_WORDS, max_repeat: int = MAX_REPEAT_PERCENT) -> DataFrame:
-    """The columns ``keep`` of ``docs``, then n_words, word_chars, n_symbols,
-    n_dup_lines, n_repeat_words (long), base_failed, kept (boolean) and
-    ``failed_rules``, the table's rules that the document breaks."""
-    own = [docs[c].alias(f"jl_{i}") for i, c in enumerate(keep)]
-    names = [f"jl_{i}" for i in range(len(keep))]
-    d = docs.select(*own, *_counts(docs["text"]))
+def _measured(docs: DataFrame, rules, min_words: int, max_repeat: int) -> DataFrame:
+    """The columns of ``docs`` as jl_0, jl_1 and so on, and the counts and verdicts."""
+    names = [f"jl_{i}" for i in range(len(docs.columns))]
+    d = docs.select(*[docs[c].alias(n) for c, n in zip(docs.columns, names)], *_counts(docs["text"]))
     d = d.select(*names, "t", "w", "lines", F.expr(_WINDOWS).alias("g"))
     stop = F.filter("w", lambda x: F.lower(x).isin(STOP_WORDS))
     lettered = F.filter("w", lambda x: x.rlike(r"\p{L}"))
@@ -81,15 +77,32 @@ def judge(docs: DataFrame, rules=RULES, keep: tuple[str, ...] = ("doc_id",),
         "n_letter_words": F.size(lettered), "n_bullet_lines": F.size(bullet),
         "n_ellipsis_lines": F.size(dots),
     }
-    d = d.select(*names, *[c.cast("long").alias(k) for k, c in counts.items()])
+    # one row from one: a later filter on the verdict stops here, else the planner
+    # would push it down and repeat the counts, words and windows inside it
+    once = F.explode(F.array(F.struct(*[c.cast("long").alias(k) for k, c in counts.items()])))
+    d = d.select(*names, once.alias("counts")).select(*names, "counts.*")
     broken = []
     for rule, measure, sign, bound in rules:
         top, bottom = measure.split(" / ")
-        passes = F.expr(f"{top} {sign} {float(bound)}D * {bottom}")
-        broken.append(F.when(~passes, F.lit(rule)))
+        broken.append(F.when(~F.expr(f"{top} {sign} {float(bound)}D * {bottom}"), F.lit(rule)))
     failed = F.array_compact(F.array(*broken)) if broken else F.expr("cast(array() as array<string>)")
     base = (F.col("n_words") < min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * max_repeat)
-    return d.select(*[F.col(n).alias(c) for n, c in zip(names, keep)],
-                    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                    base.alias("base_failed"), (~base & (F.size(failed) == 0)).alias("kept"),
-                    failed.alias("failed_rules"))
+    return d.select("*", base.alias("base_failed"), failed.alias("failed_rules")) \
+        .withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
+
+
+def judge(docs: DataFrame, rules=RULES, min_words: int = MIN_WORDS,
+          max_repeat: int = MAX_REPEAT_PERCENT) -> DataFrame:
+    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long),
+    base_failed, kept (boolean) and ``failed_rules``, the table's rules broken."""
+    own = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"))
+    return _measured(own, rules, min_words, max_repeat).select(
+        F.col("jl_0").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        "n_repeat_words", "base_failed", "kept", "failed_rules")
+
+
+def passing(docs: DataFrame, rules=RULES, min_words: int = MIN_WORDS,
+            max_repeat: int = MAX_REPEAT_PERCENT) -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns."""
+    d = _measured(docs, rules, min_words, max_repeat).where("kept")
+    return d.select(*[F.col(f"jl_{i}").alias(c) for i, c in enumerate(docs.columns)])
