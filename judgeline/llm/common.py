@@ -65,7 +65,7 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, limit_mb: float = 32) -> DataFrame:
+def broadcast_if_small(df: DataFrame, limit_mb: float = 16) -> DataFrame:
     """Hint a broadcast only when the measured bytes of ``df`` stay under the
     limit; beyond it the planner's shuffle join is used.  ``df`` should be
     materialised: it is read once for the measurement."""

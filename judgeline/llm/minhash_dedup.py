@@ -12,9 +12,14 @@ first collection, so the second half is expanded inside a partition and never
 shuffled.  Within a bucket every member is compared with the smallest one only,
 and not all pairs; a half key that very many classes share is salted, and the
 salted parts' smallest members are compared in turn.  Candidates are confirmed
-on the full sets.  Where a comparison in a bucket fails, a second round compares
-those members of the bucket that are not connected yet, so that no link between
-members of one bucket is lost.  No pair, set or fingerprint goes to the driver.
+on the full sets.
+
+A member may be linked with another one though not with the smallest.  So the
+classes that comparisons found at least ``FAMILY`` percent similar form families,
+and in a family whose links leave several components, every class outside the
+largest one is compared with all classes of other components, on full sets, in
+blocks of rows; a task returns the components it joins, not pairs.  No pair, set
+or fingerprint goes to the driver.
 
 Defined cases: a text that is null or has no word has an empty set, is linked
 with nothing and is kept; a text with fewer words than a shingle is one shingle;
@@ -25,6 +30,7 @@ other than doc_id and text are not read, whatever their names.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -40,6 +46,9 @@ WORDS = 5                 # of a shingle
 PERCENT = 80              # least similarity
 HALVES = 12               # half keys of a collection
 ROWS = 3                  # minhashes of a half key
+FAMILY = 50               # least similarity, in percent, of comparisons that make families
+BLOCK_ROWS = 256          # rows of a block of a family
+COLUMNS = 1 << 14         # shingles of a block counted at once
 SPLIT = 500               # a half key holding over 1/SPLIT of the classes is salted
 CACHED_WORDS = 200_000    # hashes a task remembers
 SEED = 20_240_502
@@ -156,14 +165,17 @@ def _stars(classes: DataFrame, n: int, percent: int) -> DataFrame:
     # at most HALVES * SPLIT half keys hold that many classes
     hot = halves.groupBy("i", "half").count().where(F.col("count") > limit) \
         .select("i", "half", F.ceil(F.col("count") / limit).alias("parts"))
-    halves = halves.join(F.broadcast(hot), ["i", "half"], "left")
-    halves = halves.withColumn("salt", F.coalesce(F.pmod(F.xxhash64("rep"), F.col("parts")), F.lit(0)))
-    key = ["i", "half", "salt"]
-    member = F.struct("rep", "n")
-    rows = _bucket(halves.repartition(*key)).withColumn("hub", F.min(member).over(Window.partitionBy(*key, "j", "other")))
-    near = _long_enough(F.col("hub.n"), F.col("n"), percent)
-    first = rows.where("rep <> hub.rep").where(near).select(F.col("hub.rep").alias("a"), F.col("rep").alias("b"))
-    hubs = rows.where("parts is not null and rep = hub.rep") \
+    hot = F.broadcast(cut_lineage(hot))
+    key, member = ["i", "half", "salt"], F.struct("rep", "n")
+
+    def with_hubs(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn("salt", F.coalesce(F.pmod(F.xxhash64("rep"), F.col("parts")), F.lit(0)))
+        hub = F.min(member).over(Window.partitionBy(*key, "j", "other"))
+        return _bucket(rows.repartition(*key)).withColumn("hub", hub)
+
+    first = with_hubs(halves.join(hot, ["i", "half"], "left")).where("rep <> hub.rep") \
+        .where(_long_enough(F.col("hub.n"), F.col("n"), percent)).select(F.col("hub.rep").alias("a"), F.col("rep").alias("b"))
+    hubs = with_hubs(halves.join(hot, ["i", "half"])).where("rep = hub.rep") \
         .withColumn("top", F.min(member).over(Window.partitionBy("i", "half", "j", "other")))
     above = hubs.where("rep <> top.rep").where(_long_enough(F.col("top.n"), F.col("n"), percent)) \
         .select(F.col("top.rep").alias("a"), F.col("rep").alias("b"))
@@ -171,38 +183,66 @@ def _stars(classes: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 def _confirmed(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b, linked): the pairs with the verdict of their full sets."""
+    """(a, b, linked, near): the pairs with the verdicts of their full sets."""
     ids = cut_lineage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
     sets = _sets(docs, broadcast_if_small(ids), words)
     both = pairs.join(sets.select(F.col("id").alias("b"), F.col("own").alias("own_b")), "b") \
         .join(sets.select(F.col("id").alias("a"), F.col("own").alias("own_a")), "a")
     common = F.size(F.array_intersect("own_a", "own_b"))
-    checked = both.select("a", "b", F.size("own_a").alias("na"), F.size("own_b").alias("nb"), common.alias("common"))
-    linked = F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * percent
-    return checked.groupBy("a", "b").agg(F.max(linked).alias("linked"))
-
-
-def _left_over(classes: DataFrame, roots: DataFrame, failed: DataFrame, percent: int) -> DataFrame:
-    """(a, b): members of a bucket that are not connected, in the buckets where a
-    comparison failed.  Where all comparisons succeed a bucket is connected."""
-    u = classes.select("rep", "u", "v")
-    shared = lambda x, y: F.filter(F.arrays_zip(x.alias("x"), y.alias("y"), F.sequence(F.lit(0), F.size(x) - 1).alias("k")),
-                                   lambda z: z["x"] == z["y"])
-    both = failed.join(u.select(F.col("rep").alias("a"), F.col("u").alias("ua"), F.col("v").alias("va")), "a") \
-        .join(u.select(F.col("rep").alias("b"), F.col("u").alias("ub"), F.col("v").alias("vb")), "b") \
-        .select(F.explode(shared(F.col("ua"), F.col("ub"))).alias("p"), "va", "vb") \
-        .select("p", F.explode(shared(F.col("va"), F.col("vb"))).alias("q"))
-    buckets = cut_lineage(both.select(F.col("p.k").alias("i"), F.col("p.x").alias("half"),
-                                      F.col("q.k").alias("j"), F.col("q.x").alias("other")).distinct())
-    own = classes.join(roots.withColumnRenamed("id", "rep"), "rep", "left") \
-        .select("rep", "n", "v", F.coalesce("root", "rep").alias("root"), F.posexplode("u").alias("i", "half"))
-    own = own.join(broadcast_if_small(cut_lineage(buckets.select("i", "half").distinct())), ["i", "half"], "left_semi")
-    rows = cut_lineage(_bucket(own).join(broadcast_if_small(buckets), ["i", "half", "j", "other"], "left_semi"))
-    key = ["i", "half", "j", "other"]
-    a = rows.select(*key, F.col("rep").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    b = rows.select(*key, F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    pairs = a.join(b, key).where("a < b and ra <> rb").where(_long_enough(F.col("na"), F.col("nb"), percent))
-    return pairs.select("a", "b").distinct().join(failed, ["a", "b"], "left_anti")
+    checked = both.select("a", "b", common.alias("common"), (F.size("own_a") + F.size("own_b") - common).alias("union"))
+    reached = lambda least: F.max(F.col("common") * 100 >= F.col("union") * least)
+    return checked.groupBy("a", "b").agg(reached(percent).alias("linked"), reached(FAMILY).alias("near"))
+
+
+def _crossed(frame, percent: int):
+    """Components that links join, of one pair of blocks: side 0 against side 1."""
+    asking, other = frame[frame["side"] == 0], frame[frame["side"] == 1]
+    sizes = [np.fromiter(map(len, x["own"]), float, len(x)) for x in (asking, other)]
+    flat = [np.concatenate(list(x["own"])) if len(x) else np.zeros(0, np.int64) for x in (asking, other)]
+    rows = [np.repeat(np.arange(len(n)), n.astype(int)) for n in sizes]
+    known = np.unique(flat[0])
+    at = [np.searchsorted(known, f) for f in flat]
+    there = at[1] < len(known)
+    there[there] = known[at[1][there]] == flat[1][there]
+    at[1], rows[1] = at[1][there], rows[1][there]
+    common = np.zeros((len(asking), len(other)))
+    for start in range(0, len(known), COLUMNS):
+        width = min(COLUMNS, len(known) - start)
+        present = []
+        for side in (0, 1):
+            here = (at[side] >= start) & (at[side] < start + width)
+            bits = np.zeros((len(sizes[side]), width), np.float32)
+            bits[rows[side][here], at[side][here] - start] = 1
+            present.append(bits)
+        common += present[0] @ present[1].T
+    union = sizes[0][:, None] + sizes[1][None, :] - common
+    a, b = asking["comp"].to_numpy(), other["comp"].to_numpy()
+    i, j = np.nonzero((common * 100 >= union * percent) & (a[:, None] != b[None, :]))
+    return pd.DataFrame({"a": a[i], "b": b[j]}).drop_duplicates()
+
+
+def _within_families(docs: DataFrame, roots: DataFrame, near: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b): components of a family that further links join.  ``roots`` has the
+    components found so far, ``near`` the pairs that make families."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    member = components(near).withColumnRenamed("root", "family").join(roots, "id", "left") \
+        .select("id", "family", F.coalesce("root", "id").alias("comp"))
+    member = cut_lineage(member)
+    parts = member.groupBy("family", "comp").count()
+    several = parts.groupBy("family").agg(
+        F.count("*").alias("parts"), F.sum("count").alias("n"), F.max(F.struct("count", "comp")).alias("main")) \
+        .where("parts > 1").select("family", F.ceil(F.col("n") / BLOCK_ROWS).alias("blocks"), F.col("main.comp").alias("main"),
+                                   F.ceil((F.col("n") - F.col("main.count")) / BLOCK_ROWS).alias("asking"))
+    member = cut_lineage(member.join(broadcast_if_small(cut_lineage(several)), "family"))
+    ids = broadcast_if_small(cut_lineage(member.select("id").distinct()))
+    member = member.join(_sets(docs, ids, words).dropDuplicates(["id"]), "id")
+    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    asking = member.where("comp <> main").select("family", own("asking").alias("q"), every("blocks").alias("m"),
+                                                 F.lit(0).alias("side"), "comp", "own")
+    other = member.select("family", every("asking").alias("q"), own("blocks").alias("m"), F.lit(1).alias("side"), "comp", "own")
+    return asking.union(other).groupBy("family", "q", "m").applyInPandas(
+        lambda frame: _crossed(frame, percent), f"a {kind}, b {kind}")
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
@@ -216,13 +256,12 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
             F.first("u").alias("u"), F.first("v").alias("v")))
     pairs = cut_lineage(_stars(classes, classes.count(), percent))
     checked = cut_lineage(_confirmed(docs, pairs, words, percent))
-    roots = components(checked.where("linked"))
-    failed = cut_lineage(checked.where("not linked").select("a", "b"))
-    if not failed.isEmpty():
-        more = cut_lineage(_left_over(classes, roots, failed, percent))
+    linked = checked.where("linked").select("a", "b")
+    roots = components(linked)
+    if not checked.where("near and not linked").isEmpty():
+        more = cut_lineage(_within_families(docs, roots, checked.where("near"), words, percent).distinct())
         if not more.isEmpty():
-            again = _confirmed(docs, more, words, percent).where("linked").select("a", "b")
-            roots = components(checked.where("linked").select("a", "b").union(again))
+            roots = components(linked.union(more))
     found = classes.select("same", "rep").join(roots.withColumnRenamed("id", "rep"), "rep", "left") \
         .select("same", F.coalesce("root", "rep").alias("root"))
     joined = signed.select("doc_id", "n_shingles", "same").join(broadcast_if_small(cut_lineage(found)), "same", "left")
