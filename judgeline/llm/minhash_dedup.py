@@ -275,14 +275,15 @@ def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     the one with the smallest doc_id.  Of rows that share a doc_id one stays, the
     first by text; rows without doc_id or words stay."""
     found = cut_lineage(near_duplicates(docs, words, percent).select("doc_id", "kept"))
-    copies = found.where("not kept").select(F.col("doc_id").alias("jl_id")).distinct()
-    kept = docs.join(broadcast_if_small(cut_lineage(copies)), docs["doc_id"] == F.col("jl_id"), "left_anti")
+    copies = broadcast_if_small(cut_lineage(found.where("not kept").select("doc_id").distinct()))
+    kept = docs.join(copies, docs["doc_id"] == copies["doc_id"], "left_anti")
     again = cut_lineage(found.where("kept and doc_id is not null").groupBy("doc_id").count()
-                        .where("count > 1").select(F.col("doc_id").alias("jl_id")))
+                        .where("count > 1").select("doc_id"))
     if again.isEmpty():
         return kept
     again = broadcast_if_small(again)
     place = F.row_number().over(Window.partitionBy(docs["doc_id"]).orderBy(docs["text"]))
-    first = kept.join(again, docs["doc_id"] == F.col("jl_id"), "left_semi").withColumn("jl_place", place)
-    return kept.join(again, docs["doc_id"] == F.col("jl_id"), "left_anti").union(
-        first.where("jl_place = 1").drop("jl_place"))
+    first = kept.join(again, docs["doc_id"] == again["doc_id"], "left_semi") \
+        .select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), place.alias("place"))
+    return kept.join(again, docs["doc_id"] == again["doc_id"], "left_anti") \
+        .union(first.where("place = 1").select("row.*"))
