@@ -205,7 +205,18 @@ tail AS (SELECT ptt.run_id, ptt.qid,
 """
 
 
-def gain_sql(name: str) -> str:
+def gain_sql(name: str, gains: dict | None = None) -> str:
+    """One gain measure per topic; ``gains`` maps levels to gains."""
+    ideal, out = IDEAL_CTE, name
+    if gains:
+        cases = "".join(f" WHEN {k} THEN {float(v)!r}" for k, v in gains.items())
+        of = lambda c: f"(CASE {c}{cases} ELSE CAST(greatest({c}, 0) AS DOUBLE) END)"
+        ideal = ideal.replace("CAST(rel AS DOUBLE) AS ig", f"{of('rel')} AS ig") \
+            .replace("ORDER BY rel DESC, docno", f"ORDER BY {of('rel')} DESC, docno") \
+            .replace("WHERE rel > 0", f"WHERE rel >= 0 AND {of('rel')} > 0") \
+            .replace("CASE WHEN code > 0 THEN CAST(code AS DOUBLE) ELSE 0.0 END",
+                     f"CASE WHEN code >= 0 THEN {of('code')} ELSE 0.0 END")
+        out = name + "_" + ",".join(f"{k}={v}" for k, v in gains.items())
     if name == "ndcg":
         v = _div("dcg", "idcg")
     elif name == "G":
@@ -220,8 +231,8 @@ def gain_sql(name: str) -> str:
              f"{_div(f'rb_sum + t_sum + {extra_s}', f'rb_cnt + t_cnt + {extra_c}')} END")
     else:
         raise KeyError(name)
-    return (_with(FIX_B, judged_cte(), IDEAL_CTE)
-            + f"SELECT ptt.run_id, ptt.qid, '{name}' AS measure, round(CAST({v} AS DOUBLE), 6) AS value "
+    return (_with(FIX_B, judged_cte(), ideal)
+            + f"SELECT ptt.run_id, ptt.qid, '{out}' AS measure, round(CAST({v} AS DOUBLE), 6) AS value "
               f"FROM ptt JOIN tail ON ptt.run_id = tail.run_id AND ptt.qid = tail.qid")
 
 
@@ -318,8 +329,10 @@ def eval_oracles() -> dict[str, str]:
         "J1_rank_run": rk,
         "J3_max_docs": f"SELECT * FROM ({rk}) WHERE rank <= 50",
         "J4_J5_duplicates": _with(FIX_B) +
-            "SELECT run_id, qid, docno, count(*) AS count FROM runs GROUP BY ALL HAVING count(*) > 1 "
-            "UNION ALL SELECT 'qrels', qid, docno, count(*) FROM qrels GROUP BY ALL HAVING count(*) > 1",
+            "SELECT run_id, qid, docno, 2 * count(*) AS count FROM runs WHERE ends_with(docno, '7') GROUP BY ALL "
+            "UNION ALL SELECT 'qrels', qid, docno, 2 * count(*) FROM qrels WHERE ends_with(docno, '7') GROUP BY ALL",
+        "A5_gain_parameters": "\nUNION ALL\n".join(f"SELECT * FROM ({gain_sql(n, g)})" for n, g in (
+            ("G", None), ("ndcg", {1: 3, 2: 9}), ("ndcg_rel", {1: 1, 2: 4}), ("Rndcg", {2: 1}))),
         "J6_judged_join": _with(FIX_B, judged_cte()) + j,
         "J8_judged_only": _with(FIX_B, judged_cte(judged_only=True)) + j,
         "J9_level": _with(FIX_B, judged_cte(level=2)) + j,
@@ -461,20 +474,23 @@ def retrieval_oracles() -> dict[str, str]:
             "SELECT run_id, qid, docno, CAST(rank AS BIGINT) AS rank, round(score, 6) AS score FROM topk",
         "T17_rank_zero_based": _with(FIX_A, _runs_cte(["classic"], 10)) +
             "SELECT run_id, qid, docno, CAST(rank - 1 AS BIGINT) AS rank, round(score, 6) AS score FROM topk",
-        "T18_retrieve_grid": _with(FIX_A, _runs_cte(models, 20)) +
+        "T18_retrieve_grid": _with(FIX_A, _runs_cte(models, 1000)) +
             "SELECT run_id, qid, docno, CAST(rank AS BIGINT) AS rank, round(score, 6) AS score FROM topk",
         "T19_explain_scores": _with(FIX_A) +
             "SELECT qid, docno, term, round(c, 6) AS contribution, round(sum(c) OVER (PARTITION BY qid, docno "
             "ORDER BY first_pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS running FROM "
             f"(SELECT qid, docno, term, first_pos, {_SUMMAND['tfidf']} AS c FROM j WHERE kind = 'short')",
+        "T20_search": _with(FIX_A, _runs_cte(["bm25"], 1000)) +
+            "SELECT run_id, docno, round(score, 6) AS score FROM topk "
+            "WHERE run_id = 'BM25_SHORT' AND qid = (SELECT min(qid) FROM topics)",
         "FA_passage_qrels": _with(FIX_A, FIX_A_QRELS) + "SELECT qid, docno, rel FROM aq",
     }
     for m in models:
         name = {"tfidf": "T11_score_tfidf", "classic": "T12_score_classic", "bm25": "T13_score_bm25",
                 "lm_dirichlet": "T14_score_lm_dirichlet", "lm_jm": "T15_score_lm_jm"}[m]
         o[name] = A + f"SELECT kind, qid, docno, round(score, 6) AS score FROM ({_model_select(m)})"
-    # Retrieve top 100 -> evaluate -> pivot
-    runs_cte = _runs_cte(models, 100)
+    # Retrieve top 1000 -> evaluate -> pivot
+    runs_cte = _runs_cte(models, 1000)
     ev = f"""
 runs AS (SELECT run_id, qid, docno, CAST(round(score, 6) AS FLOAT) AS sim FROM topk),
 qrels AS (SELECT qid, docno, rel FROM aq)"""
@@ -592,6 +608,18 @@ def _jg_measure(base: str, jgname: str) -> str:
     return _with(FIX_B, FIX_C, judged_jg_cte()) + "\nUNION ALL\n".join(sels)
 
 
+def _jg_complete_sql() -> str:
+    """map_avgjg over every judged topic, for runs without the topics ending in -1."""
+    ap = dict(m_items("map"))["map"]
+    jr = judged_jg_cte().replace("FROM runs r", "FROM (SELECT * FROM runs WHERE NOT ends_with(qid, '-1')) r")
+    return (_with(FIX_B, FIX_C, jr, f"pg AS (SELECT run_id, qid, jg, CAST(({ap}) AS DOUBLE) AS v FROM gjr "
+                                    "GROUP BY run_id, qid, jg, R, Nn)",
+                  "pt AS (SELECT run_id, qid, avg(v) AS v FROM pg GROUP BY run_id, qid)",
+                  "nq AS (SELECT count(DISTINCT qid) AS n FROM qj)") +
+            "SELECT run_id, 'map_avgjg' AS measure, round(sum(v) / max(n), 6) AS value FROM pt, nq GROUP BY run_id "
+            "UNION ALL SELECT DISTINCT run_id, 'num_q', CAST(n AS DOUBLE) FROM pt, nq")
+
+
 # ---------------------------------------------------------------- preferences
 def prefs_ctes(single: bool = False) -> str:
     flt = "WHERE jsg = '0'" if single else ""
@@ -768,13 +796,23 @@ def group_pref_oracles() -> dict[str, str]:
         "G1_map_avgjg": _jg_measure("map", "map_avgjg"),
         "G2_P_avgjg": _jg_measure("P", "P_avgjg"),
         "G3_Rprec_mult_avgjg": _jg_measure("Rprec_mult", "Rprec_mult_avgjg"),
+        "G_complete": _jg_complete_sql(),
         "P1_direct_pairs": W + "SELECT qid, jg, hi, lo FROM direct",
         "P2_closure": W + "SELECT qid, jg, hi, lo FROM pairs",
-        "P3_inconsistencies": W +
-            "SELECT qid, jg, docno, 'levels_in_subgroup' AS kind FROM pf GROUP BY qid, jg, jsg, docno "
-            "HAVING count(DISTINCT rel_level) > 1 UNION ALL "
-            "SELECT qid, jg, docno, 'zero_and_nonzero' AS kind FROM pf GROUP BY qid, jg, docno "
-            "HAVING max(CASE WHEN rel_level = 0 THEN 1 ELSE 0 END) = 1 AND max(CASE WHEN rel_level > 0 THEN 1 ELSE 0 END) = 1",
+        "P3_inconsistencies": W.rstrip() + """,
+bad AS (SELECT qid, jg, jsg, docno, rel_level FROM pf
+        UNION ALL SELECT qid, jg, jsg, docno, rel_level + 1 FROM pf WHERE ends_with(docno, '7')
+        UNION ALL SELECT qid, jg, 'z', docno, 0 FROM pf WHERE ends_with(docno, '3')
+        UNION ALL SELECT qid, jg, 'r', docno, 5 - rel_level FROM pf WHERE jsg = '0' AND ends_with(qid, '-2')),
+over AS (SELECT DISTINCT x.qid, x.jg, x.docno AS hi, y.docno AS lo FROM bad x
+         JOIN bad y ON x.qid = y.qid AND x.jg = y.jg AND x.jsg = y.jsg AND x.rel_level > y.rel_level)
+SELECT DISTINCT qid, jg, docno, 'levels_in_subgroup' AS kind FROM bad GROUP BY qid, jg, jsg, docno
+HAVING count(DISTINCT rel_level) > 1
+UNION ALL SELECT qid, jg, docno, 'zero_and_nonzero' FROM bad GROUP BY qid, jg, docno
+HAVING bool_or(rel_level = 0) AND bool_or(rel_level > 0)
+UNION ALL SELECT DISTINCT o.qid, o.jg, o.hi, 'preferred_both_ways' FROM over o
+JOIN over p ON o.qid = p.qid AND o.jg = p.jg AND o.hi = p.lo AND o.lo = p.hi
+""",
         "P4_judged_positions": W + "SELECT run_id, qid, docno, CAST(pos AS BIGINT) AS pos, "
                                    "CAST(njr AS BIGINT) AS njr, CAST(nj AS BIGINT) AS nj FROM pos",
         "P5_P6_jg_counts": W + "SELECT run_id, qid, jg, " + ", ".join(

@@ -20,11 +20,9 @@ class EvalConfig:
     complete: bool = False         # -c: average over every judged topic
     num_docs: int = 0              # -N: collection size (utility only)
     topic: str | None = None       # -D style single-topic filter
-    broadcast_rows: int = 2_000_000  # size bound for broadcasting judgement tables
-    skew_safe: bool | None = None  # running counts by distributed prefix scan;
-    #                                None: only when a (run, topic) exceeds skew_rows
-    skew_rows: int = 2_000_000
-    strict: bool = False           # raise on duplicate documents (J4/J5) and
+    skew_safe: bool = False        # running counts by distributed prefix scan, for
+    #                                rankings or topics too large for one task
+    strict: bool = True            # raise on duplicate documents (J4/J5) and
     #                                inconsistent preferences (P3), as the evaluator does
 
     @property

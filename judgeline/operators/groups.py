@@ -1,8 +1,7 @@
 """Per-user judgement-group measures.
 
 Each (qid, jg) is evaluated as its own topic: the run is crossed with the
-topic's judgement groups (a broadcast of the distinct (qid, jg) pairs, bounded
-by the judgements' size check), judged per group, and every measure is the
+topic's judgement groups (the distinct (qid, jg) pairs), judged per group, and every measure is the
 plain mean over the topic's groups.
 """
 from __future__ import annotations
@@ -12,7 +11,6 @@ from pyspark.sql import functions as F
 
 from ..config import EvalConfig
 from ..operators import measures as M
-from ..session import bounded_broadcast
 
 # per-group measure -> measure computed inside each group
 JG_BASE = {"map_avgjg": "map", "P_avgjg": "P", "Rprec_mult_avgjg": "Rprec_mult"}
@@ -21,7 +19,6 @@ JG_BASE = {"map_avgjg": "map", "P_avgjg": "P", "Rprec_mult_avgjg": "Rprec_mult"}
 def runs_per_group(runs: DataFrame, qrels_jg: DataFrame, cfg: EvalConfig) -> DataFrame:
     """Every run row repeated for each judgement group of its topic."""
     groups = qrels_jg.select("qid", "jg").distinct()
-    groups, _ = bounded_broadcast(groups, cfg.broadcast_rows)
     return runs.join(groups, "qid")
 
 

@@ -79,17 +79,6 @@ def _ideal_ranking_scan(qrels: DataFrame, g, keys: list[str]) -> DataFrame:
                     (F.col("_b_tot") - F.col("cnt_le")).alias("cnt_after"))
 
 
-def largest_topic_exceeds(qrels: DataFrame, keys, threshold: int) -> bool:
-    """Skew check on the judgements: any topic with more than `threshold`
-    judged documents (cached on the frame)."""
-    cache = getattr(qrels, "_judgeline_big_topic", None)
-    if cache is None:
-        biggest = qrels.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-        cache = biggest > threshold
-        qrels._judgeline_big_topic = cache
-    return cache
-
-
 def ideal_totals(ideal: DataFrame, keys=("qid",)) -> DataFrame:
     """Per topic: L (positions with positive gain), IDCG over all of them, the
     total ideal gain, and the boundary sums over every position."""

@@ -1,10 +1,10 @@
 """Ranking and the judged join.
 
-Plan shape for the qrels path (with the judgement tables under the broadcast
-bound): one hash exchange on (run_id, qid); ranking, the -M cut, the judged
-join (broadcast hash join, keeps the partitioning), the running counts and the
-per-topic aggregate all run inside it.  Above the bound the judged join becomes
-a sort-merge join on (qid, docno) and the windows re-exchange on (run_id, qid).
+Plan shape for the qrels path: one hash exchange on (run_id, qid); ranking, the
+-M cut, the judged join, the running counts and the per-topic aggregate run
+inside it while the planner's byte threshold lets it broadcast the judgements.
+Beyond it the judged join becomes a sort-merge join on (qid, docno) and the
+windows re-exchange on (run_id, qid).  Nothing is counted to choose.
 """
 from __future__ import annotations
 
@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from ..config import RELVALUE_NONPOOL, RELVALUE_UNJUDGED, EvalConfig
 from ..functions.columns import flag
-from ..session import bounded_broadcast
 
 RUN_KEYS = ["run_id", "qid"]
 
@@ -59,12 +58,10 @@ def topic_stats(qrels: DataFrame, level: int, keys=("qid",)) -> DataFrame:
     )
 
 
-def judged_join(ranked: DataFrame, qrels: DataFrame, keys=("qid",),
-                small: bool = False) -> DataFrame:
-    """Left join of the ranked run with the judgements; adds `code`.
-    `small`: the judgements passed a size check and are broadcast."""
+def judged_join(ranked: DataFrame, qrels: DataFrame, keys=("qid",)) -> DataFrame:
+    """Left join of the ranked run with the judgements; adds `code`."""
     q = qrels.select(*keys, "docno", F.col("rel").alias("_rel"))
-    j = ranked.join(F.broadcast(q) if small else q, [*keys, "docno"], "left")
+    j = ranked.join(q, [*keys, "docno"], "left")
     return j.withColumn("code", relevance_code(F.col("_rel"))).drop("_rel")
 
 
@@ -78,12 +75,6 @@ def raise_on_duplicates(runs: DataFrame, qrels: DataFrame, run_keys, topic_keys)
             raise ValueError(f"duplicate document in {what}: {r}")
 
 
-def judgements_are_small(qrels: DataFrame, cfg: EvalConfig) -> bool:
-    """Size check behind every broadcast of a judgement-derived table: the
-    judgements have at most `cfg.broadcast_rows` rows (counted with a limit)."""
-    return bounded_broadcast(qrels, cfg.broadcast_rows)[1]
-
-
 def duplicate_docs(df: DataFrame, keys) -> DataFrame:
     """(keys, docno) that occur more than once."""
     return df.groupBy(*keys, "docno").count().where(F.col("count") > 1)
@@ -91,8 +82,7 @@ def duplicate_docs(df: DataFrame, keys) -> DataFrame:
 
 def judged_rows(runs: DataFrame, qrels: DataFrame, cfg: EvalConfig,
                 stats: DataFrame | None = None, tie: str = "desc",
-                run_keys=RUN_KEYS, topic_keys=("qid",),
-                small: bool | None = None) -> DataFrame:
+                run_keys=RUN_KEYS, topic_keys=("qid",)) -> DataFrame:
     """The `judged` frame: one row per retrieved document of every evaluated
     (run, topic), with running counts.
 
@@ -107,23 +97,20 @@ def judged_rows(runs: DataFrame, qrels: DataFrame, cfg: EvalConfig,
         qrels = qrels.where(F.col("qid") == cfg.topic)
     if stats is None:
         stats = topic_stats(qrels, cfg.level, topic_keys)
-    if small is None:   # one size check; everything derived from qrels is smaller
-        small = judgements_are_small(qrels, cfg)
-    stats_b = F.broadcast(stats) if small else stats
 
     base = runs.select(*run_keys, "docno", F.col("sim").cast("float"))
-    if use_prefix_scan(runs, cfg, run_keys):
+    if cfg.skew_safe:
         ranked = base.withColumn("orig_rank", F.lit(None).cast("int"))
     else:
         ranked = rank_run(base, tie=tie, max_docs=cfg.cut, keys=run_keys)
         ranked = ranked.withColumnRenamed("rank", "orig_rank")
-    j = judged_join(ranked, qrels, topic_keys, small)
-    j = j.join(stats_b, list(topic_keys), "inner")
+    j = judged_join(ranked, qrels, topic_keys)
+    j = j.join(stats, list(topic_keys), "inner")
 
     code = F.col("code")
     keep = (code >= 0) if cfg.judged_only else F.lit(True)
     lvl = cfg.level
-    if use_prefix_scan(runs, cfg, run_keys):
+    if cfg.skew_safe:
         return _judged_rows_scan(j.drop("orig_rank"), cfg, keep, tie, run_keys)
     # same partitioning and ordering as the ranking window: no new exchange,
     # and the sort survives the broadcast joins
@@ -143,23 +130,6 @@ def judged_rows(runs: DataFrame, qrels: DataFrame, cfg: EvalConfig,
     )
 
 
-def use_prefix_scan(runs: DataFrame, cfg: EvalConfig, run_keys) -> bool:
-    """Skew check: largest (run, topic) ranking above cfg.skew_rows switches
-    the running counts from per-group windows to the prefix scan."""
-    if cfg.skew_safe is not None:
-        return bool(cfg.skew_safe)
-    if cfg.cut is not None and cfg.cut <= cfg.skew_rows:
-        # the -M cut is planned as a partial + final WindowGroupLimit: the
-        # windows of a (run, topic) then see at most `cut` rows
-        return False
-    cache = getattr(runs, "_judgeline_skew", None)
-    if cache is None:
-        biggest = runs.groupBy(*run_keys).count().agg(F.max("count")).first()[0] or 0
-        cache = biggest > cfg.skew_rows
-        runs._judgeline_skew = cache
-    return cache
-
-
 def _judged_rows_scan(j: DataFrame, cfg: EvalConfig, keep, tie: str, run_keys) -> DataFrame:
     """judged_rows via the distributed prefix scan (hot groups split)."""
     from .prefix import prefix_sums
@@ -175,8 +145,7 @@ def _judged_rows_scan(j: DataFrame, cfg: EvalConfig, keep, tie: str, run_keys) -
          .withColumn("_k", flag(F.col("keep"))).withColumn("_r", flag(F.col("rel")))
          .withColumn("_n", flag(F.col("nonrel"))).withColumn("_u", flag(F.col("unj"))))
     out = prefix_sums(j, list(run_keys), rank_order(tie),
-                      {"orig_rank": "_one", "rank": "_k", "cr": "_r", "cn": "_n", "cu": "_u"},
-                      broadcast_rows=cfg.broadcast_rows)
+                      {"orig_rank": "_one", "rank": "_k", "cr": "_r", "cn": "_n", "cu": "_u"})
     if cfg.cut is not None:
         out = out.where(F.col("orig_rank") <= cfg.cut)
     return out.drop("_one", "_k", "_r", "_n", "_u")
@@ -189,5 +158,4 @@ def evaluated_topics(runs: DataFrame, stats: DataFrame, cfg: EvalConfig,
     if cfg.topic is not None:
         r = r.where(F.col("qid") == cfg.topic)
     pairs = r.select(*run_keys).distinct()
-    s, _ = bounded_broadcast(stats.select(*topic_keys).distinct(), cfg.broadcast_rows)
-    return pairs.join(s, list(topic_keys), "left_semi")
+    return pairs.join(stats.select(*topic_keys).distinct(), list(topic_keys), "left_semi")

@@ -85,9 +85,8 @@ class Ctx:
     rank, cr, cn, cu, code, R, Nn."""
     level: int
     num_docs: int
-    gains: dict | None = None
     aggs: dict = field(default_factory=dict)   # alias -> aggregate SQL
-    needs_gain_align: bool = False
+    gain_sets: list = field(default_factory=list)  # distinct level -> gain maps (None: level)
     needs_idcg_cut: set = field(default_factory=set)
 
     def agg(self, alias: str, expr: str) -> str:
@@ -95,6 +94,14 @@ class Ctx:
         self.aggs.setdefault(alias, expr)
         return alias
 
+    def gains(self, params) -> str:
+        """Suffix of the aligned columns of these `level=gain` pairs: measures
+        with equal pairs share one alignment, others have their own."""
+        pairs = {int(k): float(v) for k, v in dict(params).items()} if params else None
+        if pairs not in self.gain_sets:
+            self.gain_sets.append(pairs)
+        return f"_{self.gain_sets.index(pairs)}"
+
 
 def _hits(ctx: Ctx, k) -> str:
     return ctx.agg(f"_hits_{int(k)}", cnt(f"rel AND rank <= {int(k)}"))
@@ -301,28 +308,32 @@ def b_relstring(ctx, params):
 
 # Gain measures: need the ideal ranking (see operators/ideal.py and the
 # aggregates added by plans/evaluate.py).
+def _gain_name(base: str, params) -> str:
+    pairs = ",".join(f"{k}={_fmt(v)}" for k, v in dict(params or {}).items())
+    return f"{base}_{pairs}" if pairs else base
+
+
 def b_ndcg(ctx, params):
-    ctx.needs_gain_align = True
-    name = "ndcg" if not params else "ndcg_" + ",".join(f"{k}={_fmt(v)}" for k, v in params.items())
-    return [Out(name, div0("_dcg", "idcg"), "mean", ())]
+    x = ctx.gains(params)
+    return [Out(_gain_name("ndcg", params), div0(f"_dcg{x}", f"idcg{x}"), "mean", ())]
 
 
 def b_G(ctx, params):
-    ctx.needs_gain_align = True
-    return [Out("G", div0("_g_sum", "ig_total"), "mean", ())]
+    x = ctx.gains(params)
+    return [Out(_gain_name("G", params), div0(f"_g_sum{x}", f"ig_total{x}"), "mean", ())]
 
 
 def b_ndcg_rel(ctx, params):
-    ctx.needs_gain_align = True
-    total = f"(_ndcg_rel_sum + (L - _pos_ret) * {div0('_dcg', 'idcg')})"
-    return [Out("ndcg_rel", f"(CASE WHEN L > 0 AND {total} > 0 THEN {total} / L ELSE 0D END)",
-                "mean", ())]
+    x = ctx.gains(params)
+    total = f"(_ndcg_rel_sum{x} + (L{x} - _pos_ret{x}) * {div0(f'_dcg{x}', f'idcg{x}')})"
+    return [Out(_gain_name("ndcg_rel", params),
+                f"(CASE WHEN L{x} > 0 AND {total} > 0 THEN {total} / L{x} ELSE 0D END)", "mean", ())]
 
 
 def b_Rndcg(ctx, params):
-    ctx.needs_gain_align = True
-    v = div0("_rndcg_sum + _rndcg_tail_sum", "_rndcg_cnt + _rndcg_tail_cnt")
-    return [Out("Rndcg", f"(CASE WHEN R = 0 THEN 0D ELSE {v} END)", "mean", ())]
+    x = ctx.gains(params)
+    v = div0(f"_rndcg_sum{x} + _rndcg_tail_sum{x}", f"_rndcg_cnt{x} + _rndcg_tail_cnt{x}")
+    return [Out(_gain_name("Rndcg", params), f"(CASE WHEN R = 0 THEN 0D ELSE {v} END)", "mean", ())]
 
 
 def b_ndcg_cut(ctx, params):

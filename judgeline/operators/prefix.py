@@ -7,8 +7,7 @@ rows, this computes the same running sums in three parallel steps:
 1. range-partition on (g, o): a hot group is split into contiguous chunks
    spread over many partitions (the partition id is the chunk number); the
    chunked rows are checkpointed, since range boundaries are sampled per run;
-2. per partition, running sums per group with pandas over Arrow batches
-   (`mapInPandas`; state carries only across batches of one partition);
+2. a window per (group, chunk) gives the running sums inside a chunk;
 3. per (g, chunk) totals -> offsets = sum of the earlier chunks of the group
    (a window over chunk totals, at most #partitions rows per group), joined
    back and added.
@@ -22,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import bounded_broadcast, cut_lineage
+from ..session import cut_lineage
 
 
 def _numeric_type(dt):
@@ -31,63 +30,25 @@ def _numeric_type(dt):
 
 
 def prefix_sums(df: DataFrame, keys: list[str], order: list[Column], values: dict[str, str],
-                num_chunks: int | None = None, broadcast_rows: int = 2_000_000) -> DataFrame:
+                num_chunks: int | None = None) -> DataFrame:
     """Add running sums (inclusive of the current row) of the columns in
     `values` ({output name: input column}) per group `keys` in `order`."""
     spark = df.sparkSession
     n = num_chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = list(keys)
-    src_cols = list(values.values())
-    parts = df.repartitionByRange(n, *[F.col(k) for k in keys], *order) \
-        .sortWithinPartitions(*[F.col(k) for k in keys], *order)
-
-    out_fields = list(df.schema.fields) + [T.StructField("_chunk", T.IntegerType(), False)] + [
-        T.StructField(f"_loc_{name}", _numeric_type(df.schema[col].dataType), True)
-        for name, col in values.items()]
-    out_schema = T.StructType(out_fields)
-    names = list(values.keys())
-    integral = {nm: isinstance(_numeric_type(df.schema[col].dataType), T.LongType)
-                for nm, col in values.items()}
-    out_names = [f.name for f in out_fields]
-
-    def local_running(batches):
-        import numpy as np
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        carry_key, carry = None, None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            vals = pdf[src_cols].astype("float64").fillna(0.0)
-            vals.columns = names
-            cum = vals.groupby([pdf[k] for k in keys], sort=False).cumsum()
-            if carry_key is not None:
-                # rows continuing the last group of the previous batch
-                same = np.logical_and.reduce([pdf[k].values == carry_key[i]
-                                              for i, k in enumerate(keys)])
-                if same.any():
-                    cum.loc[same, names] = cum.loc[same, names].values + carry
-            last = len(pdf) - 1
-            carry_key = tuple(pdf[k].values[last] for k in keys)
-            carry = cum.iloc[last][names].values.copy()
-            res = pdf.copy()
-            res["_chunk"] = pid
-            for nm in names:
-                c = cum[nm]
-                res[f"_loc_{nm}"] = c.round().astype("int64") if integral[nm] else c
-            yield res[out_names]
-
+    keys, names = list(keys), list(values)
     # Range boundaries are sampled per execution, so the chunked rows are
-    # materialised once (reliable checkpoint) before totals and join use them.
-    local = cut_lineage(parts.mapInPandas(local_running, out_schema))
-    totals = local.groupBy(*keys, "_chunk").agg(
-        *[F.sum(F.col(col).cast(_numeric_type(df.schema[col].dataType))).alias(f"_tot_{nm}")
-          for nm, col in values.items()])
-    w = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    # materialised once (reliable checkpoint) before totals and windows use them.
+    chunked = cut_lineage(df.repartitionByRange(n, *[F.col(k) for k in keys], *order)
+                          .withColumn("_chunk", F.spark_partition_id()))
+    value = {nm: F.coalesce(F.col(col).cast(_numeric_type(df.schema[col].dataType)), F.lit(0))
+             for nm, col in values.items()}
+    totals = chunked.groupBy(*keys, "_chunk").agg(*[F.sum(value[nm]).alias(f"_tot_{nm}") for nm in names])
+    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, "_chunk", *[
-        F.coalesce(F.sum(f"_tot_{nm}").over(w), F.lit(0)).alias(f"_off_{nm}") for nm in names])
-    offsets, _ = bounded_broadcast(offsets, broadcast_rows)
+        F.coalesce(F.sum(f"_tot_{nm}").over(before), F.lit(0)).alias(f"_off_{nm}") for nm in names])
+    upto = Window.partitionBy(*keys, "_chunk").orderBy(*order) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = chunked.select("*", *[F.sum(value[nm]).over(upto).alias(f"_loc_{nm}") for nm in names])
     j = local.join(offsets, keys + ["_chunk"])
-    return j.select(*df.columns, *[
+    return j.select(*[c for c in df.columns if c not in values], *[
         (F.col(f"_loc_{nm}") + F.col(f"_off_{nm}")).alias(nm) for nm in names])

@@ -22,12 +22,11 @@ Data flow (all DataFrame joins / windows / aggregates, keyed by run and topic):
 """
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import EvalConfig
-from ..session import bounded_broadcast, cut_lineage
+from ..session import cut_lineage, keep
 from ..functions.sqlexpr import div0
 
 PREF_MEASURES = [
@@ -37,13 +36,13 @@ PREF_MEASURES = [
     "prefs_simp_imp", "prefs_pair_imp", "prefs_avgjg_imp",
 ]
 COUNT_MEASURES = {"prefs_num_prefs_poss", "prefs_num_prefs_ful", "prefs_num_prefs_ful_ret"}
-MAX_CLOSURE_ROUNDS = 64
 
 
 # ------------------------------------------------------------------ P3
 def inconsistencies(prefs: DataFrame) -> DataFrame:
     """(qid, jg, docno, kind) for a document at two levels in one
-    subgroup, or at level 0 and a non-0 level in one group."""
+    subgroup, at level 0 and a non-0 level in one group, or preferred to another
+    document and the other way round in subgroups of one group."""
     two = (prefs.groupBy("qid", "jg", "jsg", "docno")
            .agg(F.countDistinct("rel_level").alias("n")).where("n > 1")
            .select("qid", "jg", "docno", F.lit("levels_in_subgroup").alias("kind")))
@@ -52,7 +51,11 @@ def inconsistencies(prefs: DataFrame) -> DataFrame:
                  F.max(F.when(F.col("rel_level") > 0, 1).otherwise(0)).alias("p"))
             .where("z = 1 AND p = 1")
             .select("qid", "jg", "docno", F.lit("zero_and_nonzero").alias("kind")))
-    return two.unionByName(zero)
+    pairs = direct_pairs(prefs)
+    back = pairs.select("qid", "jg", F.col("lo").alias("hi"), F.col("hi").alias("lo"))
+    both = (pairs.join(back, ["qid", "jg", "hi", "lo"]).select("qid", "jg", F.col("hi").alias("docno"))
+            .distinct().withColumn("kind", F.lit("preferred_both_ways")))
+    return two.unionByName(zero).unionByName(both)
 
 
 # ------------------------------------------------------------------ P1/P2
@@ -70,22 +73,24 @@ def direct_pairs(prefs: DataFrame) -> DataFrame:
             .select("qid", "jg", "hi", "lo").distinct())
 
 
-def closure(pairs: DataFrame, max_rounds: int = MAX_CLOSURE_ROUNDS) -> DataFrame:
-    """Transitive closure by path doubling (pairs joined with themselves
-    until the count stops growing); every round is a reliable checkpoint, so
-    lineage never grows and an executor loss replays at most one round."""
-    cur = cut_lineage(pairs.distinct())
-    n = cur.count()
-    for _ in range(max_rounds):
-        a = cur.select("qid", "jg", "hi", F.col("lo").alias("mid"))
-        b = cur.select("qid", "jg", F.col("hi").alias("mid"), F.col("lo").alias("to"))
-        step = a.join(b, ["qid", "jg", "mid"]).select("qid", "jg", "hi", F.col("to").alias("lo"))
-        nxt = cut_lineage(cur.unionByName(step).distinct())
-        m = nxt.count()
-        if m == n:
-            return nxt
-        cur, n = nxt, m
-    raise RuntimeError("preference closure did not converge (cyclic preferences?)")
+def closure(pairs: DataFrame) -> DataFrame:
+    """Transitive closure.  Each round joins only the pairs found in the last
+    one with the direct pairs and ends when no new pair comes; a pair of a
+    document with itself is a cycle and raises.  Rounds are cut with reliable
+    checkpoints, so an executor loss replays at most one of them."""
+    direct = cut_lineage(pairs.distinct())
+    after = direct.select("qid", "jg", F.col("hi").alias("mid"), F.col("lo").alias("to"))
+    known = new = direct
+    while not new.isEmpty():
+        cycle = new.where(F.col("hi") == F.col("lo")).limit(1).collect()
+        if cycle:
+            r = cycle[0]
+            raise ValueError(f"preference cycle in topic {r['qid']} group {r['jg']} at {r['hi']}")
+        step = new.withColumnRenamed("lo", "mid").join(after, ["qid", "jg", "mid"]) \
+            .select("qid", "jg", "hi", F.col("to").alias("lo")).distinct()
+        new = cut_lineage(step.join(known, ["qid", "jg", "hi", "lo"], "left_anti"))
+        known = known.unionByName(new)
+    return known
 
 
 def preference_pairs(prefs: DataFrame, shape: DataFrame | None = None) -> DataFrame:
@@ -98,10 +103,6 @@ def preference_pairs(prefs: DataFrame, shape: DataFrame | None = None) -> DataFr
     if not shape.where("n_jsg > 1").limit(1).collect():
         return single.withColumn("multi", F.lit(False))
     closed = closure(multi)
-    cyc = closed.where(F.col("hi") == F.col("lo")).limit(1).collect()
-    if cyc:
-        r = cyc[0]
-        raise ValueError(f"preference cycle in topic {r['qid']} group {r['jg']} at {r['hi']}")
     return (single.withColumn("multi", F.lit(False))
             .unionByName(closed.withColumn("multi", F.lit(True))))
 
@@ -386,9 +387,14 @@ def _avg_jg(ful: str, poss: str) -> str:
     return f"sum(CASE WHEN ({poss}) <> 0 THEN CAST(({ful}) AS DOUBLE) / ({poss}) ELSE 0D END)"
 
 
-def topic_values(counts: DataFrame, rn: DataFrame, ps: DataFrame) -> DataFrame:
-    """Wide per-topic values of P8-P21 over the per-group counts."""
-    c = counts.join(rn, ["run_id", "qid", "jg"], "left").fillna(0, subset=["rn_ful", "rn_poss", "rr_ful", "rr_poss"])
+def topic_values(counts: DataFrame, rn: DataFrame | None, ps: DataFrame) -> DataFrame:
+    """Wide per-topic values of P8-P21 over the per-group counts; without `rn`
+    the values of the Rnonrel measures are not meaningful."""
+    parts = ["rn_ful", "rn_poss", "rr_ful", "rr_poss"]
+    if rn is None:
+        c = counts.withColumns({p: F.lit(0).cast("long") for p in parts})
+    else:
+        c = counts.join(rn, ["run_id", "qid", "jg"], "left").fillna(0, subset=parts)
     R, N = "rel", "nonrel"
     Rr, Nr = "rel_ret", "nonrel_ret"
     rn_ful = (f"CASE WHEN {R} >= {N} THEN ful_ret + ful_imp + rel_ret * ({R} - {N}) ELSE rn_ful END")
@@ -446,30 +452,23 @@ def evaluate_prefs(runs: DataFrame, prefs: DataFrame, measures="all_prefs",
 
     cfg = config or EvalConfig()
     selected = M.resolve(measures)
+    unknown = [n for n, _ in selected if n not in PREF_MEASURES and n not in ("runid", "num_q")]
+    if unknown:
+        raise KeyError(f"{unknown[0]} is not a preference measure")
     names = [n for n, _ in selected if n in PREF_MEASURES]
     if cfg.topic is not None:
         runs = runs.where(F.col("qid") == cfg.topic)
         prefs = prefs.where(F.col("qid") == cfg.topic)
-    prefs = prefs.select("qid", "jg", "jsg", "docno", F.col("rel_level").cast("float")) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    prefs = keep(prefs.select("qid", "jg", "jsg", "docno", F.col("rel_level").cast("float")))
     if cfg.strict:
         bad = inconsistencies(prefs).limit(1).collect()
         if bad:
             raise ValueError(f"inconsistent preferences: {bad[0].asDict()}")
     shape = group_shape(prefs)
-    if bounded_broadcast(prefs, cfg.broadcast_rows)[1]:
-        shape = F.broadcast(shape)
-    if cfg.skew_safe is not None:
-        scan = bool(cfg.skew_safe)
-    else:
-        runs = runs.persist(StorageLevel.MEMORY_AND_DISK)   # shared by the check
-        from .ideal import largest_topic_exceeds
-        from .judged import use_prefix_scan
-        scan = use_prefix_scan(runs, cfg, ["run_id", "qid"]) or largest_topic_exceeds(
-            prefs.select("qid", "docno").distinct(), ["qid"], cfg.skew_rows)
-    pos = judged_positions(runs, prefs, cfg, scan).persist(StorageLevel.MEMORY_AND_DISK)
-    levels = doc_levels(prefs, shape).persist(StorageLevel.MEMORY_AND_DISK)
-    cached = [prefs, pos, levels] + ([runs] if cfg.skew_safe is None else [])
+    scan = cfg.skew_safe
+    pos = keep(judged_positions(runs, prefs, cfg, scan))
+    levels = keep(doc_levels(prefs, shape))
+    cached = [prefs, pos, levels]
 
     # pairs only where the relation itself is needed: transitive closure of
     # groups with several subgroups ...
@@ -478,16 +477,14 @@ def evaluate_prefs(runs: DataFrame, prefs: DataFrame, measures="all_prefs",
     pp_multi = None
     if multi_groups.limit(1).collect():
         closed = closure(direct_pairs(prefs.join(multi_groups, ["qid", "jg"], "left_semi")))
-        cyc = closed.where(F.col("hi") == F.col("lo")).limit(1).collect()
-        if cyc:
-            raise ValueError(f"preference cycle in topic {cyc[0]['qid']} group {cyc[0]['jg']}")
-        pp_multi = pair_positions(closed.withColumn("multi", F.lit(True)), pos) \
-            .persist(StorageLevel.MEMORY_AND_DISK)
+        pp_multi = keep(pair_positions(closed.withColumn("multi", F.lit(True)), pos))
         cached.append(pp_multi)
     counts, single_parts = all_group_counts(levels, pos, pp_multi, scan)
-    counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
+    counts = keep(counts)
     cached.append(counts)
-    rn = rnonrel_counts(pp_multi, levels, pos, counts, single_parts, scan)
+    rn = None
+    if any("Rnonrel" in n for n in names):   # recounted only when asked for
+        rn = rnonrel_counts(pp_multi, levels, pos, counts, single_parts, scan)
 
     # ... and per-pair group counts (prefs_pair*) for topics judged by several
     # groups; with one group a pair's ratio is 1 or 0, so the sums are counts.
@@ -506,7 +503,7 @@ def evaluate_prefs(runs: DataFrame, prefs: DataFrame, measures="all_prefs",
             if closed is not None:
                 mp = mp.unionByName(closed.join(many, "qid", "left_semi"))
             ps = ps.unionByName(pair_scores(pair_counts(pair_positions(mp, pos))))
-    wide = topic_values(counts, rn, ps).persist(StorageLevel.MEMORY_AND_DISK)
+    wide = keep(topic_values(counts, rn, ps))
     cached.append(wide)
     outs = [(n, n, "sum" if n in COUNT_MEASURES else "mean", (M.MEASURE_ORDER.index(n),))
             for n in names]

@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import bounded_broadcast
 from .termstats import CollectionStats
 
 # Fixed values of the reference's models.
@@ -78,12 +77,12 @@ def contributions(stats: CollectionStats, models) -> dict[str, Column]:
 
 
 def score(post: DataFrame, qterms: DataFrame, tstats: DataFrame, stats: CollectionStats,
-          models=MODELS, keys=("qid",), broadcast_rows: int = 5_000_000) -> DataFrame:
+          models=MODELS, keys=("qid",)) -> DataFrame:
     """Scores of every document containing at least one query term:
     (keys..., docno, <model>...) for the requested models."""
     keys = list(keys)
     w = term_weights(qterms, tstats, stats)
-    wb, _ = bounded_broadcast(w, broadcast_rows)
+    wb = w
     j = post.join(wb, "term")
     parts = contributions(stats, models)
     aggs = [F.sum(c).alias(m) for m, c in parts.items()]
@@ -91,7 +90,7 @@ def score(post: DataFrame, qterms: DataFrame, tstats: DataFrame, stats: Collecti
         aggs.append(F.sum("qtf").alias("_matched"))
     s = j.groupBy(*keys, "docno").agg(*aggs)
     if "classic" in models:
-        nb, _ = bounded_broadcast(topic_norms(w, keys), broadcast_rows)
+        nb = topic_norms(w, keys)
         s = s.join(nb, keys).withColumn(
             "classic", F.col("classic") * F.col("query_norm") * F.col("_matched") / F.col("clauses")
         ).drop("_matched", "clauses", "query_norm")
@@ -129,7 +128,7 @@ def explain_terms(post: DataFrame, qterms: DataFrame, tstats: DataFrame, stats:
                   model: str = "tfidf", keys=("qid",)) -> DataFrame:
     """Per (topic, document, term) contribution and running score in
     first-seen query-term order."""
-    w, _ = bounded_broadcast(term_weights(qterms, tstats, stats), 5_000_000)
+    w = term_weights(qterms, tstats, stats)
     j = post.join(w, "term")
     c = contributions(stats, [model])[model]
     rw = Window.partitionBy(*keys, "docno").orderBy("first_pos").rowsBetween(

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from ..config import MIN_GEO_MEAN, MISSING_ZSCORE_VALUE
 from ..functions.columns import lit_d
-from ..session import bounded_broadcast
 
 
 def to_long(wide: DataFrame, keys: list[str], outs: list) -> DataFrame:
@@ -32,14 +31,12 @@ def to_long(wide: DataFrame, keys: list[str], outs: list) -> DataFrame:
     return wide.select(*keys, F.expr(f"inline(array({items}))"))
 
 
-def zscore(per_topic: DataFrame, zref: DataFrame, broadcast_rows: int = 2_000_000) -> DataFrame:
+def zscore(per_topic: DataFrame, zref: DataFrame) -> DataFrame:
     """A4: (value - mean) / stddev per (qid, measure); a topic missing from the
     reference or a missing measure gives -1000000; stddev 0 gives 0 when the
     value equals the mean and -1000000 otherwise."""
     z = zref.select("qid", "measure", F.col("mean").alias("_zm"), F.col("stddev").alias("_zs"))
     topics = zref.select("qid").distinct().withColumn("_zq", F.lit(True))
-    z, _ = bounded_broadcast(z, broadcast_rows)
-    topics, _ = bounded_broadcast(topics, broadcast_rows)
     j = per_topic.join(z, ["qid", "measure"], "left").join(topics, ["qid"], "left")
     v, m, s = F.col("value"), F.col("_zm"), F.col("_zs")
     miss = lit_d(MISSING_ZSCORE_VALUE)
@@ -58,7 +55,7 @@ def summarize(per_topic: DataFrame, num_q: DataFrame) -> DataFrame:
     ln(1e-5) to geometric means."""
     acc = per_topic.groupBy("run_id", "measure", "kind", "ord").agg(
         F.sum("value").alias("_sum"))
-    acc = acc.join(F.broadcast(num_q), "run_id")   # one row per run
+    acc = acc.join(num_q, "run_id")   # one row per run
     n = F.col("n").cast("double")
     geo_sum = F.col("_sum") + (F.col("n") - F.col("n_orig")) * lit_d(math.log(MIN_GEO_MEAN))
     value = (F.when(F.col("kind") == "sum", F.col("_sum"))

@@ -1,21 +1,19 @@
 """Term statistics (T5-T10) over a document table.
 
 Only postings of query terms are ever materialised: documents are tokenised
-in the scan, exploded and immediately semi-joined to the (broadcast, size
-checked) query vocabulary, so the shuffle carries query-term occurrences
-only.  Collection-wide numbers (N, total tokens) are observed during that
-same scan instead of a second pass over the text.
+in the scan, exploded and immediately semi-joined to the query vocabulary, so
+the shuffle carries query-term occurrences and one end mark per document.
+Collection-wide numbers (N, total tokens) are summed over the end marks.
 """
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import STOP_WORDS, query_text, tokenize
-from ..session import bounded_broadcast, cut_lineage
+from ..session import cut_lineage, keep
 
 
 def query_terms(topics: DataFrame, kind: str = "short", stop_words=STOP_WORDS) -> DataFrame:
@@ -42,40 +40,36 @@ def doc_lengths(docs: DataFrame, stop_words=STOP_WORDS) -> DataFrame:
     return docs.select("docno", F.size(tokenize(F.col("text"), stop_words)).alias("dl"))
 
 
+END = ""   # no token is empty: one posting of it stands for a document itself
+
+
 def postings(docs: DataFrame, vocab: DataFrame | None = None, stop_words=STOP_WORDS,
-             broadcast_rows: int = 5_000_000, observation: Observation | None = None) -> DataFrame:
-    """(docno, dl, term, tf), restricted to `vocab(term)` when given."""
-    d = docs.select("docno", tokenize(F.col("text"), stop_words).alias("toks"))
-    d = d.select("docno", F.size("toks").alias("dl"), "toks")
-    if observation is not None:
-        d = d.observe(observation, F.count(F.lit(1)).alias("n"),
-                      F.coalesce(F.sum("dl"), F.lit(0)).alias("tokens"))
+             with_ends: bool = False) -> DataFrame:
+    """(docno, dl, term, tf), restricted to `vocab(term)` when given.
+    `with_ends` adds a row with term END for every document, so that documents
+    without a query term are counted in the same pass."""
+    toks = tokenize(F.col("text"), stop_words)
+    d = docs.select("docno", F.size(toks).alias("dl"),
+                    (F.concat(toks, F.array(F.lit(END))) if with_ends else toks).alias("toks"))
     occ = d.select("docno", "dl", F.explode("toks").alias("term"))
     if vocab is not None:
-        v, _ = bounded_broadcast(vocab.select("term").distinct(), broadcast_rows)
+        v = vocab.select("term").distinct()
+        if with_ends:
+            v = v.union(v.sparkSession.createDataFrame([(END,)], "term string"))
         occ = occ.join(v, "term", "left_semi")
     return occ.groupBy("docno", "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def index_for(docs: DataFrame, vocab: DataFrame, stop_words=STOP_WORDS,
-              broadcast_rows: int = 5_000_000, checkpoint: bool = False):
+              checkpoint: bool = False):
     """Pruned postings (persisted, or checkpointed to the shared folder when
-    `checkpoint`) plus the collection statistics observed while building
-    them: one pass over the document text."""
-    obs = Observation("collection")
-    post = postings(docs, vocab, stop_words, broadcast_rows, obs)
-    if checkpoint:
-        post = cut_lineage(post)
-    else:
-        post = post.persist(StorageLevel.MEMORY_AND_DISK)
-        post.count()
-    try:
-        m = obs.get
-        return post, CollectionStats(int(m["n"]), int(m["tokens"]))
-    except Exception:  # noqa: BLE001 - scan pruned away (no query term occurs)
-        r = doc_lengths(docs, stop_words).agg(F.count(F.lit(1)).alias("n"),
-                                              F.coalesce(F.sum("dl"), F.lit(0)).alias("t")).first()
-        return post, CollectionStats(int(r["n"]), int(r["t"]))
+    `checkpoint`) plus the exact collection statistics, an aggregate over the
+    same rows: one pass over the document text."""
+    every = postings(docs, vocab, stop_words, with_ends=True)
+    every = cut_lineage(every) if checkpoint else keep(every)
+    ends = every.where(F.col("term") == END)
+    r = ends.agg(F.sum("tf").alias("n"), F.sum(F.col("dl") * F.col("tf")).alias("t")).first()
+    return every.where(F.col("term") != END), CollectionStats(int(r["n"] or 0), int(r["t"] or 0))
 
 
 def term_stats(post: DataFrame) -> DataFrame:

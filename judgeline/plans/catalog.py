@@ -22,8 +22,8 @@ from ..operators.groups import evaluate_jg
 from ..functions.text import query_text, tokenize
 from ..operators import scoring as SC
 from ..operators import termstats as TS
-from ..plans.retrieve import compare_runs, explain, query_table, retrieve, scored
-from ..session import ensure_checkpoint_dir
+from ..plans.retrieve import compare_runs, explain, query_table, retrieve, scored, search
+from ..session import cut_lineage, ensure_checkpoint_dir, owned
 from ..sources.sinks import report_lines, write_run
 from ..sources.text_formats import (read_prefs, read_qrels, read_qrels_as_prefs, read_qrels_jg,
                                     read_run, read_topics, read_zref)
@@ -46,7 +46,7 @@ def q_rank_run(spark, sf, max_docs=None):
         "run_id", "qid", "docno", F.col("rank").cast("long"))
 
 
-def q_judged_join(spark, sf, level=1, judged_only=False, max_docs=None, skew_safe=None):
+def q_judged_join(spark, sf, level=1, judged_only=False, max_docs=None, skew_safe=False):
     runs, qrels = _b(spark, sf)
     cfg = EvalConfig(level=level, judged_only=judged_only, max_docs=max_docs, skew_safe=skew_safe)
     j = J.judged_rows(runs, qrels, cfg)
@@ -70,7 +70,10 @@ def q_ideal_ranking(spark, sf):
 
 
 def q_duplicates(spark, sf):
+    """J4/J5 over inputs with seeded faults: documents ending in 7 come twice."""
     runs, qrels = _b(spark, sf)
+    runs = runs.unionByName(runs.where(F.col("docno").endswith("7")))
+    qrels = qrels.unionByName(qrels.where(F.col("docno").endswith("7")))
     return J.duplicate_docs(runs, ["run_id", "qid"]).unionByName(
         J.duplicate_docs(qrels.withColumn("run_id", F.lit("qrels")), ["run_id", "qid"]))
 
@@ -133,6 +136,7 @@ def eval_queries() -> dict:
         "J1_rank_run": q_rank_run,
         "J3_max_docs": partial(q_rank_run, max_docs=50),
         "J4_J5_duplicates": q_duplicates,
+        "A5_gain_parameters": _m({"G": None, "ndcg": {1: 3, 2: 9}, "ndcg_rel": {1: 1, 2: 4}, "Rndcg": {2: 1}}),
         "J6_judged_join": q_judged_join,
         "J8_judged_only": partial(q_judged_join, judged_only=True),
         "J9_level": partial(q_judged_join, level=2),
@@ -241,10 +245,10 @@ def q_fixture_a_qrels(spark, sf):
 
 
 def q_compare(spark, sf):
-    """Retrieve (all models, both kinds, top 100) -> evaluate against
+    """Retrieve (all models, both kinds, top 1000) -> evaluate against
     passage-containment judgements -> one column per run."""
     docs, topics = _a(spark, sf)
-    runs = retrieve(docs, topics, k=100, round_digits=ROUND) \
+    runs = retrieve(docs, topics, k=SC.TOP_K, round_digits=ROUND) \
         .select("run_id", "qid", "docno", F.round("score", ROUND).cast("float").alias("sim"))
     qrels = FX.fixture_a_qrels(spark, sf)
     ev = evaluate(runs, qrels, ["num_ret", "num_rel_ret", "map", "P", "recip_rank"])
@@ -267,8 +271,9 @@ def retrieval_queries() -> dict:
         "T15_score_lm_jm": partial(q_model, model="lm_jm"),
         "T16_top_k": q_top_k,
         "T17_rank_zero_based": partial(q_top_k, models=("classic",), zero_based=True),
-        "T18_retrieve_grid": partial(q_top_k, models=tuple(SC.MODELS), k=20),
+        "T18_retrieve_grid": partial(q_top_k, models=tuple(SC.MODELS), k=SC.TOP_K),
         "T19_explain_scores": q_explain,
+        "T20_search": q_search,
         "T21_compare_runs": q_compare,
         "FA_passage_qrels": q_fixture_a_qrels,
     }
@@ -400,8 +405,33 @@ def q_closure(spark, sf):
 
 
 def q_inconsistent(spark, sf):
+    """P3 over preferences with seeded faults: a second level in a subgroup
+    (documents ending in 7), a level 0 beside others (ending in 3), and a
+    subgroup that turns the order of topics ending in -2 round."""
     _, prefs = _d_inputs(spark, sf)
-    return P.inconsistencies(prefs)
+    other = prefs.where(F.col("docno").endswith("7")).withColumn("rel_level", F.col("rel_level") + 1)
+    zero = prefs.where(F.col("docno").endswith("3")).withColumns(
+        {"jsg": F.lit("z"), "rel_level": F.lit(0).cast("float")})
+    turned = prefs.where("jsg = '0'").where(F.col("qid").endswith("-2")).withColumns(
+        {"jsg": F.lit("r"), "rel_level": (F.lit(5) - F.col("rel_level")).cast("float")})
+    faulty = prefs.unionByName(other).unionByName(zero).unionByName(turned.select(prefs.columns))
+    return P.inconsistencies(faulty.select(prefs.columns)).distinct()
+
+
+def q_jg_complete(spark, sf):
+    """G1-G3 over every judged topic (-c): runs without the topics ending in -1."""
+    runs, _ = _b(spark, sf)
+    ev = evaluate_jg(runs.where(~F.col("qid").endswith("-1")), FX.fixture_c_qrels_jg(spark, sf),
+                     ["num_q", "map_avgjg"], EvalConfig(complete=True))
+    return ev.summary_values().select("run_id", "measure", _r("value"))
+
+
+def q_search(spark, sf):
+    """One ad-hoc query over all documents, words taken from a title."""
+    docs, topics = _a(spark, sf)
+    text = topics.orderBy("qid").select("title").first()["title"]
+    return search(spark, docs, text, model="bm25").select(
+        "run_id", "docno", _r("score"))
 
 
 def q_positions(spark, sf):
@@ -437,7 +467,7 @@ def q_pair_counts(spark, sf):
                                     F.col("c_up").cast("long"), F.col("c_down").cast("long"))
 
 
-def q_prefs(spark, sf, names, single=False, skew_safe=None):
+def q_prefs(spark, sf, names, single=False, skew_safe=False):
     runs, prefs = _d_inputs(spark, sf, single)
     ev = P.evaluate_prefs(runs, prefs, names, EvalConfig(skew_safe=skew_safe))
     return ev.per_topic.select("run_id", "qid", "measure", _r("value"))
@@ -456,6 +486,7 @@ def group_pref_queries() -> dict:
         "G1_map_avgjg": partial(q_jg, measures=["map_avgjg"]),
         "G2_P_avgjg": partial(q_jg, measures=["P_avgjg"]),
         "G3_Rprec_mult_avgjg": partial(q_jg, measures=["Rprec_mult_avgjg"]),
+        "G_complete": q_jg_complete,
         "P1_direct_pairs": q_direct_pairs,
         "P2_closure": q_closure,
         "P3_inconsistencies": q_inconsistent,
@@ -472,10 +503,18 @@ def group_pref_queries() -> dict:
     }
 
 
+def _released(query):
+    """The query's result as a checkpoint, with all that it persisted released."""
+    def run(spark, sf):
+        with owned():
+            return cut_lineage(query(spark, sf))
+    return run
+
+
 def all_queries() -> dict:
     q = {}
     q.update(group_pref_queries())
     q.update(eval_queries())
     q.update(retrieval_queries())
     q.update(source_queries())
-    return q
+    return {name: _released(query) for name, query in q.items()}

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +18,7 @@ from ..operators import judged as J
 from ..operators import ideal as I
 from ..operators import measures as M
 from ..operators import summary as S
-from ..session import bounded_broadcast
+from ..session import keep
 
 
 @dataclass
@@ -74,75 +73,63 @@ class Evaluation:
         return self.summary().select("run_id", "measure", "value")
 
 
-def _gain_params(selected) -> dict | None:
-    found = None
-    for name, params in selected:
-        if name in ("ndcg", "G", "ndcg_rel", "Rndcg") and params:
-            p = {int(k): float(v) for k, v in dict(params).items()}
-            if found is not None and found != p:
-                raise ValueError("gain measures with different level=gain pairs "
-                                 "must be evaluated separately")
-            found = p
-    return found
+_ALIGNED = ("ig", "icum", "bnd", "inv_after", "cnt_after")
 
 
-def _gain_columns(judged: DataFrame, ideal: DataFrame, small: bool,
+def _gain_columns(judged: DataFrame, ideal: DataFrame, x: str,
                   gains: dict | None, run_keys, topic_keys, tie: str,
                   scan: bool = False) -> DataFrame:
-    """Attach the ideal row at each kept rank and the running gain sums."""
+    """Attach the ideal row at each kept rank and the running gain sums of one
+    set of gains; every column added ends in its suffix `x`."""
     idl = ideal.select(*[F.col(k).alias(f"_i_{k}") for k in topic_keys],
-                       F.col("pos").alias("_pos"), "ig", "icum", "bnd",
-                       "inv_after", "cnt_after")
-    idl = F.broadcast(idl) if small else idl
+                       F.col("pos").alias("_pos"), *[F.col(c).alias(c + x) for c in _ALIGNED])
     cond = [F.col(k) == F.col(f"_i_{k}") for k in topic_keys] + \
            [F.when(F.col("keep"), F.col("rank")) == F.col("_pos")]
-    j = judged.join(idl, cond, "left").drop(*[f"_i_{k}" for k in topic_keys])
+    j = judged.join(idl, cond, "left").drop("_pos", *[f"_i_{k}" for k in topic_keys])
     g = F.when(F.col("keep"), I.gain_of(F.col("code"), gains)).otherwise(lit_d(0))
     w = J.run_window(tie, run_keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     d = F.when(g != 0, g / log2(F.col("rank") + 1)).otherwise(lit_d(0))
-    cost = F.when(F.col("keep"), F.greatest(F.coalesce(F.col("ig"), lit_d(0)), lit_d(1))) \
+    cost = F.when(F.col("keep"), F.greatest(F.coalesce(F.col("ig" + x), lit_d(0)), lit_d(1))) \
         .otherwise(lit_d(0))
     if scan:
         from ..operators.prefix import prefix_sums
-        j = j.withColumn("g", g).withColumn("_d", d).withColumn("_c", cost)
+        j = j.withColumn("g" + x, g).withColumn("_d" + x, d).withColumn("_c" + x, cost)
         return prefix_sums(j, list(run_keys), J.rank_order(tie),
-                           {"dcg_cum": "_d", "got_cum": "g", "cost_cum": "_c"}).drop("_c")
-    return (j.withColumn("g", g).withColumn("_d", d)
-            .withColumn("dcg_cum", F.sum(F.col("_d")).over(w))
-            .withColumn("got_cum", F.sum(F.col("g")).over(w))
-            .withColumn("cost_cum", F.sum(cost).over(w)))
-
-
-def _gain_aggs(ctx: M.Ctx) -> None:
-    ctx.agg("_dcg", "coalesce(sum(_d), 0D)")
-    ctx.agg("_g_sum", sum0("keep AND g <> 0", "g / log2(cost_cum - got_cum + 2)"))
-    ctx.agg("_ndcg_rel_sum", sum0("keep AND g > 0 AND icum IS NOT NULL", "dcg_cum / icum"))
-    ctx.agg("_ndcg_rel_beyond", sum0("keep AND g > 0 AND icum IS NULL", "dcg_cum"))
-    ctx.agg("_pos_ret", cnt("keep AND g > 0"))
-    ctx.agg("_rndcg_sum", sum0("keep AND bnd", "dcg_cum / icum"))
-    ctx.agg("_rndcg_cnt", cnt("keep AND bnd"))
-    ctx.agg("_inv_after_last", "max_by(inv_after, CASE WHEN keep THEN rank END)")
-    ctx.agg("_cnt_after_last", "max_by(cnt_after, CASE WHEN keep THEN rank END)")
+                           {"dcg_cum" + x: "_d" + x, "got_cum" + x: "g" + x, "cost_cum" + x: "_c" + x})
+    return j.withColumn("g" + x, g).withColumn("_d" + x, d).select(
+        "*", F.sum(F.col("_d" + x)).over(w).alias("dcg_cum" + x),
+        F.sum(F.col("g" + x)).over(w).alias("got_cum" + x), F.sum(cost).over(w).alias("cost_cum" + x))
+
+
+def _gain_aggs(ctx: M.Ctx, x: str) -> None:
+    ctx.agg(f"_dcg{x}", f"coalesce(sum(_d{x}), 0D)")
+    ctx.agg(f"_g_sum{x}", sum0(f"keep AND g{x} <> 0", f"g{x} / log2(cost_cum{x} - got_cum{x} + 2)"))
+    ctx.agg(f"_ndcg_rel_sum{x}", sum0(f"keep AND g{x} > 0 AND icum{x} IS NOT NULL", f"dcg_cum{x} / icum{x}"))
+    ctx.agg(f"_ndcg_rel_beyond{x}", sum0(f"keep AND g{x} > 0 AND icum{x} IS NULL", f"dcg_cum{x}"))
+    ctx.agg(f"_pos_ret{x}", cnt(f"keep AND g{x} > 0"))
+    ctx.agg(f"_rndcg_sum{x}", sum0(f"keep AND bnd{x}", f"dcg_cum{x} / icum{x}"))
+    ctx.agg(f"_rndcg_cnt{x}", cnt(f"keep AND bnd{x}"))
+    ctx.agg(f"_inv_after_last{x}", f"max_by(inv_after{x}, CASE WHEN keep THEN rank END)")
+    ctx.agg(f"_cnt_after_last{x}", f"max_by(cnt_after{x}, CASE WHEN keep THEN rank END)")
     ctx.agg("_num_ret_g", cnt("keep"))
 
 
-def _gain_finish(agg: DataFrame, totals: DataFrame, small: bool, topic_keys) -> DataFrame:
-    t = F.broadcast(totals) if small else totals
-    a = agg.join(t, list(topic_keys), "left")
-    a = a.fillna(0, subset=["L", "idcg", "ig_total", "inv_total", "cnt_total"])
-    L, n = F.col("L"), F.col("_num_ret_g")
-    dcg = F.col("_dcg")
+def _gain_finish(agg: DataFrame, totals: DataFrame, x: str, topic_keys) -> DataFrame:
+    names = ["L", "idcg", "ig_total", "inv_total", "cnt_total"]
+    a = agg.join(totals.select(*topic_keys, *[F.col(c).alias(c + x) for c in names]), list(topic_keys), "left")
+    a = a.fillna(0, subset=[c + x for c in names])
+    c = lambda name: F.col(name + x)
+    n = F.col("_num_ret_g")
     # Beyond a run's end: ndcg_rel uses IDCG over all ideal positions; the
     # Rndcg boundaries after the last retrieved rank use the final DCG.
-    a = a.withColumn("_ndcg_rel_sum", F.col("_ndcg_rel_sum")
-                     + safe_div(F.col("_ndcg_rel_beyond"), F.col("idcg")))
-    tail_sum = (F.when(n < L, dcg * F.coalesce(F.col("_inv_after_last"), F.col("inv_total")))
-                .when(n > L + 1, safe_div(dcg, F.col("idcg")))
+    a = a.withColumn("_ndcg_rel_sum" + x, c("_ndcg_rel_sum") + safe_div(c("_ndcg_rel_beyond"), c("idcg")))
+    tail_sum = (F.when(n < c("L"), c("_dcg") * F.coalesce(c("_inv_after_last"), c("inv_total")))
+                .when(n > c("L") + 1, safe_div(c("_dcg"), c("idcg")))
                 .otherwise(lit_d(0)))
-    tail_cnt = (F.when(n < L, F.coalesce(F.col("_cnt_after_last"), F.col("cnt_total")))
-                .when((n > L + 1) & (F.col("idcg") > 0), F.lit(1))
+    tail_cnt = (F.when(n < c("L"), F.coalesce(c("_cnt_after_last"), c("cnt_total")))
+                .when((n > c("L") + 1) & (c("idcg") > 0), F.lit(1))
                 .otherwise(F.lit(0)))
-    return a.withColumn("_rndcg_tail_sum", tail_sum).withColumn("_rndcg_tail_cnt", tail_cnt)
+    return a.withColumn("_rndcg_tail_sum" + x, tail_sum).withColumn("_rndcg_tail_cnt" + x, tail_cnt)
 
 
 def evaluate(runs: DataFrame, qrels: DataFrame, measures="official",
@@ -157,8 +144,7 @@ def evaluate(runs: DataFrame, qrels: DataFrame, measures="official",
     cfg = config or EvalConfig()
     run_keys, topic_keys = list(run_keys), list(topic_keys)
     selected = M.resolve(measures)
-    gains = _gain_params(selected)
-    ctx = M.Ctx(level=cfg.level, num_docs=cfg.num_docs, gains=gains)
+    ctx = M.Ctx(level=cfg.level, num_docs=cfg.num_docs)
     outs = []
     for name, params in selected:
         outs.extend(M.BUILDERS[name](ctx, params))
@@ -166,39 +152,30 @@ def evaluate(runs: DataFrame, qrels: DataFrame, measures="official",
     if cfg.topic is not None:
         qrels = qrels.where(F.col("qid") == cfg.topic)
         runs = runs.where(F.col("qid") == cfg.topic)
-    # judgements feed several joins and aggregates, and the runs feed the
-    # skew check and the ranking: keep each once
-    qrels = qrels.persist(StorageLevel.MEMORY_AND_DISK)
+    # judgements feed several joins and aggregates: keep them once
+    qrels = keep(qrels)
     persisted = [qrels]
     if cfg.strict:
         J.raise_on_duplicates(runs, qrels, list(run_keys), list(topic_keys))
-    if judged is None and cfg.skew_safe is None:
-        runs = runs.persist(StorageLevel.MEMORY_AND_DISK)
-        persisted.append(runs)
-    small = J.judgements_are_small(qrels, cfg)
     stats = J.topic_stats(qrels, cfg.level, topic_keys)
-    big_topics = False
-    if ctx.needs_gain_align or ctx.needs_idcg_cut:
-        big_topics = bool(cfg.skew_safe) if cfg.skew_safe is not None else \
-            I.largest_topic_exceeds(qrels, topic_keys, cfg.skew_rows)
     if judged is None:
-        judged = J.judged_rows(runs, qrels, cfg, stats, run_keys=run_keys,
-                               topic_keys=topic_keys, small=small)
-    if ctx.needs_gain_align:
-        ideal = I.ideal_ranking(qrels, gains, topic_keys, scan=big_topics)
-        judged = _gain_columns(judged, ideal, small, gains, run_keys, topic_keys, "desc",
-                               scan=J.use_prefix_scan(runs, cfg, run_keys))
-        _gain_aggs(ctx)
+        judged = J.judged_rows(runs, qrels, cfg, stats, run_keys=run_keys, topic_keys=topic_keys)
+    ideals = []
+    for i, gains in enumerate(ctx.gain_sets):
+        ideals.append(I.ideal_ranking(qrels, gains, topic_keys, scan=cfg.skew_safe))
+        judged = _gain_columns(judged, ideals[-1], f"_{i}", gains, run_keys, topic_keys, "desc",
+                               scan=cfg.skew_safe)
+        _gain_aggs(ctx, f"_{i}")
 
     group = run_keys + ["R", "Nn", "num_levels", "num_judged"]
     aggs = [F.expr(e).alias(a) for a, e in ctx.aggs.items()] or [F.count(F.lit(1)).alias("_n")]
     agg = judged.groupBy(*group).agg(*aggs)
 
-    if ctx.needs_gain_align:
-        agg = _gain_finish(agg, I.ideal_totals(ideal, topic_keys), small, topic_keys)
+    for i, ideal in enumerate(ideals):
+        agg = _gain_finish(agg, I.ideal_totals(ideal, topic_keys), f"_{i}", topic_keys)
     if ctx.needs_idcg_cut:
-        cut = I.ideal_dcg_at(qrels, sorted(ctx.needs_idcg_cut), topic_keys, scan=big_topics)
-        agg = agg.join(F.broadcast(cut) if small else cut, topic_keys, "left").fillna(
+        cut = I.ideal_dcg_at(qrels, sorted(ctx.needs_idcg_cut), topic_keys, scan=cfg.skew_safe)
+        agg = agg.join(cut, topic_keys, "left").fillna(
             0.0, subset=[f"idcg_cut_{k}" for k in ctx.needs_idcg_cut])
 
     numeric = [o for o in outs if o.kind in ("sum", "mean", "geo")]
@@ -206,13 +183,12 @@ def evaluate(runs: DataFrame, qrels: DataFrame, measures="official",
     order = {o.name: (M.MEASURE_ORDER.index(_base(o.name, selected)),) + tuple(o.order)
              for o in outs}
     # one row per evaluated (run, topic): small, reused by every output
-    wide = agg.select(*run_keys, *[F.expr(o.expr).alias(f"_m{i}") for i, o in enumerate(numeric)],
-                      *[F.expr(o.expr).alias(f"_s{i}") for i, o in enumerate(strings)]) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    wide = keep(agg.select(*run_keys, *[F.expr(o.expr).alias(f"_m{i}") for i, o in enumerate(numeric)],
+                      *[F.expr(o.expr).alias(f"_s{i}") for i, o in enumerate(strings)]))
     per_topic = S.to_long(wide, run_keys,
                           [(f"_m{i}", o.name, o.kind, order[o.name]) for i, o in enumerate(numeric)])
     if zref is not None:
-        per_topic = S.zscore(per_topic, zref, cfg.broadcast_rows)
+        per_topic = S.zscore(per_topic, zref)
     str_df = None
     if strings:
         items = ", ".join(
@@ -225,7 +201,7 @@ def evaluate(runs: DataFrame, qrels: DataFrame, measures="official",
     topics_per_run = wide.select("run_id", "qid").distinct() \
         .groupBy("run_id").agg(F.count(F.lit(1)).alias("n_orig"))
     if cfg.complete:
-        n_judged = stats.count()
+        n_judged = qrels.select("qid").distinct().count()   # topics, not groups of them
         num_q = topics_per_run.withColumn("n", F.lit(n_judged).cast("long"))
     else:
         num_q = topics_per_run.withColumn("n", F.col("n_orig"))

@@ -8,7 +8,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
+from contextvars import ContextVar
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -39,11 +42,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, setting one only when unset.
 
     On a cluster `spark.checkpoint.dir` names a shared folder and is left alone;
-    local runs (tests) get a fresh scratch folder.
+    without one this raises there, since executors share no local folder.  Local
+    runs (tests) get a fresh scratch folder.
     """
     current = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
+    master = spark.sparkContext.master
+    if not current and (not master.startswith("local") or master.startswith("local-cluster")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not current:
         current = tempfile.mkdtemp(prefix="judgeline-ckpt-", dir="/tmp")
     if spark.sparkContext.getCheckpointDir() is None:
@@ -55,8 +62,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor
     loss); never a local checkpoint.  The input is persisted while the
     checkpoint is written so it is computed once, not twice."""
-    from pyspark import StorageLevel
-
     ensure_checkpoint_dir(df.sparkSession)
     df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -65,17 +70,31 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         df.unpersist()
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int):
-    """Broadcast hint only behind a proven row bound.
+_OWNED: ContextVar[list | None] = ContextVar("judgeline_owned", default=None)
 
-    Counts at most ``max_rows + 1`` rows; above the bound the frame is returned
-    unhinted and the planner uses a shuffle join (AQE may still convert it at
-    runtime from measured sizes).
-    """
-    from pyspark.sql import functions as F
 
-    n = df.limit(max_rows + 1).count()
-    return (F.broadcast(df), True) if n <= max_rows else (df, False)
+def keep(df: DataFrame) -> DataFrame:
+    """Persist a frame that several steps read; inside ``owned()`` it is
+    released at the end of the block."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    frames = _OWNED.get()
+    if frames is not None:
+        frames.append(df)
+    return df
+
+
+@contextmanager
+def owned():
+    """Release every frame that the library persists inside this block.  Write
+    or checkpoint the result inside it as well."""
+    frames: list[DataFrame] = []
+    token = _OWNED.set(frames)
+    try:
+        yield frames
+    finally:
+        _OWNED.reset(token)
+        for df in frames:
+            df.unpersist()
 
 
 def env_cpus(default: int = 8) -> int:

@@ -79,9 +79,10 @@ def report_lines(ev, per_topic: bool = True, summary: bool = True) -> DataFrame:
 
 def write_report(ev, path: str, per_topic: bool = True, summary: bool = True,
                  mode: str = "overwrite") -> None:
-    """Write the report text, one folder per run, lines in report order."""
+    """Write the report text, one folder per run; its part files, in name order,
+    hold the lines in report order."""
     lines = report_lines(ev, per_topic, summary)
-    (lines.repartition("run_id")
+    (lines.repartitionByRange("run_id", "sec", "qid")
      .sortWithinPartitions("run_id", "sec", "qid", "ord")
      .select("run_id", F.col("line").alias("value"))
      .write.mode(mode).partitionBy("run_id").text(path))

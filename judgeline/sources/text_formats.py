@@ -3,7 +3,7 @@ topic files (S1).
 
 Every reader is one `spark.read.text` over any number of files (a glob, a
 folder or a list), split with JVM string functions; no line passes through
-Python.  Field counts are checked by `malformed_lines` (S11).
+Python.  A wrong field count ends a read; `malformed_lines` lists them (S11).
 """
 from __future__ import annotations
 
@@ -63,27 +63,32 @@ def malformed_lines(spark: SparkSession, paths, n_fields: int,
                                 size.alias("n_fields"))
 
 
-def _strict(spark, paths, n_fields, allow_extra, allow_blank, what):
-    bad = malformed_lines(spark, paths, n_fields, allow_extra, allow_blank)
-    first = bad.take(1)
-    if first:
-        r = first[0]
-        raise ValueError(f"malformed {what} line in {r['file']}: {r['line']!r} "
-                         f"({r['n_fields']} fields, expected {n_fields})")
+def _lines(spark: SparkSession, paths, n_fields: int, what: str, strict: bool,
+           allow_extra: bool = False) -> DataFrame:
+    """The non-blank lines' fields, in one pass.  A wrong number of fields ends
+    the read with an error naming the line; without `strict` such lines go."""
+    df = _non_blank(_fields(spark, paths))
+    good = F.size("f") >= n_fields
+    if not strict:
+        return df.where(good)
+    if not allow_extra:
+        good = good & (F.size("f") <= n_fields)
+    message = F.concat(F.lit(f"malformed {what} line (expected {n_fields} fields) in "),
+                       F.col("_file"), F.lit(": "), F.col("_line"))
+    return df.where(F.when(good, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
 
 
 def read_run(spark: SparkSession, paths, run_id: str = "file",
-             strict: bool = False) -> DataFrame:
+             strict: bool = True) -> DataFrame:
     """runs(run_id, qid, docno, sim float) from `qid iter docno rank sim tag`.
 
-    Trailing extra fields are ignored and blank lines skipped.  The rank field
+    Trailing extra fields are ignored and blank lines skipped; a line with fewer
+    fields ends the read (`strict=False` drops it).  The rank field
     is ignored (rank is re-derived from sim).  ``run_id="file"`` takes the tag
     of each file's last line as the run identifier, as the evaluator does;
     ``run_id="line"`` keeps each line's own tag.
     """
-    if strict:
-        _strict(spark, paths, 6, True, True, "results")
-    df = _non_blank(_fields(spark, paths)).where(F.size("f") >= 6)
+    df = _lines(spark, paths, 6, "results", strict, allow_extra=True)
     rows = df.select(
         F.col("f")[0].alias("qid"),
         F.col("f")[2].alias("docno"),
@@ -95,25 +100,20 @@ def read_run(spark: SparkSession, paths, run_id: str = "file",
         return rows.select(F.col("tag").alias("run_id"), "qid", "docno", "sim")
     last_tag = rows.groupBy("_file").agg(
         F.max_by("tag", F.struct("_block", "_pos")).alias("run_id"))
-    # one row per input file: a tiny side, broadcast by the planner
-    return rows.join(F.broadcast(last_tag), "_file").select(
+    return rows.join(last_tag, "_file").select(
         "run_id", "qid", "docno", "sim")
 
 
 def read_qrels(spark: SparkSession, paths, strict: bool = True) -> DataFrame:
     """S3: qrels(qid, docno, rel int) from `qid iter docno rel`."""
-    if strict:
-        _strict(spark, paths, 4, False, False, "qrels")
-    f = _non_blank(_fields(spark, paths)).where(F.size("f") >= 4)
+    f = _lines(spark, paths, 4, "qrels", strict)
     return f.select(F.col("f")[0].alias("qid"), F.col("f")[2].alias("docno"),
                     _to_int(F.col("f")[3]).alias("rel"))
 
 
 def read_qrels_jg(spark: SparkSession, paths, strict: bool = True) -> DataFrame:
     """qrels_jg(qid, jg, docno, rel int) from `qid jg docno rel`."""
-    if strict:
-        _strict(spark, paths, 4, False, False, "qrels_jg")
-    f = _non_blank(_fields(spark, paths)).where(F.size("f") >= 4)
+    f = _lines(spark, paths, 4, "qrels_jg", strict)
     return f.select(F.col("f")[0].alias("qid"), F.col("f")[1].alias("jg"),
                     F.col("f")[2].alias("docno"),
                     _to_int(F.col("f")[3]).alias("rel"))
@@ -121,9 +121,7 @@ def read_qrels_jg(spark: SparkSession, paths, strict: bool = True) -> DataFrame:
 
 def read_prefs(spark: SparkSession, paths, strict: bool = True) -> DataFrame:
     """prefs(qid, jg, jsg, docno, rel_level float) from five fields."""
-    if strict:
-        _strict(spark, paths, 5, False, False, "prefs")
-    f = _non_blank(_fields(spark, paths)).where(F.size("f") >= 5)
+    f = _lines(spark, paths, 5, "prefs", strict)
     return f.select(F.col("f")[0].alias("qid"), F.col("f")[1].alias("jg"),
                     F.col("f")[2].alias("jsg"), F.col("f")[3].alias("docno"),
                     _to_float(F.col("f")[4]).alias("rel_level"))
@@ -131,9 +129,7 @@ def read_prefs(spark: SparkSession, paths, strict: bool = True) -> DataFrame:
 
 def read_qrels_as_prefs(spark: SparkSession, paths, strict: bool = True) -> DataFrame:
     """A qrels file read as prefs: jg = second field, jsg = "0"."""
-    if strict:
-        _strict(spark, paths, 4, False, False, "qrels_prefs")
-    f = _non_blank(_fields(spark, paths)).where(F.size("f") >= 4)
+    f = _lines(spark, paths, 4, "qrels_prefs", strict)
     return qrels_to_prefs(f.select(
         F.col("f")[0].alias("qid"), F.col("f")[1].alias("jg"),
         F.col("f")[2].alias("docno"), _to_int(F.col("f")[3]).alias("rel")))
@@ -147,9 +143,7 @@ def qrels_to_prefs(qrels_jg: DataFrame) -> DataFrame:
 
 def read_zref(spark: SparkSession, paths, strict: bool = True) -> DataFrame:
     """zref(qid, measure, mean double, stddev double)."""
-    if strict:
-        _strict(spark, paths, 4, False, False, "zscores")
-    f = _non_blank(_fields(spark, paths)).where(F.size("f") >= 4)
+    f = _lines(spark, paths, 4, "zscores", strict)
     return f.select(F.col("f")[0].alias("qid"), F.col("f")[1].alias("measure"),
                     F.col("f")[2].try_cast("double").alias("mean"),
                     F.col("f")[3].try_cast("double").alias("stddev"))
@@ -181,3 +175,8 @@ def topic_fields(blocks: DataFrame, col: str = "block") -> DataFrame:
                     F.regexp_replace(between("title", "desc"), "Topic: ", "").alias("title"),
                     between("desc", "smry").alias("description"))
             .select(qid.alias("qid"), "title", "description"))
+
+
+def read_docs(df: DataFrame, docno_col: str, text_col: str) -> DataFrame:
+    """docs(docno string, text) from any table with these two columns."""
+    return df.select(F.col(docno_col).cast("string").alias("docno"), F.col(text_col).alias("text"))

@@ -4,7 +4,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF, TOPICS
+from conftest import SF
 from judgeline.functions.text import STOP_WORDS, tokenize
 from judgeline.plans import fixtures as FX
 from judgeline.plans.retrieve import retrieve, scored, search
@@ -18,12 +18,35 @@ def test_tokenize_drops_stop_words(spark):
     assert len(STOP_WORDS) == 33
 
 
-def test_read_topics(spark):
-    t = read_topics(spark, TOPICS)
-    rows = {r.qid: r for r in t.collect()}
-    assert len(rows) == 50 and "51" in rows and "100" in rows
-    assert rows["51"].title.strip() == "Airbus Subsidies"
-    assert "Description:" in rows["51"].description
+TOPICS = """<top>
+<num> Number:  007
+<dom> Domain: Transport
+<title> Topic:  Night Ferries
+<desc> Description:
+Boats that sail
+at night.
+<smry> Summary:
+None.
+</top>
+
+<top>
+<num> Number: 12
+<dom> Domain: x
+<title> Topic: Bridges
+<desc> Description: Long ones.
+<smry> Summary: y
+</top>
+"""
+
+
+def test_read_topics(spark, tmp_path):
+    path = tmp_path / "topics.txt"
+    path.write_text(TOPICS)
+    rows = {r.qid: r for r in read_topics(spark, str(path)).collect()}
+    assert set(rows) == {"07", "12"}          # one leading zero goes
+    assert rows["07"].title.strip() == "Night Ferries"
+    assert rows["07"].description.strip() == "Description:\nBoats that sail\nat night."
+    assert rows["12"].description.strip() == "Description: Long ones."
 
 
 def test_topk_and_tags(spark):

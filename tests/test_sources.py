@@ -1,7 +1,11 @@
 """Readers: field checks (S11), run ids, no-overlap failure."""
 import pytest
+from pyspark.errors.exceptions.captured import SparkRuntimeException
 
+from judgeline.config import EvalConfig
+from judgeline.operators.prefs import closure, evaluate_prefs, inconsistencies
 from judgeline.plans.evaluate import evaluate
+from judgeline.session import ensure_checkpoint_dir
 from judgeline.sources import text_formats as T
 
 
@@ -14,8 +18,9 @@ def test_malformed_qrels_line_is_reported(spark, tmp_path):
     p = _write(tmp_path / "q.txt", "1 0 d1 1\n1 0 d2\n1 0 d3 0 extra\n")
     bad = T.malformed_lines(spark, p, 4).collect()
     assert sorted(r.n_fields for r in bad) == [3, 5]
-    with pytest.raises(ValueError):
+    with pytest.raises(SparkRuntimeException, match="malformed qrels line.*1 0 d2"):
         T.read_qrels(spark, p).count()
+    assert T.read_qrels(spark, p, strict=False).count() == 3 - 1
 
 
 def test_run_reader_extra_fields_blank_lines_and_last_tag(spark, tmp_path):
@@ -40,13 +45,56 @@ def test_no_overlap_fails(spark, tmp_path):
         evaluate(runs, qrels, "official").summary().collect()
 
 
-def test_strict_mode_rejects_duplicates_and_inconsistent_prefs(spark, tmp_path):
-    from judgeline.config import EvalConfig
-    from judgeline.operators.prefs import evaluate_prefs
+def test_short_run_lines_stop_the_read(spark, tmp_path):
+    p = _write(tmp_path / "r.txt", "1 Q0 d1 1 2.5 tag\n1 Q0 d2 2 1.5\n")
+    with pytest.raises(SparkRuntimeException, match="malformed results line"):
+        T.read_run(spark, p).collect()
+    assert T.read_run(spark, p, strict=False).count() == 1
+
+
+def test_faulty_input_raises_by_default(spark, tmp_path):
     runs = T.read_run(spark, _write(tmp_path / "r.txt", "1 Q0 d1 1 1.0 r\n1 Q0 d1 2 0.5 r\n"))
     qrels = T.read_qrels(spark, _write(tmp_path / "q.txt", "1 0 d1 1\n"))
     with pytest.raises(ValueError, match="duplicate"):
-        evaluate(runs, qrels, "official", EvalConfig(strict=True))
+        evaluate(runs, qrels, "official")
+    with pytest.raises(ValueError, match="duplicate"):
+        evaluate(runs.limit(1), qrels.union(qrels), "official")
+    assert evaluate(runs, qrels, "official", EvalConfig(strict=False)).summary().count() > 0
     prefs = T.read_prefs(spark, _write(tmp_path / "p.txt", "1 a s d1 1\n1 a s d1 2\n1 a s d2 0\n"))
     with pytest.raises(ValueError, match="inconsistent"):
-        evaluate_prefs(runs, prefs, "all_prefs", EvalConfig(strict=True))
+        evaluate_prefs(runs, prefs, "all_prefs")
+    with pytest.raises(KeyError, match="map"):
+        evaluate_prefs(runs, prefs, ["map", "prefs_simp"])
+
+
+def test_both_ways_and_cycles(spark, tmp_path):
+    both = T.read_prefs(spark, _write(tmp_path / "p.txt", "1 a s d1 2\n1 a s d2 1\n1 a t d1 1\n1 a t d2 2\n"))
+    kinds = {(r.docno, r.kind) for r in inconsistencies(both).collect()}
+    assert kinds == {("d1", "preferred_both_ways"), ("d2", "preferred_both_ways")}
+    ring = spark.createDataFrame([("1", "a", x, y) for x, y in ("ab", "bc", "cd", "da")], "qid string, jg string, hi string, lo string")
+    with pytest.raises(ValueError, match="cycle"):
+        closure(ring)
+    chain = spark.createDataFrame([("1", "a", f"{i:02}", f"{i + 1:02}") for i in range(12)], "qid string, jg string, hi string, lo string")
+    assert closure(chain).count() == 12 * 13 // 2
+
+
+def test_read_docs(spark):
+    t = spark.createDataFrame([(5, "x y", 1)], "id long, body string, n int")
+    assert [tuple(r) for r in T.read_docs(t, "id", "body").collect()] == [("5", "x y")]
+
+
+def test_checkpoint_folder_is_required_on_a_cluster():
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
