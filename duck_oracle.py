@@ -477,9 +477,9 @@ def retrieval_oracles() -> dict[str, str]:
         "T18_retrieve_grid": _with(FIX_A, _runs_cte(models, 1000)) +
             "SELECT run_id, qid, docno, CAST(rank AS BIGINT) AS rank, round(score, 6) AS score FROM topk",
         "T19_explain_scores": _with(FIX_A) +
-            "SELECT qid, docno, term, round(c, 6) AS contribution, round(sum(c) OVER (PARTITION BY qid, docno "
+            "SELECT kind, qid, docno, term, round(c, 6) AS contribution, round(sum(c) OVER (PARTITION BY kind, qid, docno "
             "ORDER BY first_pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS running FROM "
-            f"(SELECT qid, docno, term, first_pos, {_SUMMAND['tfidf']} AS c FROM j WHERE kind = 'short')",
+            f"(SELECT kind, qid, docno, term, first_pos, {_SUMMAND['tfidf']} AS c FROM j)",
         "T20_search": _with(FIX_A, _runs_cte(["bm25"], 1000)) +
             "SELECT run_id, docno, round(score, 6) AS score FROM topk "
             "WHERE run_id = 'BM25_SHORT' AND qid = (SELECT min(qid) FROM topics)",

@@ -235,9 +235,11 @@ def q_top_k(spark, sf, models=("bm25",), k=10, zero_based=False):
 
 
 def q_explain(spark, sf):
+    """Both query kinds, every topic, every matching document."""
     docs, topics = _a(spark, sf)
-    e = explain(docs, topics, "short", "tfidf")
-    return e.select("qid", "docno", "term", _r("contribution"), _r("running"))
+    both = [explain(docs, topics, kind).withColumn("kind", F.lit(kind)) for kind in ("short", "long")]
+    return both[0].unionByName(both[1]).select(
+        "kind", "qid", "docno", "term", _r("contribution"), _r("running"))
 
 
 def q_fixture_a_qrels(spark, sf):
