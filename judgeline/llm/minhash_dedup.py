@@ -9,17 +9,19 @@ about 4e-4 (halves of 3 rows, 12 a side); more similar ones far more rarely.
 
 Documents with equal sets are one class.  Rows are dealt by the half keys of the
 first collection, so the second half is expanded inside a partition and never
-shuffled.  Within a bucket every member is compared with the smallest one only,
-and not all pairs; a half key that very many classes share is salted, and the
-salted parts' smallest members are compared in turn.  Candidates are confirmed
-on the full sets.
+shuffled.  Within a bucket every member is first compared with the smallest one only;
+a half key that very many classes share is salted, and the salted parts' smallest
+members are compared in turn.  Candidates are confirmed on the full sets.
 
 A member may be linked with another one though not with the smallest.  So the
 classes that comparisons found at least ``FAMILY`` percent similar form families,
 and in a family whose links leave several components, every class outside the
 largest one is compared with all classes of other components, on full sets, in
-blocks of rows; a task returns the components it joins, not pairs.  No pair, set
-or fingerprint goes to the driver.
+blocks of rows; a task returns the components it joins, not pairs.  Buckets that
+then still hold several families are opened: their members are compared across
+families, as pairs in buckets of up to ``SMALL`` members and in blocks of rows in
+larger ones.  So every pair that meets in a table is compared or in one component
+already.  No pair, set or fingerprint goes to the driver.
 
 Defined cases: a text that is null or has no word has an empty set, is linked
 with nothing and is kept; a text with fewer words than a shingle is one shingle;
@@ -49,6 +51,7 @@ ROWS = 3                  # minhashes of a half key
 FAMILY = 50               # least similarity, in percent, of comparisons that make families
 BLOCK_ROWS = 256          # rows of a block of a family
 COLUMNS = 1 << 14         # shingles of a block counted at once
+SMALL = 64                # members of an open bucket that are compared as pairs
 SPLIT = 500               # a half key holding over 1/SPLIT of the classes is salted
 CACHED_WORDS = 200_000    # hashes a task remembers
 SEED = 20_240_502
@@ -158,14 +161,19 @@ def _bucket(halves: DataFrame) -> DataFrame:
     return halves.select(*[c for c in halves.columns if c != "v"], F.posexplode("v").alias("j", "other"))
 
 
-def _stars(classes: DataFrame, n: int, percent: int) -> DataFrame:
-    """(a, b): in each bucket its smallest member and each other one."""
-    halves = classes.select("rep", "n", "v", F.posexplode("u").alias("i", "half"))
+def _hot(classes: DataFrame, n: int) -> DataFrame:
+    """(i, half, parts): the half keys that very many classes share."""
     limit = max(64, n // SPLIT)
     # at most HALVES * SPLIT half keys hold that many classes
-    hot = halves.groupBy("i", "half").count().where(F.col("count") > limit) \
-        .select("i", "half", F.ceil(F.col("count") / limit).alias("parts"))
-    hot = F.broadcast(cut_lineage(hot))
+    hot = classes.select(F.posexplode("u").alias("i", "half")).groupBy("i", "half").count() \
+        .where(F.col("count") > limit).select("i", "half", F.ceil(F.col("count") / limit).alias("parts"))
+    return F.broadcast(cut_lineage(hot))
+
+
+def _stars(classes: DataFrame, hot: DataFrame, least: int) -> DataFrame:
+    """(a, b, fits): in each bucket its smallest member and each other one, and
+    whether their sizes let them be ``least`` percent similar."""
+    halves = classes.select("rep", "n", "v", F.posexplode("u").alias("i", "half"))
     key, member = ["i", "half", "salt"], F.struct("rep", "n")
 
     def with_hubs(rows: DataFrame) -> DataFrame:
@@ -174,12 +182,41 @@ def _stars(classes: DataFrame, n: int, percent: int) -> DataFrame:
         return _bucket(rows.repartition(*key)).withColumn("hub", hub)
 
     first = with_hubs(halves.join(hot, ["i", "half"], "left")).where("rep <> hub.rep") \
-        .where(_long_enough(F.col("hub.n"), F.col("n"), percent)).select(F.col("hub.rep").alias("a"), F.col("rep").alias("b"))
+        .select(F.col("hub.rep").alias("a"), F.col("rep").alias("b"), _long_enough(F.col("hub.n"), F.col("n"), least).alias("fits"))
     hubs = with_hubs(halves.join(hot, ["i", "half"])).where("rep = hub.rep") \
         .withColumn("top", F.min(member).over(Window.partitionBy("i", "half", "j", "other")))
-    above = hubs.where("rep <> top.rep").where(_long_enough(F.col("top.n"), F.col("n"), percent)) \
-        .select(F.col("top.rep").alias("a"), F.col("rep").alias("b"))
-    return first.union(above).distinct()
+    above = hubs.where("rep <> top.rep") \
+        .select(F.col("top.rep").alias("a"), F.col("rep").alias("b"), _long_enough(F.col("top.n"), F.col("n"), least).alias("fits"))
+    return first.union(above).groupBy("a", "b").agg(F.max("fits").alias("fits"))
+
+
+def _open_buckets(classes: DataFrame, hot: DataFrame, stars: DataFrame, families: DataFrame) -> DataFrame | None:
+    """(bucket, m, alike, rep, n, family): members of the buckets that hold several
+    families; m members in all, and alike for buckets of the same members."""
+    by_a = families.select(F.col("id").alias("a"), F.col("family").alias("fa"))
+    by_b = families.select(F.col("id").alias("b"), F.col("family").alias("fb"))
+    hubs = stars.join(by_a, "a", "left").join(by_b, "b", "left") \
+        .where(F.coalesce("fa", "a") != F.coalesce("fb", "b")).select("a").distinct()
+    hubs = cut_lineage(hubs)
+    if hubs.isEmpty():
+        return None
+    asked = stars.join(broadcast_if_small(hubs), "a", "left_semi").select(F.col("b").alias("rep")).union(hubs).distinct()
+    asked = broadcast_if_small(cut_lineage(asked.withColumn("asked", F.lit(True))))
+    rows = classes.select("rep", "n", "u", "v").join(asked, "rep", "left") \
+        .join(families.withColumnRenamed("id", "rep"), "rep", "left") \
+        .select("rep", "n", "v", "asked", F.coalesce("family", "rep").alias("family"), F.posexplode("u").alias("i", "half"))
+    key = ["i", "half", "j", "other"]
+    bucket = F.concat_ws(":", *key).alias("bucket")
+    seen = {"m": F.count(F.lit(1)), "low": F.min("family"), "high": F.max("family"),
+            "alike": F.sum(F.xxhash64("rep").cast("decimal(20,0)"))}
+    # a half key that is not hot holds a bounded number of classes
+    cool = _bucket(rows.where("asked").join(hot, ["i", "half"], "left_anti").repartition("i", "half"))
+    cool = cool.select("*", *[c.over(Window.partitionBy(*key)).alias(k) for k, c in seen.items()]).where("low <> high")
+    warm = _bucket(rows.join(hot, ["i", "half"], "left_semi"))
+    stats = cut_lineage(warm.groupBy(*key).agg(*[c.alias(k) for k, c in seen.items()]).where("low <> high"))
+    warm = warm.join(broadcast_if_small(stats), key)
+    shape = [bucket, "m", "alike", "rep", "n", "family"]
+    return cut_lineage(cool.select(*shape).union(warm.select(*shape)))
 
 
 def _confirmed(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -191,7 +228,7 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> D
     common = F.size(F.array_intersect("own_a", "own_b"))
     checked = both.select("a", "b", common.alias("common"), (F.size("own_a") + F.size("own_b") - common).alias("union"))
     reached = lambda least: F.max(F.col("common") * 100 >= F.col("union") * least)
-    return checked.groupBy("a", "b").agg(reached(percent).alias("linked"), reached(FAMILY).alias("near"))
+    return checked.groupBy("a", "b").agg(reached(percent).alias("linked"), reached(min(FAMILY, percent)).alias("near"))
 
 
 def _crossed(frame, percent: int):
@@ -221,12 +258,10 @@ def _crossed(frame, percent: int):
     return pd.DataFrame({"a": a[i], "b": b[j]}).drop_duplicates()
 
 
-def _within_families(docs: DataFrame, roots: DataFrame, near: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b): components of a family that further links join.  ``roots`` has the
-    components found so far, ``near`` the pairs that make families."""
+def _within_families(docs: DataFrame, member: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b): components that further links join, among the classes of a family.
+    ``member`` has id, family and comp, the component found so far."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    member = components(near).withColumnRenamed("root", "family").join(roots, "id", "left") \
-        .select("id", "family", F.coalesce("root", "id").alias("comp"))
     member = cut_lineage(member)
     parts = member.groupBy("family", "comp").count()
     several = parts.groupBy("family").agg(
@@ -245,6 +280,25 @@ def _within_families(docs: DataFrame, roots: DataFrame, near: DataFrame, words:
         lambda frame: _crossed(frame, percent), f"a {kind}, b {kind}")
 
 
+def _across_families(docs: DataFrame, buckets: DataFrame | None, roots: DataFrame, words: int, percent: int) -> DataFrame | None:
+    """(a, b): links, or components that links join, across the families of buckets."""
+    if buckets is None or buckets.isEmpty():
+        return None
+    other = F.filter("all", lambda y: (y["rep"] > F.col("x.rep")) & (y["family"] != F.col("x.family"))
+                     & _long_enough(y["n"], F.col("x.n"), percent))
+    pairs = buckets.where(F.col("m") <= SMALL).groupBy("bucket").agg(F.collect_list(F.struct("rep", "n", "family")).alias("all")) \
+        .select("all", F.explode("all").alias("x")).select(F.col("x.rep").alias("a"), F.explode(other).alias("y")) \
+        .select("a", F.col("y.rep").alias("b")).distinct()
+    found = _confirmed(docs, cut_lineage(pairs), words, percent).where("linked").select("a", "b")
+    large = buckets.where(F.col("m") > SMALL)
+    one = cut_lineage(large.groupBy("m", "alike").agg(F.min("bucket").alias("bucket")).select("bucket"))
+    if not one.isEmpty():
+        member = large.join(broadcast_if_small(one), "bucket", "left_semi").select(F.col("rep").alias("id"), F.col("bucket").alias("family")) \
+            .join(roots, "id", "left").select("id", "family", F.coalesce("root", "id").alias("comp"))
+        found = found.union(_within_families(docs, member, words, percent))
+    return cut_lineage(found.distinct())
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
                     halves: int = HALVES, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links), kept
@@ -254,14 +308,22 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         signed.where("same is not null and doc_id is not null").groupBy("same").agg(
             F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
             F.first("u").alias("u"), F.first("v").alias("v")))
-    pairs = cut_lineage(_stars(classes, classes.count(), percent))
-    checked = cut_lineage(_confirmed(docs, pairs, words, percent))
+    hot = _hot(classes, classes.count())
+    stars = cut_lineage(_stars(classes, hot, min(FAMILY, percent)))
+    checked = cut_lineage(_confirmed(docs, stars.where("fits").select("a", "b"), words, percent))
     linked = checked.where("linked").select("a", "b")
     roots = components(linked)
+    families = roots.withColumnRenamed("root", "family")
     if not checked.where("near and not linked").isEmpty():
-        more = cut_lineage(_within_families(docs, roots, checked.where("near"), words, percent).distinct())
+        families = components(checked.where("near")).withColumnRenamed("root", "family")
+        member = families.join(roots, "id", "left").select("id", "family", F.coalesce("root", "id").alias("comp"))
+        more = cut_lineage(_within_families(docs, member, words, percent).distinct())
         if not more.isEmpty():
-            roots = components(linked.union(more))
+            linked = linked.union(more)
+            roots = components(linked)
+    more = _across_families(docs, _open_buckets(classes, hot, stars, families), roots, words, percent)
+    if more is not None and not more.isEmpty():
+        roots = components(linked.union(more))
     found = classes.select("same", "rep").join(roots.withColumnRenamed("id", "rep"), "rep", "left") \
         .select("same", F.coalesce("root", "rep").alias("root"))
     joined = signed.select("doc_id", "n_shingles", "same").join(broadcast_if_small(cut_lineage(found)), "same", "left")

@@ -201,6 +201,43 @@ def test_minhash_centre(spark):
     assert {r.component_id for r in got} == {0}
 
 
+def component_roots(sets):
+    """Smallest id reachable by links of 80 percent, all pairs compared."""
+    root = {i: i for i in sets}
+    for i in sorted(sets):
+        for j in sorted(sets):
+            n = len(sets[i] & sets[j])
+            if i < j and 100 * n >= 80 * len(sets[i] | sets[j]) and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = {k: low if r == high else r for k, r in root.items()}
+    return root
+
+
+def partial_copies():
+    """Two like documents, and many lower partial copies, a little too short for a link."""
+    rng = random.Random(11)
+    core = [f"w{i}" for i in range(200)]
+    return [rng.sample(core, 166) for _ in range(60)] + [core + [f"{end}{i}" for i in range(10)] for end in "ab"]
+
+
+def edited_copies():
+    """Two like documents, and many lower copies under half like them and each other."""
+    rng = random.Random(12)
+    core = [f"w{i}" for i in range(200)]
+    return [rng.sample(core, 104) for _ in range(500)] + [core + [f"{end}{i}" for i in range(20)] for end in "ab"]
+
+
+@pytest.mark.parametrize("make", [partial_copies, edited_copies])
+@pytest.mark.parametrize("small", [minhash_dedup.SMALL, 2])
+def test_minhash_third_hub(spark, monkeypatch, make, small):
+    """Linked documents whose buckets all have a third, unlike document as the smallest."""
+    monkeypatch.setattr(minhash_dedup, "SMALL", small)
+    own = make()
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(own)], "doc_id long, text string")
+    got = minhash_dedup.near_duplicates(docs, words=1).collect()
+    assert {r.doc_id: r.component_id for r in got} == component_roots({k: set(w) for k, w in enumerate(own)})
+
+
 def test_language(docs, empty):
     model = language_id.train(docs)
     got = language_id.predict(docs, model).collect()
