@@ -8,12 +8,12 @@ evidence the two longest contexts have and the bit's place, and the mix is
 refined by an adaptive table over the last byte and the mixed odds.  The sum of
 the bits' costs is the text's log probability; bits per byte follow from it.
 
-Learning is one pass over all training texts.  Each task learns online: it
-predicts a batch of texts with what it has seen so far, corrects weights (online
-Newton steps) and the adaptive table by the errors, then counts the batch.  The
-tasks' corrections are summed, weighted by their curvature, and the counts of
-byte groups over all tasks make the final context tables.  Groups that a batch
-repeats are predicted once and weighted, which is the same sum with less work.
+One pass over all training texts counts their byte groups; the counts over all
+tasks make the context tables.  Weights and the adaptive table are then learned
+from all groups, each as often as it occurs and predicted by the tables without
+that one occurrence (leave one out).  Tasks add up errors and curvature, and the
+weights are moved by the sums of all tasks (Newton steps, ``ROUNDS`` times), so
+that what is learned does not depend on how the texts are dealt to tasks.
 
 The base score is a word model with counts of all training words.  Words that
 make up a millionth of all words or more are at most a million; they are
@@ -41,7 +41,8 @@ FOLDS, HELD_OUT = 7, 2
 END = 0xFF                        # no byte of UTF-8; also stands before a text
 ORDERS = 4                        # contexts of 0 to 3 bytes
 SLOT_BITS = (8, 16, 20, 22)       # of each order's table
-BATCH = 1 << 20                   # bytes predicted before they are counted
+BATCH = 1 << 20                   # bytes counted or scored together
+ROUNDS = 6                        # Newton steps of the weights
 PRIOR = 0.4                       # count added to either bit
 FREQUENT = 1e-6                   # share of all words from which a word is broadcast
 _START = np.concatenate(([0], np.cumsum([1 << b for b in SLOT_BITS])))
@@ -121,35 +122,38 @@ class Mixer:
         return mixed, (mixed + refined) / 2, low, share
 
 
-class Learner:
-    """What one task learns, online, from its texts."""
+def _counted(found: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Counts of 0 and 1 by slot."""
+    counts = np.zeros((2, _START[-1]), np.float32)
+    for at in range(0, len(found), 1 << 16):
+        bits, n = _Bits(found[at:at + (1 << 16)]), times[at:at + (1 << 16), None].astype(np.float32)
+        for slots in bits.slots:
+            for value in (0, 1):
+                own = bits.bit == bool(value)
+                np.add.at(counts[value], slots[own], np.broadcast_to(n, own.shape)[own])
+    return counts
 
-    def __init__(self):
-        self.counts = np.zeros((2, _START[-1]), np.float32)
-        self.mixer = Mixer.first()
-        self.curve = np.tile(_RIDGE * np.eye(_INPUTS), (_GATES, 1, 1))
+
+class Corrections:
+    """Sums, over groups, from which weights are moved and the adaptive table is
+    made.  ``counts`` are those of all training texts."""
+
+    def __init__(self, counts: np.ndarray, mixer: Mixer):
+        self.counts, self.mixer = counts, mixer
+        self.push = np.zeros((_GATES, _INPUTS))
+        self.curve = np.zeros((_GATES, _INPUTS, _INPUTS))
         self.apm = np.zeros((256, _STEPS, 2))
-        self.seen: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def learn(self, texts: list[str | None]) -> None:
-        found, times = np.unique(groups(texts)[0], return_counts=True)
-        self.seen.append((found, times))
-        if len(self.seen) > 16:
-            self._merge()
+    def add(self, found: np.ndarray, times: np.ndarray) -> None:
         for at in range(0, len(found), 1 << 15):
-            self._correct(found[at:at + (1 << 15)], times[at:at + (1 << 15)])
-        for at in range(0, len(found), 1 << 16):
-            bits, n = _Bits(found[at:at + (1 << 16)]), times[at:at + (1 << 16), None].astype(np.float32)
-            for slots in bits.slots:
-                for value in (0, 1):
-                    own = bits.bit == bool(value)
-                    np.add.at(self.counts[value], slots[own], np.broadcast_to(n, own.shape)[own])
-
-    def _correct(self, found: np.ndarray, times: np.ndarray) -> None:
+            self._add(found[at:at + (1 << 15)], times[at:at + (1 << 15)])
+
+    def _add(self, found: np.ndarray, times: np.ndarray) -> None:
         bits = _Bits(found)
         odds, evidence = [], []
-        for slots in bits.slots:
-            zero, one = self.counts[0][slots], self.counts[1][slots]
+        for slots in bits.slots:            # without the occurrence that is predicted
+            zero = np.maximum(self.counts[0][slots] - ~bits.bit, 0)
+            one = np.maximum(self.counts[1][slots] - bits.bit, 0)
             odds.append(np.log((one + PRIOR) / (zero + PRIOR)))
             evidence.append(zero + one)
         gate = (_level(evidence[3]) * 4 + _level(evidence[2])) * 8 + bits.place
@@ -157,19 +161,33 @@ class Learner:
         weight = np.broadcast_to(times[:, None].astype(float), gate.shape)
         miss, slope = weight * (bits.bit - mixed), weight * np.maximum(mixed * (1 - mixed), 1e-4)
         inputs, flat = [*odds, np.full(gate.shape, 0.5)], gate.ravel()
-        push = np.stack([np.bincount(flat, (miss * x).ravel(), _GATES) for x in inputs], 1)
+        self.push += np.stack([np.bincount(flat, (miss * x).ravel(), _GATES) for x in inputs], 1)
         for i in range(_INPUTS):
             for j in range(i + 1):
                 own = np.bincount(flat, (slope * inputs[i] * inputs[j]).ravel(), _GATES)
                 self.curve[:, i, j] += own
                 if i != j:
                     self.curve[:, j, i] += own
-        self.mixer.weights = self.mixer.weights + np.linalg.solve(self.curve, push[..., None])[..., 0]
         for shift, part in ((0, 1 - share), (1, share)):
             where = (bits.last * _STEPS + low + shift) * 2 + bits.bit
-            own = np.bincount(where.ravel(), (weight * part).ravel(), 256 * _STEPS * 2).reshape(256, _STEPS, 2)
-            self.apm += own
-            self.mixer.apm = self.mixer.apm + own
+            self.apm += np.bincount(where.ravel(), (weight * part).ravel(), 256 * _STEPS * 2).reshape(256, _STEPS, 2)
+
+    def sums(self) -> np.ndarray:
+        """All as one array that sums over tasks."""
+        moved = np.einsum("gij,gj->gi", self.curve, self.mixer.weights) + self.push
+        return np.concatenate((self.curve.ravel(), moved.ravel(), self.apm.ravel()))
+
+
+class Learner:
+    """The groups of some texts, and what they alone teach."""
+
+    def __init__(self):
+        self.seen: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def learn(self, texts: list[str | None]) -> None:
+        self.seen.append(np.unique(groups(texts)[0], return_counts=True))
+        if len(self.seen) > 16:
+            self._merge()
 
     def _merge(self) -> None:
         if not self.seen:
@@ -178,17 +196,38 @@ class Learner:
         times = np.bincount(where, np.concatenate([t for _, t in self.seen]), len(found)).astype(np.int64)
         self.seen = [(found, times)]
 
-    def result(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Groups, their counts, and the corrections as one array that sums over tasks."""
+    def groups(self) -> tuple[np.ndarray, np.ndarray]:
+        """Groups and how often each occurs."""
         self._merge()
-        found, times = self.seen[0] if self.seen else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
-        own = self.curve - _RIDGE * np.eye(_INPUTS)
-        moved = np.einsum("gij,gj->gi", own, self.mixer.weights)
-        return found, times, np.concatenate((own.ravel(), moved.ravel(), self.apm.ravel()))
+        return self.seen[0] if self.seen else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+
+    @property
+    def counts(self) -> np.ndarray:
+        return _counted(*self.groups())
+
+    def result(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Groups, their counts, and the sums of the last Newton step."""
+        found, times = self.groups()
+        counts = self.counts
+
+        def sums_of(mixer: Mixer) -> np.ndarray:
+            own = Corrections(counts, mixer)
+            own.add(found, times)
+            return own.sums()
+
+        return found, times, _stepped(sums_of)
+
+
+def _stepped(sums_of) -> np.ndarray:
+    """The sums of the last Newton step; ``sums_of`` gives those of a mixer."""
+    sums = sums_of(Mixer.first())
+    for _ in range(ROUNDS - 1):
+        sums = sums_of(Mixer(_joined(sums).weights, Mixer.first().apm))
+    return sums
 
 
 def _joined(sums: np.ndarray) -> Mixer:
-    """The mixer of all tasks: weights averaged by curvature, tables summed."""
+    """The mixer that all tasks' sums make."""
     first = Mixer.first()
     a, b = _GATES * _INPUTS * _INPUTS, _GATES * _INPUTS
     ridge = _RIDGE * np.eye(_INPUTS)
@@ -258,22 +297,13 @@ def learn(texts: DataFrame) -> Model:
         for batch in batches:
             for _, some in _some(batch):
                 learner.learn(some)
-        found, times, sums = learner.result()
-        where = np.flatnonzero(sums)
-        for kind, key, value in ((0, found.astype(np.int64), times.astype(float)), (1, where, sums[where])):
-            for at in range(0, len(key), 100_000):
-                own = key[at:at + 100_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(own), kind, np.int32)), pa.array(own, pa.int64()), pa.array(value[at:at + 100_000])],
-                    names=["kind", "key", "value"])
+        found, times = learner.groups()
+        for at in range(0, len(found), 100_000):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found[at:at + 100_000].astype(np.int64)), pa.array(times[at:at + 100_000])], names=["key", "value"])
 
-    parts = texts.select("text").mapInArrow(run, "kind int, key long, value double")
-    gathered = written(parts.groupBy("kind", "key").agg(F.sum("value").alias("value")))
-    # the number of corrections is fixed by the gates, inputs and steps
-    size = _GATES * _INPUTS * (_INPUTS + 1) + 256 * _STEPS * 2
-    sums = np.zeros(size)
-    for r in gathered.where("kind = 1").select("key", "value").collect():
-        sums[r["key"]] = r["value"]
+    parts = texts.select("text").mapInArrow(run, "key long, value long")
+    gathered = written(parts.groupBy("key").agg(F.sum("value").alias("value")))
 
     def counted(batches):
         for batch in batches:
@@ -289,33 +319,48 @@ def learn(texts: DataFrame) -> Model:
                     names=["slot", "zero", "one"])
 
     # groups with one context come together, so that its slots are summed before they are sent
-    grams = gathered.where("kind = 0").select("key", "value") \
-        .repartition(F.shiftright("key", 16)).sortWithinPartitions("key")
+    grams = gathered.repartition(F.shiftright("key", 16)).sortWithinPartitions("key")
     slots = grams.mapInArrow(counted, "slot long, zero double, one double") \
         .groupBy("slot").agg(F.sum("zero").alias("zero"), F.sum("one").alias("one"))
-    odds = F.log((F.col("one") + PRIOR) / (F.col("zero") + PRIOR)) * 15
-    odds = F.greatest(F.lit(-127), F.least(F.lit(127), F.round(odds))).cast("int")
-    seen = F.col("zero") + F.col("one")
-    level = F.when(seen >= 32, 3).when(seen >= 4, 2).when(seen >= 1, 1).otherwise(0)
     packed = slots.select(F.shiftright("slot", _CHUNK).alias("chunk"), F.struct(
-        (F.col("slot") % (1 << _CHUNK)).cast("int").alias("at"), odds.alias("odds"), level.alias("level")).alias("s"))
+        (F.col("slot") % (1 << _CHUNK)).cast("int").alias("at"), "zero", "one").alias("s"))
 
     def pack(batches):
         for batch in batches:
             for chunk, own in zip(batch.column("chunk").to_pylist(), batch.column("all")):
                 own = own.values
-                dense = np.zeros((2, 1 << _CHUNK), np.int8)
+                dense = np.zeros((2, 1 << _CHUNK), np.float32)
                 at = own.field("at").to_numpy()
-                dense[0, at], dense[1, at] = own.field("odds").to_numpy(), own.field("level").to_numpy()
+                dense[0, at], dense[1, at] = own.field("zero").to_numpy(), own.field("one").to_numpy()
                 yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([dense.tobytes()], pa.binary())],
                                                  names=["chunk", "dense"])
 
     chunks = packed.groupBy("chunk").agg(F.collect_list("s").alias("all")).mapInArrow(pack, "chunk long, dense binary")
-    # two bytes for each slot: the tables' sizes bound what comes to the driver
-    tables = np.zeros((2, ((int(_START[-1]) >> _CHUNK) + 1) << _CHUNK), np.int8)
+    # eight bytes for each slot: the tables' sizes bound what comes to the driver
+    counts = np.zeros((2, ((int(_START[-1]) >> _CHUNK) + 1) << _CHUNK), np.float32)
     for r in chunks.toLocalIterator():
-        tables[:, r["chunk"] << _CHUNK:(r["chunk"] + 1) << _CHUNK] = np.frombuffer(r["dense"], np.int8).reshape(2, -1)
-    return Model(tables[0], tables[1], _joined(sums))
+        counts[:, r["chunk"] << _CHUNK:(r["chunk"] + 1) << _CHUNK] = np.frombuffer(r["dense"], np.float32).reshape(2, -1)
+    shared = texts.sparkSession.sparkContext.broadcast(counts)
+
+    def sums_of(mixer: Mixer) -> np.ndarray:
+        def correct(batches):
+            own = Corrections(shared.value, mixer)
+            for batch in batches:
+                own.add(batch.column("key").to_numpy().astype(np.uint32), batch.column("value").to_numpy())
+            sums = own.sums()
+            where = np.flatnonzero(sums)
+            yield pa.RecordBatch.from_arrays([pa.array(where), pa.array(sums[where])], names=["key", "value"])
+
+        # the number of sums is fixed by the gates, inputs and steps
+        out = np.zeros(_GATES * _INPUTS * (_INPUTS + 1) + 256 * _STEPS * 2)
+        for r in gathered.mapInArrow(correct, "key long, value double").groupBy("key").agg(F.sum("value").alias("value")).collect():
+            out[r["key"]] = r["value"]
+        return out
+
+    mixer = _joined(_stepped(sums_of))
+    shared.destroy()
+    odds = np.clip(np.round(np.log((counts[1] + PRIOR) / (counts[0] + PRIOR)) * 15), -127, 127).astype(np.int8)
+    return Model(odds, _level(counts.sum(0)).astype(np.int8), mixer)
 
 
 def base_scores(rows: DataFrame) -> DataFrame:

@@ -333,6 +333,22 @@ def test_language_model_is_a_distribution():
     assert np.allclose(long, short)
 
 
+def test_language_model_of_many_partitions(spark, docs):
+    """What is learned does not depend on how the texts are dealt to tasks."""
+    import numpy as np
+    texts = docs.select("text")
+    one, many = (lm_scoring.learn(texts.repartition(n)) for n in (1, 60))
+    assert np.array_equal(one.odds, many.odds) and np.array_equal(one.level, many.level)
+    assert np.allclose(one.mixer.weights, many.mixer.weights, atol=1e-6)
+    assert np.allclose(one.mixer.apm, many.mixer.apm, rtol=1e-6)
+    first = lm_scoring.Mixer.first()
+    assert np.abs(many.mixer.weights - first.weights).max() > 0.3
+    unseen = [" ".join(t.split()[::-1]) for t in (LINE, OTHER)]
+    start = lm_scoring.Model(many.odds, many.level, first)
+    better, worse = (lm_scoring.Scorer(m).total(unseen)[0] for m in (many, start))
+    assert (better < worse).all()
+
+
 def test_pipeline_stages(spark, docs, empty):
     """Each stage keeps the columns and what brute force says it should keep."""
     now = docs
