@@ -4,13 +4,17 @@ The vocabulary is that of a public merge-type SentencePiece model, read on the
 driver from a path that is a parameter.  A text is cut where no piece can reach
 across; in each part the agenda holds the adjacent pairs that form a piece, best
 piece first, and a candidate merge taken from it is skipped when a keyed hash of
-its place falls under the dropout rate.  The key is made of the seed, the
-document's variant (a hash of doc_id modulo ``VARIANTS``) and the part, so that
-reruns agree, other seeds and variants segment the same word otherwise, and a
-task may remember the parts it has met.  A task takes the agendas of all the new
-short parts of a batch forward together, each step merging every part's best
-candidate; long parts and those with unknown characters use a heap.  Without
-dropout the result is the model's own.
+its place falls under the dropout rate.  The key is made of the seed, the doc_id
+and the part's place in the text, so that reruns agree and every occurrence of a
+word is drawn by itself.
+
+How a part ends depends on the part and on which merges are skipped, so a task
+remembers, for a part and the merges skipped so far, the merges that follow and
+the ids they lead to.  Occurrences are drawn by whole arrays: the first merge that
+an occurrence skips leads it to what is remembered for one more skipped merge,
+until it skips none.  What is not known yet is segmented together, a step merging
+every part's best candidate; long parts and those with unknown characters use a
+heap.  Without dropout the result is the model's own.
 
 Decoding puts the pieces' bytes one after the other and drops the leading blank
 that encoding added; characters without a piece, and the blank mark itself, are
@@ -30,7 +34,6 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-import xxhash
 from pyspark.sql import DataFrame
 
 from judgeline.llm.common import hash_key, ship
@@ -39,9 +42,8 @@ ship(__name__)
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
-VARIANTS = 4
 SEED = 7
-REMEMBERED = 400_000      # parts of a text that a task remembers
+REMEMBERED = 400_000      # segmentations that a task remembers
 SHORT = 24                # characters of a part that is merged with others
 TOGETHER = 1_000_000      # characters of texts encoded together
 MARK = "▁"                # stands for a blank in pieces
@@ -118,6 +120,32 @@ class _Pairs:
         return rank, merged
 
 
+class _Rows:
+    """An array that grows at its end."""
+
+    def __init__(self, kind):
+        self.all, self.size = np.zeros(1024, kind), 0
+
+    def __len__(self) -> int:
+        return self.size
+
+    def __getitem__(self, at):
+        return self.all[at]
+
+    def add(self, values) -> None:
+        size = self.size + len(values)
+        if size > len(self.all):
+            self.all = np.concatenate((self.all[:self.size], np.zeros(2 * size - self.size, self.all.dtype)))
+        self.all[self.size:size] = values
+        self.size = size
+
+
+def _spread(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which row each place belongs to, and the places of all rows: first, first + 1 and so on."""
+    row = np.repeat(np.arange(len(count)), count)
+    return row, np.arange(len(row)) + (first - np.cumsum(count) + count)[row]
+
+
 class Encoder:
     """Encodes and decodes texts with one vocabulary, seed and dropout rate."""
 
@@ -125,27 +153,75 @@ class Encoder:
         self.v, self.seed = vocabulary, seed
         self.limit = int(dropout * 2**32)
         self.parts = re.compile(vocabulary.part).findall
-        self.known: dict[int, dict[str, tuple[int, ...]]] = {}
+        self._forget()
         self.pairs = _Pairs(vocabulary.pairs)
         self.char = np.zeros(0x110000, np.int32)      # id of a character; 0: unknown
         for piece, i in vocabulary.ids.items():
             if len(piece) == 1:
                 self.char[ord(piece)] = i
 
-    def _key(self, part: str, variant: int) -> int:
-        return xxhash.xxh3_64_intdigest(part.encode(), seed=(self.seed << 20) + variant)
+    def _forget(self) -> None:
+        """Nothing remembered but the blank mark's own bytes, as node 0."""
+        self.roots: dict[str | None, int] = {}
+        self.node: list[tuple] = []                 # part, then the codes of the skipped merges
+        self.merges = _Rows(np.int64)               # merges that follow, as codes: start << 32, and stop
+        self.child = _Rows(np.int32)                # node when that merge is skipped; 0: not known yet
+        self.first, self.count, self.done = _Rows(np.int64), _Rows(np.int64), _Rows(np.int64)
+        self.ids, self.id_first, self.id_count = _Rows(np.int32), _Rows(np.int64), _Rows(np.int64)
+        self.roots[None] = 0
+        self._remember([(None,)], [0], [(tuple(self.v.byte[b] for b in MARK.encode()), [])])
+
+    @property
+    def known(self) -> dict[int, dict[tuple, tuple[int, ...]]]:
+        """The ids remembered, by the number of merges skipped."""
+        out: dict[int, dict[tuple, tuple[int, ...]]] = {}
+        for k, node in enumerate(self.node):
+            if k:
+                at = self.id_first[k]
+                out.setdefault(len(node) - 1, {})[node] = tuple(self.ids[at:at + self.id_count[k]].tolist())
+        return out
 
-    def _ranked(self, a, b, start, stop, key) -> tuple[np.ndarray, np.ndarray]:
-        """Rank and merged piece of candidates; those that the hash skips have none."""
+    def _remember(self, nodes: list[tuple], done: list[int], found: list[tuple]) -> None:
+        """``done``: merges that come before those that an occurrence has still to draw."""
+        paths = [path[k:] for k, (_, path) in zip(done, found)]
+        for rows, start, count, own in ((self.merges, self.first, self.count, paths),
+                                        (self.ids, self.id_first, self.id_count, [ids for ids, _ in found])):
+            sizes = np.fromiter(map(len, own), np.int64, len(own))
+            start.add(len(rows) + np.cumsum(sizes) - sizes)
+            count.add(sizes)
+            rows.add(list(chain.from_iterable(own)))
+        self.child.add(np.zeros(len(self.merges) - len(self.child), np.int32))
+        self.done.add(done)
+        self.node += nodes
+
+    def _skips(self, key: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """Whether occurrences with these keys skip these merges."""
+        start, stop = (code >> 32).astype(np.uint64), (code & 0xFFFFFFFF).astype(np.uint64)
+        h = key ^ (start * _PLACE[0] + stop * _PLACE[1])
+        h = (h ^ (h >> np.uint64(31))) * _PLACE[2]
+        return (h >> np.uint64(32)) < np.uint64(self.limit)
+
+    def _keys(self, keys: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Keys of occurrences: of seed, document and place in the text."""
+        h = keys.astype(np.uint64) + np.uint64((self.seed + 1) * int(_PLACE[1]) % 2**64)
+        for more in (place.astype(np.uint64) * _PLACE[0], np.uint64(0)):
+            h = h + more
+            h = (h ^ (h >> np.uint64(30))) * _PLACE[2]
+            h = (h ^ (h >> np.uint64(27))) * _PLACE[1]
+            h = h ^ (h >> np.uint64(31))
+        return h
+
+    def _ranked(self, a, b, start, stop, skipped) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and merged piece of candidates; those that are skipped have none."""
         rank, merged = self.pairs.find(a, b)
-        if self.limit:
-            h = key ^ (start.astype(np.uint64) * _PLACE[0] + stop.astype(np.uint64) * _PLACE[1])
-            h = (h ^ (h >> np.uint64(31))) * _PLACE[2]
-            rank[(h >> np.uint64(32)) < np.uint64(self.limit)] = NONE
+        if skipped.shape[1]:
+            code = (start.astype(np.int64) << 32) + stop
+            rank[(skipped == code[:, None]).any(axis=1)] = NONE
         return rank, merged
 
-    def _segment_short(self, parts: list[str], variant: int) -> list[tuple[int, ...]]:
-        """Ids of parts of SHORT characters at most: their agendas in lockstep."""
+    def _segment_short(self, nodes: list[tuple]) -> list[tuple[tuple[int, ...], list[int]]]:
+        """Ids and merges of parts of SHORT characters at most: their agendas in lockstep."""
+        parts = [node[0] for node in nodes]
         count, width = len(parts), max(map(len, parts)) + 1
         sizes = np.fromiter(map(len, parts), np.int64, count)
         chars = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -153,25 +229,29 @@ class Encoder:
         inside = np.arange(width) < sizes[:, None]
         symbols[inside] = self.char[chars]
         symbols = symbols.ravel()       # by place of their first character; -1: none starts there
-        key = np.fromiter((self._key(p, variant) for p in parts), np.uint64, count) if self.limit else np.zeros(count, np.uint64)
+        skipped = np.full((count, max(map(len, nodes)) - 1), -1, np.int64)
+        for k, node in enumerate(nodes):
+            skipped[k, :len(node) - 1] = node[1:]
+        steps: list[tuple[np.ndarray, np.ndarray]] = []
         end = np.tile(np.arange(1, width + 1), count)               # of the symbol that starts here
         before = np.tile(np.arange(-1, width - 1), count)           # start of the symbol before
         rank = np.full((count, width), NONE, np.int32)              # of the pair that starts here
         merged = np.zeros(count * width, np.int32)
         i, at = np.nonzero(inside[:, 1:])
         own = i * width + at
-        rank[i, at], merged[own] = self._ranked(symbols[own], symbols[own + 1], at, at + 2, key[i])
+        rank[i, at], merged[own] = self._ranked(symbols[own], symbols[own + 1], at, at + 2, skipped[i])
         rows = np.arange(count)
         while True:
             at = rank.argmin(axis=1)
             going = rank[np.arange(len(rows)), at] != NONE
-            rows, at, rank, key = rows[going], at[going], rank[going], key[going]
+            rows, at, rank, skipped = rows[going], at[going], rank[going], skipped[going]
             if not len(rows):
                 break
             every, base = np.arange(len(rows)), rows * width
             left = base + at
             middle = end[left]
             stop = end[base + middle]
+            steps.append((rows, (at << 32) + stop))
             symbols[left] = merged[left]
             symbols[base + middle] = -1
             end[left] = stop
@@ -180,32 +260,41 @@ class Encoder:
             some = np.flatnonzero(stop < sizes[rows])               # the pair with the symbol after
             far = base[some] + stop[some]
             rank[some, at[some]], merged[left[some]] = self._ranked(
-                symbols[left[some]], symbols[far], at[some], end[far], key[some])
+                symbols[left[some]], symbols[far], at[some], end[far], skipped[some])
             some = np.flatnonzero(at > 0)                           # and with the one before
             start = before[left[some]]
             far = base[some] + start
             rank[some, start], merged[far] = self._ranked(
-                symbols[far], symbols[left[some]], start, stop[some], key[some])
+                symbols[far], symbols[left[some]], start, stop[some], skipped[some])
         found = symbols >= 0
         flat = symbols[found].tolist()
         ends = np.cumsum(found.reshape(count, width).sum(axis=1)).tolist()
-        return [tuple(flat[a:b]) for a, b in zip([0, *ends], ends)]
-
-    def _segment_all(self, parts: list[str], variant: int) -> dict[str, tuple[int, ...]]:
-        done = {}
+        row = np.concatenate([r for r, _ in steps] or [rows])
+        order = np.argsort(row, kind="stable")
+        path = np.concatenate([c for _, c in steps] or [rows])[order].tolist()
+        stops = np.cumsum(np.bincount(row, minlength=count)).tolist()
+        return [(tuple(flat[a:b]), path[c:d]) for a, b, c, d in zip([0, *ends], ends, [0, *stops], stops)]
+
+    def _segment_all(self, nodes: list[tuple]) -> list[tuple[tuple[int, ...], list[int]]]:
+        done, left = {}, nodes
         for width in (8, 12, 16, SHORT):
-            own = [p for p in parts if len(p) <= width]
+            own = [x for x in left if len(x[0]) <= width]
             if own:
-                done |= zip(own, self._segment_short(own, variant))
-                parts = [p for p in parts if len(p) > width]
-        odd = parts + [p for p, ids in done.items() if 0 in ids]
-        return done | {p: self._segment(p, variant) for p in odd}
-
-    def _segment(self, w: str, variant: int) -> tuple[int, ...]:
-        """Ids of one part: the agenda, with merges skipped by hash."""
+                done |= zip(own, self._segment_short(own))
+                left = [x for x in left if len(x[0]) > width]
+        odd = left + [x for x, (ids, _) in done.items() if 0 in ids]
+        done |= {x: self._merged(x) for x in odd}
+        return [done[x] for x in nodes]
+
+    def _segment(self, node: tuple, skips: int) -> tuple[int, ...]:
+        """Ids of a part when the ``skips`` merges named after it are skipped."""
+        return self._merged(node[:skips + 1])[0]
+
+    def _merged(self, node: tuple) -> tuple[tuple[int, ...], list[int]]:
+        """Ids and merges of one part, by a heap."""
+        w, skipped, path = node[0], set(node[1:]), []
         v, n = self.v, len(w)
-        rank, longest, limit = v.rank, v.longest, self.limit
-        key = self._key(w, variant) if limit else 0
+        rank, longest = v.rank, v.longest
         end, before = list(range(1, n + 1)), list(range(-1, n))
         agenda = [(r, i, i + 2) for i in range(n - 1) if (r := rank.get(w[i:i + 2])) is not None]
         heapify(agenda)
@@ -214,11 +303,9 @@ class Encoder:
             middle = end[i]
             if not middle or middle >= n or end[middle] != stop:
                 continue            # one of its sides has changed
-            if limit:
-                h = (key ^ (i * 0x9E3779B97F4A7C15 + stop * 0xC2B2AE3D27D4EB4F)) & 0xFFFFFFFFFFFFFFFF
-                h = (h ^ (h >> 31)) * 0xBF58476D1CE4E5B9 & 0xFFFFFFFFFFFFFFFF
-                if h >> 32 < limit:
-                    continue        # skipped by the keyed hash
+            if (i << 32) + stop in skipped:
+                continue
+            path.append((i << 32) + stop)
             end[i], end[middle] = stop, 0
             before[stop] = i
             if stop < n and (far := end[stop]) - i <= longest and (r := rank.get(w[i:far])) is not None:
@@ -233,64 +320,83 @@ class Encoder:
             else:
                 out.append(piece)
             i = end[i]
-        return tuple(out)
-
-    def encode(self, texts: list[str | None], variant: int = 0) -> list[list[int] | None]:
-        """Ids of each text; some are taken together, by ``TOGETHER``."""
-        out, some, size = [], [], 0
-        for text in texts:
-            some.append(text)
+        return tuple(out), path
+
+    def encode(self, texts: list[str | None], keys=0) -> list[list[int] | None]:
+        """Ids of each text; ``keys``: a number of each document, or one of all.
+        Some texts are taken together, by ``TOGETHER``."""
+        keys = np.broadcast_to(np.asarray(keys, np.int64), len(texts))
+        out, start, size = [], 0, 0
+        for i, text in enumerate(texts):
             size += len(text or "")
             if size >= TOGETHER:
-                out += self._encode_some(some, variant)
-                some, size = [], 0
-        return out + self._encode_some(some, variant)
-
-    def _encode_some(self, texts: list[str | None], variant: int) -> list[list[int] | None]:
-        known = self.known.setdefault(variant, {})
-        mark = tuple(self.v.byte[b] for b in MARK.encode())
-        cut = []                    # of each text its pieces between blank marks, as parts
+                out += self._encode_some(texts[start:i + 1], keys[start:i + 1])
+                start, size = i + 1, 0
+        return out + self._encode_some(texts[start:], keys[start:])
+
+    def _encode_some(self, texts: list[str | None], keys: np.ndarray) -> list[list[int] | None]:
+        if len(self.node) > REMEMBERED:
+            self._forget()
+        every: list[str | None] = []        # parts of all texts; None: a blank mark in the text itself
+        ends = []
         for text in texts:
-            own = text.split(MARK) if text else []
-            if own:
-                own[0] = " " + own[0]
-            cut.append([self.parts(x.replace(" ", MARK)) for x in own])
-        met = {p for own in cut for parts in own for p in parts}
-        new = [p for p in met if p not in known]
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list(met)
-        known.update(self._segment_all(new, variant))
-        out = []
-        for text, own in zip(texts, cut):
-            ids: list[int] = []
-            for k, parts in enumerate(own):
-                if k:               # a blank mark in the text itself
-                    ids += mark
-                ids.extend(chain.from_iterable(map(known.__getitem__, parts)))
-            out.append(None if text is None else ids)
-        return out
+            for k, x in enumerate(text.split(MARK) if text else []):
+                if k:
+                    every.append(None)
+                every += self.parts((x if k else " " + x).replace(" ", MARK))
+            ends.append(len(every))
+        new = [p for p in dict.fromkeys(every) if p not in self.roots]
+        if new:
+            self.roots.update(zip(new, range(len(self.node), len(self.node) + len(new))))
+            own = [(p,) for p in new]
+            self._remember(own, [0] * len(own), self._segment_all(own))
+        node = np.fromiter(map(self.roots.__getitem__, every), np.int64, len(every))
+        sizes = np.diff([0, *ends])
+        if self.limit:
+            place = _spread(np.zeros(len(sizes), np.int64), sizes)[1]
+            self._draw(node, self._keys(np.repeat(keys, sizes), place))
+        counts = self.id_count[node]
+        ids = self.ids[_spread(self.id_first[node], counts)[1]].tolist()
+        stops = np.concatenate(([0], np.cumsum(counts)))[[0, *ends]].tolist()
+        return [None if text is None else ids[a:b] for text, a, b in zip(texts, stops, stops[1:])]
+
+    def _draw(self, node: np.ndarray, keys: np.ndarray) -> None:
+        """Moves occurrences on, in place, until they skip no more merges."""
+        going = np.arange(len(node))
+        while len(going):
+            own = node[going]
+            row, at = _spread(self.first[own], self.count[own])
+            hit = np.flatnonzero(self._skips(keys[going][row], self.merges[at]))
+            row, at = row[hit], at[hit]
+            lead = np.concatenate(([True], row[1:] != row[:-1])) if len(row) else np.zeros(0, bool)
+            row, at = row[lead], at[lead]           # the first merge that each one skips
+            going = going[row]
+            open_, which = np.unique(at[self.child[at] == 0], return_index=True)
+            if len(open_):
+                above = node[going[self.child[at] == 0][which]]
+                nodes = [(*self.node[k], code) for k, code in zip(above.tolist(), self.merges[open_].tolist())]
+                done = self.done[above] + open_ - self.first[above]
+                self.child.all[open_] = np.arange(len(self.node), len(self.node) + len(nodes))
+                self._remember(nodes, done.tolist(), self._segment_all(nodes))
+            node[going] = self.child[at]
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.v.bytes.__getitem__, ids)).decode()[1:]
 
 
-def _rows(docs: DataFrame, variants: int) -> DataFrame:
+def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"),
-                       (hash_key(docs["doc_id"], "variant") % variants).cast("int").alias("variant"))
+                       hash_key(docs["doc_id"], "dropout").alias("key"))
 
 
 def _encoded(batch: pa.RecordBatch, encoder: Encoder):
-    """(rows, texts, ids) for each variant that a batch holds."""
-    texts, of = batch.column("text").to_pylist(), batch.column("variant").to_numpy()
-    for k in np.unique(of):
-        rows = np.flatnonzero(of == k)
-        own = [texts[i] for i in rows]
-        yield batch.column("doc_id").take(pa.array(rows)), own, encoder.encode(own, int(k))
+    """Texts and ids of a batch."""
+    texts = batch.column("text").to_pylist()
+    return texts, encoder.encode(texts, batch.column("key").to_numpy())
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, dropout: float = DROPOUT,
-           seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+           seed: int = SEED) -> DataFrame:
     """doc_id and ids (array<int>; null for a null text)."""
     v = vocabulary or Vocabulary()
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -298,10 +404,10 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, dropout: float
     def run(batches):
         encoder = Encoder(v, dropout, seed)
         for batch in batches:
-            for doc_id, _, ids in _encoded(batch, encoder):
-                yield pa.RecordBatch.from_arrays([doc_id, pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
+            _, ids = _encoded(batch, encoder)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
-    return _rows(docs, variants).mapInArrow(run, f"doc_id {kind}, ids array<int>")
+    return _rows(docs).mapInArrow(run, f"doc_id {kind}, ids array<int>")
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:
@@ -321,7 +427,7 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary | None = None) -> DataFram
 
 
 def round_trip(docs: DataFrame, vocabulary: Vocabulary | None = None, dropout: float = DROPOUT,
-               seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+               seed: int = SEED) -> DataFrame:
     """doc_id, n_ids, ids_crc32 (of the ids as little-endian 32-bit numbers) and
     lossless (whether decoding gives the text again); null for a null text."""
     v = vocabulary or Vocabulary()
@@ -330,12 +436,12 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary | None = None, dropout: f
     def run(batches):
         encoder = Encoder(v, dropout, seed)
         for batch in batches:
-            for doc_id, texts, ids in _encoded(batch, encoder):
-                sums = [None if x is None else zlib.crc32(np.array(x, "<i4").tobytes()) for x in ids]
-                same = [None if x is None else encoder.decode(x) == t for x, t in zip(ids, texts)]
-                yield pa.RecordBatch.from_arrays(
-                    [doc_id, pa.array([None if x is None else len(x) for x in ids], pa.int64()),
-                     pa.array(sums, pa.int64()), pa.array(same, pa.bool_())],
-                    names=["doc_id", "n_ids", "ids_crc32", "lossless"])
-
-    return _rows(docs, variants).mapInArrow(run, f"doc_id {kind}, n_ids long, ids_crc32 long, lossless boolean")
+            texts, ids = _encoded(batch, encoder)
+            sums = [None if x is None else zlib.crc32(np.array(x, "<i4").tobytes()) for x in ids]
+            same = [None if x is None else encoder.decode(x) == t for x, t in zip(ids, texts)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array([None if x is None else len(x) for x in ids], pa.int64()),
+                 pa.array(sums, pa.int64()), pa.array(same, pa.bool_())],
+                names=["doc_id", "n_ids", "ids_crc32", "lossless"])
+
+    return _rows(docs).mapInArrow(run, f"doc_id {kind}, n_ids long, ids_crc32 long, lossless boolean")

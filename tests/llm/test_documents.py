@@ -293,6 +293,45 @@ def test_sentencepiece(docs, empty):
     assert sentencepiece_codec.round_trip(empty, vocabulary).count() == 0
 
 
+def agenda(word, vocabulary, rng):
+    """Ids of a word, each candidate merge skipped by a draw of its own."""
+    pieces, skipped = [(i, i + 1) for i in range(len(word))], {}
+    while True:
+        ways = sorted((vocabulary.rank[word[a:d]], a, d, k) for k, ((a, _), (_, d)) in enumerate(zip(pieces, pieces[1:]))
+                      if word[a:d] in vocabulary.rank and not skipped.get((a, d)))
+        if not ways:
+            return [vocabulary.ids[word[a:b]] for a, b in pieces]
+        _, a, d, k = ways[0]
+        if not skipped.setdefault((a, d), rng.random() < sentencepiece_codec.DROPOUT):
+            pieces[k:k + 2] = [(a, d)]
+
+
+def test_sentencepiece_occurrences(spark):
+    """Every occurrence of a word is drawn by itself, between documents and inside one."""
+    vocabulary = sentencepiece_codec.Vocabulary()
+    word = "international"
+    own = [(i, f"{word}\n") for i in range(2000)] + [(9999, f"{word}\n" * 2000)]
+    got = sentencepiece_codec.encode(spark.createDataFrame(own, "doc_id long, text string"), vocabulary).collect()
+    assert len({tuple(r.ids) for r in got if r.doc_id < 9999}) > 4
+    ids = next(r.ids for r in got if r.doc_id == 9999)
+    text = "".join(vocabulary.bytes[i].decode() for i in ids)
+    assert text == " " + f"{word}\n" * 2000
+    lines, line = Counter(), []
+    for i in ids:
+        line.append(i)
+        if vocabulary.bytes[i].endswith(b"\n"):
+            lines[tuple(line)] += 1
+            line = []
+    assert len(lines) > 4
+    encoder = sentencepiece_codec.Encoder(vocabulary)
+    assert encoder.encode([t for _, t in own[:9]], [5] * 9) == [encoder.encode([f"{word}\n"], 5)[0]] * 9
+    rng = random.Random(4)
+    drawn = Counter(tuple(agenda(word, vocabulary, rng)) for _ in range(2000))
+    found = Counter({line[:-1]: n for line, n in lines.items()})
+    assert abs(drawn.most_common(1)[0][1] - found[drawn.most_common(1)[0][0]]) < 150
+    assert sum((drawn & found).values()) > 1600
+
+
 def test_language_model(docs, empty):
     got = lm_scoring.score_documents(docs).collect()
     assert len(got) == len(rows())
