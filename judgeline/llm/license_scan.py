@@ -3,8 +3,10 @@
 Each document is cut into words once; the words that occur in any licence
 template are kept with their places ("hits", one long each).  Document
 frequencies of the licence words over all documents give their IDF.  A template
-is indexed under its rarest words: where a document has one, its place minus
-the word's place in the template proposes an alignment, and intersecting the
+is indexed under the rarest word of its mandatory key phrases, which every
+alignment that counts must have in place; a template without key phrases under as
+many rare words as leave too little IDF in the others.  Where a document has such
+a word, its place minus the word's place in the template proposes an alignment, and intersecting the
 template's postings, shifted there, with the document's hits tells which of its
 words stand where they should.  An alignment counts when the matched words carry
 enough IDF and every mandatory key phrase stands complete.
@@ -28,7 +30,6 @@ from judgeline.llm.common import constant, lower_ascii
 from judgeline.session import cut_lineage
 
 LICENCE_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-RARE_WORDS = 2            # words of a template that propose alignments
 MIN_MATCH = 0.75          # share of a template's IDF that must match in place
 
 #: Phrases and their labels.
@@ -99,7 +100,7 @@ def _idf(hits: DataFrame, n: int) -> list[float]:
     return [math.log((total + 1) / (found.get(i, 0) + 1)) + 1e-6 for i in range(1, n + 1)]
 
 
-def _prepared(templates, vocabulary, idf) -> tuple[list[dict], dict[int, list[int]]]:
+def _prepared(templates, vocabulary, idf, min_match) -> tuple[list[dict], dict[int, list[int]]]:
     """Templates as numbers, and the index: word number -> alignment seeds."""
     number = {w: i for i, w in enumerate(vocabulary, 1)}
     out, index = [], {}
@@ -113,10 +114,17 @@ def _prepared(templates, vocabulary, idf) -> tuple[list[dict], dict[int, list[in
             keys += places[q:q + len(p)]
         out.append({"label": label, "codes": places, "keys": sorted(set(keys)),
                     "weight": sum(idf[number[w] - 1] for w in words)})
-        rare = sorted(set(words), key=lambda w: (-idf[number[w] - 1], w))[:RARE_WORDS]
-        for q, w in enumerate(words):
-            if w in rare:  # seed + place of the hit = (template << 32) + 2**20 + offset
-                index.setdefault(number[w], []).append((t << 32) + 2**20 - q)
+        weigh = lambda q: (-idf[number[words[q]] - 1], words[q], q)
+        first = {code & (2**32 - 1) for code in keys}
+        if first:
+            seeds = [min(first, key=weigh)]
+        else:       # places, rarest words first, until the others cannot be enough
+            order, left, seeds = sorted(range(len(words)), key=weigh), out[-1]["weight"], []
+            while len(seeds) < len(order) and left >= min_match * out[-1]["weight"] * (1 - 1e-9):
+                seeds.append(order[len(seeds)])
+                left -= idf[number[words[seeds[-1]]] - 1]
+        for q in seeds:     # seed + place of the hit = (template << 32) + 2**20 + offset
+            index.setdefault(number[words[q]], []).append((t << 32) + 2**20 - q)
     return out, index
 
 
@@ -138,7 +146,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, base_phrases=BASE_PHRASES,
     number = {w: i for i, w in enumerate(vocabulary, 1)}
     hits = cut_lineage(_hits(docs, vocabulary))
     idf = _idf(hits, len(vocabulary))
-    known, index = _prepared(templates, vocabulary, idf)
+    known, index = _prepared(templates, vocabulary, idf, min_match)
 
     rare = sorted(index)
     seeds = constant([index.get(i, []) for i in range(1, len(vocabulary) + 1)], "array<array<bigint>>")

@@ -156,6 +156,15 @@ def test_licenses(docs, empty):
     assert license_scan.scan(empty).count() == 0
 
 
+@pytest.mark.parametrize("phrases", [("c d",), ()])
+def test_license_without_its_rarest_words(spark, phrases):
+    """A passage that holds enough in place is found though its template's rarest words lack."""
+    own = [(0, "x y c d e f g h i j k l"), (1, "c d e f"), *((i, "nothing here") for i in range(2, 60))]
+    got = license_scan.scan(spark.createDataFrame(own, "doc_id long, text string"),
+                            templates=(("own", "a b c d e f g h i j k l", phrases),)).collect()
+    assert [r.doc_id for r in got if r.labels] == [0]
+
+
 @pytest.mark.parametrize("size", [2, 5])
 def test_minhash(docs, empty, size):
     def shingles(text):
