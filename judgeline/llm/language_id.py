@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from judgeline.llm.common import crc_mod, hash_key, ship
+from judgeline.session import cut_lineage
 
 ship(__name__)
 
@@ -134,16 +135,20 @@ def _sample(docs: DataFrame, per_language: int) -> list[tuple[str, np.ndarray]]:
     """One block of each sampled document, as presence slots; at most MAX_SAMPLE."""
     learn = docs.where(docs["text"].isNotNull() & docs["lang"].isNotNull()
                        & (crc_mod(docs["doc_id"], FOLDS) != HELD_OUT))
-    narrow = learn.select(learn["doc_id"].alias("doc_id"), learn["lang"].alias("lang"),
-                          hash_key(learn["doc_id"], "language").alias("key"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("key", F.col("doc_id")))
+    learn = learn.select(learn["doc_id"].alias("doc_id"), learn["lang"].alias("lang"), learn["text"].alias("text"),
+                         F.xxhash64(learn["text"]).alias("hash"))
+    # copies of a document count once, however often it is repeated
+    same = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("hash"))
+    narrow = learn.select("doc_id", "lang", "hash").distinct().withColumn("key", hash_key(same, "language"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("key", "doc_id", "hash"))
     narrow = narrow.withColumn("place", place).where(F.col("place") <= per_language)
-    chosen = [r["doc_id"] for r in narrow.orderBy("place", "lang").select("doc_id").limit(MAX_SAMPLE).collect()]
-    if not chosen:
+    chosen = cut_lineage(narrow.orderBy("place", "lang", "key").limit(MAX_SAMPLE)
+                         .select(F.col("doc_id").alias("id"), F.col("lang").alias("of"), F.col("hash").alias("own")))
+    if chosen.isEmpty():
         return []
-    ids = [c for c in chosen if c is not None]
-    texts = learn.where(learn["doc_id"].isin(ids)).select(
-        learn["lang"].alias("lang"), learn["text"].alias("text"), hash_key(learn["doc_id"], "block").alias("key"))
+    found = learn["doc_id"].eqNullSafe(chosen["id"]) & (learn["lang"] == chosen["of"]) & (learn["hash"] == chosen["own"])
+    texts = learn.join(F.broadcast(chosen), found, "left_semi").dropDuplicates(["doc_id", "lang", "hash"]) \
+        .select("lang", "text", hash_key(F.col("doc_id"), "block").alias("key"))
 
     def present(batches):
         for batch in batches:
@@ -156,7 +161,7 @@ def _sample(docs: DataFrame, per_language: int) -> list[tuple[str, np.ndarray]]:
             yield pa.RecordBatch.from_pylist(out, schema=pa.schema(
                 [("lang", pa.string()), ("key", pa.int64()), ("slots", pa.binary())]))
 
-    rows = texts.mapInArrow(present, "lang string, key long, slots binary").limit(MAX_SAMPLE).collect()
+    rows = texts.mapInArrow(present, "lang string, key long, slots binary").collect()
     rows.sort(key=lambda r: (r["key"], r["lang"], bytes(r["slots"])))
     return [(r["lang"], np.frombuffer(r["slots"], np.int32)) for r in rows]
 

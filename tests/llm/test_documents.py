@@ -265,6 +265,15 @@ def test_language(docs, empty):
     assert language_id.train(empty) is None and language_id.predict(empty, None).count() == 0
 
 
+def test_language_sample(spark):
+    """Neither a document in very many rows nor rows without doc_id cost a language."""
+    own = [(1, LINE, "en")] * 6000 + [(i, OTHER + str(i), "de") for i in range(20)] + [(None, "le la les des mots", "fr")] * 3
+    learned = language_id._sample(spark.createDataFrame(own, "doc_id long, text string, lang string").repartition(5), 400)
+    count = Counter(lang for lang, _ in learned)
+    assert (count["en"], count["fr"]) == (1, 1)
+    assert count["de"] == sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in range(20))
+
+
 def test_language_kernel():
     """Folded weights give what the kernel, written out, gives."""
     import numpy as np
