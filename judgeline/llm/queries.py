@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from judgeline.llm import (
-    embedding_dedup, language_id, license_scan, lm_scoring, minhash_dedup, mixing,
-    quality_rules, sentencepiece_codec, sharding, url_filter)
+    best_fit_packing, divergence_audit, embedding_dedup, fill_in_middle, language_id,
+    license_scan, lm_scoring, minhash_dedup, mixing, quality_rules, sentencepiece_codec,
+    sharding, url_filter)
 from judgeline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +57,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, language_id.train(docs))
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing.pack_documents(table(spark, sf_dir, "documents"), keep_ids=False)
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence_audit.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents")))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_mix_sources": op1_mix_sources,
@@ -68,6 +81,9 @@ def all_queries() -> dict[str, Query]:
         "op8_license_scan": op8_license_scan,
         "op9_sentencepiece_dropout": op9_sentencepiece_dropout,
         "op10_language_id": op10_language_id,
+        "op11_best_fit_packing": op11_best_fit_packing,
+        "op12_source_divergence": op12_source_divergence,
+        "op13_fill_in_middle": op13_fill_in_middle,
     }
 
 
@@ -236,9 +252,71 @@ FROM c JOIN s p ON c.r = p.r AND p.n = {sharding.SHARDS} JOIN s q ON c.r = q.r A
 """
 
 
+#: Every group and kept term of a language, terms that a group lacks included.
+OP12_SQL = rf"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all({_LOWER.format(text="coalesce(text, '')")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM (SELECT row_number() OVER () AS r, * FROM d)),
+kept AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= {divergence_audit.MIN_DOCS}),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS c FROM t SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+f AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c.c, 0) AS c
+  FROM g JOIN kept ON g.lang = kept.lang
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+p AS (
+  SELECT *, 1 + (1000000000::HUGEINT * (c + 5)) // (sum(c) OVER grp + 5 * count(*) OVER grp) AS p,
+         1 + (1000000000::HUGEINT * (sum(c) OVER (PARTITION BY lang, term) + 5))
+             // (sum(c) OVER (PARTITION BY lang) + 5 * count(*) OVER grp) AS q
+  FROM f WINDOW grp AS (PARTITION BY lang, source)),
+apart AS (
+  SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+  FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+pair AS (
+  SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(apart.value, 0) AS value
+  FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+  LEFT JOIN apart ON apart.lang = x.lang AND apart.source = x.source AND apart.item = y.source),
+every AS (
+  SELECT * FROM pair UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM p WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM every QUALIFY part = 'pair' OR rank <= {divergence_audit.TOP_TERMS}
+"""
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+         sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS h
+  FROM documents),
+c AS (
+  SELECT *, len(u) AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(u) + 1) AS x, ('0x' || substr(h, 9, 8))::BIGINT % (len(u) + 1) AS y,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 50 THEN 'plain'
+              WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+s AS (
+  SELECT *, array_to_string(u[1:least(x, y)], '') AS p, array_to_string(u[least(x, y) + 1:greatest(x, y)], '') AS m,
+         array_to_string(u[greatest(x, y) + 1:], '') AS s
+  FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CAST(CASE WHEN form <> 'plain' THEN length(p) END AS BIGINT) AS prefix_chars,
+       CAST(CASE WHEN form <> 'plain' THEN length(m) END AS BIGINT) AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM s
+"""
+
+
 def all_oracles() -> dict[str, str]:
     """Not here, as SQL cannot say them: op4 (context mixing), op8 (weighted
-    alignment), op9 (merge-dropout), op10 (kernel regression); tests hold them to
-    brute force, an exact round trip or held-out accuracy."""
+    alignment), op9 (merge-dropout), op10 (kernel regression), op11 (byte pair
+    ids); tests hold them to brute force, an exact round trip or held-out accuracy."""
     return {"op1_mix_sources": OP1_SQL, "op2_minhash_dedup": OP2_SQL, "op3_url_filter": OP3_SQL,
-            "op5_embedding_dedup": OP5_SQL, "op6_quality_rules": _quality_sql(), "op7_jump_shards": OP7_SQL}
+            "op5_embedding_dedup": OP5_SQL, "op6_quality_rules": _quality_sql(), "op7_jump_shards": OP7_SQL,
+            "op12_source_divergence": OP12_SQL, "op13_fill_in_middle": OP13_SQL}
