@@ -62,7 +62,7 @@ def copies(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.coalesce(docs["lang"], F.lit("")).alias("lang"),
                        F.coalesce(docs["source"], F.lit("")).alias("source"),
                        F.coalesce(docs["text"], F.lit("")).alias("text")) \
-        .withColumn("h", F.unhex(F.sha2("text", 256)))
+        .withColumn("h", F.coalesce(F.unhex(F.sha2("text", 256)), F.lit(b"")))   # never null: no filter that hashes twice
     held = (rows.groupBy("lang", "h", "source").agg(F.count(F.lit(1)).alias("times"))
             .groupBy("lang", "h").agg(F.collect_list(F.struct("source", "times")).alias("held")))
     texts = rows.groupBy("lang", "h").agg(F.first("text").alias("text"))
@@ -73,9 +73,10 @@ def _partial_counts(batches):
     """Adds up counts and document counts per (lang, source, term) in a task."""
     sums: dict[tuple[str, str], tuple[Counter, Counter]] = {}
 
-    def passed_on():
+    def passed_on(below: int | None = None):
+        """Passes on the terms seen less often than ``below`` so far, or all."""
         for (lang, source), (count, docs) in sums.items():
-            terms = list(count)
+            terms = [t for t, n in count.items() if below is None or n < below]
             for i in range(0, len(terms), 100_000):
                 some = terms[i:i + 100_000]
                 yield pa.RecordBatch.from_arrays(
@@ -83,7 +84,8 @@ def _partial_counts(batches):
                      pa.array([t.decode() for t in some], pa.string()),
                      pa.array([count[t] for t in some], pa.int64()), pa.array([docs[t] for t in some], pa.int64())],
                     names=["lang", "source", "term", "count", "docs"])
-        sums.clear()
+            for t in terms:
+                del count[t], docs[t]
 
     for batch in batches:
         langs, held = batch.column("lang").to_pylist(), batch.column("held").to_pylist()
@@ -100,14 +102,18 @@ def _partial_counts(batches):
                 for t, n in once.items():
                     count[t] += n * times
                     docs[t] += times
-            if sum(len(c) for c, _ in sums.values()) > HELD_TERMS:
-                yield from passed_on()
+            below = 2               # frequent terms stay, so that a task passes them on once
+            while sum(len(c) for c, _ in sums.values()) > (HELD_TERMS if below == 2 else HELD_TERMS // 2):
+                yield from passed_on(below)
+                below *= 2
     yield from passed_on()
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
-    """lang, source, term, count (occurrences), docs (documents with the term)."""
-    parts = copies(docs).mapInArrow(_partial_counts, "lang string, source string, term string, count long, docs long")
+    """lang, source, term, count (occurrences), docs (documents with the term).  The
+    tasks' sums are dealt by (lang, term), which also serves what follows by term."""
+    parts = copies(docs).mapInArrow(_partial_counts, "lang string, source string, term string, count long, docs long") \
+        .repartition("lang", "term")
     return parts.groupBy("lang", "source", "term").agg(F.sum("count").alias("count"), F.sum("docs").alias("docs"))
 
 
