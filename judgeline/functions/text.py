@@ -29,15 +29,16 @@ def tokenize(text: Column, stop_words: list[str] | None = STOP_WORDS) -> Column:
     toks = raw_tokens(text)
     if not stop_words:
         return toks
-    stops = F.array(*[F.lit(w) for w in stop_words])
-    return F.filter(toks, lambda t: ~F.array_contains(stops, t))
+    return F.filter(toks, lambda t: ~t.isin(list(stop_words)))   # one hash set, not a list search
 
 
-def query_text(kind: str) -> Column:
-    """Short queries use the title, long ones the description (whose
-    `Description:` label is kept, so `description` is a query term)."""
+def query_text(kind: str, keep_description_label: bool = True) -> Column:
+    """Short queries use the title, long ones the description.  Its
+    `Description:` label is kept, so that `description` is a query term, unless
+    `keep_description_label` is false."""
     if kind == "short":
         return F.col("title")
     if kind == "long":
-        return F.col("description")
+        label = F.regexp_replace(F.col("description"), r"^\s*Description:", "")
+        return F.col("description") if keep_description_label else label
     raise ValueError(f"unknown query kind {kind!r}")

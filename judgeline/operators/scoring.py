@@ -1,8 +1,8 @@
 """Retrieval models and top-k.
 
-Plan: pruned postings (docno, dl, term, tf) -> broadcast hash join with the
-query terms and their statistics (small: topics x query terms, size checked)
--> one `groupBy(kind, qid, docno)` computing every requested model's score
+Plan: pruned postings (docno, dl, term, tf) -> join with the query terms and
+their statistics (broadcast only when their measured bytes allow it, else a
+shuffle join that splits skewed terms) -> one `groupBy(kind, qid, docno)` computing every requested model's score
 at once (partial aggregation, so a frequent term spreads over documents) ->
 per-topic top-k with `row_number() <= k` (Catalyst plans a WindowGroupLimit:
 each map partition ships at most k rows per topic).
@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import broadcast_if_small, keep
 from .termstats import CollectionStats
 
 # Fixed values of the reference's models.
@@ -81,17 +82,16 @@ def score(post: DataFrame, qterms: DataFrame, tstats: DataFrame, stats: Collecti
     """Scores of every document containing at least one query term:
     (keys..., docno, <model>...) for the requested models."""
     keys = list(keys)
-    w = term_weights(qterms, tstats, stats)
-    wb = w
-    j = post.join(wb, "term")
+    w = keep(term_weights(qterms, tstats, stats))
+    j = post.join(broadcast_if_small(w), "term")
     parts = contributions(stats, models)
     aggs = [F.sum(c).alias(m) for m, c in parts.items()]
     if "classic" in models:
         aggs.append(F.sum("qtf").alias("_matched"))
     s = j.groupBy(*keys, "docno").agg(*aggs)
     if "classic" in models:
-        nb = topic_norms(w, keys)
-        s = s.join(nb, keys).withColumn(
+        nb = keep(topic_norms(w, keys))
+        s = s.join(broadcast_if_small(nb), keys).withColumn(
             "classic", F.col("classic") * F.col("query_norm") * F.col("_matched") / F.col("clauses")
         ).drop("_matched", "clauses", "query_norm")
     return s
@@ -128,8 +128,8 @@ def explain_terms(post: DataFrame, qterms: DataFrame, tstats: DataFrame, stats:
                   model: str = "tfidf", keys=("qid",)) -> DataFrame:
     """Per (topic, document, term) contribution and running score in
     first-seen query-term order."""
-    w = term_weights(qterms, tstats, stats)
-    j = post.join(w, "term")
+    w = keep(term_weights(qterms, tstats, stats))
+    j = post.join(broadcast_if_small(w), "term")
     c = contributions(stats, [model])[model]
     rw = Window.partitionBy(*keys, "docno").orderBy("first_pos").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)

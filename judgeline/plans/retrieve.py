@@ -8,23 +8,25 @@ from pyspark.sql import functions as F
 from ..functions.text import STOP_WORDS
 from ..operators import scoring as SC
 from ..operators import termstats as TS
+from ..session import keep
 
 
-def query_table(topics: DataFrame, kinds=("short", "long"), stop_words=STOP_WORDS) -> DataFrame:
+def query_table(topics: DataFrame, kinds=("short", "long"), stop_words=STOP_WORDS,
+                keep_description_label: bool = True) -> DataFrame:
     """(kind, qid, term, qtf, first_pos) for every requested query kind."""
     out = None
     for k in kinds:
-        q = TS.query_terms(topics, k, stop_words).withColumn("kind", F.lit(k))
+        q = TS.query_terms(topics, k, stop_words, keep_description_label).withColumn("kind", F.lit(k))
         out = q if out is None else out.unionByName(q)
     return out
 
 
 def scored(docs: DataFrame, topics: DataFrame, models=SC.MODELS, kinds=("short", "long"),
-           stop_words=STOP_WORDS):
+           stop_words=STOP_WORDS, keep_description_label: bool = True):
     """Every matching (kind, qid, docno) with one score column per model,
     plus the pruned postings and collection statistics used."""
     models = SC.check_models(models)
-    qt = query_table(topics, kinds, stop_words)
+    qt = keep(query_table(topics, kinds, stop_words, keep_description_label))
     post, stats = TS.index_for(docs, qt.select("term"), stop_words)
     ts = TS.term_stats(post)
     s = SC.score(post, qt, ts, stats, models, keys=("kind", "qid"))
@@ -33,10 +35,10 @@ def scored(docs: DataFrame, topics: DataFrame, models=SC.MODELS, kinds=("short",
 
 def retrieve(docs: DataFrame, topics: DataFrame, models=SC.MODELS, kinds=("short", "long"),
              k: int = SC.TOP_K, stop_words=STOP_WORDS, round_digits: int | None = None,
-             zero_based: bool = False) -> DataFrame:
+             zero_based: bool = False, keep_description_label: bool = True) -> DataFrame:
     """runs(run_id, qid, docno, score, rank) for models x kinds, tagged
     like the reference (`BM25_SHORT`, `DEFAULT_LONG`, ...), top k per topic."""
-    s, *_ = scored(docs, topics, models, kinds, stop_words)
+    s, *_ = scored(docs, topics, models, kinds, stop_words, keep_description_label)
     runs = SC.as_runs(s, models)
     return SC.top_k(runs, k, round_digits=round_digits, zero_based=zero_based)
 
@@ -51,7 +53,7 @@ def search(spark: SparkSession, docs: DataFrame, text: str, k: int = SC.TOP_K,
 def explain(docs: DataFrame, topics: DataFrame, kind: str = "short", model: str = "tfidf",
             stop_words=STOP_WORDS) -> DataFrame:
     """Term contributions and running score per (qid, docno)."""
-    qt = TS.query_terms(topics, kind, stop_words)
+    qt = keep(TS.query_terms(topics, kind, stop_words))
     post, stats = TS.index_for(docs, qt.select("term"), stop_words)
     return SC.explain_terms(post, qt, TS.term_stats(post), stats, model)
 

@@ -13,6 +13,7 @@ from contextvars import ContextVar
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -83,6 +84,21 @@ def keep(df: DataFrame) -> DataFrame:
     return df
 
 
+BROADCAST_BYTES = 32 * 2**20
+
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint when its measured bytes (strings by their
+    length, 16 for any other value) are under the limit, else as it is, for the
+    planner's shuffle join.  ``df`` should be kept: it is read once to measure."""
+    width = F.lit(16 * len(df.columns)).cast("long")
+    for name, kind in df.dtypes:
+        if kind == "string":
+            width = width + F.coalesce(F.octet_length(F.col(name)), F.lit(0))
+    size = df.agg(F.sum(width).alias("b")).first()["b"] or 0
+    return F.broadcast(df) if size <= limit else df
+
+
 @contextmanager
 def owned():
     """Release every frame that the library persists inside this block.  Write
