@@ -376,6 +376,7 @@ def eval_oracles() -> dict[str, str]:
         "M34_num_nonrel_judged_ret": measure_sql(["num_nonrel_judged_ret"]),
         "J8_measures_judged_only": measure_sql(["map", "P", "bpref", "num_ret"], judged_only=True),
         "J9_measures_level2": measure_sql(["map", "Rprec", "recip_rank", "num_rel_ret"], level=2),
+        "J4_J5_scope": measure_sql(["map", "num_ret", "recall"], max_docs=50),
         "J3_measures_max_docs": measure_sql(["map", "num_ret", "recall"], max_docs=20),
         "J14_topic_filter": measure_sql(["map", "P"], topic="3-1"),
         "A1_A2_summary": summary_sql(),
@@ -470,6 +471,7 @@ def retrieval_oracles() -> dict[str, str]:
         "T7_doc_freq": A + "SELECT term, CAST(df AS BIGINT) AS df, CAST(ttf AS BIGINT) AS ttf FROM ts",
         "T8_doc_length": A + "SELECT docno, CAST(len(toks) AS BIGINT) AS dl FROM dt",
         "T9_postings": A + "SELECT docno, CAST(dl AS BIGINT) AS dl, term, CAST(tf AS BIGINT) AS tf FROM post",
+        "T9_postings_bloom": A + "SELECT docno, CAST(dl AS BIGINT) AS dl, term, CAST(tf AS BIGINT) AS tf FROM post",
         "T16_top_k": _with(FIX_A, _runs_cte(["bm25"], 10)) +
             "SELECT run_id, qid, docno, CAST(rank AS BIGINT) AS rank, round(score, 6) AS score FROM topk",
         "T17_rank_zero_based": _with(FIX_A, _runs_cte(["classic"], 10)) +
@@ -622,9 +624,9 @@ def _jg_complete_sql() -> str:
 
 # ---------------------------------------------------------------- preferences
 def prefs_ctes(single: bool = False) -> str:
-    flt = "WHERE jsg = '0'" if single else ""
+    own = "qid, jg || '/' || jsg AS jg, '0' AS jsg, docno, rel_level" if single else "*"
     return f"""
-pf AS (SELECT * FROM prefs {flt}),
+pf AS (SELECT {own} FROM prefs),
 druns AS (SELECT 'sumqty' AS run_id, qid, 'M' || lpad(CAST(l_partkey % 30 AS VARCHAR), 2, '0') AS docno,
                  CAST(sum(l_quantity) AS FLOAT) AS sim
           FROM b WHERE l_shipdate < TIMESTAMP '1997-01-01' GROUP BY qid, l_partkey % 30),
@@ -777,8 +779,9 @@ PREF_ORDER = ["prefs_num_prefs_poss", "prefs_num_prefs_ful", "prefs_num_prefs_fu
               "prefs_simp_imp", "prefs_pair_imp", "prefs_avgjg_imp"]
 
 
-def _prefs_with(single=False) -> str:
-    return "WITH RECURSIVE " + ",".join(c.strip() for c in (FIX_B, FIX_D, prefs_ctes(single))) + "\n"
+def _prefs_with(single=False, free_levels=False) -> str:
+    fix_d = FIX_D.replace("AS INTEGER) % 4 AS lev", "AS INTEGER) AS lev") if free_levels else FIX_D
+    return "WITH RECURSIVE " + ",".join(c.strip() for c in (FIX_B, fix_d, prefs_ctes(single))) + "\n"
 
 
 def prefs_measure_sql(names, single=False) -> str:
@@ -821,6 +824,9 @@ JOIN over p ON o.qid = p.qid AND o.jg = p.jg AND o.hi = p.lo AND o.lo = p.hi
         "P6_single_subgroup_counts": _prefs_with(True) + "SELECT run_id, qid, jg, " + ", ".join(
             f"CAST({c} AS BIGINT) AS {c}" for c in ("ful_ret", "poss_ret", "ful_imp", "poss_imp", "notoccur",
                                                      "rel", "rel_ret", "nonrel", "nonrel_ret")) + " FROM cnt",
+        "P6_free_levels": _prefs_with(True, True) + "SELECT run_id, qid, jg, " + ", ".join(
+            f"CAST({c} AS BIGINT) AS {c}" for c in ("ful_ret", "poss_ret", "ful_imp", "poss_imp", "notoccur",
+                                                     "rel", "rel_ret", "nonrel", "nonrel_ret")) + " FROM cnt",
         "P7_pair_counts": W + "SELECT run_id, qid, CAST(pu AS BIGINT) AS pu, CAST(pd AS BIGINT) AS pd, "
                               "CAST(c_up AS BIGINT) AS c_up, CAST(c_down AS BIGINT) AS c_down FROM pc",
         "P8_P11_P15_P19_simple": prefs_measure_sql(["prefs_num_prefs_poss", "prefs_num_prefs_ful",

@@ -46,16 +46,23 @@ def relevance_code(rel: Column) -> Column:
             .otherwise(rel)).cast("int")
 
 
-def topic_stats(qrels: DataFrame, level: int, keys=("qid",)) -> DataFrame:
+def topic_stats(qrels: DataFrame, level: int, keys=("qid",), find_repeats: bool = False) -> DataFrame:
     """Per topic R (rel >= level), judged nonrelevant count, number of
-    relevance levels (highest non-negative level + 1) and judged count."""
+    relevance levels (highest non-negative level + 1) and judged count.
+
+    `find_repeats` (J5) adds `repeated`, a document that the topic judges twice, or
+    null.  Judgements are then added up per (topic, document) first, so that a
+    topic with very many of them is spread over the tasks."""
     rel = F.col("rel")
-    return qrels.groupBy(*keys).agg(
-        F.sum(flag(rel >= level)).alias("R"),
-        F.sum(flag((rel >= 0) & (rel < level))).alias("Nn"),
-        F.coalesce(F.max(F.when(rel >= 0, rel)) + 1, F.lit(0)).alias("num_levels"),
-        F.sum(flag(rel >= 0)).alias("num_judged"),
-    )
+    parts = {"R": F.sum(flag(rel >= level)), "Nn": F.sum(flag((rel >= 0) & (rel < level))),
+             "num_levels": F.max(F.when(rel >= 0, rel)), "num_judged": F.sum(flag(rel >= 0))}
+    levels = lambda c: F.coalesce(c + 1, F.lit(0)).alias("num_levels")
+    if not find_repeats:
+        return qrels.groupBy(*keys).agg(*[levels(c) if n == "num_levels" else c.alias(n) for n, c in parts.items()])
+    per_doc = qrels.groupBy(*keys, "docno").agg(F.count(F.lit(1)).alias("_n"), *[c.alias(n) for n, c in parts.items()])
+    return per_doc.groupBy(*keys).agg(
+        F.sum("R").alias("R"), F.sum("Nn").alias("Nn"), levels(F.max("num_levels")),
+        F.sum("num_judged").alias("num_judged"), F.min(F.when(F.col("_n") > 1, F.col("docno"))).alias("repeated"))
 
 
 def judged_join(ranked: DataFrame, qrels: DataFrame, keys=("qid",)) -> DataFrame:
@@ -65,14 +72,17 @@ def judged_join(ranked: DataFrame, qrels: DataFrame, keys=("qid",)) -> DataFrame
     return j.withColumn("code", relevance_code(F.col("_rel"))).drop("_rel")
 
 
-def raise_on_duplicates(runs: DataFrame, qrels: DataFrame, run_keys, topic_keys) -> None:
-    """J4/J5 as errors: a document twice in one ranking or in one topic's
-    judgements (one grouped count each, first offender reported)."""
-    for what, df, keys in (("results", runs, run_keys), ("judgements", qrels, topic_keys)):
-        bad = duplicate_docs(df, list(keys)).limit(1).collect()
-        if bad:
-            r = bad[0].asDict()
-            raise ValueError(f"duplicate document in {what}: {r}")
+def mark_repeats(judged: DataFrame, run_keys=RUN_KEYS) -> DataFrame:
+    """Adds `again`, true where the document stands before in the same ranking.
+    A window on the ranking's own partitioning: a sort, no exchange."""
+    w = Window.partitionBy(*run_keys).orderBy("docno")
+    return judged.withColumn("again", F.col("docno") == F.lag("docno").over(w))
+
+
+def repeats_spread(judged: DataFrame, run_keys=RUN_KEYS) -> DataFrame:
+    """J4 for rankings too large for one task: (run keys, again_doc) of the rankings
+    that hold a document twice, counted per document first."""
+    return (duplicate_docs(judged, run_keys).groupBy(*run_keys).agg(F.min("docno").alias("again_doc")))
 
 
 def duplicate_docs(df: DataFrame, keys) -> DataFrame:

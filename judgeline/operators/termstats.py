@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.membership import Membership, membership
+from ..functions.membership import SET_MEMBERS, Membership, membership
 from ..functions.text import STOP_WORDS, query_text, tokenize
 from ..session import cut_lineage, keep
 
@@ -75,9 +75,11 @@ def _rows(index: DataFrame, vocab: Membership | None) -> DataFrame:
     return out.select("docno", "dl", "term", "tf")
 
 
-def postings(docs: DataFrame, vocab: DataFrame | None = None, stop_words=STOP_WORDS) -> DataFrame:
-    """(docno, dl, term, tf), restricted to `vocab(term)` when given."""
-    test = membership(vocab, "term") if vocab is not None else None
+def postings(docs: DataFrame, vocab: DataFrame | None = None, stop_words=STOP_WORDS,
+             set_members: int = SET_MEMBERS) -> DataFrame:
+    """(docno, dl, term, tf), restricted to `vocab(term)` when given; a vocabulary
+    of more than `set_members` terms is tested by a Bloom filter, then exactly."""
+    test = membership(vocab, "term", set_members) if vocab is not None else None
     return _rows(doc_terms(docs, test, stop_words), test)
 
 

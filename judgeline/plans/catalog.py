@@ -19,6 +19,7 @@ from ..plans.evaluate import evaluate
 from ..operators import groups as G
 from ..operators import prefs as P
 from ..operators.groups import evaluate_jg
+from ..functions.membership import SET_MEMBERS
 from ..functions.text import query_text, tokenize
 from ..operators import scoring as SC
 from ..operators import termstats as TS
@@ -78,6 +79,18 @@ def q_duplicates(spark, sf):
         J.duplicate_docs(qrels.withColumn("run_id", F.lit("qrels")), ["run_id", "qid"]))
 
 
+def q_repeats_outside(spark, sf):
+    """J4/J5 scope: documents repeated below the cut, in a topic without judgements
+    and in the judgements of a topic without a run do not stop an evaluation."""
+    runs, qrels = _b(spark, sf)
+    below = J.rank_run(runs).where("rank > 50").drop("rank").withColumn("sim", F.lit(-1000.0).cast("float"))
+    unjudged = runs.withColumn("qid", F.lit("no judgements"))
+    no_run = qrels.withColumn("qid", F.lit("no run"))
+    runs = runs.unionByName(below).unionByName(unjudged).unionByName(unjudged)
+    ev = evaluate(runs, qrels.unionByName(no_run).unionByName(no_run), ["map", "num_ret", "recall"], EvalConfig(max_docs=50))
+    return ev.per_topic.select("run_id", "qid", "measure", _r("value"))
+
+
 # ------------------------------------------------------------ measures
 def q_measures(spark, sf, measures, cfg: EvalConfig | None = None, only=None) -> DataFrame:
     runs, qrels = _b(spark, sf)
@@ -136,6 +149,7 @@ def eval_queries() -> dict:
         "J1_rank_run": q_rank_run,
         "J3_max_docs": partial(q_rank_run, max_docs=50),
         "J4_J5_duplicates": q_duplicates,
+        "J4_J5_scope": q_repeats_outside,
         "A5_gain_parameters": _m({"G": None, "ndcg": {1: 3, 2: 9}, "ndcg_rel": {1: 1, 2: 4}, "Rndcg": {2: 1}}),
         "J6_judged_join": q_judged_join,
         "J8_judged_only": partial(q_judged_join, judged_only=True),
@@ -205,10 +219,10 @@ def q_collection_stats(spark, sf):
                                     F.round(F.avg("dl"), ROUND).alias("avgdl"))
 
 
-def q_postings(spark, sf):
+def q_postings(spark, sf, set_members=SET_MEMBERS):
     docs, topics = _a(spark, sf)
     vocab = query_table(topics).select("term")
-    return TS.postings(docs, vocab).select("docno", F.col("dl").cast("long"), "term", "tf")
+    return TS.postings(docs, vocab, set_members=set_members).select("docno", F.col("dl").cast("long"), "term", "tf")
 
 
 def q_doc_freq(spark, sf):
@@ -266,6 +280,7 @@ def retrieval_queries() -> dict:
         "T7_doc_freq": q_doc_freq,
         "T8_doc_length": q_doc_length,
         "T9_postings": q_postings,
+        "T9_postings_bloom": partial(q_postings, set_members=0),
         "T11_score_tfidf": partial(q_model, model="tfidf"),
         "T12_score_classic": partial(q_model, model="classic"),
         "T13_score_bm25": partial(q_model, model="bm25"),
@@ -389,10 +404,11 @@ def q_judged_jg(spark, sf):
     return j.select("run_id", "qid", "jg", "docno", F.col("code").cast("long"), "rank")
 
 
-def _d_inputs(spark, sf, single=False):
-    prefs = FX.fixture_d_prefs(spark, sf)
+def _d_inputs(spark, sf, single=False, free_levels=False):
+    """Fixture D; `single`: every subgroup becomes a group of its own."""
+    prefs = FX.fixture_d_prefs(spark, sf, free_levels)
     if single:
-        prefs = prefs.where(F.col("jsg") == "0")
+        prefs = prefs.withColumns({"jg": F.concat_ws("/", "jg", "jsg"), "jsg": F.lit("0")})
     return FX.fixture_d_runs(spark, sf), prefs
 
 
@@ -450,15 +466,15 @@ def _pp(spark, sf, single=False):
     return prefs, shape, pos, pp
 
 
-def q_jg_counts(spark, sf, single=False):
-    runs, prefs = _d_inputs(spark, sf, single)
+def q_jg_counts(spark, sf, single=False, free_levels=False):
+    runs, prefs = _d_inputs(spark, sf, single, free_levels)
     shape = P.group_shape(prefs)
     pos = P.judged_positions(runs, prefs, EvalConfig())
-    pp_multi = None
+    multi = relation = None
     if not single:
-        closed = P.closure(P.direct_pairs(prefs.join(shape.where("n_jsg > 1"), ["qid", "jg"], "left_semi")))
-        pp_multi = P.pair_positions(closed.withColumn("multi", F.lit(True)), pos)
-    c, _ = P.all_group_counts(P.doc_levels(prefs, shape), pos, pp_multi)
+        classes = P.doc_classes(prefs.join(shape.where("n_jsg > 1"), ["qid", "jg"], "left_semi"))
+        multi, relation = P.class_docs(classes, pos), P.class_relation(classes)
+    c, *_ = P.all_group_counts(P.doc_levels(prefs, shape), pos, multi, relation)
     return c.select("run_id", "qid", "jg", *[F.col(x).cast("long") for x in (
         "ful_ret", "poss_ret", "ful_imp", "poss_imp", "notoccur", "rel", "rel_ret", "nonrel", "nonrel_ret")])
 
@@ -495,6 +511,7 @@ def group_pref_queries() -> dict:
         "P4_judged_positions": q_positions,
         "P5_P6_jg_counts": q_jg_counts,
         "P6_single_subgroup_counts": partial(q_jg_counts, single=True),
+        "P6_free_levels": partial(q_jg_counts, single=True, free_levels=True),
         "P7_pair_counts": q_pair_counts,
         "P8_P11_P15_P19_simple": partial(q_prefs, names=PREF_SIMPLE),
         "P12_P16_P20_pair": partial(q_prefs, names=PREF_PAIR),

@@ -155,9 +155,7 @@ def evaluate(runs: DataFrame, qrels: DataFrame, measures="official",
     # judgements feed several joins and aggregates: keep them once
     qrels = keep(qrels)
     persisted = [qrels]
-    if cfg.strict:
-        J.raise_on_duplicates(runs, qrels, list(run_keys), list(topic_keys))
-    stats = J.topic_stats(qrels, cfg.level, topic_keys)
+    stats = J.topic_stats(qrels, cfg.level, topic_keys, find_repeats=cfg.strict)
     if judged is None:
         judged = J.judged_rows(runs, qrels, cfg, stats, run_keys=run_keys, topic_keys=topic_keys)
     ideals = []
@@ -169,7 +167,14 @@ def evaluate(runs: DataFrame, qrels: DataFrame, measures="official",
 
     group = run_keys + ["R", "Nn", "num_levels", "num_judged"]
     aggs = [F.expr(e).alias(a) for a, e in ctx.aggs.items()] or [F.count(F.lit(1)).alias("_n")]
+    if cfg.strict:
+        aggs.append(F.min("repeated").alias("_judged_twice"))
+        if not cfg.skew_safe:
+            judged = J.mark_repeats(judged, run_keys)
+            aggs.append(F.min(F.when(F.col("again"), F.col("docno"))).alias("_ranked_twice"))
     agg = judged.groupBy(*group).agg(*aggs)
+    if cfg.strict and cfg.skew_safe:
+        agg = agg.join(J.repeats_spread(judged, run_keys).withColumnRenamed("again_doc", "_ranked_twice"), run_keys, "left")
 
     for i, ideal in enumerate(ideals):
         agg = _gain_finish(agg, I.ideal_totals(ideal, topic_keys), f"_{i}", topic_keys)
@@ -183,8 +188,11 @@ def evaluate(runs: DataFrame, qrels: DataFrame, measures="official",
     order = {o.name: (M.MEASURE_ORDER.index(_base(o.name, selected)),) + tuple(o.order)
              for o in outs}
     # one row per evaluated (run, topic): small, reused by every output
-    wide = keep(agg.select(*run_keys, *[F.expr(o.expr).alias(f"_m{i}") for i, o in enumerate(numeric)],
+    faults = ["_judged_twice", "_ranked_twice"] if cfg.strict else []
+    wide = keep(agg.select(*run_keys, *faults, *[F.expr(o.expr).alias(f"_m{i}") for i, o in enumerate(numeric)],
                       *[F.expr(o.expr).alias(f"_s{i}") for i, o in enumerate(strings)]))
+    if cfg.strict:
+        _raise_on_repeats(wide, run_keys)
     per_topic = S.to_long(wide, run_keys,
                           [(f"_m{i}", o.name, o.kind, order[o.name]) for i, o in enumerate(numeric)])
     if zref is not None:
@@ -209,6 +217,17 @@ def evaluate(runs: DataFrame, qrels: DataFrame, measures="official",
                       cached=persisted + [wide])
 
 
+def _raise_on_repeats(wide: DataFrame, run_keys) -> None:
+    """J4/J5 as errors: a document twice in a ranking (after the cut) or in the
+    judgements of its topic.  The evaluation itself has found them, for the topics
+    it evaluates; this reads its kept rows."""
+    for what, c in (("judgements", "_judged_twice"), ("results", "_ranked_twice")):
+        bad = wide.where(F.col(c).isNotNull()).agg(F.min(F.struct(*run_keys, c)).alias("r")).first()["r"]
+        if bad is not None:
+            found = bad.asDict()
+            raise ValueError(f"duplicate document in {what}: {found.pop(c)} in {found}")
+
+
 def _base(name: str, selected) -> str:
     for b, _ in sorted(selected, key=lambda kv: -len(kv[0])):
         if name == b or name.startswith(b + "_"):

@@ -70,10 +70,12 @@ def _dm(b: DataFrame) -> DataFrame:
     return b.withColumn("m", F.pmod(F.col("l_partkey"), F.lit(30)))
 
 
-def fixture_d_prefs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """prefs(qid, jg, jsg, docno, rel_level): two overlapping judgement subgroups."""
+def fixture_d_prefs(spark: SparkSession, sf_dir: str, free_levels: bool = False) -> DataFrame:
+    """prefs(qid, jg, jsg, docno, rel_level): two overlapping judgement subgroups; with
+    `free_levels` nearly every document has a level of its own."""
+    level = F.sum("l_quantity").cast("int")
     g = _dm(_after(_base(spark, sf_dir))).groupBy("qid", F.col("l_returnflag").alias("jg"), "m") \
-        .agg((F.sum("l_quantity").cast("int") % 4).alias("lev"))
+        .agg((level if free_levels else level % 4).alias("lev"))
     doc = F.concat(F.lit("M"), F.lpad(F.col("m").cast("string"), 2, "0"))
     a = g.where(F.pmod("m", F.lit(3)).isin(0, 1)).select(
         "qid", "jg", F.lit("0").alias("jsg"), doc.alias("docno"), F.col("lev").cast("float").alias("rel_level"))

@@ -107,3 +107,35 @@ def test_everything_is_released(spark, runs, qrels):
         evaluate(runs, qrels, "official").summary().collect()
         assert frames and all(f.is_cached for f in frames)
     assert not any(f.is_cached for f in frames)
+
+
+@pytest.mark.parametrize("skew_safe", [False, True])
+def test_repeated_documents_count_after_the_cut_and_in_matched_topics(spark, runs, qrels, skew_safe):
+    """What the evaluation does not look at may repeat."""
+    def with_(**options):
+        return EvalConfig(skew_safe=skew_safe, **options)
+    below = runs.union(spark.createDataFrame([("r", "1", "b", 1.0)], runs.schema))
+    got = topic(evaluate(below, qrels, ["map", "num_ret"], with_(max_docs=3)))
+    assert got == {"map": pytest.approx(1 / 3), "num_ret": 3}
+    with pytest.raises(ValueError, match="duplicate document in results: b"):
+        evaluate(below, qrels, ["map"], with_())
+    with pytest.raises(ValueError, match="duplicate document in results: b"):
+        evaluate(below, qrels, {"ndcg": {1: 2}, "map": None}, with_(judged_only=True))
+    unjudged = runs.union(spark.createDataFrame([("r", "9", "b", 1.0), ("r", "9", "b", 2.0)], runs.schema))
+    assert summary(evaluate(unjudged, qrels, ["num_q"], with_()))["num_q"] == 2
+    no_run = qrels.union(spark.createDataFrame([("3", "k", 1)], qrels.schema))
+    assert summary(evaluate(runs, no_run, ["num_q"], with_()))["num_q"] == 2
+    twice = qrels.union(spark.createDataFrame([("2", "y", 1)], qrels.schema))
+    with pytest.raises(ValueError, match="duplicate document in judgements: y"):
+        evaluate(runs, twice, ["map"], with_())
+    lax = summary(evaluate(below, qrels, ["num_ret"], with_(strict=False)))
+    assert lax["num_ret"] == 7
+
+
+def test_repeats_within_a_group_only(spark, runs):
+    """A document judged by two groups of a topic is no repeat, twice by one is."""
+    rows = [("1", "u", "a", 1), ("1", "v", "a", 1)]
+    jg = spark.createDataFrame(rows, "qid string, jg string, docno string, rel int")
+    assert topic(evaluate_jg(runs, jg, ["map_avgjg"]))["map_avgjg"] == pytest.approx(1 / 4)
+    with pytest.raises(ValueError, match="judgements"):
+        evaluate_jg(runs, jg.union(jg.limit(1)), ["map_avgjg"])
