@@ -250,6 +250,32 @@ def ndcg_cut_sql() -> str:
         "\nUNION ALL\n".join(parts)
 
 
+def own_parameters_sql() -> str:
+    """A5: the defaults' formulas with other numbers put in."""
+    rel = "sum(CASE WHEN code >= 1 THEN 1 ELSE 0 END)"
+    ap = lambda k: f"sum(CASE WHEN code >= 1 AND rank <= {k} THEN CAST(cr AS DOUBLE) / rank ELSE 0 END)"
+    p, r = _div(rel, "count(*)"), _div(rel, "R")
+    items = [*[(f"P_{k}", f"{_hits(k)} / {_d(k)}") for k in (3, 7)], ("recall_3", _div(_hits(3), "R")),
+             ("relative_P_4", _div(_hits(4), "least(4, R)")),
+             ("success_2", f"CASE WHEN {_hits(2)} > 0 THEN 1.0 ELSE 0.0 END"),
+             *[(f"map_cut_{k}", _div(ap(k), "R")) for k in (4, 60)],
+             *[(f"Rprec_mult_{x:.2f}", _div(f"sum(CASE WHEN code >= 1 AND rank <= {_kcut(x)} THEN 1 ELSE 0 END)", _kcut(x)))
+               for x in (0.3, 2.5)],
+             *[(f"iprec_at_recall_{x:.2f}", _iprec(x)) for x in (0.15, 0.35)],
+             ("11pt_avg_0.25,0.5,0.75", "(" + " + ".join(_iprec(x) for x in (0.25, 0.5, 0.75)) + ") / 3.0"),
+             ("utility_2,-1,0.5,0", f"2.0 * {rel} - (count(*) - {rel}) + 0.5 * (R - {rel})"),
+             ("set_F_0.5", f"CASE WHEN {rel} > 0 THEN {_div(f'1.5 * {p} * {r}', f'0.5 * {p} + {r}')} ELSE 0.0 END")]
+    own = _with(FIX_B, judged_cte()) + _long(items)
+    cuts = "\nUNION ALL\n".join(
+        f"SELECT d.run_id, d.qid, 'ndcg_cut_{k}' AS measure, round({_div('d.dcg', 'coalesce(i.idcg, 0)')}, 6) AS value FROM "
+        f"(SELECT run_id, qid, sum(CASE WHEN rank <= {k} AND code > 0 THEN code / log2(rank + 1) ELSE 0 END) AS dcg "
+        f" FROM jr GROUP BY run_id, qid) d LEFT JOIN "
+        f"(SELECT qid, sum(CASE WHEN pos <= {k} THEN rel / log2(pos + 1) ELSE 0 END) AS idcg FROM "
+        f" (SELECT qid, rel, row_number() OVER (PARTITION BY qid ORDER BY rel DESC) AS pos FROM qrels WHERE rel > 0) GROUP BY qid) i "
+        f"ON d.qid = i.qid" for k in (3, 40))
+    return own + "\nUNION ALL\n" + cuts
+
+
 # ---------------------------------------------------------------- others
 def relstring_sql(n=10) -> str:
     ch = ("CASE WHEN code > 9 THEN '>' WHEN code >= 0 THEN CAST(code AS VARCHAR) "
@@ -327,6 +353,13 @@ def eval_oracles() -> dict[str, str]:
          "CAST(cr AS BIGINT) AS cr, CAST(cn AS BIGINT) AS cn, CAST(cu AS BIGINT) AS cu FROM jr")
     return {
         "J1_rank_run": rk,
+        "J2_rank_run_tie_asc": rk.replace("docno DESC", "docno ASC"),
+        "A5_own_parameters": own_parameters_sql(),
+        "M1_runid": _with(FIX_B) + "SELECT DISTINCT run_id, printf('%-22s\tall\t%s', 'runid', run_id) AS line FROM runs",
+        "S12_no_overlap": _with(FIX_B) + """SELECT 'none' AS topics_kept, count(DISTINCT qrels.qid) AS topics, count(qrels.qid) = 0 AS raised
+            FROM runs JOIN qrels ON 'x' || runs.qid = qrels.qid
+            UNION ALL SELECT 'some', count(DISTINCT qrels.qid), count(qrels.qid) = 0
+            FROM runs JOIN qrels ON CASE WHEN ends_with(runs.qid, '-1') THEN runs.qid ELSE 'x' || runs.qid END = qrels.qid""",
         "J3_max_docs": f"SELECT * FROM ({rk}) WHERE rank <= 50",
         "J4_J5_duplicates": _with(FIX_B) +
             "SELECT run_id, qid, docno, 2 * count(*) AS count FROM runs WHERE ends_with(docno, '7') GROUP BY ALL "
@@ -504,7 +537,10 @@ qrels AS (SELECT qid, docno, rel FROM aq)"""
     summ = (f"summ AS (SELECT run_id, measure, round(CASE WHEN measure IN ('num_ret', 'num_rel_ret') "
             f"THEN sum(value) ELSE avg(value) END, 6) AS value FROM ({pt}) GROUP BY run_id, measure)")
     runs_names = [f"{TAGS[m]}_{k}" for m in models for k in ("SHORT", "LONG")]
-    cols = ", ".join(f"max(CASE WHEN run_id = '{r}' THEN value END) AS \"{r}\"" for r in sorted(runs_names))
+    cols = ", ".join(f"max(CASE WHEN run_id = '{r}' THEN value END) AS \"{r}{'_2' if r.startswith('Default') else ''}\""
+                     for r in sorted(runs_names))
+    o["T21_compare_narrow"] = (_with(FIX_A, FIX_A_QRELS, runs_cte, ev, judged_cte(), summ) +
+                               "SELECT measure, run_id, value FROM summ")
     o["T21_compare_runs"] = (_with(FIX_A, FIX_A_QRELS, runs_cte, ev, judged_cte(), summ) +
                              f"SELECT measure, {cols} FROM summ GROUP BY measure")
     return o
@@ -556,9 +592,41 @@ def _zref_sql() -> str:
             "FROM pt WHERE NOT ends_with(qid, '-5') GROUP BY qid, measure")
 
 
+def _number_fields_sql() -> str:
+    """What is left of a whole number n after each ending (crc32 of the document
+    modulo 9): n itself, but n.9 and n times 100 where decimals are read."""
+    def kept(n, decimals):
+        odd = f"WHEN 2 THEN {n} * 100.0 WHEN 3 THEN ({n}) + CASE WHEN {n} < 0 THEN -0.9 ELSE 0.9 END" if decimals else ""
+        v = f"CASE k {odd} WHEN 7 THEN 0.0 WHEN 8 THEN abs({n}) ELSE {n} END"
+        return f"CAST(CAST({v} AS {'FLOAT' if decimals else 'DOUBLE'}) AS DOUBLE)"
+    n = "CAST(sim AS INTEGER)"
+    own = "FROM runs JOIN crc USING (docno) WHERE run_id = 'sumqty'"
+    z = kept(n, True).replace("AS FLOAT", "AS DOUBLE")
+    return (_with(FIX_B, f"crc AS ({_CRC_SQL})") +
+            f"SELECT 'qrels' AS kind, qid, docno, {kept('rel', False)} AS v FROM qrels JOIN crc USING (docno) "
+            f"UNION ALL SELECT 'run', qid, docno, {kept(n, True)} {own} "
+            f"UNION ALL SELECT 'prefs', qid, docno, {kept(n, True)} {own} "
+            f"UNION ALL SELECT 'zref', qid, docno, {z} {own}")
+
+
+#: crc32 of each document's name modulo 9, bit by bit.
+_CRC_SQL = """SELECT docno, CAST(xor(4294967295::BIGINT, list_reduce(
+      [4294967295::BIGINT] || list_transform(range(0, 8 * length(docno)), lambda i: (ascii(docno[1 + i // 8]) >> (i % 8)) & 1),
+      lambda acc, x: CASE WHEN (xor(acc, x) & 1) = 1 THEN xor(acc >> 1, 3988292384::BIGINT) ELSE acc >> 1 END)) % 9 AS BIGINT) AS k
+    FROM (SELECT docno FROM runs UNION SELECT docno FROM qrels)"""
+
+
 def source_oracles() -> dict[str, str]:
     return {
         "S2_S9_run_roundtrip": _with(FIX_B) + "SELECT run_id, qid, docno, CAST(sim AS DOUBLE) AS sim FROM runs",
+        "S9_run_lines": _with(FIX_B) + """SELECT run_id, row_number() OVER (PARTITION BY run_id ORDER BY qid, rank) AS n,
+            printf('%s 0 %s %d %.5f %s', qid, docno, rank, CAST(sim AS DOUBLE), run_id) AS line
+            FROM (SELECT *, row_number() OVER (PARTITION BY run_id, qid ORDER BY sim DESC, docno DESC) AS rank FROM runs)""",
+        "S2_S7_number_fields": _number_fields_sql(),
+        "S11_malformed_lines": _with(FIX_B) + """SELECT qid AS topic, n AS line_no,
+            CASE right(docno, 1) WHEN '7' THEN qid || ' 0 ' || docno WHEN '3' THEN qid || ' 0 ' || docno || ' ' || rel || ' more' ELSE '' END AS line,
+            CAST(CASE right(docno, 1) WHEN '7' THEN 3 WHEN '3' THEN 5 ELSE 0 END AS BIGINT) AS n_fields
+            FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY docno) AS n FROM qrels) WHERE right(docno, 1) IN ('1', '3', '7')""",
         "S3_qrels_roundtrip": _with(FIX_B) + "SELECT qid, docno, rel FROM qrels",
         "S4_S6_qrels_jg_roundtrip": _with(FIX_B, FIX_C) +
             "SELECT qid, jg, docno, CAST(rel AS DOUBLE) AS v, 'qrels_jg' AS src FROM qj "

@@ -20,8 +20,9 @@ class EvalConfig:
     complete: bool = False         # -c: average over every judged topic
     num_docs: int = 0              # -N: collection size (utility only)
     topic: str | None = None       # -D style single-topic filter
-    skew_safe: bool = False        # running counts by distributed prefix scan, for
-    #                                rankings or topics too large for one task
+    skew_safe: bool | int = False  # measure rankings and topics, and split those too
+    #                                large for one task over many (a distributed prefix
+    #                                scan): of over a million rows, or of over the number
     strict: bool = True            # raise on duplicate documents (J4/J5) and
     #                                inconsistent preferences (P3), as the evaluator does
 

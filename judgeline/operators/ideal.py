@@ -33,7 +33,7 @@ def ideal_ranking(qrels: DataFrame, gains: dict | None, keys=("qid",),
     """
     g = gain_of(F.col("rel"), gains)
     if scan:
-        return _ideal_ranking_scan(qrels, g, list(keys))
+        return _ideal_ranking_scan(qrels, g, list(keys), scan)
     pos_w = Window.partitionBy(*keys).orderBy(F.col("ig").desc(), F.col("docno"))
     run_w = pos_w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ideal = (qrels.where(F.col("rel") >= 0)
@@ -55,7 +55,7 @@ def ideal_ranking(qrels: DataFrame, gains: dict | None, keys=("qid",),
     )
 
 
-def _ideal_ranking_scan(qrels: DataFrame, g, keys: list[str]) -> DataFrame:
+def _ideal_ranking_scan(qrels: DataFrame, g, keys: list[str], scan: bool | int) -> DataFrame:
     """ideal_ranking for topics too large for one task: positions, ideal DCG
     and boundary suffix sums by distributed prefix scans (see prefix.py); a
     boundary is the last position of each gain value."""
@@ -64,14 +64,14 @@ def _ideal_ranking_scan(qrels: DataFrame, g, keys: list[str]) -> DataFrame:
     order = [F.col("ig").desc(), F.col("docno").asc()]
     base = (qrels.where(F.col("rel") >= 0).select(*keys, "docno", g.alias("ig"))
             .where(F.col("ig") > 0).withColumn("_one", F.lit(1)))
-    p = prefix_sums(base, keys, order, {"pos": "_one"})
+    p = prefix_sums(base, keys, order, {"pos": "_one"}, scan)
     p = p.withColumn("_disc", F.col("ig") / log2(F.col("pos") + 1))
-    p = prefix_sums(p, keys, order, {"icum": "_disc"})
+    p = prefix_sums(p, keys, order, {"icum": "_disc"}, scan)
     last = p.groupBy(*keys, "ig").agg(F.max("pos").alias("_last"))
     p = p.join(last, keys + ["ig"]).withColumn("bnd", F.col("pos") == F.col("_last"))
     p = (p.withColumn("_inv", F.when(F.col("bnd"), 1.0 / F.col("icum")).otherwise(0.0))
          .withColumn("_b", F.when(F.col("bnd"), 1).otherwise(0)))
-    p = prefix_sums(p, keys, order, {"inv_le": "_inv", "cnt_le": "_b"})
+    p = prefix_sums(p, keys, order, {"inv_le": "_inv", "cnt_le": "_b"}, scan)
     tot = p.groupBy(*keys).agg(F.sum("_inv").alias("_inv_tot"), F.sum("_b").alias("_b_tot"))
     p = p.join(tot, keys)
     return p.select(*keys, F.col("pos").cast("int").alias("pos"), "ig", "icum", "bnd",
@@ -98,7 +98,7 @@ def ideal_dcg_at(qrels: DataFrame, cutoffs, keys=("qid",), scan: bool = False) -
     if scan:
         from .prefix import prefix_sums
         ranked = prefix_sums(judged.withColumn("_one", F.lit(1)), list(keys),
-                             [F.col("rel").desc(), F.col("docno").asc()], {"pos": "_one"})
+                             [F.col("rel").desc(), F.col("docno").asc()], {"pos": "_one"}, scan)
     else:
         w = Window.partitionBy(*keys).orderBy(F.col("rel").desc(), F.col("docno"))
         ranked = judged.withColumn("pos", F.row_number().over(w))

@@ -155,7 +155,7 @@ def _judged_rows_scan(j: DataFrame, cfg: EvalConfig, keep, tie: str, run_keys) -
          .withColumn("_k", flag(F.col("keep"))).withColumn("_r", flag(F.col("rel")))
          .withColumn("_n", flag(F.col("nonrel"))).withColumn("_u", flag(F.col("unj"))))
     out = prefix_sums(j, list(run_keys), rank_order(tie),
-                      {"orig_rank": "_one", "rank": "_k", "cr": "_r", "cn": "_n", "cu": "_u"})
+                      {"orig_rank": "_one", "rank": "_k", "cr": "_r", "cn": "_n", "cu": "_u"}, cfg.skew_safe)
     if cfg.cut is not None:
         out = out.where(F.col("orig_rank") <= cfg.cut)
     return out.drop("_one", "_k", "_r", "_n", "_u")

@@ -2,7 +2,8 @@
 
 A window `sum(...) OVER (PARTITION BY g ORDER BY o ROWS UNBOUNDED PRECEDING)`
 runs each group in one task.  When one group may hold a large share of all
-rows, this computes the same running sums in three parallel steps:
+rows, this measures the groups and computes the same running sums, for the hot
+ones alone, in three parallel steps:
 
 1. range-partition on (g, o): a hot group is split into contiguous chunks
    spread over many partitions (the partition id is the chunk number); the
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_lineage
+from ..session import broadcast_if_small, cut_lineage
 
 
 def _numeric_type(dt):
@@ -29,19 +30,47 @@ def _numeric_type(dt):
                                            T.ByteType, T.BooleanType)) else T.DoubleType()
 
 
+HOT_ROWS = 1_000_000      # a group with more rows is cut into chunks
+
+
 def prefix_sums(df: DataFrame, keys: list[str], order: list[Column], values: dict[str, str],
-                num_chunks: int | None = None) -> DataFrame:
+                hot_rows: bool | int = True, num_chunks: int | None = None) -> DataFrame:
     """Add running sums (inclusive of the current row) of the columns in
-    `values` ({output name: input column}) per group `keys` in `order`."""
+    `values` ({output name: input column}) per group `keys` in `order`.
+
+    Groups are measured first.  Only those of more than `hot_rows` rows (True: the
+    default) are cut into chunks; the others stay in windows, without the range
+    exchange.  The list of hot groups has at most one entry per `hot_rows` rows."""
+    limit = HOT_ROWS if hot_rows is True else int(hot_rows)
+    rows = cut_lineage(df)
+    hot = cut_lineage(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).select(*keys))
+    value = {nm: F.coalesce(F.col(col).cast(_numeric_type(df.schema[col].dataType)), F.lit(0))
+             for nm, col in values.items()}
+    upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    kept = [c for c in df.columns if c not in values]
+
+    def windows(part: DataFrame) -> DataFrame:
+        return part.select("*", *[F.sum(value[nm]).over(upto).alias(f"_sum_{nm}") for nm in values]) \
+            .select(*kept, *[F.col(f"_sum_{nm}").alias(nm) for nm in values])
+
+    if hot.isEmpty():
+        return windows(rows)
+    # null-safe, as a group with a null key is a group
+    test = [F.col(f"r.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys]
+    own = lambda how: rows.alias("r").join(broadcast_if_small(hot).alias("h"), test, how)
+    return windows(own("left_anti")).unionByName(
+        _chunked_sums(own("left_semi"), keys, order, value, kept, num_chunks))
+
+
+def _chunked_sums(df: DataFrame, keys: list[str], order: list[Column], value: dict[str, Column],
+                  kept: list[str], num_chunks: int | None) -> DataFrame:
     spark = df.sparkSession
     n = num_chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys, names = list(keys), list(values)
+    keys, names = list(keys), list(value)
     # Range boundaries are sampled per execution, so the chunked rows are
     # materialised once (reliable checkpoint) before totals and windows use them.
     chunked = cut_lineage(df.repartitionByRange(n, *[F.col(k) for k in keys], *order)
                           .withColumn("_chunk", F.spark_partition_id()))
-    value = {nm: F.coalesce(F.col(col).cast(_numeric_type(df.schema[col].dataType)), F.lit(0))
-             for nm, col in values.items()}
     totals = chunked.groupBy(*keys, "_chunk").agg(*[F.sum(value[nm]).alias(f"_tot_{nm}") for nm in names])
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, "_chunk", *[
@@ -49,6 +78,7 @@ def prefix_sums(df: DataFrame, keys: list[str], order: list[Column], values: dic
     upto = Window.partitionBy(*keys, "_chunk").orderBy(*order) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = chunked.select("*", *[F.sum(value[nm]).over(upto).alias(f"_loc_{nm}") for nm in names])
-    j = local.join(offsets, keys + ["_chunk"])
-    return j.select(*[c for c in df.columns if c not in values], *[
+    test = [F.col(f"l.{k}").eqNullSafe(F.col(f"o.{k}")) for k in keys + ["_chunk"]]
+    j = local.alias("l").join(offsets.alias("o"), test)
+    return j.select(*[F.col(f"l.{c}").alias(c) for c in kept], *[
         (F.col(f"_loc_{nm}") + F.col(f"_off_{nm}")).alias(nm) for nm in names])

@@ -233,7 +233,7 @@ def judged_positions(runs: DataFrame, prefs: DataFrame, cfg: EvalConfig,
     if scan:
         from .prefix import prefix_sums
         ranked = prefix_sums(base.withColumn("_one", F.lit(1)), ["run_id", "qid"], order,
-                             {"rank": "_one"}).drop("_one")
+                             {"rank": "_one"}, scan).drop("_one")
     else:
         w = Window.partitionBy("run_id", "qid").orderBy(*order)
         ranked = base.withColumn("rank", F.row_number().over(w))
@@ -250,7 +250,7 @@ def judged_positions(runs: DataFrame, prefs: DataFrame, cfg: EvalConfig,
         tot = j.groupBy("run_id", "qid").agg(F.count("rank").alias("njr"),
                                              F.count(F.lit(1)).alias("nj"))
         p = prefix_sums(j.withColumn("_one", F.lit(1)), ["run_id", "qid"],
-                        [F.col("rank").asc_nulls_last(), F.col("docno").asc()], {"_p": "_one"})
+                        [F.col("rank").asc_nulls_last(), F.col("docno").asc()], {"_p": "_one"}, scan)
         return p.join(tot, ["run_id", "qid"]).select(
             "run_id", "qid", "docno", (F.col("_p") - 1).cast("int").alias("pos"),
             F.col("rank").isNotNull().alias("ret"), "njr", "nj")
@@ -303,7 +303,7 @@ def inversions(rows: DataFrame, keys: list[str], level: str, pos: str, scan: boo
     part = [*keys, "_bit", "_head"]
     if scan:
         from .prefix import prefix_sums
-        x = prefix_sums(x.withColumn("_m", F.col("_one")), part, [F.col(pos).asc()], {"above": "_m"})
+        x = prefix_sums(x.withColumn("_m", F.col("_one")), part, [F.col(pos).asc()], {"above": "_m"}, scan)
     else:
         w = Window.partitionBy(*part).orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         x = x.withColumn("above", F.sum("_one").over(w))
@@ -394,7 +394,7 @@ def placed_before(docs: DataFrame, relation: DataFrame, keys: list[str], on: lis
     part = [*keys, "hi"]
     if scan:
         from .prefix import prefix_sums
-        both = prefix_sums(both, part, [F.col("pos").asc()], {f"n_{k}": f"_m_{k}" for k in kept})
+        both = prefix_sums(both, part, [F.col("pos").asc()], {f"n_{k}": f"_m_{k}" for k in kept}, scan)
     else:
         w = Window.partitionBy(*part).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         both = both.select("*", *[F.sum(f"_m_{k}").over(w).alias(f"n_{k}") for k in kept])
@@ -460,7 +460,7 @@ def rnonrel_docs(levels: DataFrame, pos: DataFrame, scan: bool = False) -> DataF
     if scan:
         from .prefix import prefix_sums
         lv = prefix_sums(lv.withColumn("_one", F.lit(1)), ["run_id", "qid", "jg", "is_non"],
-                         [F.col("pos").asc()], {"_ni": "_one"})
+                         [F.col("pos").asc()], {"_ni": "_one"}, scan)
         lv = lv.withColumn("non_idx", F.when(F.col("is_non"), F.col("_ni"))).drop("_one", "_ni")
     else:
         nw = Window.partitionBy("run_id", "qid", "jg", "is_non").orderBy("pos")
@@ -511,7 +511,7 @@ def _rnonrel_single(s: DataFrame, single_parts: DataFrame, scan: bool) -> DataFr
         fl = s.select(*gk, "pos", "ret", F.when(kn_all, 1).otherwise(0).alias("_ka"),
                       F.when(kn_ret, 1).otherwise(0).alias("_kr"))
         tot = fl.groupBy(*gk).agg(F.sum("_ka").alias("kall_tot"), F.sum("_kr").alias("kret_tot"))
-        fl = prefix_sums(fl, gk, [F.col("pos").asc()], {"_ka_le": "_ka", "_kr_le": "_kr"})
+        fl = prefix_sums(fl, gk, [F.col("pos").asc()], {"_ka_le": "_ka", "_kr_le": "_kr"}, scan)
         s2 = fl.join(tot, gk).select(
             *gk, "pos", "ret",
             (F.col("kall_tot") - F.col("_ka_le")).alias("kall_after"),

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import EvalConfig
@@ -23,13 +23,14 @@ from ..functions.membership import SET_MEMBERS
 from ..functions.text import query_text, tokenize
 from ..operators import scoring as SC
 from ..operators import termstats as TS
-from ..plans.retrieve import compare_runs, explain, query_table, retrieve, scored, search
+from ..plans.retrieve import compare_narrow, compare_runs, explain, query_table, retrieve, scored, search
 from ..session import cut_lineage, ensure_checkpoint_dir, owned
 from ..sources.sinks import report_lines, write_run
-from ..sources.text_formats import (read_prefs, read_qrels, read_qrels_as_prefs, read_qrels_jg,
+from ..sources.text_formats import (malformed_lines, read_lines, read_prefs, read_qrels, read_qrels_as_prefs, read_qrels_jg,
                                     read_run, read_topics, read_zref)
 
 ROUND = 6
+HOT = 50     # rankings of more rows are split by the prefix scan queries, the others are not
 
 
 def _r(c: str):
@@ -41,9 +42,9 @@ def _b(spark: SparkSession, sf: str):
 
 
 # ------------------------------------------------------------ J operators
-def q_rank_run(spark, sf, max_docs=None):
+def q_rank_run(spark, sf, max_docs=None, tie="desc"):
     runs, _ = _b(spark, sf)
-    return J.rank_run(runs, max_docs=max_docs).select(
+    return J.rank_run(runs, tie=tie, max_docs=max_docs).select(
         "run_id", "qid", "docno", F.col("rank").cast("long"))
 
 
@@ -101,6 +102,38 @@ def q_measures(spark, sf, measures, cfg: EvalConfig | None = None, only=None) ->
     return pt.select("run_id", "qid", "measure", _r("value"))
 
 
+#: A5: parameters other than the defaults.
+OWN_PARAMETERS = {"P": [3, 7], "recall": [3], "relative_P": [4], "success": [2], "map_cut": [4, 60],
+                  "Rprec_mult": [0.3, 2.5], "iprec_at_recall": [0.15, 0.35], "11pt_avg": [0.25, 0.5, 0.75],
+                  "utility": [2, -1, 0.5, 0], "set_F": [0.5], "ndcg_cut": [3, 40]}
+
+
+def q_runid(spark, sf):
+    """M1: the report line that names a run."""
+    runs, qrels = _b(spark, sf)
+    ev = evaluate(runs, qrels, ["runid", "num_q"])
+    return report_lines(ev, per_topic=False).where(F.col("line").startswith("runid")).select("run_id", "line")
+
+
+def q_no_overlap(spark, sf):
+    """With every topic renamed no topic has both results and judgements, so the
+    summary raises; with one topic in ten kept it does not.  Rows: topics that
+    have both, and whether it raised."""
+    runs, qrels = _b(spark, sf)
+    out = []
+    for case, kept in (("none", F.lit(False)), ("some", F.col("qid").endswith("-1"))):
+        renamed = runs.withColumn("qid", F.when(kept, F.col("qid")).otherwise(F.concat(F.lit("x"), "qid")))
+        ev = evaluate(renamed, qrels, ["num_q"])
+        try:
+            ev.summary()
+            raised = False
+        except ValueError:
+            raised = True
+        out.append(ev.num_q.agg(F.coalesce(F.max("n"), F.lit(0)).cast("long").alias("topics"))
+                   .select(F.lit(case).alias("topics_kept"), "topics", F.lit(raised).alias("raised")))
+    return out[0].unionByName(out[1])
+
+
 def q_geo(spark, sf, name):
     runs, qrels = _b(spark, sf)
     ev = evaluate(runs, qrels, [name])
@@ -147,16 +180,20 @@ def _m(measures, only=None, **cfg):
 def eval_queries() -> dict:
     return {
         "J1_rank_run": q_rank_run,
+        "J2_rank_run_tie_asc": partial(q_rank_run, tie="asc"),
         "J3_max_docs": partial(q_rank_run, max_docs=50),
         "J4_J5_duplicates": q_duplicates,
         "J4_J5_scope": q_repeats_outside,
         "A5_gain_parameters": _m({"G": None, "ndcg": {1: 3, 2: 9}, "ndcg_rel": {1: 1, 2: 4}, "Rndcg": {2: 1}}),
+        "A5_own_parameters": _m(OWN_PARAMETERS),
+        "M1_runid": q_runid,
+        "S12_no_overlap": q_no_overlap,
         "J6_judged_join": q_judged_join,
         "J8_judged_only": partial(q_judged_join, judged_only=True),
         "J9_level": partial(q_judged_join, level=2),
-        "J15_running_counts_prefix_scan": partial(q_judged_join, skew_safe=True),
-        "J15_measures_prefix_scan": _m(["map", "bpref", "infAP", "P"], skew_safe=True),
-        "J15_ndcg_rel_prefix_scan": _m(["ndcg_rel"], skew_safe=True),
+        "J15_running_counts_prefix_scan": partial(q_judged_join, skew_safe=HOT),
+        "J15_measures_prefix_scan": _m(["map", "bpref", "infAP", "P"], skew_safe=HOT),
+        "J15_ndcg_rel_prefix_scan": _m(["ndcg_rel"], skew_safe=HOT),
         "J10_topic_stats": q_topic_stats,
         "J12_topic_match": q_topic_match,
         "J16_ideal_ranking": q_ideal_ranking,
@@ -260,16 +297,16 @@ def q_fixture_a_qrels(spark, sf):
     return FX.fixture_a_qrels(spark, sf)
 
 
-def q_compare(spark, sf):
+def q_compare(spark, sf, wide=True):
     """Retrieve (all models, both kinds, top 1000) -> evaluate against
-    passage-containment judgements -> one column per run."""
+    passage-containment judgements -> one column (or one row a measure) per run."""
     docs, topics = _a(spark, sf)
     runs = retrieve(docs, topics, k=SC.TOP_K, round_digits=ROUND) \
         .select("run_id", "qid", "docno", F.round("score", ROUND).cast("float").alias("sim"))
     qrels = FX.fixture_a_qrels(spark, sf)
     ev = evaluate(runs, qrels, ["num_ret", "num_rel_ret", "map", "P", "recip_rank"])
     s = ev.summary_values().withColumn("value", F.round("value", ROUND))
-    return compare_runs(s, ["num_ret", "num_rel_ret", "map", "P_10", "recip_rank"])
+    return (compare_runs if wide else compare_narrow)(s, ["num_ret", "num_rel_ret", "map", "P_10", "recip_rank"])
 
 
 def retrieval_queries() -> dict:
@@ -292,6 +329,7 @@ def retrieval_queries() -> dict:
         "T19_explain_scores": q_explain,
         "T20_search": q_search,
         "T21_compare_runs": q_compare,
+        "T21_compare_narrow": partial(q_compare, wide=False),
         "FA_passage_qrels": q_fixture_a_qrels,
     }
 
@@ -311,6 +349,70 @@ def q_run_roundtrip(spark, sf):
     return read_run(spark, path).select("run_id", "qid", "docno", F.col("sim").cast("double"))
 
 
+def q_run_lines(spark, sf):
+    """The lines of the written run files with their numbers over a run's part
+    files, in name order."""
+    runs, _ = _b(spark, sf)
+    path = _scratch(spark, "runlines")
+    write_run(J.rank_run(runs).withColumnRenamed("sim", "score"), path, parts=5)
+    part = F.regexp_extract("file", r"run_id=([^/]*)/(part-[0-9]+)", 2)
+    lines = read_lines(spark, path).select(F.regexp_extract("file", r"run_id=([^/]*)/", 1).alias("run_id"),
+                                           part.alias("part"), "line_no", "line")
+    before = Window.partitionBy("run_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = lines.groupBy("run_id", "part").count().select(
+        "run_id", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
+    return lines.join(parts, ["run_id", "part"]).select("run_id", (F.col("before") + F.col("line_no")).alias("n"), "line")
+
+
+#: Ends of number fields by document: what each leaves of the number is the evaluator's rule.
+ENDINGS = ["", "x", "e2", ".9", "e+", "-1", " "]
+
+
+def _odd_field(c, kind):
+    """A number followed by one of ENDINGS, or words, or a sign, by document."""
+    k = F.pmod(F.crc32("docno"), F.lit(9))
+    text = c.cast("string")
+    out = F.concat(text, F.element_at(F.array(*[F.lit(e) for e in ENDINGS]), (F.least(k, F.lit(6)) + 1).cast("int")))
+    return F.when(k == 7, F.lit("abc")).when(k == 8, F.concat(F.lit("+"), F.abs(c).cast("string"))).otherwise(F.trim(out))
+
+
+def q_number_fields(spark, sf):
+    """Number fields that end or begin with something else, in judgements
+    (whole numbers), results, preferences and z-scores (decimal numbers)."""
+    runs, qrels = _b(spark, sf)
+    path = _scratch(spark, "numbers")
+    out = []
+    rel = qrels.withColumns({"it": F.lit("0"), "x": _odd_field(F.col("rel"), "int")})
+    _write_lines(rel, ["qid", "it", "docno", "x"], path + "/qrels")
+    out.append(read_qrels(spark, path + "/qrels").select(F.lit("qrels").alias("kind"), "qid", "docno", F.col("rel").cast("double").alias("v")))
+    own = runs.where("run_id = 'sumqty'").withColumn("x", _odd_field(F.col("sim").cast("int"), "float"))
+    _write_lines(own.withColumns({"it": F.lit("Q0"), "rank": F.lit(1)}), ["qid", "it", "docno", "rank", "x", "run_id"], path + "/runs")
+    out.append(read_run(spark, path + "/runs").select(F.lit("run").alias("kind"), "qid", "docno", F.col("sim").cast("double").alias("v")))
+    _write_lines(own.withColumns({"jg": F.lit("a"), "jsg": F.lit("s")}), ["qid", "jg", "jsg", "docno", "x"], path + "/prefs")
+    out.append(read_prefs(spark, path + "/prefs").select(F.lit("prefs").alias("kind"), "qid", "docno", F.col("rel_level").cast("double").alias("v")))
+    _write_lines(own, ["qid", "docno", "x", "x"], path + "/zref")
+    out.append(read_zref(spark, path + "/zref").select(F.lit("zref").alias("kind"), "qid", F.col("measure").alias("docno"), F.col("mean").alias("v")))
+    every = out[0]
+    for more in out[1:]:
+        every = every.unionByName(more)
+    return every
+
+
+def q_malformed_lines(spark, sf):
+    """One judgement file per topic in document order with seeded faults: a
+    field less (documents ending in 7), a field more (3), a blank line (1)."""
+    _, qrels = _b(spark, sf)
+    path = _scratch(spark, "malformed")
+    good = F.concat_ws(" ", "qid", F.lit("0"), "docno", F.col("rel").cast("string"))
+    line = (F.when(F.col("docno").endswith("7"), F.concat_ws(" ", "qid", F.lit("0"), "docno"))
+            .when(F.col("docno").endswith("3"), F.concat(good, F.lit(" more")))
+            .when(F.col("docno").endswith("1"), F.lit("")).otherwise(good))
+    qrels.select(F.col("qid").alias("topic"), "docno", line.alias("value")).repartition("topic") \
+        .sortWithinPartitions("topic", "docno").select("topic", "value").write.partitionBy("topic").text(path)
+    return malformed_lines(spark, path, 4).select(
+        F.regexp_extract("file", "topic=([^/]*)/", 1).alias("topic"), "line_no", "line", F.col("n_fields").cast("long").alias("n_fields"))
+
+
 def _write_lines(df, cols, path):
     df.select(F.concat_ws(" ", *[F.col(c).cast("string") for c in cols]).alias("value")) \
         .write.mode("overwrite").text(path)
@@ -380,6 +482,9 @@ def q_report(spark, sf):
 def source_queries() -> dict:
     return {
         "S2_S9_run_roundtrip": q_run_roundtrip,
+        "S9_run_lines": q_run_lines,
+        "S2_S7_number_fields": q_number_fields,
+        "S11_malformed_lines": q_malformed_lines,
         "S3_qrels_roundtrip": q_qrels_roundtrip,
         "S4_S6_qrels_jg_roundtrip": q_qrels_jg_roundtrip,
         "S5_prefs_roundtrip": q_prefs_roundtrip,
@@ -518,7 +623,7 @@ def group_pref_queries() -> dict:
         "P13_P17_P21_avgjg": partial(q_prefs, names=PREF_AVGJG),
         "P14_P18_Rnonrel": partial(q_prefs, names=PREF_RNONREL),
         "P_single_subgroup_all": partial(q_prefs, names="all_prefs", single=True),
-        "P_single_subgroup_prefix_scan": partial(q_prefs, names="all_prefs", single=True, skew_safe=True),
+        "P_single_subgroup_prefix_scan": partial(q_prefs, names="all_prefs", single=True, skew_safe=5),
     }
 
 

@@ -95,7 +95,7 @@ def _gain_columns(judged: DataFrame, ideal: DataFrame, x: str,
         from ..operators.prefix import prefix_sums
         j = j.withColumn("g" + x, g).withColumn("_d" + x, d).withColumn("_c" + x, cost)
         return prefix_sums(j, list(run_keys), J.rank_order(tie),
-                           {"dcg_cum" + x: "_d" + x, "got_cum" + x: "g" + x, "cost_cum" + x: "_c" + x})
+                           {"dcg_cum" + x: "_d" + x, "got_cum" + x: "g" + x, "cost_cum" + x: "_c" + x}, scan)
     return j.withColumn("g" + x, g).withColumn("_d" + x, d).select(
         "*", F.sum(F.col("_d" + x)).over(w).alias("dcg_cum" + x),
         F.sum(F.col("g" + x)).over(w).alias("got_cum" + x), F.sum(cost).over(w).alias("cost_cum" + x))

@@ -58,7 +58,36 @@ def explain(docs: DataFrame, topics: DataFrame, kind: str = "short", model: str
     return SC.explain_terms(post, qt, TS.term_stats(post), stats, model)
 
 
-def compare_runs(summary: DataFrame, measures=None) -> DataFrame:
-    """One row per measure, one column per run."""
-    s = summary if measures is None else summary.where(F.col("measure").isin(list(measures)))
-    return s.groupBy("measure").pivot("run_id").agg(F.first("value"))
+MAX_COLUMNS = 1000      # runs of one wide comparison
+
+
+def compare_runs(summary: DataFrame, measures=None, runs: list[str] | None = None) -> DataFrame:
+    """One row per measure, one column per run, in the order of `runs`, or of
+    the run ids if they are `MAX_COLUMNS` at most (one bounded look at the ids; more
+    need `runs`, a block of columns at a time, or `compare_narrow`).  Ids that differ
+    by case only would be one column to the engine: the later ones get a number."""
+    s = compare_narrow(summary, measures)
+    if runs is None:
+        runs = [r["run_id"] for r in s.select("run_id").distinct().orderBy("run_id").limit(MAX_COLUMNS + 1).collect()]
+        if len(runs) > MAX_COLUMNS:
+            raise ValueError(f"more than {MAX_COLUMNS} runs: name those to compare, or use compare_narrow")
+    wide = s.groupBy("measure").pivot("run_id", list(runs)).agg(F.first("value"))
+    return wide.toDF("measure", *column_names(runs))
+
+
+def column_names(runs: list[str]) -> list[str]:
+    names, used = [], {"measure"}
+    for run in runs:
+        name, k = run, 1
+        while name.lower() in used:
+            k += 1
+            name = f"{run}_{k}"
+        used.add(name.lower())
+        names.append(name)
+    return names
+
+
+def compare_narrow(summary: DataFrame, measures=None) -> DataFrame:
+    """T21 for any number of runs: (measure, run_id, value)."""
+    s = summary.select("measure", "run_id", "value")
+    return s if measures is None else s.where(F.col("measure").isin(list(measures)))

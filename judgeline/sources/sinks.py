@@ -27,9 +27,17 @@ def run_lines(runs: DataFrame, score_col: str = "score", rank_col: str = "rank")
 
 
 def write_run(runs: DataFrame, path: str, score_col: str = "score",
-              rank_col: str = "rank", mode: str = "overwrite") -> None:
-    """Write one text folder per run_id under `path` (partitioned write)."""
-    run_lines(runs, score_col, rank_col).write.mode(mode).partitionBy("run_id").text(path)
+              rank_col: str = "rank", mode: str = "overwrite", parts: int | None = None) -> None:
+    """Write one text folder per run_id under `path`; its part files, in name order,
+    hold the lines by topic and rank.
+
+    Rows are dealt by ranges of (run, topic, rank), so a run has as many part files
+    as ranges it touches: runs and `parts` (the session's shuffle partitions by
+    default) together bound the number of files."""
+    keys = ["run_id", "qid", F.col(rank_col).cast("long")]
+    dealt = runs.repartitionByRange(parts, *keys) if parts else runs.repartitionByRange(*keys)
+    run_lines(dealt.sortWithinPartitions(*keys), score_col, rank_col) \
+        .write.mode(mode).partitionBy("run_id").text(path)
 
 
 def _num(value) -> "F.Column":

@@ -109,7 +109,7 @@ def test_everything_is_released(spark, runs, qrels):
     assert not any(f.is_cached for f in frames)
 
 
-@pytest.mark.parametrize("skew_safe", [False, True])
+@pytest.mark.parametrize("skew_safe", [False, 2])
 def test_repeated_documents_count_after_the_cut_and_in_matched_topics(spark, runs, qrels, skew_safe):
     """What the evaluation does not look at may repeat."""
     def with_(**options):

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 from conftest import SF
 from judgeline.functions.text import STOP_WORDS, tokenize
 from judgeline.plans import fixtures as FX
-from judgeline.plans.retrieve import retrieve, scored, search
+from judgeline.functions.membership import membership
+from judgeline.functions.text import query_text
+from judgeline.operators import termstats as TS
+from judgeline.plans.retrieve import column_names, compare_narrow, compare_runs, query_table, retrieve, scored, search
 from judgeline.sources.text_formats import read_topics
 
 
@@ -80,3 +83,60 @@ def test_search_returns_what_matches(spark):
     docs = FX.fixture_a_docs(spark, SF)
     r = search(spark, docs, "zzzzqqq nothingmatches", k=1000)
     assert r.count() == 0
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_token_is_exchanged(spark):
+    """The vocabulary is tested and terms are counted where the text is read."""
+    docs, topics = FX.fixture_a_docs(spark, SF), FX.fixture_a_topics(spark, SF)
+    vocab = query_table(topics).select("term").cache()
+    exact = TS.postings(docs, vocab)
+    plan = plan_of(exact)
+    assert "Exchange" not in plan and plan.count("regexp_extract_all") == 1
+    bloom = TS.postings(docs, vocab, set_members=0)
+    assert "Exchange" not in plan_of(bloom).split("FileScan")[0].split("BroadcastExchange")[0]
+    assert exact.exceptAll(bloom).count() == 0 and bloom.exceptAll(exact).count() == 0
+    assert 0 < exact.count() < TS.postings(docs).count()
+
+
+def test_terms_of_documents(spark):
+    docs = spark.createDataFrame([("d1", "b a b, B c"), ("d2", ""), ("d3", None), ("d4", "the of"), ("d5", "z " * 5000 + "a")],
+                                 "docno string, text string")
+    got = {(r.docno, r.dl, r.term, r.tf) for r in TS.postings(docs).collect()}
+    assert got == {("d1", 4, "b", 3), ("d1", 4, "c", 1), ("d5", 5000, "z", 5000)}          # `a` is a stop word
+    every = {(r.docno, r.dl, r.term, r.tf) for r in TS.postings(docs, stop_words=None).collect()}
+    assert every == {("d1", 5, "a", 1), ("d1", 5, "b", 3), ("d1", 5, "c", 1), ("d4", 2, "of", 1), ("d4", 2, "the", 1),
+                     ("d5", 5001, "a", 1), ("d5", 5001, "z", 5000)}
+    none = spark.createDataFrame([], "term string")
+    post, stats = TS.index_for(docs.where("docno <> 'd3'"), none)
+    assert post.count() == 0 and (stats.num_docs, stats.total_tokens) == (4, 5004)
+
+
+def test_membership(spark):
+    members = spark.createDataFrame([(f"w{i}",) for i in range(3000)] + [(None,), ("w1",)], "term string").cache()
+    probe = spark.range(20_000).select(F.concat(F.lit("w"), "id").alias("t"))
+    exact = membership(members, "term")
+    assert exact.exact and probe.where(exact.test(F.col("t"))).count() == 3000
+    bloom = membership(members, "term", set_members=100)
+    passed = {r.t for r in probe.where(bloom.test(F.col("t"))).collect()}
+    assert not bloom.exact and {f"w{i}" for i in range(3000)} <= passed and len(passed) < 3000 + 17_000 * 0.02
+
+
+def test_description_label(spark):
+    t = spark.createDataFrame([("1", "x", " Description:\nboats"), ("2", "y", "Description of a Description: z")],
+                              "qid string, title string, description string")
+    terms = lambda keep: {(r.qid, r.term) for r in TS.query_terms(t, "long", keep_description_label=keep).collect()}
+    assert terms(True) - terms(False) == {("1", "description")}
+
+
+def test_comparison_columns(spark):
+    rows = [("map", r, v) for r, v in (("Default", 0.5), ("DEFAULT", 0.25), ("x", 1.0))]
+    s = spark.createDataFrame(rows, "measure string, run_id string, value double")
+    wide = compare_runs(s).first().asDict()
+    assert wide == {"measure": "map", "DEFAULT": 0.25, "Default_2": 0.5, "x": 1.0}
+    assert column_names(["a", "A", "a_2"]) == ["a", "A_2", "a_2_2"]
+    assert compare_runs(s, runs=["x", "missing"]).first().asDict() == {"measure": "map", "x": 1.0, "missing": None}
+    assert {(r.run_id, r.value) for r in compare_narrow(s, ["map"]).collect()} == {(r, v) for _, r, v in rows}

@@ -7,6 +7,7 @@ from judgeline.operators.prefs import closure, evaluate_prefs, inconsistencies
 from judgeline.plans.evaluate import evaluate
 from judgeline.session import ensure_checkpoint_dir
 from judgeline.sources import text_formats as T
+from judgeline.sources.sinks import write_run
 
 
 def _write(path, text):
@@ -98,3 +99,56 @@ def test_checkpoint_folder_is_required_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(Session())
+
+
+FIELDS = {"2x": (2, 2.0), "3e2": (3, 300.0), "2.5x": (2, 2.5), "abc": (0, 0.0), "1.9": (1, 1.9), "+7": (7, 7.0), "-4-": (-4, -4.0),
+          "-": (0, 0.0), ".5": (0, 0.5), "5.": (5, 5.0), "2e": (2, 2.0), "1e+": (1, 1.0), "x1": (0, 0.0), "0x1f": (0, 0.0),
+          "99999999999": (2147483647, 99999999999.0), "-" + "9" * 50: (-2147483648, -1e50), "--1": (0, 0.0), "1d": (1, 1.0),
+          "-inf": (0, float("-inf")), "１": (0, 0.0), "1f": (1, 1.0), "00012": (12, 12.0)}
+
+
+def test_number_fields(spark):
+    df = spark.createDataFrame([(k,) for k in FIELDS], "c string")
+    got = {r.c: (r.i, r.d) for r in df.select("c", T.leading_int(df.c).alias("i"), T.leading_double(df.c).alias("d")).collect()}
+    assert got == FIELDS
+
+
+def test_blank_judgement_lines_stop_the_read(spark, tmp_path):
+    p = _write(tmp_path / "q.txt", "1 0 d1 1\n\n1 0 d2 1\n")
+    for read in (T.read_qrels, T.read_qrels_jg, T.read_qrels_as_prefs):
+        with pytest.raises(SparkRuntimeException, match="malformed"):
+            read(spark, p).count()
+        assert read(spark, p, strict=False).count() == 2
+    with pytest.raises(SparkRuntimeException, match="malformed prefs line"):
+        T.read_prefs(spark, _write(tmp_path / "p.txt", "1 a s d1 1\n \t\n")).count()
+    assert [(r.line_no, r.line, r.n_fields) for r in T.malformed_lines(spark, p, 4).collect()] == [(2, "", 0)]
+    assert T.malformed_lines(spark, p, 4, allow_blank=True).count() == 0
+
+
+def test_line_numbers_over_blocks_and_files(spark, tmp_path):
+    """A file read in many blocks, and several files packed into one task."""
+    lines = {f"f{k}": [f"1 0 d{i} 1" if i % 37 else "short line" for i in range(n)] for k, n in enumerate((3000, 5, 1, 700))}
+    for name, own in lines.items():
+        _write(tmp_path / f"{name}.txt", "\n".join(own) + "\n")
+    for size in ("2k", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            got = T.malformed_lines(spark, str(tmp_path), 4).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        want = sorted((name, i + 1) for name, own in lines.items() for i, x in enumerate(own) if x == "short line")
+        assert sorted((r.file.split("/")[-1][:-4], r.line_no) for r in got) == want
+
+
+def test_run_files_are_in_rank_order(spark, tmp_path):
+    import glob
+    rows = [(f"r{k % 2}", f"{q}", f"d{k}", float(-k), k) for q in range(3) for k in range(1, 200)]
+    runs = spark.createDataFrame(rows, "run_id string, qid string, docno string, score double, rank int").repartition(7)
+    write_run(runs, str(tmp_path / "out"), parts=6)
+    files = glob.glob(str(tmp_path / "out/run_id=*/part-*.txt"))
+    assert 2 <= len(files) <= 6 + 2
+    for run in ("r0", "r1"):
+        text = "".join(open(f).read() for f in sorted(glob.glob(str(tmp_path / f"out/run_id={run}/part-*.txt"))))
+        got = [x.split() for x in text.splitlines()]
+        want = sorted((r for r in rows if r[0] == run), key=lambda r: (r[1], r[4]))
+        assert [(x[0], x[2], int(x[3])) for x in got] == [(r[1], r[2], r[4]) for r in want]
