@@ -171,8 +171,9 @@ def _hot(classes: DataFrame, n: int) -> DataFrame:
 
 
 def _stars(classes: DataFrame, hot: DataFrame, least: int) -> DataFrame:
-    """(a, b, fits): in each bucket its smallest member and each other one, and
-    whether their sizes let them be ``least`` percent similar."""
+    """(a, b, fits, cool): in each bucket its smallest member and each other one,
+    whether their sizes let them be ``least`` percent similar, and whether they meet
+    in a bucket of a half key that is not hot."""
     halves = classes.select("rep", "n", "v", F.posexplode("u").alias("i", "half"))
     key, member = ["i", "half", "salt"], F.struct("rep", "n")
 
@@ -182,12 +183,14 @@ def _stars(classes: DataFrame, hot: DataFrame, least: int) -> DataFrame:
         return _bucket(rows.repartition(*key)).withColumn("hub", hub)
 
     first = with_hubs(halves.join(hot, ["i", "half"], "left")).where("rep <> hub.rep") \
-        .select(F.col("hub.rep").alias("a"), F.col("rep").alias("b"), _long_enough(F.col("hub.n"), F.col("n"), least).alias("fits"))
+        .select(F.col("hub.rep").alias("a"), F.col("rep").alias("b"), _long_enough(F.col("hub.n"), F.col("n"), least).alias("fits"),
+                F.col("parts").isNull().alias("cool"))
     hubs = with_hubs(halves.join(hot, ["i", "half"])).where("rep = hub.rep") \
         .withColumn("top", F.min(member).over(Window.partitionBy("i", "half", "j", "other")))
     above = hubs.where("rep <> top.rep") \
-        .select(F.col("top.rep").alias("a"), F.col("rep").alias("b"), _long_enough(F.col("top.n"), F.col("n"), least).alias("fits"))
-    return first.union(above).groupBy("a", "b").agg(F.max("fits").alias("fits"))
+        .select(F.col("top.rep").alias("a"), F.col("rep").alias("b"), _long_enough(F.col("top.n"), F.col("n"), least).alias("fits"),
+                F.lit(False).alias("cool"))
+    return first.union(above).groupBy("a", "b").agg(F.max("fits").alias("fits"), F.max("cool").alias("cool"))
 
 
 def _open_buckets(classes: DataFrame, hot: DataFrame, stars: DataFrame, families: DataFrame) -> DataFrame | None:
@@ -195,26 +198,37 @@ def _open_buckets(classes: DataFrame, hot: DataFrame, stars: DataFrame, families
     families; m members in all, and alike for buckets of the same members."""
     by_a = families.select(F.col("id").alias("a"), F.col("family").alias("fa"))
     by_b = families.select(F.col("id").alias("b"), F.col("family").alias("fb"))
-    hubs = stars.join(by_a, "a", "left").join(by_b, "b", "left") \
-        .where(F.coalesce("fa", "a") != F.coalesce("fb", "b")).select("a").distinct()
-    hubs = cut_lineage(hubs)
+    crossed = stars.join(by_a, "a", "left").join(by_b, "b", "left") \
+        .where(F.coalesce("fa", "a") != F.coalesce("fb", "b"))
+    hubs = cut_lineage(crossed.groupBy("a").agg(F.max("cool").alias("cool")))
     if hubs.isEmpty():
         return None
-    asked = stars.join(broadcast_if_small(hubs), "a", "left_semi").select(F.col("b").alias("rep")).union(hubs).distinct()
+    # buckets of hot half keys are all looked at below; of the others, those of the
+    # members of a star that crosses families in one of them
+    hubs = cut_lineage(hubs.where("cool").select("a"))
+    asked = stars.where("cool").join(broadcast_if_small(hubs), "a", "left_semi").select(F.col("b").alias("rep")).union(hubs).distinct()
     asked = broadcast_if_small(cut_lineage(asked.withColumn("asked", F.lit(True))))
     rows = classes.select("rep", "n", "u", "v").join(asked, "rep", "left") \
         .join(families.withColumnRenamed("id", "rep"), "rep", "left") \
-        .select("rep", "n", "v", "asked", F.coalesce("family", "rep").alias("family"), F.posexplode("u").alias("i", "half"))
+        .select("rep", "n", "u", "v", "asked", F.coalesce("family", "rep").alias("family"))
+    shown = ["rep", "n", "v", "family"]
+
+    def in_halves(wanted: DataFrame) -> DataFrame:
+        """The rows of hot half keys, of which there are HALVES * SPLIT at most."""
+        values = [r["half"] for r in wanted.select("half").distinct().collect()]
+        own = F.filter(F.transform("u", lambda h, i: F.struct(i.alias("i"), h.alias("half"))), lambda e: e["half"].isin(values))
+        return rows.select(*shown, F.explode(own).alias("e")).select(*shown, "e.i", "e.half").join(hot, ["i", "half"], "left_semi")
+
     key = ["i", "half", "j", "other"]
     bucket = F.concat_ws(":", *key).alias("bucket")
     seen = {"m": F.count(F.lit(1)), "low": F.min("family"), "high": F.max("family"),
             "alike": F.sum(F.xxhash64("rep").cast("decimal(20,0)"))}
     # a half key that is not hot holds a bounded number of classes
-    cool = _bucket(rows.where("asked").join(hot, ["i", "half"], "left_anti").repartition("i", "half"))
+    cool = rows.where("asked").select(*shown, F.posexplode("u").alias("i", "half"))
+    cool = _bucket(cool.join(hot, ["i", "half"], "left_anti").repartition("i", "half"))
     cool = cool.select("*", *[c.over(Window.partitionBy(*key)).alias(k) for k, c in seen.items()]).where("low <> high")
-    warm = _bucket(rows.join(hot, ["i", "half"], "left_semi"))
-    stats = cut_lineage(warm.groupBy(*key).agg(*[c.alias(k) for k, c in seen.items()]).where("low <> high"))
-    warm = warm.join(broadcast_if_small(stats), key)
+    stats = cut_lineage(_bucket(in_halves(hot)).groupBy(*key).agg(*[c.alias(k) for k, c in seen.items()]).where("low <> high"))
+    warm = _bucket(in_halves(stats)).join(broadcast_if_small(stats), key)
     shape = [bucket, "m", "alike", "rep", "n", "family"]
     return cut_lineage(cool.select(*shape).union(warm.select(*shape)))
 
