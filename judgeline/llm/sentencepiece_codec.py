@@ -43,9 +43,10 @@ ship(__name__)
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 7
-REMEMBERED = 400_000      # segmentations that a task remembers
+REMEMBERED = 60_000       # segmentations that a task remembers
 SHORT = 24                # characters of a part that is merged with others
-TOGETHER = 1_000_000      # characters of texts encoded together
+TOGETHER = 150_000        # characters of texts encoded together
+PARTS = 30_000            # parts of these texts that are drawn together
 MARK = "▁"                # stands for a blank in pieces
 NONE = np.int32(2**31 - 1)
 _PLACE = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xBF58476D1CE4E5B9))
@@ -335,8 +336,6 @@ class Encoder:
         return out + self._encode_some(texts[start:], keys[start:])
 
     def _encode_some(self, texts: list[str | None], keys: np.ndarray) -> list[list[int] | None]:
-        if len(self.node) > REMEMBERED:
-            self._forget()
         every: list[str | None] = []        # parts of all texts; None: a blank mark in the text itself
         ends = []
         for text in texts:
@@ -345,20 +344,33 @@ class Encoder:
                     every.append(None)
                 every += self.parts((x if k else " " + x).replace(" ", MARK))
             ends.append(len(every))
+        sizes = np.diff([0, *ends])
+        place = _spread(np.zeros(len(sizes), np.int64), sizes)[1]
+        drawn = self._keys(np.repeat(keys, sizes), place) if self.limit else None
+        ids, counts = [], []
+        for at in range(0, len(every), PARTS):      # a draw does not depend on what is drawn with it
+            found, number = self._encode_parts(every[at:at + PARTS], None if drawn is None else drawn[at:at + PARTS])
+            ids.append(found)
+            counts.append(number)
+        ids = np.concatenate(ids).tolist() if ids else []
+        stops = np.concatenate(([0], np.cumsum(np.concatenate(counts) if counts else [])))[[0, *ends]].astype(int).tolist()
+        return [None if text is None else ids[a:b] for text, a, b in zip(texts, stops, stops[1:])]
+
+    def _encode_parts(self, every: list[str | None], drawn: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts one after the other, and how many each has.  What is remembered
+        is forgotten when it is too much, also inside a text."""
+        if len(self.node) > REMEMBERED:
+            self._forget()
         new = [p for p in dict.fromkeys(every) if p not in self.roots]
         if new:
             self.roots.update(zip(new, range(len(self.node), len(self.node) + len(new))))
             own = [(p,) for p in new]
             self._remember(own, [0] * len(own), self._segment_all(own))
         node = np.fromiter(map(self.roots.__getitem__, every), np.int64, len(every))
-        sizes = np.diff([0, *ends])
-        if self.limit:
-            place = _spread(np.zeros(len(sizes), np.int64), sizes)[1]
-            self._draw(node, self._keys(np.repeat(keys, sizes), place))
+        if drawn is not None:
+            self._draw(node, drawn)
         counts = self.id_count[node]
-        ids = self.ids[_spread(self.id_first[node], counts)[1]].tolist()
-        stops = np.concatenate(([0], np.cumsum(counts)))[[0, *ends]].tolist()
-        return [None if text is None else ids[a:b] for text, a, b in zip(texts, stops, stops[1:])]
+        return self.ids[_spread(self.id_first[node], counts)[1]], counts
 
     def _draw(self, node: np.ndarray, keys: np.ndarray) -> None:
         """Moves occurrences on, in place, until they skip no more merges."""
