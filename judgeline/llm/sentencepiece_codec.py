@@ -33,6 +33,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 
@@ -401,6 +402,17 @@ def _rows(docs: DataFrame) -> DataFrame:
                        hash_key(docs["doc_id"], "dropout").alias("key"))
 
 
+def _slices(batches, column: str = "text"):
+    """The batches in slices of about ``TOGETHER`` bytes of a column, so that a task
+    holds the ids of a slice as Python numbers, not of a whole batch."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        group = np.cumsum(sizes, dtype=np.int64) // TOGETHER
+        starts = np.flatnonzero(np.diff(group, prepend=-1)).tolist()
+        for a, b in zip(starts, [*starts[1:], batch.num_rows]):
+            yield batch.slice(a, b - a)
+
+
 def _encoded(batch: pa.RecordBatch, encoder: Encoder):
     """Texts and ids of a batch."""
     texts = batch.column("text").to_pylist()
@@ -415,7 +427,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, dropout: float
 
     def run(batches):
         encoder = Encoder(v, dropout, seed)
-        for batch in batches:
+        for batch in _slices(batches):
             _, ids = _encoded(batch, encoder)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
@@ -447,7 +459,7 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary | None = None, dropout: f
 
     def run(batches):
         encoder = Encoder(v, dropout, seed)
-        for batch in batches:
+        for batch in _slices(batches):
             texts, ids = _encoded(batch, encoder)
             sums = [None if x is None else zlib.crc32(np.array(x, "<i4").tobytes()) for x in ids]
             same = [None if x is None else encoder.decode(x) == t for x, t in zip(ids, texts)]
