@@ -16,6 +16,8 @@ from judgeline.session import cut_lineage, ensure_checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 KEY_BITS = 60
 ROWS_PER_BUCKET = 2_000
+CROWDED = 4               # a range of so many times its rows is cut again
+COPIES = 1_000            # of a row that are kept as one row of prefix sums
 
 
 def ship(name: str) -> None:
@@ -77,32 +79,71 @@ def broadcast_if_small(df: DataFrame, limit_mb: float = 16) -> DataFrame:
     return F.broadcast(df) if size <= limit_mb * 2**20 else df
 
 
+def counted(df: DataFrame, most: int | None = COPIES) -> DataFrame:
+    """The different rows of ``df``, with ``copies``, how often each occurs, and
+    ``part``: with ``most``, a row of more copies than that becomes several parts,
+    so that no later step holds all copies of a row at once."""
+    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
+    if most is None:
+        return rows.withColumn("part", F.lit(0).cast("long"))
+    last = F.floor((F.col("copies") - 1) / most).cast("long")
+    rows = rows.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    return rows.withColumn("copies", F.least(F.lit(most).cast("long"), F.col("copies") - F.col("part") * most))
+
+
+def each_copy(rows: DataFrame) -> DataFrame:
+    """The rows of ``counted`` as often as they occur, numbered from 0 in ``copy``."""
+    return rows.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+
+
+def spread(*columns: str | Column) -> Column:
+    """Uniform key of 60 bits (long) of some columns; faster than ``hash_key``."""
+    return F.shiftrightunsigned(F.xxhash64(*columns), 64 - KEY_BITS)
+
+
+def _range(key: str | Column, parts: Column) -> Column:
+    """Which of ``parts`` equal ranges a 60-bit key falls in: its upper 30 bits pick
+    the range, so nothing overflows up to 2**33 ranges."""
+    return F.shiftright(F.shiftright(key, KEY_BITS - 30) * parts, 30)
+
+
 def prefix_sums(df: DataFrame, groups: list[str], key: str, order: list[str],
                 value: Column, out: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Add ``out``: the sum of ``value`` over the rows before this one, within
-    ``groups``, in the order of (``key``, ``order``).
+    ``groups``, in the order of (``key``, ``spread`` of ``order``, ``order``).
 
     ``key`` is a uniform hash key, so equal ranges of it hold about equal
     numbers of rows: a group is cut into ranges of about ``rows_per_bucket``
     rows, each range is sorted and summed by itself, and the ranges' totals are
-    summed in turn.  A group of any size is spread over many tasks.  ``df``
-    should be materialised: it is read three times.  Null group values form a
-    group of their own.
+    summed in turn.  A group of any size is spread over many tasks.  Ranges that
+    hold far more rows, as very many rows share a key, are cut again: by key, and
+    each key by ranges of the second hash.  That spreads rows which differ in
+    ``order``; ``counted`` makes them differ.  ``df`` should be materialised: it is
+    read three times.  Null group values form a group of their own.
     """
-    made = ["_g", "_b", "_n", "_v", "_start", "_nb"]
+    made = ["_g", "_v", "_nb", "_b", "_hash", "_k", "_s", "_parts", "_start"]
     keyed = df.withColumn("_g", F.to_json(F.struct(*groups), {"ignoreNullFields": "false"})) \
-        .withColumn("_v", value)
+        .withColumn("_v", value).withColumn("_hash", spread(*order))
     ranges = keyed.groupBy("_g").agg(
         F.ceil(F.count("*") / F.lit(rows_per_bucket)).cast("long").alias("_nb"))
-    keyed = keyed.join(broadcast_if_small(cut_lineage(ranges)), "_g")
-    # key < 2**60 and its upper 30 bits pick the range: no overflow up to 2**33 ranges
-    keyed = keyed.withColumn("_b", F.shiftright(F.shiftright(F.col(key), KEY_BITS - 30) * F.col("_nb"), 30))
-    totals = keyed.groupBy("_g", "_b").agg(F.sum("_v").alias("_n"))
-    before = Window.partitionBy("_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select("_g", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    within = Window.partitionBy("_g", "_b").orderBy(key, *order) \
+    keyed = keyed.join(broadcast_if_small(cut_lineage(ranges)), "_g").withColumn("_b", _range(key, F.col("_nb")))
+    place = ["_b"]
+    totals = cut_lineage(keyed.groupBy("_g", "_b").agg(F.sum("_v").alias("_n"), F.count("*").alias("_rows")))
+    crowded = totals.where(F.col("_rows") > CROWDED * rows_per_bucket).select("_g", "_b")
+    if not crowded.isEmpty():
+        place = ["_b", "_k", "_s"]
+        shares = keyed.join(broadcast_if_small(crowded), ["_g", "_b"], "left_semi").groupBy("_g", "_b", F.col(key).alias("_k")) \
+            .agg(F.ceil(F.count("*") / F.lit(rows_per_bucket)).cast("long").alias("_parts"))
+        shares = broadcast_if_small(cut_lineage(shares))
+        keyed = keyed.withColumn("_key", F.col(key)).join(shares.withColumnRenamed("_k", "_key"), ["_g", "_b", "_key"], "left") \
+            .withColumn("_k", F.when(F.col("_parts").isNotNull(), F.col("_key")).otherwise(0)) \
+            .withColumn("_s", F.coalesce(_range("_hash", F.col("_parts")), F.lit(0))).drop("_key")
+        totals = keyed.groupBy("_g", *place).agg(F.sum("_v").alias("_n"))
+    before = Window.partitionBy("_g").orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select("_g", *place, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    within = Window.partitionBy("_g", *place).orderBy(key, "_hash", *order) \
         .rowsBetween(Window.unboundedPreceding, -1)
-    return (keyed.join(broadcast_if_small(cut_lineage(starts)), ["_g", "_b"])
+    return (keyed.join(broadcast_if_small(cut_lineage(starts)), ["_g", *place])
             .withColumn(out, F.col("_start") + F.coalesce(F.sum("_v").over(within), F.lit(0)))
             .drop(*made))
 

@@ -7,16 +7,18 @@ budget, going round the source again (epochs) when the budget exceeds it.
 
 Defined cases: a null text has size 0; a null source is a source of its own, in
 the last place; a null doc_id is hashed as the word null; repeated rows are
-documents of their own; an empty table gives an empty result.  Columns of the
-input other than doc_id, text and source are not read, whatever their names.
+documents of their own, however many there are; an empty table gives an empty
+result.  Other columns of the input than doc_id, text and source, whatever their
+names, are not read by ``mix_words`` and pass through ``mix_documents``.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from judgeline.llm.common import broadcast_if_small, hash_key, n_words, prefix_sums
+from judgeline.llm.common import (
+    COPIES, broadcast_if_small, counted, each_copy, hash_key, n_words, prefix_sums, spread)
 from judgeline.session import cut_lineage
 
 WEIGHTS = (5, 2, 1)       # by the sources' places, repeating
@@ -54,14 +56,12 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
                     .otherwise(F.col("rest") * F.col("w") / F.col("rest_w")).alias("target"))
 
 
-def _placed(docs: DataFrame, seed: str, **targets) -> DataFrame:
-    """Narrow rows: doc_id, src, size, key, source_size, target, words before the
-    document in its source, whole epochs and the words left for the last one."""
-    rows = cut_lineage(docs.select(
-        "doc_id", F.col("source").alias("src"), n_words(F.col("text")).alias("size"),
-        hash_key(F.col("doc_id"), seed).alias("key")))
-    per_source = broadcast_if_small(cut_lineage(source_targets(rows, **targets)))
-    rows = prefix_sums(rows, ["src"], "key", ["doc_id", "size"], F.col("size"), "before")
+def _placed(rows: DataFrame, order: list[str], **targets) -> DataFrame:
+    """``rows`` (src, size, key, copies and more) with source_size, target, the words
+    before the row in its source, whole epochs and the words left for the last one."""
+    words = F.col("size") * F.col("copies")
+    per_source = broadcast_if_small(cut_lineage(source_targets(rows.select("src", words.alias("size")), **targets)))
+    rows = prefix_sums(rows, ["src"], "key", order, words, "before")
     rows = rows.withColumnRenamed("src", "_src").join(
         per_source, F.col("_src").eqNullSafe(F.col("src"))).drop("_src")
     words = F.floor(F.col("target") + 0.5).cast("long")
@@ -73,28 +73,57 @@ def _placed(docs: DataFrame, seed: str, **targets) -> DataFrame:
 def mix_words(docs: DataFrame, seed: str = SEED, **targets) -> DataFrame:
     """doc_id, size, source_size, target, taken: the words the mix takes of each
     document, repeats counted.  Each source's taken words are its target,
-    rounded: the document at the cut is taken in part."""
-    cut = F.greatest(F.lit(0), F.least(F.col("size"), F.col("left") - F.col("before")))
-    return _placed(docs, seed, **targets).select(
-        "doc_id", "size", "source_size", "target",
-        (F.col("epochs") * F.col("size") + cut).cast("long").alias("taken"))
+    rounded: the document at the cut is taken in part.  Rows that share doc_id,
+    source and size are counted first and told apart again at the end."""
+    rows = counted(docs.select("doc_id", F.col("source").alias("src"), n_words(F.col("text")).alias("size")))
+    rows = cut_lineage(rows.withColumn("key", hash_key(F.col("doc_id"), seed)))
+    rows = each_copy(_placed(rows, ["doc_id", "size", "part"], **targets))
+    cut = F.greatest(F.lit(0), F.least(F.col("size"), F.col("left") - F.col("before") - F.col("copy") * F.col("size")))
+    return rows.select("doc_id", "size", "source_size", "target",
+                       (F.col("epochs") * F.col("size") + cut).cast("long").alias("taken"))
+
+
+def _row_hash(docs: DataFrame) -> Column:
+    """64 bits of all columns of a row; maps, which have no order, as JSON."""
+    return F.xxhash64(*[F.to_json(F.struct(docs[c].alias("c"))) if "map<" in kind else docs[c] for c, kind in docs.dtypes])
 
 
 def mix_documents(docs: DataFrame, seed: str = SEED, **targets) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as the mix takes it.
 
     Documents stay whole: the one at a source's cut is in if at least half of
-    it fits, so a source is off its target by half a document at most.  The cut
-    is a key per source, so the texts are filtered in place and not shuffled.
+    it fits, so a source is off its target by half a document at most, also where
+    rows share a doc_id, have none or are equal in all columns.  The cut is a
+    place per source in the order of (key, hash of the row, doc_id), so the texts
+    are filtered in place and not shuffled.  Where the cut falls among equal rows,
+    as many as fit are made from one of them.
     """
-    fits = F.col("before") * 2 + F.col("size") <= F.col("left") * 2
-    place = F.struct("key", F.col("doc_id").alias("id"))
-    cuts = _placed(docs, seed, **targets).groupBy("src").agg(
-        F.max("epochs").alias("epochs"), F.max(F.when(fits, place)).alias("cut"))
-    cuts = broadcast_if_small(cut_lineage(cuts))
-    key = F.struct(hash_key(docs["doc_id"], seed).alias("key"), docs["doc_id"].alias("id"))
-    copies = cuts["epochs"] + F.coalesce((key <= cuts["cut"]).cast("long"), F.lit(0))
-    times = F.sequence(F.lit(1), copies.cast("int"))
-    return docs.join(cuts, docs["source"].eqNullSafe(cuts["src"])).where(copies > 0) \
-        .select(*[docs[c] for c in docs.columns], F.explode(times).alias("jl_mix_copy")) \
-        .drop("jl_mix_copy")
+    names = ["key", "spread", "own", "id"]
+    order = ["own", "doc_id"]
+    rows = counted(docs.select(docs["doc_id"].alias("doc_id"), docs["source"].alias("src"), n_words(docs["text"]).alias("size"),
+                               _row_hash(docs).alias("own")), most=None)
+    rows = _placed(cut_lineage(rows.withColumn("key", hash_key(F.col("doc_id"), seed))), order, **targets)
+    fits = F.expr("""if(size = 0, if(before <= left, copies, 0L),
+        least(copies, greatest(0L, (2 * (left - before) + size) div (2 * size))))""")
+    place = F.struct("key", spread(*order).alias("spread"), "own", F.col("doc_id").alias("id"), fits.alias("fits"), "copies")
+    cuts = rows.groupBy("src").agg(F.max("epochs").alias("epochs"), F.max(F.when(fits > 0, place)).alias("cut"))
+    cuts = cut_lineage(cuts.select("src", "epochs", "cut", (F.col("cut.fits") < F.col("cut.copies")).alias("among_equals")))
+    among_equals = not cuts.where("among_equals").isEmpty()
+    cuts = broadcast_if_small(cuts)
+    own = _row_hash(docs)
+    here = F.struct(hash_key(docs["doc_id"], seed).alias("key"), spread(own, docs["doc_id"]).alias("spread"),
+                    own.alias("own"), docs["doc_id"].alias("id"))
+    cut = F.struct(*[cuts["cut"][n].alias(n) for n in names])
+    joined = docs.join(cuts, docs["source"].eqNullSafe(cuts["src"]))
+    inside = (here < cut) | ((here == cut) & ~cuts["among_equals"])
+    copies = cuts["epochs"] + F.when(cuts["cut"].isNotNull() & inside, 1).otherwise(0)
+    row = F.struct(*[docs[c].alias(c) for c in docs.columns])
+    mixed = joined.where(copies > 0).select(row.alias("row"), F.explode(F.sequence(F.lit(1), copies.cast("int"))).alias("copy"))
+    if among_equals:
+        equal = joined.where(cuts["among_equals"] & (here == cut)).groupBy(cuts["src"]) \
+            .agg(F.first(row).alias("row"), F.first(cuts["cut"]["fits"]).alias("copies"))
+        parts = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / COPIES).cast("long")))
+        equal = equal.select("row", "copies", parts.alias("part")).repartition("part") \
+            .withColumn("copies", F.least(F.lit(COPIES).cast("long"), F.col("copies") - F.col("part") * COPIES))
+        mixed = mixed.select("row").union(each_copy(equal).select("row"))
+    return mixed.select("row.*")

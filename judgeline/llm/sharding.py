@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from judgeline.llm.common import hash_key, prefix_sums
+from judgeline.llm.common import counted, each_copy, hash_key, prefix_sums
 from judgeline.session import cut_lineage
 
 SHARDS = 16
@@ -50,16 +50,15 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, seed: str = SEED) ->
     each shard, in key order), grown_shard (with one more shard).
 
     Slots come from distributed counts: a shard is cut into key ranges, so no
-    task holds a whole shard.
+    task holds a whole shard, nor all rows of a doc_id that very many share.
     """
-    rows = docs.select(
+    rows = counted(docs.select(
         "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
-        F.coalesce(F.crc32("text"), F.lit(0)).cast("long").alias("text_crc32"),
-        stable_key(F.col("doc_id"), seed).alias("key64"),
-        hash_key(F.col("doc_id"), seed).alias("key"))
+        F.coalesce(F.crc32("text"), F.lit(0)).cast("long").alias("text_crc32")))
+    rows = rows.withColumn("key64", stable_key(F.col("doc_id"), seed)).withColumn("key", hash_key(F.col("doc_id"), seed))
     rows = rows.withColumn("shard", jump_hash("key64", shards)) \
         .withColumn("grown_shard", jump_hash("key64", shards + 1)).drop("key64")
-    slots = prefix_sums(cut_lineage(rows), ["shard"], "key", ["doc_id", "text_crc32", "size"],
-                        F.lit(1).cast("long"), "slot")
+    slots = each_copy(prefix_sums(cut_lineage(rows), ["shard"], "key", ["doc_id", "text_crc32", "size", "part"],
+                                  F.col("copies"), "before"))
     return slots.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard",
-                        F.col("slot").cast("long").alias("slot"), "grown_shard")
+                        (F.col("before") + F.col("copy")).cast("long").alias("slot"), "grown_shard")

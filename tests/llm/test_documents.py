@@ -95,6 +95,44 @@ def test_mixing(docs, empty):
     assert mixing.mix_words(empty).count() == 0 and mixing.mix_documents(empty).count() == 0
 
 
+@pytest.mark.parametrize("equal", [False, True])
+def test_mix_without_ids(spark, equal):
+    """A source of rows without doc_id, all different or all equal, and rows of one
+    doc_id: off the target by half a document at most, as in the words' mix."""
+    own = [(None, f"{LINE}{'' if equal else k}", "hot", k % 2) for k in range(800)]
+    own += [(7, f"{OTHER} {k % 5}", "one", 0) for k in range(600)] + [(1000 + k, LINE * (k % 9), "rest", 0) for k in range(300)]
+    table = spark.createDataFrame(own, "doc_id long, text string, source string, `before` int").repartition(5)
+    words = Counter()
+    mixed = mixing.mix_documents(table).collect()
+    for r in mixed:
+        words[r.source] += len(words_of(r.text))
+    targets = {r.source: r.target for r in table.select("doc_id", "source").distinct()
+               .join(mixing.mix_words(table), "doc_id").select("source", "target").distinct().collect()}
+    nulls = mixing.mix_words(table).where("doc_id is null").collect()
+    targets["hot"] = nulls[0].target
+    assert sum(r.taken for r in nulls) == math.floor(nulls[0].target + 0.5)
+    for source in ("hot", "one", "rest"):
+        longest = max(len(words_of(r[1])) for r in own if r[2] == source)
+        assert abs(words[source] - targets[source]) <= longest / 2 + 1
+    assert sorted(map(str, mixed)) == sorted(map(str, mixing.mix_documents(table.repartition(9)).collect()))
+
+
+def test_prefix_sums_of_a_hot_key(spark):
+    """Rows of one key, equal ones too, are summed over many ranges, in one order."""
+    from pyspark.sql import functions as F
+    from judgeline.llm.common import counted, each_copy, hash_key, prefix_sums
+    own = [(None, k % 50) for k in range(3000)] + [(None, 7)] * 5000 + [(k, 3) for k in range(2000)]
+    rows = counted(spark.createDataFrame(own, "id long, size long"), most=10).withColumn("key", hash_key(F.col("id"), "x"))
+    rows = rows.withColumn("g", F.lit(None).cast("string")).cache()
+    got = each_copy(prefix_sums(rows, ["g"], "key", ["id", "size", "part"], F.col("size") * F.col("copies"), "before", 20)).collect()
+    assert Counter((r.id, r["size"]) for r in got) == Counter(own)
+    now = 0
+    for before, size in sorted((r.before + r.copy * r["size"], r["size"]) for r in got):
+        assert before == now
+        now += size
+    assert set(got[0].asDict()) == {"id", "size", "copies", "part", "key", "g", "before", "copy"}
+
+
 def jump(key, n):
     b, j = -1, 0
     while j < n:
@@ -113,6 +151,12 @@ def test_sharding(docs, empty, spark):
         slots.setdefault(r.shard, []).append(r.slot)
         assert r.law == "key" and 0 <= r.shard < 16 and r.grown_shard in (r.shard, 16)
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    same = spark.createDataFrame([(None, "a")] * 3000 + [(5, str(k)) for k in range(3000)], "doc_id long, text string")
+    found = sharding.shard_documents(same).collect()
+    assert len(found) == 6000
+    for s in {r.shard for r in found}:
+        own = sorted(r.slot for r in found if r.shard == s)
+        assert own == list(range(len(own)))
     shard_of = {}
     for r in got:
         assert shard_of.setdefault(r.doc_id, r.shard) == r.shard
