@@ -7,21 +7,28 @@ on until nothing passes wrongly.  The universe is complete: every key that any
 url of the corpus can ask for, so no answer can be wrong.  The filters' bits
 travel as constants, and urls are judged in one projection, without joins.
 
+Level 0 is sized by the ratio of listed to unlisted keys, so that about as many
+unlisted keys pass it as there are listed ones, however large the universe is; the
+later levels are then as small as the list.  Of a host only the parent domains with
+as many labels as some listed host has are asked for, so a host of very many labels
+costs no more than another.
+
 Defined cases: a null url, or one without "://", has an empty host and path, no
 rule and the verdict allow; repeated rows are judged one by one; an empty table
 gives an empty result.  Other columns than page_id and url are not read.
 """
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from judgeline.llm.common import constant, lower_ascii
 from judgeline.session import cut_lineage
 
-BITS_PER_KEY = 10
-HASHES = 7
-MAX_FILTER_MB = 8        # a level beyond this size is answered by a join instead
+LATER_RATE = 1 / 4       # of keys that wrongly pass a level after the first
+MAX_FILTER_MB = 8        # a list whose first level exceeds this is answered by joins instead
 
 #: Fixed values: (host, path, verdict).
 RULES = (
@@ -47,22 +54,34 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.coalesce(lower_ascii(host), F.lit("")), F.coalesce(path, F.lit(""))
 
 
-def host_suffixes(host: Column) -> Column:
-    """The host and its parent domains, as an array; none for an empty host."""
-    parts = F.split(host, r"\.")
-    tails = F.transform(F.sequence(F.lit(1), F.size(parts)),
-                        lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
-    return F.when(host == "", F.expr("cast(array() as array<string>)")).otherwise(tails)
+def n_labels(host: Column) -> Column:
+    return F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
+
+
+def host_suffixes(host: Column, labels: list[int]) -> Column:
+    """The host and its parent domains of so many labels, as an array; none for an
+    empty host.  ``labels`` are the numbers of labels that listed hosts have."""
+    if not labels:
+        return F.expr("cast(array() as array<string>)")
+    known = F.filter(F.array(*[F.lit(n) for n in labels]), lambda n: (n <= n_labels(host)) & (host != ""))
+    return F.transform(known, lambda n: F.call_function("substring_index", host, F.lit("."), -n))
 
 
-def rule_keys(host: Column, path: Column, lengths: list[int]) -> Column:
+def rule_keys(host: Column, path: Column, labels: list[int], lengths: list[int]) -> Column:
     """Every host-and-path key by which a rule could name this url; ``lengths``
     are the lengths that the rules' paths have."""
+    if not lengths:
+        return F.expr("cast(array() as array<string>)")
     heads = F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= F.length(path))
-    return F.flatten(F.transform(host_suffixes(host), lambda s: F.transform(
+    return F.flatten(F.transform(host_suffixes(host, labels), lambda s: F.transform(
         heads, lambda n: F.concat(s, F.substring(path, F.lit(1), n)))))
 
 
+def _different(values: DataFrame) -> list[int]:
+    """The different numbers of a column, ascending, without null."""
+    return sorted(r[0] for r in values.distinct().collect() if r[0] is not None)
+
+
 def _bit(key: Column, level: int, i: int, bits: int) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(level), F.lit(i)), F.lit(bits))
 
@@ -80,19 +99,27 @@ class Cascade:
             n = own.count()
             if n == 0:
                 break
-            bits = max(64, -(-n * BITS_PER_KEY // 64) * 64)
+            rate = LATER_RATE if level else self.first_rate(n, outside.count())
+            hashes = max(1, round(-math.log2(rate)))
+            bits = max(64, math.ceil(n * hashes / math.log(2) / 64) * 64)
             if bits > max_mb * 8 * 2**20:
                 self.exact = False  # too large to send to every task
                 break
-            self.levels.append((self._filter(own, level, bits), bits))
+            self.levels.append((self._filter(own, level, bits, hashes), bits, hashes))
             own, other = cut_lineage(other.where(self._passes(F.col("key"), level))), own
             level += 1
 
     @staticmethod
-    def _filter(keys: DataFrame, level: int, bits: int) -> Column:
+    def first_rate(listed: int, unlisted: int) -> float:
+        """Share of the unlisted keys that may pass level 0: with it, some 0.7 times as
+        many unlisted keys pass as there are listed ones."""
+        return min(LATER_RATE, math.sqrt(1 / 2) * listed / max(1, unlisted))
+
+    @staticmethod
+    def _filter(keys: DataFrame, level: int, bits: int, hashes: int) -> Column:
         """The filter's words as a constant array<long>; ``bits`` bounds what
         comes to the driver."""
-        at = F.explode(F.array(*[_bit(F.col("key"), level, i, bits) for i in range(HASHES)]))
+        at = F.explode(F.array(*[_bit(F.col("key"), level, i, bits) for i in range(hashes)]))
         words = keys.select(at.alias("at")).groupBy((F.col("at") / 64).cast("long").alias("word")) \
             .agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("set"))
         out = [0] * (bits // 64)
@@ -101,9 +128,9 @@ class Cascade:
         return constant(out, "array<bigint>")
 
     def _passes(self, key: Column, level: int) -> Column:
-        words, bits = self.levels[level]
+        words, bits, hashes = self.levels[level]
         tests = [F.getbit(F.element_at(words, (F.floor(b / 64) + 1).cast("int")), (b % 64).cast("int")) == 1
-                 for b in (_bit(key, level, i, bits) for i in range(HASHES))]
+                 for b in (_bit(key, level, i, bits) for i in range(hashes))]
         out = tests[0]
         for t in tests[1:]:
             out = out & t
@@ -128,21 +155,24 @@ def judge_urls(pages: DataFrame, rules: DataFrame, unwanted: DataFrame,
     """
     host, path = host_and_path(pages["url"])
     urls = pages.select(pages["page_id"].alias("page_id"), host.alias("host"), path.alias("path"))
-    # the lengths of urls bound how many different lengths of paths can fit
-    lengths = sorted(r[0] for r in rules.select(F.length("path")).distinct().collect())
+    # the lengths of urls bound how many different lengths and numbers of labels can fit
+    lengths = _different(rules.select(F.length("path")))
+    labels = _different(rules.select(n_labels(F.col("host"))))
+    listed_labels = _different(unwanted.select(n_labels(F.col("host"))))
     rules = rules.select(F.concat(lower_ascii(F.col("host")), "path").alias("key"), "verdict")
     allow, block = rules.where("verdict = 'allow'"), rules.where("verdict = 'block'")
     unwanted = unwanted.select(lower_ascii(F.col("host")).alias("key"))
-    keys = rule_keys(F.col("host"), F.col("path"), lengths)
+    keys = rule_keys(F.col("host"), F.col("path"), labels, lengths)
+    parents = host_suffixes(F.col("host"), listed_labels)
     asked = urls.select("host", "path").distinct()
     universe = cut_lineage(asked.select(F.explode(keys).alias("key")).distinct())
-    hosts = asked.select("host").distinct().select(F.explode(host_suffixes(F.col("host"))).alias("key"))
+    hosts = asked.select("host").distinct().select(F.explode(parents).alias("key"))
     sets = [Cascade(allow, universe, max_mb), Cascade(block, universe, max_mb), Cascade(unwanted, hosts, max_mb)]
     if not all(s.exact for s in sets):
-        return _by_joins(urls, keys, rules, unwanted)
+        return _by_joins(urls, keys, parents, rules, unwanted)
     urls = urls.withColumn("keys", F.transform(keys, lambda k: F.struct(F.length(k).alias("n"), k.alias("k"))))
     longest = lambda s: F.array_max(F.filter("keys", lambda k: s.has(k["k"])))
-    listed = F.exists(host_suffixes(F.col("host")), sets[2].has)
+    listed = F.exists(parents, sets[2].has)
     d = urls.select("page_id", "host", "path", longest(sets[0]).alias("allow"),
                     longest(sets[1]).alias("block"), listed.alias("listed"))
     best = F.greatest("allow", "block")
@@ -151,12 +181,12 @@ def judge_urls(pages: DataFrame, rules: DataFrame, unwanted: DataFrame,
                     .when(best == F.col("allow"), "allow").otherwise("block").alias("verdict"))
 
 
-def _by_joins(urls: DataFrame, keys: Column, rules: DataFrame, unwanted: DataFrame) -> DataFrame:
+def _by_joins(urls: DataFrame, keys: Column, parents: Column, rules: DataFrame, unwanted: DataFrame) -> DataFrame:
     """The same verdicts by shuffle joins, for lists too large for filters."""
     asked = urls.select("host", "path").distinct()
     ruled = asked.select("host", "path", F.explode(keys).alias("key")).join(rules, "key") \
         .groupBy("host", "path").agg(F.max(F.struct(F.length("key"), "key", "verdict")).alias("best"))
-    listed = asked.select("host").distinct().select("host", F.explode(host_suffixes(F.col("host"))).alias("key")) \
+    listed = asked.select("host").distinct().select("host", F.explode(parents).alias("key")) \
         .join(unwanted.distinct(), "key", "left_semi").select("host").distinct().withColumn("listed", F.lit(True))
     return urls.join(ruled, ["host", "path"], "left").join(listed, "host", "left").select(
         "page_id", "host", "path", F.col("best.key").alias("rule"),

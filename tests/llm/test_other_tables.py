@@ -55,6 +55,33 @@ def test_cascade(spark):
     assert wrong.count() == 0
 
 
+def test_first_level_follows_the_universe(spark):
+    """A larger universe makes level 0 finer, and not the later levels larger."""
+    sizes, listed = [], [f"k{7 * i}" for i in range(20)]
+    for n in (20_000, 320_000):
+        universe = spark.range(n).selectExpr("concat('k', id) as key")
+        cascade = url_filter.Cascade(universe.where(universe["key"].isin(listed)), universe)
+        sizes.append([bits for _, bits, _ in cascade.levels[1:]])
+        assert sorted(r.key for r in universe.where(cascade.has(universe["key"])).collect()) == sorted(listed)
+    assert all(bits <= 512 for s in sizes for bits in s)
+
+
+def test_hosts_of_many_labels(spark):
+    """A host of 20,000 labels is judged like another."""
+    long = "http://" + "a." * 20_000
+    pages = spark.createDataFrame([(k, long + end) for k, end in enumerate(("x.net/es/", "spam-farm.example.org/", "x.org", "com/"))],
+                                  "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in
+           url_filter.judge_urls(pages, url_filter.fixed_rules(spark), url_filter.fixed_unwanted(spark)).collect()}
+    assert got == {0: ("net/es/", "block"), 1: (None, "block"), 2: (None, "allow"), 3: ("com/", "allow")}
+
+
+def test_no_rules(spark):
+    pages = spark.createDataFrame([(1, "http://a.com/en/")], "page_id long, url string")
+    got = url_filter.judge_urls(pages, url_filter.fixed_rules(spark).where("false"), url_filter.fixed_unwanted(spark).where("false")).first()
+    assert (got.rule, got.verdict) == (None, "allow")
+
+
 def components_of(vectors, threshold=0.98):
     ids = sorted(vectors)
     links = {i: set() for i in ids}
