@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from judgeline.llm.common import crc_mod, hash_key, ship
+from judgeline.llm.common import KEY_BITS, broadcast_if_small, crc_mod, hash_key, ship
 from judgeline.session import cut_lineage
 
 ship(__name__)
@@ -40,6 +40,7 @@ ship(__name__)
 PER_LANGUAGE = 400        # documents of a language that the classifier is fitted on
 LANDMARKS = 48            # of these, the first so many span the features
 ALL_LANDMARKS = 384       # of all languages together
+SPARE = 3                 # times as many are expected under the bound on their keys
 MAX_SAMPLE = 4_000        # blocks in all, however many languages there are
 BLOCK = 4096              # characters of a block
 RIDGE = 1e-3
@@ -139,7 +140,12 @@ def _sample(docs: DataFrame, per_language: int) -> list[tuple[str, np.ndarray]]:
                          F.xxhash64(learn["text"]).alias("hash"))
     # copies of a document count once, however often it is repeated
     same = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("hash"))
-    narrow = learn.select("doc_id", "lang", "hash").distinct().withColumn("key", hash_key(same, "language"))
+    narrow = cut_lineage(learn.select("doc_id", "lang", "hash", hash_key(same, "language").alias("key")))
+    # the smallest keys of a language lie under a bound that its number of documents
+    # gives: only some SPARE times as many as wanted are dealt by language and ranked
+    bound = F.lit(float(1 << KEY_BITS)) * (SPARE * per_language) / F.approx_count_distinct("key")
+    bounds = cut_lineage(narrow.groupBy("lang").agg(bound.alias("bound")))
+    narrow = narrow.join(broadcast_if_small(bounds), "lang").where("key <= bound").drop("bound").distinct()
     place = F.row_number().over(Window.partitionBy("lang").orderBy("key", "doc_id", "hash"))
     narrow = narrow.withColumn("place", place).where(F.col("place") <= per_language)
     chosen = cut_lineage(narrow.orderBy("place", "lang", "key").limit(MAX_SAMPLE)

@@ -318,6 +318,14 @@ def test_language_sample(spark):
     assert count["de"] == sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in range(20))
 
 
+def test_language_sample_of_a_large_language(spark):
+    """The documents ranked per language are those of the smallest keys: all of them are there."""
+    own = [(i, f"{LINE} {i}", "en") for i in range(3000)] + [(9000 + i, f"{OTHER} {i}", "de") for i in range(40)]
+    table = spark.createDataFrame(own, "doc_id long, text string, lang string").repartition(5)
+    learned = Counter(lang for lang, _ in language_id._sample(table, 50))
+    assert learned == {"en": 50, "de": sum(zlib.crc32(str(9000 + i).encode()) % 3 != 1 for i in range(40))}
+
+
 def test_language_kernel():
     """Folded weights give what the kernel, written out, gives."""
     import numpy as np
