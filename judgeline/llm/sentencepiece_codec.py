@@ -12,8 +12,8 @@ How a part ends depends on the part and on which merges are skipped, so a task
 remembers, for a part and the merges skipped so far, the merges that follow and
 the ids they lead to.  Occurrences are drawn by whole arrays: the first merge that
 an occurrence skips leads it to what is remembered for one more skipped merge,
-until it skips none.  What is not known yet is segmented together, a step merging
-every part's best candidate; long parts and those with unknown characters use a
+until it skips none.  What is not known yet goes on from where that merge was taken,
+together, a step merging every part's best candidate; long parts and those with unknown characters use a
 heap.  Without dropout the result is the model's own.
 
 Decoding puts the pieces' bytes one after the other and drops the leading blank
@@ -29,7 +29,6 @@ from __future__ import annotations
 import re
 import zlib
 from heapq import heapify, heappop, heappush
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,10 +43,11 @@ ship(__name__)
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 7
-REMEMBERED = 60_000       # segmentations that a task remembers
+REMEMBERED = 200_000      # segmentations that a task remembers
 SHORT = 24                # characters of a part that is merged with others
-TOGETHER = 150_000        # characters of texts encoded together
-PARTS = 30_000            # parts of these texts that are drawn together
+ROWS = 8_192              # parts merged together, a step at a time
+TOGETHER = 300_000        # characters of texts encoded together
+PARTS = 60_000            # parts of these texts that are drawn together
 MARK = "▁"                # stands for a blank in pieces
 NONE = np.int32(2**31 - 1)
 _PLACE = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xBF58476D1CE4E5B9))
@@ -88,18 +88,16 @@ class _Pairs:
         while len(pairs) * 4 > 1 << bits:
             bits += 1
         self.shift, self.mask = np.uint64(64 - bits), np.int64((1 << bits) - 1)
-        self.key = np.full(1 << bits, -1, np.int64)
-        self.rank = np.full(1 << bits, NONE, np.int32)
-        self.merged = np.zeros(1 << bits, np.int32)
+        self.table = np.full((1 << bits, 2), -1, np.int64)     # pair, then rank and merged piece
         key = self._keys(pairs[:, 0], pairs[:, 1])
-        slot, left, self.probes = self._slots(key), np.arange(len(pairs)), 0
+        value = self._keys(pairs[:, 2], pairs[:, 3])
+        slot, left = self._slots(key), np.arange(len(pairs))
         while len(left):            # linear probing, all entries a step at a time
-            self.probes += 1
-            free = self.key[slot[left]] < 0
-            self.key[slot[left[free]]] = key[left[free]]
-            placed = self.key[slot[left]] == key[left]
+            free = self.table[slot[left], 0] < 0
+            self.table[slot[left[free]], 0] = key[left[free]]
+            placed = self.table[slot[left], 0] == key[left]
             own = left[placed]
-            self.rank[slot[own]], self.merged[slot[own]] = pairs[own, 2], pairs[own, 3]
+            self.table[slot[own], 1] = value[own]
             left = left[~placed]
             slot[left] = (slot[left] + 1) & self.mask
 
@@ -114,12 +112,16 @@ class _Pairs:
         """Rank (NONE: no piece) and merged piece of each pair."""
         key = self._keys(a, b)
         slot = self._slots(key)
-        rank, merged = np.full(len(key), NONE, np.int32), np.zeros(len(key), np.int32)
-        for _ in range(self.probes):
-            hit = self.key[slot] == key
-            rank[hit], merged[hit] = self.rank[slot[hit]], self.merged[slot[hit]]
-            slot = (slot + 1) & self.mask
-        return rank, merged
+        found = self.table[slot]
+        value = np.where(found[:, 0] == key, found[:, 1], np.int64(NONE) << 32)
+        left = np.flatnonzero((found[:, 0] != key) & (found[:, 0] >= 0))
+        while len(left):
+            slot[left] = (slot[left] + 1) & self.mask
+            found = self.table[slot[left]]
+            hit = found[:, 0] == key[left]
+            value[left[hit]] = found[hit, 1]
+            left = left[~hit & (found[:, 0] >= 0)]
+        return (value >> 32).astype(np.int32), value.astype(np.int32)
 
 
 class _Rows:
@@ -155,46 +157,61 @@ class Encoder:
         self.v, self.seed = vocabulary, seed
         self.limit = int(dropout * 2**32)
         self.parts = re.compile(vocabulary.part).findall
-        self._forget()
         self.pairs = _Pairs(vocabulary.pairs)
         self.char = np.zeros(0x110000, np.int32)      # id of a character; 0: unknown
         for piece, i in vocabulary.ids.items():
             if len(piece) == 1:
                 self.char[ord(piece)] = i
+        self._forget()
 
     def _forget(self) -> None:
         """Nothing remembered but the blank mark's own bytes, as node 0."""
-        self.roots: dict[str | None, int] = {}
-        self.node: list[tuple] = []                 # part, then the codes of the skipped merges
-        self.merges = _Rows(np.int64)               # merges that follow, as codes: start << 32, and stop
+        self.roots: dict[str | None, int] = {}      # node of a part of which no merge is skipped
+        self.text: list[str] = []                   # parts by number; their characters' ids
+        self.symbols, self.symbol_first, self.symbol_count = _Rows(np.int32), _Rows(np.int64), _Rows(np.int64)
+        # of each node: its part, the node above, the code of the merge that is skipped
+        # there (start << 32, and stop; -1: none), how many merges of the node above come
+        # before it, how many merges come before it in all, and how many are skipped
+        self.part, self.above, self.code = _Rows(np.int32), _Rows(np.int32), _Rows(np.int64)
+        self.kept, self.done, self.depth = _Rows(np.int32), _Rows(np.int32), _Rows(np.int32)
+        self.first, self.count = _Rows(np.int64), _Rows(np.int32)      # merges that follow
+        self.id_first, self.id_count = _Rows(np.int64), _Rows(np.int32)
+        self.merges = _Rows(np.int64)               # codes of merges; where their right side starts; merged pieces
+        self.middle, self.piece = _Rows(np.int32), _Rows(np.int32)
         self.child = _Rows(np.int32)                # node when that merge is skipped; 0: not known yet
-        self.first, self.count, self.done = _Rows(np.int64), _Rows(np.int64), _Rows(np.int64)
-        self.ids, self.id_first, self.id_count = _Rows(np.int32), _Rows(np.int64), _Rows(np.int64)
+        self.ids = _Rows(np.int32)
         self.roots[None] = 0
-        self._remember([(None,)], [0], [(tuple(self.v.byte[b] for b in MARK.encode()), [])])
-
-    @property
-    def known(self) -> dict[int, dict[tuple, tuple[int, ...]]]:
-        """The ids remembered, by the number of merges skipped."""
-        out: dict[int, dict[tuple, tuple[int, ...]]] = {}
-        for k, node in enumerate(self.node):
-            if k:
-                at = self.id_first[k]
-                out.setdefault(len(node) - 1, {})[node] = tuple(self.ids[at:at + self.id_count[k]].tolist())
-        return out
-
-    def _remember(self, nodes: list[tuple], done: list[int], found: list[tuple]) -> None:
-        """``done``: merges that come before those that an occurrence has still to draw."""
-        paths = [path[k:] for k, (_, path) in zip(done, found)]
-        for rows, start, count, own in ((self.merges, self.first, self.count, paths),
-                                        (self.ids, self.id_first, self.id_count, [ids for ids, _ in found])):
-            sizes = np.fromiter(map(len, own), np.int64, len(own))
-            start.add(len(rows) + np.cumsum(sizes) - sizes)
-            count.add(sizes)
-            rows.add(list(chain.from_iterable(own)))
-        self.child.add(np.zeros(len(self.merges) - len(self.child), np.int32))
-        self.done.add(done)
-        self.node += nodes
+        self._add_parts([""])
+        nodes = self._add_nodes(*np.zeros((2, 1), np.int64), np.full(1, -1), *np.zeros((3, 1), np.int64))
+        ids = np.array([self.v.byte[b] for b in MARK.encode()], np.int32)
+        self._store(nodes, ids, np.array([len(ids)]), *np.zeros((3, 0), np.int64), np.zeros(1, np.int64))
+
+    def _add_parts(self, parts: list[str]) -> None:
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        chars = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.symbol_first.add(len(self.symbols) + np.cumsum(sizes) - sizes)
+        self.symbol_count.add(sizes)
+        self.symbols.add(self.char[chars])
+        self.text += parts
+
+    def _add_nodes(self, part, above, code, kept, done, depth) -> np.ndarray:
+        nodes = np.arange(len(self.part), len(self.part) + len(part))
+        none = np.zeros(len(part), np.int64)
+        for rows, values in ((self.part, part), (self.above, above), (self.code, code), (self.kept, kept),
+                             (self.done, done), (self.depth, depth), (self.first, none), (self.count, none),
+                             (self.id_first, none), (self.id_count, none)):
+            rows.add(values)
+        return nodes
+
+    def _store(self, nodes, ids, id_counts, codes, middle, piece, counts) -> None:
+        """Ids of nodes and the merges that follow, one node after the other."""
+        for rows, start, count, sizes in ((self.ids, self.id_first, self.id_count, id_counts),
+                                          (self.merges, self.first, self.count, counts)):
+            start.all[nodes] = len(rows) + np.cumsum(sizes) - sizes
+            count.all[nodes] = sizes
+        for rows, values in ((self.ids, ids), (self.merges, codes), (self.middle, middle), (self.piece, piece),
+                             (self.child, np.zeros(len(codes), np.int32))):
+            rows.add(values)
 
     def _skips(self, key: np.ndarray, code: np.ndarray) -> np.ndarray:
         """Whether occurrences with these keys skip these merges."""
@@ -221,76 +238,100 @@ class Encoder:
             rank[(skipped == code[:, None]).any(axis=1)] = NONE
         return rank, merged
 
-    def _segment_short(self, nodes: list[tuple]) -> list[tuple[tuple[int, ...], list[int]]]:
-        """Ids and merges of parts of SHORT characters at most: their agendas in lockstep."""
-        parts = [node[0] for node in nodes]
-        count, width = len(parts), max(map(len, parts)) + 1
-        sizes = np.fromiter(map(len, parts), np.int64, count)
-        chars = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32)
-        symbols = np.full((count, width), -1, np.int32)
-        inside = np.arange(width) < sizes[:, None]
-        symbols[inside] = self.char[chars]
-        symbols = symbols.ravel()       # by place of their first character; -1: none starts there
-        skipped = np.full((count, max(map(len, nodes)) - 1), -1, np.int64)
-        for k, node in enumerate(nodes):
-            skipped[k, :len(node) - 1] = node[1:]
-        steps: list[tuple[np.ndarray, np.ndarray]] = []
-        end = np.tile(np.arange(1, width + 1), count)               # of the symbol that starts here
-        before = np.tile(np.arange(-1, width - 1), count)           # start of the symbol before
-        rank = np.full((count, width), NONE, np.int32)              # of the pair that starts here
+    def _segment(self, nodes: np.ndarray) -> None:
+        """Ids and merges of new nodes."""
+        part = self.part[nodes]
+        sizes = self.symbol_count[part]
+        row, at = _spread(self.symbol_first[part], sizes)
+        odd = (np.bincount(row, self.symbols[at] == 0, len(nodes)) > 0) | (sizes > SHORT)
+        least = 0
+        for most in (8, 12, 16, SHORT):
+            own = nodes[~odd & (sizes > least) & (sizes <= most)]
+            least = most
+            for k in range(0, len(own), ROWS):
+                self._store(own[k:k + ROWS], *self._lockstep(own[k:k + ROWS]))
+        for k in nodes[odd].tolist():
+            skipped, above = [], k
+            for _ in range(self.depth[k]):
+                skipped.append(int(self.code[above]))
+                above = self.above[above]
+            ids, path = self._merged((self.text[self.part[k]], *skipped))
+            path = np.array(path[self.done[k]:], np.int64)
+            unused = np.zeros(len(path), np.int32)
+            self._store(np.array([k]), ids, np.array([len(ids)]), path, unused, unused, np.array([len(path)]))
+
+    def _lockstep(self, nodes: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Ids and merges of nodes of SHORT characters at most: all agendas a step at a
+        time, from where the node above was when it took the merge that is skipped."""
+        part, count = self.part[nodes], len(nodes)
+        sizes = self.symbol_count[part]
+        width = int(sizes.max()) + 1
+        symbols = np.full(count * width, -1, np.int32)  # by place of their first character; -1: none starts there
+        row, at = _spread(self.symbol_first[part], sizes)
+        symbols[row * width + at - self.symbol_first[part][row]] = self.symbols[at]
+        skipped = np.full((count, int(self.depth[nodes].max())), -1, np.int64)
+        levels, own = [], nodes
+        for k in range(skipped.shape[1]):
+            skipped[:, k] = self.code[own]
+            levels.append((self.above[own], self.kept[own]))
+            own = self.above[own]
+        for above, kept in reversed(levels):            # merges of the nodes above, the first one's first
+            row, at = _spread(self.first[above], kept)
+            symbols[row * width + (self.merges[at] >> 32)] = self.piece[at]
+            symbols[row * width + self.middle[at]] = -1
+        here = np.flatnonzero(symbols >= 0)
+        row = here // width
+        place = here - row * width
+        last = np.append(row[1:] != row[:-1], True)
+        after = np.append(place[1:], 0)
+        after[last] = sizes[row[last]]
+        end = np.zeros(count * width, np.int64)         # of the symbol that starts here
+        before = np.zeros(count * width, np.int64)      # start of the symbol before
+        end[here] = after
+        before[row * width + after] = place
+        rank = np.full((count, width), NONE, np.int32)  # of the pair that starts here
         merged = np.zeros(count * width, np.int32)
-        i, at = np.nonzero(inside[:, 1:])
-        own = i * width + at
-        rank[i, at], merged[own] = self._ranked(symbols[own], symbols[own + 1], at, at + 2, skipped[i])
-        rows = np.arange(count)
+        k = np.flatnonzero(~last)
+        left, right = here[k], here[k + 1]
+        rank.ravel()[left], merged[left] = self._ranked(symbols[left], symbols[right], place[k], end[right], skipped[row[k]])
+        codes = np.zeros((count, width), np.int64)
+        middles, pieces = np.zeros((2, count, width), np.int32)
+        taken, live, step = np.zeros(count, np.int64), np.arange(count), 0
         while True:
             at = rank.argmin(axis=1)
-            going = rank[np.arange(len(rows)), at] != NONE
-            rows, at, rank, skipped = rows[going], at[going], rank[going], skipped[going]
-            if not len(rows):
+            go = np.flatnonzero(rank[np.arange(len(live)), at] != NONE)
+            if not len(go):
                 break
-            every, base = np.arange(len(rows)), rows * width
+            at = at[go]
+            if len(go) * 5 < len(live) * 4:
+                live, rank, skipped, go = live[go], rank[go], skipped[go], np.arange(len(go))
+            rows = live[go]
+            base = rows * width
             left = base + at
             middle = end[left]
-            stop = end[base + middle]
-            steps.append((rows, (at << 32) + stop))
+            right = base + middle
+            stop = end[right]
+            codes[rows, step], middles[rows, step], pieces[rows, step] = (at << 32) + stop, middle, merged[left]
+            step += 1
+            taken[rows] = step
             symbols[left] = merged[left]
-            symbols[base + middle] = -1
+            symbols[right] = -1
             end[left] = stop
             before[base + stop] = at
-            rank[every, middle] = rank[every, at] = NONE
+            rank[go, middle] = rank[go, at] = NONE
             some = np.flatnonzero(stop < sizes[rows])               # the pair with the symbol after
-            far = base[some] + stop[some]
-            rank[some, at[some]], merged[left[some]] = self._ranked(
-                symbols[left[some]], symbols[far], at[some], end[far], skipped[some])
+            near, far = left[some], (base + stop)[some]
+            rank[go[some], at[some]], merged[near] = self._ranked(
+                symbols[near], symbols[far], at[some], end[far], skipped[go[some]])
             some = np.flatnonzero(at > 0)                           # and with the one before
-            start = before[left[some]]
+            near = left[some]
+            start = before[near]
             far = base[some] + start
-            rank[some, start], merged[far] = self._ranked(
-                symbols[far], symbols[left[some]], start, stop[some], skipped[some])
-        found = symbols >= 0
-        flat = symbols[found].tolist()
-        ends = np.cumsum(found.reshape(count, width).sum(axis=1)).tolist()
-        row = np.concatenate([r for r, _ in steps] or [rows])
-        order = np.argsort(row, kind="stable")
-        path = np.concatenate([c for _, c in steps] or [rows])[order].tolist()
-        stops = np.cumsum(np.bincount(row, minlength=count)).tolist()
-        return [(tuple(flat[a:b]), path[c:d]) for a, b, c, d in zip([0, *ends], ends, [0, *stops], stops)]
-
-    def _segment_all(self, nodes: list[tuple]) -> list[tuple[tuple[int, ...], list[int]]]:
-        done, left = {}, nodes
-        for width in (8, 12, 16, SHORT):
-            own = [x for x in left if len(x[0]) <= width]
-            if own:
-                done |= zip(own, self._segment_short(own))
-                left = [x for x in left if len(x[0]) > width]
-        odd = left + [x for x, (ids, _) in done.items() if 0 in ids]
-        done |= {x: self._merged(x) for x in odd}
-        return [done[x] for x in nodes]
-
-    def _segment(self, node: tuple, skips: int) -> tuple[int, ...]:
-        """Ids of a part when the ``skips`` merges named after it are skipped."""
-        return self._merged(node[:skips + 1])[0]
+            rank[go[some], start], merged[far] = self._ranked(
+                symbols[far], symbols[near], start, stop[some], skipped[go[some]])
+        found, path = symbols >= 0, np.arange(width) < taken[:, None]
+        return (symbols[found], found.reshape(count, width).sum(axis=1),
+                codes[path], middles[path], pieces[path], taken)
 
     def _merged(self, node: tuple) -> tuple[tuple[int, ...], list[int]]:
         """Ids and merges of one part, by a heap."""
@@ -325,8 +366,11 @@ class Encoder:
         return tuple(out), path
 
     def encode(self, texts: list[str | None], keys=0) -> list[list[int] | None]:
-        """Ids of each text; ``keys``: a number of each document, or one of all.
-        Some texts are taken together, by ``TOGETHER``."""
+        """Ids of each text; ``keys``: a number of each document, or one of all."""
+        return [None if x is None else x.tolist() for x in self.arrays(texts, keys)]
+
+    def arrays(self, texts: list[str | None], keys=0) -> list[np.ndarray | None]:
+        """Ids of each text as an array (int32).  Some texts are taken together, by ``TOGETHER``."""
         keys = np.broadcast_to(np.asarray(keys, np.int64), len(texts))
         out, start, size = [], 0, 0
         for i, text in enumerate(texts):
@@ -336,7 +380,7 @@ class Encoder:
                 start, size = i + 1, 0
         return out + self._encode_some(texts[start:], keys[start:])
 
-    def _encode_some(self, texts: list[str | None], keys: np.ndarray) -> list[list[int] | None]:
+    def _encode_some(self, texts: list[str | None], keys: np.ndarray) -> list[np.ndarray | None]:
         every: list[str | None] = []        # parts of all texts; None: a blank mark in the text itself
         ends = []
         for text in texts:
@@ -348,25 +392,28 @@ class Encoder:
         sizes = np.diff([0, *ends])
         place = _spread(np.zeros(len(sizes), np.int64), sizes)[1]
         drawn = self._keys(np.repeat(keys, sizes), place) if self.limit else None
-        ids, counts = [], []
+        ids, counts = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
         for at in range(0, len(every), PARTS):      # a draw does not depend on what is drawn with it
             found, number = self._encode_parts(every[at:at + PARTS], None if drawn is None else drawn[at:at + PARTS])
             ids.append(found)
             counts.append(number)
-        ids = np.concatenate(ids).tolist() if ids else []
-        stops = np.concatenate(([0], np.cumsum(np.concatenate(counts) if counts else [])))[[0, *ends]].astype(int).tolist()
+        ids = np.concatenate(ids)
+        stops = np.cumsum(np.concatenate(counts))[[0, *ends]].tolist()
         return [None if text is None else ids[a:b] for text, a, b in zip(texts, stops, stops[1:])]
 
     def _encode_parts(self, every: list[str | None], drawn: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of parts one after the other, and how many each has.  What is remembered
         is forgotten when it is too much, also inside a text."""
-        if len(self.node) > REMEMBERED:
+        if len(self.part) > REMEMBERED:
             self._forget()
         new = [p for p in dict.fromkeys(every) if p not in self.roots]
         if new:
-            self.roots.update(zip(new, range(len(self.node), len(self.node) + len(new))))
-            own = [(p,) for p in new]
-            self._remember(own, [0] * len(own), self._segment_all(own))
+            number, none = len(self.text) + np.arange(len(new)), np.zeros(len(new), np.int64)
+            self._add_parts(new)
+            # a node of its own stands above a root
+            nodes = self._add_nodes(number, len(self.part) + np.arange(len(new)), none - 1, none, none, none)
+            self.roots.update(zip(new, nodes.tolist()))
+            self._segment(nodes)
         node = np.fromiter(map(self.roots.__getitem__, every), np.int64, len(every))
         if drawn is not None:
             self._draw(node, drawn)
@@ -384,13 +431,15 @@ class Encoder:
             lead = np.concatenate(([True], row[1:] != row[:-1])) if len(row) else np.zeros(0, bool)
             row, at = row[lead], at[lead]           # the first merge that each one skips
             going = going[row]
-            open_, which = np.unique(at[self.child[at] == 0], return_index=True)
+            fresh = np.flatnonzero(self.child[at] == 0)
+            open_, which = np.unique(at[fresh], return_index=True)
             if len(open_):
-                above = node[going[self.child[at] == 0][which]]
-                nodes = [(*self.node[k], code) for k, code in zip(above.tolist(), self.merges[open_].tolist())]
-                done = self.done[above] + open_ - self.first[above]
-                self.child.all[open_] = np.arange(len(self.node), len(self.node) + len(nodes))
-                self._remember(nodes, done.tolist(), self._segment_all(nodes))
+                above = node[going[fresh[which]]]
+                kept = open_ - self.first[above]
+                nodes = self._add_nodes(self.part[above], above, self.merges[open_], kept,
+                                        self.done[above] + kept, self.depth[above] + 1)
+                self.child.all[open_] = nodes
+                self._segment(nodes)
             node[going] = self.child[at]
 
     def decode(self, ids: list[int]) -> str:
@@ -416,7 +465,7 @@ def _slices(batches, column: str = "text"):
 def _encoded(batch: pa.RecordBatch, encoder: Encoder):
     """Texts and ids of a batch."""
     texts = batch.column("text").to_pylist()
-    return texts, encoder.encode(texts, batch.column("key").to_numpy())
+    return texts, encoder.arrays(texts, batch.column("key").to_numpy())
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, dropout: float = DROPOUT,
@@ -461,8 +510,8 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary | None = None, dropout: f
         encoder = Encoder(v, dropout, seed)
         for batch in _slices(batches):
             texts, ids = _encoded(batch, encoder)
-            sums = [None if x is None else zlib.crc32(np.array(x, "<i4").tobytes()) for x in ids]
-            same = [None if x is None else encoder.decode(x) == t for x, t in zip(ids, texts)]
+            sums = [None if x is None else zlib.crc32(x.astype("<i4").tobytes()) for x in ids]
+            same = [None if x is None else encoder.decode(x.tolist()) == t for x, t in zip(ids, texts)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([None if x is None else len(x) for x in ids], pa.int64()),
                  pa.array(sums, pa.int64()), pa.array(same, pa.bool_())],

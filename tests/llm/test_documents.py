@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 import sentencepiece
 
@@ -351,8 +352,12 @@ def test_sentencepiece(docs, empty):
     for t in texts():
         ids = varied.encode([t], 1)[0]
         assert ids is None if t is None else varied.decode(ids) == t
-    for part, ids in list(varied.known[1].items())[:400]:      # lockstep equals the heap
-        assert varied._segment(part, 1) == ids
+    once = [k for k in range(len(varied.part)) if varied.depth[k] == 1][:400]
+    for k in once:                                             # lockstep equals the heap
+        at = varied.id_first[k]
+        ids = tuple(varied.ids[at:at + varied.id_count[k]].tolist())
+        assert varied._merged((varied.text[varied.part[k]], int(varied.code[k])))[0] == ids
+    assert len(once) > 20
     other = sentencepiece_codec.Encoder(vocabulary, dropout=0.3, seed=8)
     assert other.encode([LINE * 3], 1) != varied.encode([LINE * 3], 1)
     encoded = sentencepiece_codec.encode(docs, vocabulary)
@@ -402,6 +407,59 @@ def test_sentencepiece_occurrences(spark):
     assert sum((drawn & found).values()) > 1600
 
 
+def keyed_agenda(word, vocabulary, key, dropout):
+    """Ids of a word, each candidate merge skipped by the keyed hash of its place."""
+    pieces, skipped = [(i, i + 1) for i in range(len(word))], {}
+
+    def skips(a, d):
+        h = key ^ (a * 0x9E3779B97F4A7C15 + d * 0xC2B2AE3D27D4EB4F) % 2**64
+        h = (h ^ (h >> 31)) * 0xBF58476D1CE4E5B9 % 2**64
+        return h >> 32 < int(dropout * 2**32)
+
+    while True:
+        ways = sorted((vocabulary.rank[word[a:d]], a, d, k) for k, ((a, _), (_, d)) in enumerate(zip(pieces, pieces[1:]))
+                      if word[a:d] in vocabulary.rank and not skipped.get((a, d)))
+        if not ways:
+            return [i for a, b in pieces for i in (
+                [vocabulary.ids[word[a:b]]] if word[a:b] in vocabulary.ids else [vocabulary.byte[x] for x in word[a:b].encode()])]
+        _, a, d, k = ways[0]
+        if not skipped.setdefault((a, d), skips(a, d)):
+            pieces[k:k + 2] = [(a, d)]
+
+
+def occurrence_key(seed, doc_key, place):
+    h = (doc_key + (seed + 1) * 0xC2B2AE3D27D4EB4F) % 2**64
+    for more in (place * 0x9E3779B97F4A7C15, 0):
+        h = (h + more) % 2**64
+        h = (h ^ (h >> 30)) * 0xBF58476D1CE4E5B9 % 2**64
+        h = (h ^ (h >> 27)) * 0xC2B2AE3D27D4EB4F % 2**64
+        h ^= h >> 31
+    return h
+
+
+def test_sentencepiece_seeded_agenda(monkeypatch):
+    """Every part of every text equals an agenda replayed with the same keyed hash,
+    also where what is remembered is forgotten inside a text."""
+    vocabulary = sentencepiece_codec.Vocabulary()
+    own = [t for t in texts() if t and len(t) < 20_000]
+    own += [" ".join(["internationalization", "überraschenderweise", "日本語の文章", "\u0000x", "a" * 40, "né"] * 30), "x\n\n\ty ▁ z"]
+    for remembered, dropout, seed in ((200_000, 0.1, 7), (50, 0.5, 3)):
+        monkeypatch.setattr(sentencepiece_codec, "REMEMBERED", remembered)
+        monkeypatch.setattr(sentencepiece_codec, "PARTS", 64 if remembered == 50 else 60_000)
+        encoder = sentencepiece_codec.Encoder(vocabulary, dropout, seed)
+        for doc_key, (t, ids) in enumerate(zip(own, encoder.encode(own, np.arange(len(own))))):
+            parts = []
+            for k, x in enumerate(t.split("▁")):
+                parts += [None] * (k > 0) + encoder.parts((x if k else " " + x).replace(" ", "▁"))
+            want = []
+            for place, part in enumerate(parts):
+                if part is None:
+                    want += [vocabulary.byte[x] for x in "▁".encode()]
+                else:
+                    want += keyed_agenda(part, vocabulary, occurrence_key(seed, doc_key, place), dropout)
+            assert ids == want
+
+
 def test_language_model(docs, empty):
     got = lm_scoring.score_documents(docs).collect()
     assert len(got) == len(rows())
