@@ -217,18 +217,23 @@ def _open_buckets(classes: DataFrame, hot: DataFrame, stars: DataFrame, families
         """The rows of hot half keys, of which there are HALVES * SPLIT at most."""
         values = [r["half"] for r in wanted.select("half").distinct().collect()]
         own = F.filter(F.transform("u", lambda h, i: F.struct(i.alias("i"), h.alias("half"))), lambda e: e["half"].isin(values))
-        return rows.select(*shown, F.explode(own).alias("e")).select(*shown, "e.i", "e.half").join(hot, ["i", "half"], "left_semi")
+        return rows.select(*shown, F.explode(own).alias("e")).select(*shown, "e.i", "e.half").join(wanted, ["i", "half"], "left_semi")
 
     key = ["i", "half", "j", "other"]
     bucket = F.concat_ws(":", *key).alias("bucket")
     seen = {"m": F.count(F.lit(1)), "low": F.min("family"), "high": F.max("family"),
             "alike": F.sum(F.xxhash64("rep").cast("decimal(20,0)"))}
+    # a half key whose classes are of one family has no bucket of several
+    span = {"least": F.min("family"), "most": F.max("family")}
     # a half key that is not hot holds a bounded number of classes
-    cool = rows.where("asked").select(*shown, F.posexplode("u").alias("i", "half"))
-    cool = _bucket(cool.join(hot, ["i", "half"], "left_anti").repartition("i", "half"))
+    cool = rows.where("asked").select(*shown, F.posexplode("u").alias("i", "half")).join(hot, ["i", "half"], "left_anti")
+    cool = cool.select("*", *[c.over(Window.partitionBy("i", "half")).alias(k) for k, c in span.items()]).where("least <> most")
+    cool = _bucket(cool.drop("least", "most"))
     cool = cool.select("*", *[c.over(Window.partitionBy(*key)).alias(k) for k, c in seen.items()]).where("low <> high")
-    stats = cut_lineage(_bucket(in_halves(hot)).groupBy(*key).agg(*[c.alias(k) for k, c in seen.items()]).where("low <> high"))
-    warm = _bucket(in_halves(stats)).join(broadcast_if_small(stats), key)
+    several = in_halves(hot).groupBy("i", "half").agg(*[c.alias(k) for k, c in span.items()]).where("least <> most")
+    several = cut_lineage(several.select("i", "half"))
+    stats = cut_lineage(_bucket(in_halves(F.broadcast(several))).groupBy(*key).agg(*[c.alias(k) for k, c in seen.items()]).where("low <> high"))
+    warm = _bucket(in_halves(hot.join(stats, ["i", "half"], "left_semi"))).join(broadcast_if_small(stats), key)
     shape = [bucket, "m", "alike", "rep", "n", "family"]
     return cut_lineage(cool.select(*shape).union(warm.select(*shape)))
 
