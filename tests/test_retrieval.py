@@ -9,6 +9,7 @@ from judgeline.functions.text import STOP_WORDS, tokenize
 from judgeline.plans import fixtures as FX
 from judgeline.functions.membership import membership
 from judgeline.functions.text import query_text
+from judgeline.operators import scoring as SC
 from judgeline.operators import termstats as TS
 from judgeline.plans.retrieve import column_names, compare_narrow, compare_runs, query_table, retrieve, scored, search
 from judgeline.sources.text_formats import read_topics
@@ -140,3 +141,27 @@ def test_comparison_columns(spark):
     assert column_names(["a", "A", "a_2"]) == ["a", "A_2", "a_2_2"]
     assert compare_runs(s, runs=["x", "missing"]).first().asDict() == {"measure": "map", "x": 1.0, "missing": None}
     assert {(r.run_id, r.value) for r in compare_narrow(s, ["map"]).collect()} == {(r, v) for _, r, v in rows}
+
+
+def test_bounds_keep_the_best(spark):
+    """Rows under the bounds are none of the k best, ties and topics without a bound included."""
+    rows = [("r", q, f"d{i:04d}", None if i == 5 else float(i * 37 % m)) for q, n, m in
+            (("many", 2000, 401), ("ties", 2000, 3), ("few", 20, 7)) for i in range(n)]
+    runs = spark.createDataFrame(rows + [("r", None, "d1", 1.0)], "run_id string, qid string, docno string, score double")
+    kept = SC.above_bounds(runs, 10, round_digits=1)
+    left = {r["qid"]: r["count"] for r in kept.groupBy("qid").count().collect()}
+    assert left["many"] < 500 and left["few"] == 20 and left[None] == 1
+    best = lambda df: sorted(map(str, SC.top_k(df, 10, round_digits=1).collect()))
+    assert best(kept) == best(runs)
+
+
+def test_sums_per_document_exchange_no_scores(spark):
+    """The index is dealt by document, so scores and running sums need no exchange of their own."""
+    docs = spark.createDataFrame([(f"d{i}", "red fox and blue fox") for i in range(9)], "docno string, text string")
+    topics = spark.createDataFrame([("1", "red fox", "blue fox")], "qid string, title string, description string")
+    post, stats = TS.index_for(docs, query_table(topics).select("term"))
+    qt = query_table(topics)
+    x = SC.explain_terms(post, qt, TS.term_stats(post), stats, keys=("kind", "qid"))
+    plan = x._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(kind" not in plan.split("InMemoryRelation")[0]
+    assert x.count() == 36
