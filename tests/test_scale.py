@@ -34,3 +34,13 @@ def test_preference_inputs_are_read_once(spark, tables):
     every = {int(d[1:]) for d, _ in found}
     assert found == {(f"M{m:02d}", s) for m in every for s in {0: "0", 1: "01", 2: "1"}[m % 3]}
     assert prefs.groupBy("qid", "jg", "jsg", "docno").count().where(F.col("count") > 1).isEmpty()
+
+
+def test_kept_inputs(spark, tables):
+    """The inputs that several steps read are persisted while a query is built."""
+    from judgeline.session import owned
+    for query, n in ((C.q_repeats_outside, 2), (C.q_number_fields, 1), (C.q_judged_jg, 1)):
+        with owned() as frames:
+            query(spark, tables).count()
+            once = [f for f in frames if f._jdf.queryExecution().analyzed().toString().count("Relation [l_orderkey") == 1]
+            assert len(once) == n, query.__name__
