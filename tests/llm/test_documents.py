@@ -292,6 +292,44 @@ def test_minhash_third_hub(spark, monkeypatch, make, small):
     assert {r.doc_id: r.component_id for r in got} == component_roots({k: set(w) for k, w in enumerate(own)})
 
 
+def test_minhash_opens_whole_buckets(spark):
+    """Buckets of several families, salted or not, are opened with all their members."""
+    rng = random.Random(13)
+    core, halves = [f"w{i}" for i in range(200)], 3
+    own = [rng.sample(core, 170) for _ in range(300)] + [rng.sample(core, 60) for _ in range(100)]
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(own)], "doc_id long, text string")
+    classes = minhash_dedup.signatures(docs, 1, halves, 1).selectExpr("doc_id rep", "n_shingles n", "u", "v").cache()
+    hot = minhash_dedup._hot(classes, classes.count())
+    stars = minhash_dedup._stars(classes, hot, 50, halves).cache()
+    assert {r.kind for r in stars.select("kind").distinct().collect()} == {0, 1, 2}
+    families = spark.createDataFrame([(k, 1000 + (k % 7 == 0)) for k in range(0, 400, 2)], "id long, family long")
+    family = {r.id: r.family for r in families.collect()}
+    buckets = {}
+    for r in classes.collect():
+        for i, u in enumerate(r.u):
+            for j, v in enumerate(r.v):
+                buckets.setdefault((i * halves + j, u, v), set()).add(r.rep)
+    several = {(t, min(b)): b for (t, _, _), b in buckets.items() if len({family.get(k, k) for k in b}) > 1}
+    opened = {}
+    for r in minhash_dedup._open_buckets(classes, stars, families, halves).collect():
+        assert r.family == family.get(r.rep, r.rep)
+        for t in range(halves * halves):
+            if r.t0 >> t & 1:
+                opened.setdefault((t, r.hub), set()).add(r.rep)
+    assert opened == several
+
+
+def test_minhash_expands_each_half_key_once(spark, monkeypatch):
+    """Neither the hot half keys nor the open buckets are expanded a second time."""
+    seen, bucket = [], minhash_dedup._bucket
+    monkeypatch.setattr(minhash_dedup, "_bucket", lambda rows: seen.append(rows) or bucket(rows))
+    own = partial_copies()
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(own)], "doc_id long, text string")
+    got = minhash_dedup.near_duplicates(docs, words=1).collect()
+    assert {r.doc_id: r.component_id for r in got} == component_roots({k: set(w) for k, w in enumerate(own)})
+    assert len(seen) == 1
+
+
 def test_language(docs, empty):
     model = language_id.train(docs)
     got = language_id.predict(docs, model).collect()
